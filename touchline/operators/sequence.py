@@ -5,14 +5,14 @@ one task. A player's or a match's sequence can be a large share of all rows, so
 this operator splits each key's sequence into buckets of a column that rises
 with the order (for example ``floor(game_clock / 60)``):
 
-1. window per (keys, bucket): the previous row inside the bucket;
-2. one tail row per (keys, bucket) with the bucket's last values (``max_by``);
-3. a window over the tails per key: the last values of the bucket before, a
-   table of one row per bucket, far smaller than the rows;
-4. the first row of each bucket takes its previous values from step 3, joined
-   on (keys, bucket). The rows are already hash-partitioned and sorted on those
-   columns by step 1, so only the small tail table moves; adaptive execution
-   broadcasts it when its measured size allows.
+1. one window per (keys, bucket) gives every row its previous row inside the
+   bucket, and the bucket's first row also the bucket's last values;
+2. the first rows (one per bucket, a far smaller table) get the previous
+   bucket's last values from a window per key over them;
+3. the other rows keep their in-bucket values; the two parts are unioned.
+
+Both parts read the same shuffle (Spark reuses the exchange), so the rows are
+scanned and shuffled once; only the per-bucket table moves a second time.
 
 The bucket column must be non-decreasing along ``order`` within a key, and
 ``order`` must be a total order within a key (add a unique tie-breaker).
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "__seq_bucket"
+SEQ_ID = "__seq_id"
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -44,45 +45,40 @@ def with_previous(
     """Add ``prefix + c`` = value of ``c`` on the previous row of the key.
 
     With ``ignore_nulls`` it is the last non-null value before the row instead.
-    Rows with a null key get previous values from inside their bucket only.
+    Null keys form their own sequence, as in a window. Output rows are not
+    partitioned by key.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    rows = df.withColumn(BUCKET, bucket)
-    part = keys + [BUCKET]
-    w_in = Window.partitionBy(*part).orderBy(*_cols(order))
+    out_cols = list(df.columns) + [prefix + c for c in cols]
+    # (keys, bucket) as one struct column: one hash partitioning for the window.
+    rows = df.withColumn(SEQ_ID, F.struct(*[F.col(k) for k in keys], bucket.alias(BUCKET)))
+    w_in = Window.partitionBy(SEQ_ID).orderBy(*_cols(order))
     before = w_in.rowsBetween(Window.unboundedPreceding, -1)
+    whole = w_in.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
+    rows = rows.withColumn("__seq_first", F.lag(F.lit(1)).over(w_in).isNull())
     for c in cols:
         if ignore_nulls:
             rows = rows.withColumn(prefix + c, F.last(c, ignorenulls=True).over(before))
         else:
             rows = rows.withColumn(prefix + c, F.lag(c).over(w_in))
-    rows = rows.withColumn("__seq_first", F.lag(F.lit(1)).over(w_in).isNull())
+        # The bucket's last (non-null) value, carried on its rows for step 2.
+        rows = rows.withColumn("__seq_t_" + c, F.last(c, ignorenulls=ignore_nulls).over(whole))
+
+    inner = rows.where(~F.col("__seq_first")).select(*out_cols)
 
-    # One row per bucket with its last (non-null) values.
-    order_key = F.struct(*_cols(order))
-    if ignore_nulls:
-        tail_aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_key)).alias(c) for c in cols]
-    else:
-        last = F.max_by(F.struct(*[F.col(c) for c in cols]), order_key)
-        tail_aggs = [last.alias("__seq_last")]
-    tails = df.withColumn(BUCKET, bucket).groupBy(*part).agg(*tail_aggs)
-    if not ignore_nulls:
-        tails = tails.select(*part, *[F.col(f"__seq_last.{c}").alias(c) for c in cols])
-    w_b = Window.partitionBy(*keys).orderBy(BUCKET)
-    if ignore_nulls:
-        w_b_before = w_b.rowsBetween(Window.unboundedPreceding, -1)
-        carried = [F.last(c, ignorenulls=True).over(w_b_before).alias("__seq_b_" + c) for c in cols]
-    else:
-        carried = [F.lag(c).over(w_b).alias("__seq_b_" + c) for c in cols]
-    tails = tails.select(*part, *carried)
-
-    out = rows.join(tails, on=part, how="left")
+    key_cols = [f"__seq_k{i}" for i in range(len(keys))]
+    heads = rows.where(F.col("__seq_first")).select(
+        "*", *[F.col(f"{SEQ_ID}.{k}").alias(n) for k, n in zip(keys, key_cols)],
+        F.col(f"{SEQ_ID}.{BUCKET}").alias(BUCKET),
+    )
+    w_b = Window.partitionBy(*key_cols).orderBy(BUCKET)
     for c in cols:
-        inner, outer = F.col(prefix + c), F.col("__seq_b_" + c)
         if ignore_nulls:
-            value = F.coalesce(inner, outer)
+            carried = F.last("__seq_t_" + c, ignorenulls=True).over(
+                w_b.rowsBetween(Window.unboundedPreceding, -1)
+            )
         else:
-            value = F.when(F.col("__seq_first"), outer).otherwise(inner)
-        out = out.withColumn(prefix + c, value)
-    return out.drop(BUCKET, "__seq_first", *["__seq_b_" + c for c in cols])
+            carried = F.lag("__seq_t_" + c).over(w_b)
+        heads = heads.withColumn(prefix + c, carried)
+    return inner.unionByName(heads.select(*out_cols))

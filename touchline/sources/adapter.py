@@ -94,7 +94,7 @@ def nested_frames(tracking_df: DataFrame) -> DataFrame:
     )
     first = F.struct("frame_idx", "x", "y", "speed", "ball_status", "side")
     grouped = (
-        tracking_df.withColumn("frame_no", F.floor(F.col("frame_idx") / F.lit(EVENTS_PER_FRAME)))
+        tracking_df.withColumn("frame_no", F.expr(f"frame_idx div {EVENTS_PER_FRAME}"))
         .groupBy("match_date", "period", "frame_no")
         .agg(
             F.min("game_clock").alias("gameClock"),
