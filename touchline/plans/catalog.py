@@ -12,10 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.functions.clock import display_time
-from touchline.operators import ball, events, ranking, speed
-from touchline.session import configure
-from touchline.sources import adapter
+from touchline import schemas
+from touchline.functions.clock import display_time, match_date
+from touchline.operators import ball, events, frames, ranking, speed, tables
+from touchline.session import configure, shared_dir
+from touchline.sources import adapter, files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,3 +154,153 @@ def q_live_events(spark, sf_dir):
 @query("ball_out_restarts")
 def q_ball_out_restarts(spark, sf_dir):
     return events.ball_out_restarts(q_live_events(spark, sf_dir))
+
+
+# -- nested frames, metadata, stored tables ----------------------------------------
+# These queries first write Spark-derived inputs (frames as JSON lines, metadata
+# as XML, tables as Parquet) under the shared checkpoint folder, then read them
+# back with explicit schemas, as a user's own files would be read.
+
+def frames_from_events(spark: SparkSession, sf_dir: str) -> str:
+    path = shared_dir(spark, "frames")
+    files.write_frames(adapter.nested_frames(tracking(spark, sf_dir)), path)
+    return path
+
+
+def metadata_from_events(spark: SparkSession, sf_dir: str) -> str:
+    path = shared_dir(spark, "metadata")
+    files.write_match_metadata(adapter.match_metadata(tracking(spark, sf_dir)), path)
+    return path
+
+
+@query("scan_frames_json")
+def q_scan_frames_json(spark, sf_dir):
+    fr = files.read_frames(spark, frames_from_events(spark, sf_dir))
+    return fr.select(
+        match_date(F.col("wallClock")).alias("match_date"),
+        "period",
+        F.col("frameIdx").alias("frame_idx"),
+        F.col("gameClock").alias("game_clock"),
+        F.col("wallClock").alias("wall_ms"),
+        "live",
+        F.col("lastTouch").alias("last_touch"),
+        F.size("homePlayers").cast("bigint").alias("n_home"),
+        F.size("awayPlayers").cast("bigint").alias("n_away"),
+        F.get(F.col("ball.xyz"), 0).alias("ball_x"),
+        F.get(F.col("ball.xyz"), 1).alias("ball_y"),
+        F.col("ball.speed").alias("ball_speed"),
+    )
+
+
+@query("unified_players")
+def q_unified_players(spark, sf_dir):
+    return frames.unified_players(files.read_frames(spark, frames_from_events(spark, sf_dir)))
+
+
+@query("unified_ball")
+def q_unified_ball(spark, sf_dir):
+    return frames.unified_ball(files.read_frames(spark, frames_from_events(spark, sf_dir)))
+
+
+@query("split_by_side")
+def q_split_by_side(spark, sf_dir):
+    return frames.split_by_side(q_unified_players(spark, sf_dir), "home")
+
+
+@query("dedup_players")
+def q_dedup_players(spark, sf_dir):
+    return frames.dedup_players(files.read_frames(spark, frames_from_events(spark, sf_dir)))
+
+
+@query("frame_quality_report")
+def q_frame_quality_report(spark, sf_dir):
+    fr = files.read_frames(spark, frames_from_events(spark, sf_dir), keep_corrupt=True)
+    return frames.frame_quality_report(fr)
+
+
+@query("scan_match_metadata")
+def q_scan_match_metadata(spark, sf_dir):
+    meta = files.read_match_metadata(spark, metadata_from_events(spark, sf_dir))
+    return meta.select(
+        "match_id",
+        F.date_format("kickoff", "yyyy-MM-dd HH:mm:ss").alias("kickoff_text"),
+        "pitch_length",
+        "pitch_width",
+    )
+
+
+@query("ball_in_box_by_pitch")
+def q_ball_in_box_by_pitch(spark, sf_dir):
+    meta = files.read_match_metadata(spark, metadata_from_events(spark, sf_dir))
+    return ball.ball_in_box_by_pitch(adapter.ball_rows(tracking(spark, sf_dir)), meta)
+
+
+@query("scan_table")
+def q_scan_table(spark, sf_dir):
+    path = shared_dir(spark, "tracking")
+    tables.write_partitioned(tracking(spark, sf_dir), path)
+    return files.read_table(spark, path, schemas.TRACKING)
+
+
+def _features_table(spark: SparkSession, path: str) -> DataFrame:
+    return files.read_table(spark, path, schemas.PLAYER_FEATURES)
+
+
+@query("write_partitioned")
+def q_write_partitioned(spark, sf_dir):
+    path = shared_dir(spark, "player_features")
+    feats = speed.player_performance(tracking(spark, sf_dir))
+    tables.write_partitioned(feats, path)
+    # A second overwrite replaces the same partitions and leaves others alone.
+    tables.write_partitioned(feats, path)
+    return _features_table(spark, path)
+
+
+FIRST_HALF_END = "2024-01-15"
+
+
+@query("merge_insert_only")
+def q_merge_insert_only(spark, sf_dir):
+    """Bootstrap with the first half of the matches, then merge all matches twice:
+    the first merge inserts the rest, the second inserts nothing."""
+    path = shared_dir(spark, "player_features")
+    feats = speed.player_performance(tracking(spark, sf_dir))
+    keys = ["match_date", "side", "player_id"]
+    tables.merge_insert_only(spark, feats.where(F.col("match_date") <= FIRST_HALF_END), path, keys,
+                             schema=schemas.PLAYER_FEATURES)
+    for _ in range(2):
+        tables.merge_insert_only(spark, feats, path, keys, schema=schemas.PLAYER_FEATURES)
+    return _features_table(spark, path)
+
+
+@query("upsert_by_key")
+def q_upsert_by_key(spark, sf_dir):
+    """Bootstrap with stale features (status-error frames left out), then upsert
+    the full features: every key ends with the new values."""
+    path = shared_dir(spark, "player_features")
+    t = tracking(spark, sf_dir)
+    stale = speed.player_performance(t.where(F.col("ball_status") == "Alive"))
+    keys = ["match_date", "side", "player_id"]
+    tables.upsert_by_key(spark, stale, path, keys, schema=schemas.PLAYER_FEATURES)
+    tables.upsert_by_key(spark, speed.player_performance(t), path, keys, schema=schemas.PLAYER_FEATURES)
+    return _features_table(spark, path)
+
+
+@query("incremental_load")
+def q_incremental_load(spark, sf_dir):
+    """The table holds the first half of the matches; a load of all rows builds
+    features only for the matches it lacks."""
+    path = shared_dir(spark, "player_features")
+    t = tracking(spark, sf_dir)
+    tables.incremental_load(spark, t.where(F.col("match_date") <= FIRST_HALF_END), path,
+                            speed.player_performance, schema=schemas.PLAYER_FEATURES)
+    tables.incremental_load(spark, t, path, speed.player_performance, schema=schemas.PLAYER_FEATURES)
+    return _features_table(spark, path)
+
+
+AS_OF_CUTOFF = "2024-01-20"
+
+
+@query("features_as_of")
+def q_features_as_of(spark, sf_dir):
+    return tables.features_as_of(q_write_partitioned(spark, sf_dir), AS_OF_CUTOFF)

@@ -195,3 +195,79 @@ FROM (SELECT match_date, min(wall_ms) AS first_wall_ms, max(wall_ms) AS last_wal
     + """SELECT match_id, wall_ms, frame_idx, restart, team, x, y, restart_x, restart_y
 FROM ev WHERE kind = 'FIELD_LEFT'""",
 }
+
+
+# -- nested frames: events grouped 16 consecutive ids per frame within a match half --
+FRAMES = """
+g AS (SELECT *, frame_idx // 16 AS frame_no FROM t),
+fk AS (
+  SELECT match_date, period, frame_no,
+         min(game_clock) AS gameClock, min(wall_ms) AS wallClock,
+         arg_min(ball_status, frame_idx) AS first_status,
+         arg_min(side, frame_idx) AS first_side,
+         arg_min(x, frame_idx) AS bx, arg_min(y, frame_idx) AS by_, arg_min(speed, frame_idx) AS bspeed,
+         count(*) FILTER (WHERE side = 'home') AS n_home,
+         count(*) FILTER (WHERE side = 'away') AS n_away
+  FROM g GROUP BY match_date, period, frame_no
+),
+up AS (
+  SELECT fk.match_date, fk.period, fk.frame_no AS frame_idx, fk.gameClock AS game_clock,
+         fk.wallClock AS wall_ms, fk.first_status = 'Alive' AS live, fk.first_side AS last_touch,
+         g.side, g.player_id, g.speed, g.x, g.y, 0.0::DOUBLE AS z, fk.n_home, fk.n_away
+  FROM g JOIN fk ON g.match_date = fk.match_date AND g.period = fk.period AND g.frame_no = fk.frame_no
+)"""
+
+UP_COLS = "match_date, period, frame_idx, game_clock, wall_ms, live, last_touch, side, player_id, speed, x, y, z"
+
+PITCH = """
+m AS (
+  SELECT match_date AS match_id,
+         strftime(make_timestamp(min(wall_ms) * 1000), '%Y-%m-%d %H:%M:%S') AS kickoff_text,
+         100.0::DOUBLE + (day(CAST(match_date AS DATE)) % 6) AS pitch_length,
+         64.0::DOUBLE + (day(CAST(match_date AS DATE)) % 5) AS pitch_width
+  FROM t GROUP BY match_date
+)"""
+
+PERF_ALL = _with(TRACKING, SPEED_ROWS, PERFORMANCE) + "SELECT * FROM perf"
+
+ORACLE.update({
+    "scan_frames_json": _with(TRACKING, FRAMES) + """SELECT match_date, period, frame_no AS frame_idx,
+       gameClock AS game_clock, wallClock AS wall_ms, first_status = 'Alive' AS live, first_side AS last_touch,
+       n_home, n_away, bx AS ball_x, by_ AS ball_y, bspeed AS ball_speed
+FROM fk""",
+    "unified_players": _with(TRACKING, FRAMES) + f"SELECT {UP_COLS} FROM up",
+    "unified_ball": _with(TRACKING, FRAMES) + f"""SELECT match_date AS match_id, wallClock AS wall_ms,
+       frame_no AS frame_idx, period, gameClock AS game_clock, first_status = 'Alive' AS live,
+       bx AS x, by_ AS y, 0.0::DOUBLE AS z, bspeed AS ball_speed,
+       (abs(bx) < {_d(HALF_L)} AND abs(bx) > {_d(INNER)} AND abs(by_) < {_d(AREA_HALF_W)}) AS ball_inside_box
+FROM fk""",
+    "split_by_side": _with(TRACKING, FRAMES) + f"SELECT {UP_COLS} FROM up WHERE side = 'home'",
+    "dedup_players": _with(TRACKING, FRAMES) + f"SELECT DISTINCT {UP_COLS} FROM up WHERE n_home > 0 AND n_away > 0",
+    "frame_quality_report": _with(TRACKING, FRAMES) + """SELECT match_date AS match_id, count(*) AS n_frames,
+       0::BIGINT AS n_corrupt, 0::BIGINT AS n_missing_clock, 0::BIGINT AS n_bad_period,
+       0::BIGINT AS n_short_ball_xyz, 0::BIGINT AS n_bad_player,
+       count(*) FILTER (WHERE n_home = 0) AS n_no_home,
+       count(*) FILTER (WHERE n_away = 0) AS n_no_away
+FROM fk GROUP BY match_date""",
+    "scan_match_metadata": _with(TRACKING, PITCH) + "SELECT match_id, kickoff_text, pitch_length, pitch_width FROM m",
+    "ball_in_box_by_pitch": _with(TRACKING, BALL, PITCH) + f"""SELECT b.match_id, m.pitch_length, true AS ball_inside_box,
+       count(*) * {_d(FRAME_SECONDS)} / 60.0::DOUBLE AS minutes_inside_box,
+       count(*) AS n_times_inside_box
+FROM b JOIN m ON b.match_id = m.match_id
+WHERE abs(x) < m.pitch_length / 2.0::DOUBLE
+  AND abs(x) > m.pitch_length / 2.0::DOUBLE - {_d(PENALTY_AREA_LENGTH_M)}
+  AND abs(y) < {_d(AREA_HALF_W)}
+GROUP BY b.match_id, m.pitch_length""",
+    "scan_table": _with(TRACKING) + """SELECT wall_ms, period, frame_idx, side, player_id, speed, x, y,
+       ball_status, game_clock, match_date FROM t""",
+    "write_partitioned": PERF_ALL,
+    "merge_insert_only": PERF_ALL,
+    "upsert_by_key": PERF_ALL,
+    "incremental_load": PERF_ALL,
+    "features_as_of": _with(TRACKING, SPEED_ROWS, PERFORMANCE) + """SELECT side, player_id, player_avg_speed,
+       player_max_speed, maximum_speed_x, match_date
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY side, player_id ORDER BY match_date DESC) AS rn
+  FROM perf WHERE match_date <= '2024-01-20'
+) WHERE rn = 1""",
+})

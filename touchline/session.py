@@ -57,6 +57,18 @@ def build_session(
     return configure(spark)
 
 
+def checkpoint_base(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``), also
+    registered as the context's checkpoint folder for ``DataFrame.checkpoint``.
+    Only when it is unset (a bare local test session) is a private one made."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="touchline-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    _ensure_checkpoint_dir(spark, base)
+    return base
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
@@ -64,11 +76,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     unset (a bare local test session) is a private folder made and registered.
     Every call returns a new sub-folder, so nothing is ever cleared or reused.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="touchline-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    _ensure_checkpoint_dir(spark, base)
+    base = checkpoint_base(spark)
     return f"{base.rstrip('/')}/touchline/{name}-{uuid.uuid4().hex[:12]}"
 
 
