@@ -66,60 +66,63 @@ def position_text(x: Column, y: Column) -> Column:
     return F.format_string("[%.2f, %.2f]", x, y)
 
 
-def _event(seq: int, kind: Column, old: Column, new: Column, message: Column,
-           restart: Column | None = None, team: Column | None = None,
-           spot: tuple[Column, Column] | None = None) -> Column:
-    null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+def _raw_event(seq: int, kind: Column, old: Column, new: Column) -> Column:
     return F.struct(
         F.lit(seq).alias("seq"),
         kind.alias("kind"),
         old.cast("string").alias("old_value"),
         new.cast("string").alias("new_value"),
-        (restart if restart is not None else null_s).alias("restart"),
-        (team if team is not None else null_s).alias("team"),
-        (spot[0] if spot else null_d).alias("restart_x"),
-        (spot[1] if spot else null_d).alias("restart_y"),
-        message.alias("message"),
     )
 
 
-def events_from_previous(rows: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M) -> DataFrame:
-    """Rows carrying ``prev_ball_status``/``prev_in_box``/``prev_in_field`` → events."""
+def events_from_previous(rows: DataFrame) -> DataFrame:
+    """Rows carrying ``prev_ball_status``/``prev_in_box``/``prev_in_field`` →
+    raw events (``seq``, ``kind``, ``old_value``, ``new_value``)."""
     status, in_box, in_fld = F.col("ball_status"), F.col("in_box"), F.col("in_field")
     old_status = F.coalesce(F.col("prev_ball_status"), F.lit(INITIAL_STATUS))
     old_box = F.coalesce(F.col("prev_in_box"), F.lit(INITIAL_IN_BOX))
     old_field = F.coalesce(F.col("prev_in_field"), F.lit(INITIAL_IN_FIELD))
-    x, y = F.col("x"), F.col("y")
-    ts = display_time(F.col("wall_ms"))
-    pos = position_text(x, y)
+    found = F.filter(
+        F.array(
+            F.when(status != old_status, _raw_event(1, F.lit("STATUS_CHANGED"), old_status, status)),
+            F.when(in_box != old_box, _raw_event(
+                2, F.when(in_box, F.lit("BOX_ENTERED")).otherwise(F.lit("BOX_LEFT")), old_box, in_box)),
+            F.when(in_fld != old_field, _raw_event(
+                3, F.when(in_fld, F.lit("FIELD_REENTERED")).otherwise(F.lit("FIELD_LEFT")), old_field, in_fld)),
+        ),
+        lambda e: e.isNotNull(),
+    )
+    return rows.select("match_id", "wall_ms", "frame_idx", "x", "y", "ball_team", F.inline(found))
+
 
+def decorate_events(raw: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M) -> DataFrame:
+    """Raw events → restart kind, team and spot for a ball leaving the field,
+    and the message text. Shared by the batch and the streaming path."""
+    kind, x, y = F.col("kind"), F.col("x"), F.col("y")
+    left = kind == F.lit("FIELD_LEFT")
     restart = restart_kind(x, length)
     team = restart_team(F.col("ball_team"))
-    spot = restart_spot(x, y, length, width)
-
-    status_event = F.when(
-        status != old_status,
-        _event(1, F.lit("STATUS_CHANGED"), old_status, status,
-               _render(MSG_STATUS, ts=ts, old=old_status, new=status)),
-    )
-    box_event = F.when(
-        in_box != old_box,
-        _event(2, F.when(in_box, F.lit("BOX_ENTERED")).otherwise(F.lit("BOX_LEFT")), old_box, in_box,
-               F.when(in_box, _render(MSG_BOX_ENTERED, ts=ts, pos=pos))
-               .otherwise(_render(MSG_BOX_LEFT, ts=ts, pos=pos))),
+    spot_x, spot_y = restart_spot(x, y, length, width)
+    ts = display_time(F.col("wall_ms"))
+    pos = position_text(x, y)
+    old, new = F.col("old_value"), F.col("new_value")
+    message = (
+        F.when(kind == "STATUS_CHANGED", _render(MSG_STATUS, ts=ts, old=old, new=new))
+        .when(kind == "BOX_ENTERED", _render(MSG_BOX_ENTERED, ts=ts, pos=pos))
+        .when(kind == "BOX_LEFT", _render(MSG_BOX_LEFT, ts=ts, pos=pos))
+        .when(kind == "FIELD_REENTERED", _render(MSG_FIELD_REENTERED, ts=ts, pos=pos))
+        .when(left, _render(MSG_FIELD_LEFT, ts=ts, restart=restart, team=team, pos=pos))
     )
-    left = ~in_fld
-    field_event = F.when(
-        in_fld != old_field,
-        _event(3, F.when(in_fld, F.lit("FIELD_REENTERED")).otherwise(F.lit("FIELD_LEFT")), old_field, in_fld,
-               F.when(in_fld, _render(MSG_FIELD_REENTERED, ts=ts, pos=pos))
-               .otherwise(_render(MSG_FIELD_LEFT, ts=ts, restart=restart, team=team, pos=pos)),
-               restart=F.when(left, restart), team=F.when(left, team),
-               spot=(F.when(left, spot[0]), F.when(left, spot[1]))),
+    return raw.select(
+        "match_id", "wall_ms", "frame_idx", F.col("seq").cast("int").alias("seq"), "kind",
+        "old_value", "new_value",
+        F.when(left, restart).alias("restart"),
+        F.when(left, team).alias("team"),
+        "x", "y",
+        F.when(left, spot_x).alias("restart_x"),
+        F.when(left, spot_y).alias("restart_y"),
+        message.alias("message"),
     )
-    found = F.filter(F.array(status_event, box_event, field_event), lambda e: e.isNotNull())
-    exploded = rows.select("match_id", "wall_ms", "frame_idx", "x", "y", F.inline(found))
-    return exploded.select(*EVENT_COLUMNS)
 
 
 def live_events(flagged: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M,
@@ -129,7 +132,7 @@ def live_events(flagged: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M,
     rows = with_previous(
         flagged, ["match_id"], ORDER, bucket, ["ball_status", "in_box", "in_field"], ignore_nulls=True
     )
-    return events_from_previous(rows, length, width)
+    return decorate_events(events_from_previous(rows), length, width)
 
 
 def ball_out_restarts(events: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from touchline.functions.clock import display_time, match_date
 from touchline.operators import ball, events, frames, ranking, speed, tables
 from touchline.session import configure, shared_dir
 from touchline.sources import adapter, files
+from touchline.streaming import ingest, live
+from touchline.streaming import lines as lines_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -304,3 +306,46 @@ AS_OF_CUTOFF = "2024-01-20"
 @query("features_as_of")
 def q_features_as_of(spark, sf_dir):
     return tables.features_as_of(q_write_partitioned(spark, sf_dir), AS_OF_CUTOFF)
+
+
+# -- streaming ----------------------------------------------------------------------
+# The feed is written as text lines derived from the events table; the streams
+# run with trigger(availableNow) and checkpoints under the shared folder, and the
+# registered query reads what the sink committed.
+
+def feed_from_events(spark: SparkSession, sf_dir: str) -> str:
+    path = shared_dir(spark, "feed")
+    adapter.stream_lines(tracking(spark, sf_dir)).write.mode("overwrite").text(path)
+    return path
+
+
+STREAM_COLUMNS = [
+    "match_id", "match_time", "wall_ms", "frame_idx", "x", "y", "z",
+    "ball_status", "ball_speed", "ball_team", "in_box", "in_field",
+]
+
+
+@query("stream_ball_rows")
+def q_stream_ball_rows(spark, sf_dir):
+    feed = feed_from_events(spark, sf_dir)
+    sink, ckpt, quarantine = (shared_dir(spark, n) for n in ("ball_rows", "ball_rows_ckpt", "quarantine"))
+    lines = ingest.read_lines(spark, "text", feed)
+    schema = lines_mod.parse_ball_lines(lines).schema
+    for q in ingest.start_ball_stream(lines, sink, ckpt, quarantine, available_now=True):
+        q.awaitTermination()
+    return files.read_table(spark, sink, schema).select(*STREAM_COLUMNS)
+
+
+@query("stream_live_events")
+def q_stream_live_events(spark, sf_dir):
+    feed = feed_from_events(spark, sf_dir)
+    sink, ckpt = shared_dir(spark, "live_events"), shared_dir(spark, "live_events_ckpt")
+    good, _ = lines_mod.split_parsed(lines_mod.parse_ball_lines(ingest.read_lines(spark, "text", feed)))
+    out = live.live_event_stream(good)
+    q = (
+        out.writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", ckpt).option("path", sink)
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return files.read_table(spark, sink, out.schema)

@@ -41,13 +41,28 @@ t AS (
   FROM events
 )"""
 
-BALL = f"""
+BALL_ROWS = """
 b AS (
   SELECT match_date AS match_id, wall_ms, frame_idx, period, game_clock, ball_status, x, y,
          0.0::DOUBLE AS z, speed AS ball_speed,
          CASE WHEN side = 'home' THEN 'A' ELSE 'B' END AS ball_team
   FROM t
-),
+)"""
+
+# Ball rows as the feed carries them: positions in whole centimetres.
+FEED_ROWS = """
+b AS (
+  SELECT match_date AS match_id,
+         strftime(make_timestamp(wall_ms * 1000), '%Y-%m-%d %H:%M:%S.%g') AS match_time,
+         wall_ms, frame_idx, ball_status,
+         CAST(round(x * 100) AS BIGINT) / 100.0::DOUBLE AS x,
+         CAST(round(y * 100) AS BIGINT) / 100.0::DOUBLE AS y,
+         0.0::DOUBLE AS z, speed AS ball_speed,
+         CASE WHEN side = 'home' THEN 'A' ELSE 'B' END AS ball_team
+  FROM t
+)"""
+
+FLAGS = f"""
 f AS (
   SELECT *,
          (abs(x) < {_d(HALF_L)} AND abs(x) > {_d(INNER)} AND abs(y) < {_d(AREA_HALF_W)}) AS in_box,
@@ -55,6 +70,8 @@ f AS (
   FROM b
 )"""
 
+BALL = BALL_ROWS + "," + FLAGS
+
 # Per-row directional speed inside (match, side, player, period).
 SPEED_ROWS = """
 sx AS (
@@ -271,3 +288,9 @@ FROM (
   FROM perf WHERE match_date <= '2024-01-20'
 ) WHERE rn = 1""",
 })
+
+ORACLE.update({
+    "stream_ball_rows": _with(TRACKING, FEED_ROWS, FLAGS) + """SELECT match_id, match_time, wall_ms, frame_idx,
+       x, y, z, ball_status, ball_speed, ball_team, in_box, in_field FROM f""",
+    "stream_live_events": _with(TRACKING, FEED_ROWS, FLAGS, EVENTS) + "SELECT * FROM ev",
+})
