@@ -53,10 +53,17 @@ def in_penalty_area(
     inner = half - F.lit(PENALTY_AREA_LENGTH_M)
     half_w = F.lit(PENALTY_AREA_WIDTH_M / 2.0)
     if ends == "both":
-        return (F.abs(x) < half) & (F.abs(x) > inner) & (F.abs(y) < half_w)
-    if ends == "left":
-        return (x > -half) & (x < -inner) & (y > -half_w) & (y < half_w)
-    raise ValueError(f"ends must be 'both' or 'left', got {ends!r}")
+        inside = (F.abs(x) < half) & (F.abs(x) > inner) & (F.abs(y) < half_w)
+    elif ends == "left":
+        inside = (x > -half) & (x < -inner) & (y > -half_w) & (y < half_w)
+    else:
+        raise ValueError(f"ends must be 'both' or 'left', got {ends!r}")
+    return _unknown_if_null(x, y, inside)
+
+
+def _unknown_if_null(x: Column, y: Column, flag: Column) -> Column:
+    """A missing coordinate makes the answer unknown (null), not false."""
+    return F.when(x.isNull() | y.isNull(), F.lit(None).cast("boolean")).otherwise(flag)
 
 
 def in_field(
@@ -66,7 +73,8 @@ def in_field(
     width: Number = PITCH_WIDTH_M,
 ) -> Column:
     """Ball strictly inside the touch and goal lines."""
-    return (F.abs(x) < _num(length) / F.lit(2.0)) & (F.abs(y) < _num(width) / F.lit(2.0))
+    inside = (F.abs(x) < _num(length) / F.lit(2.0)) & (F.abs(y) < _num(width) / F.lit(2.0))
+    return _unknown_if_null(x, y, inside)
 
 
 def restart_kind(x: Column, length: Number = PITCH_LENGTH_M) -> Column:

@@ -10,11 +10,14 @@ with the order (for example ``floor(game_clock / 60)``):
 2. the first rows (one per bucket, a far smaller table) get the previous
    bucket's last values from a window per key over them;
 3. the other rows keep their in-bucket values; the two parts are unioned.
+   With ``ignore_nulls`` the rows before a bucket's first non-null value also
+   need the carried-in value; they (normally only the first row) get it the
+   same way.
 
-Both parts read the same shuffle (Spark reuses the exchange), so the rows are
+All parts read the same shuffle (Spark reuses the exchange), so the rows are
 scanned and shuffled once; only the per-bucket table moves a second time.
 
-The bucket column must be non-decreasing along ``order`` within a key, and
+The bucket column must be numeric and non-decreasing along ``order`` within a key, and
 ``order`` must be a total order within a key (add a unique tie-breaker).
 """
 
@@ -65,20 +68,39 @@ def with_previous(
         # The bucket's last (non-null) value, carried on its rows for step 2.
         rows = rows.withColumn("__seq_t_" + c, F.last(c, ignorenulls=ignore_nulls).over(whole))
 
-    inner = rows.where(~F.col("__seq_first")).select(*out_cols)
-
     key_cols = [f"__seq_k{i}" for i in range(len(keys))]
-    heads = rows.where(F.col("__seq_first")).select(
+    if not ignore_nulls:
+        # Only a bucket's first row lacks an in-bucket predecessor.
+        heads = rows.where(F.col("__seq_first")).select(
+            "*", *[F.col(f"{SEQ_ID}.{k}").alias(n) for k, n in zip(keys, key_cols)],
+            F.col(f"{SEQ_ID}.{BUCKET}").alias(BUCKET),
+        )
+        w_b = Window.partitionBy(*key_cols).orderBy(BUCKET)
+        inner = rows.where(~F.col("__seq_first")).select(*out_cols)
+        first = heads.select(
+            *df.columns, *[F.lag("__seq_t_" + c).over(w_b).alias(prefix + c) for c in cols]
+        )
+        return inner.unionByName(first)
+
+    # Rows before a bucket's first non-null value (normally just its first row)
+    # take the value carried in from earlier buckets: a window per key over
+    # these few rows, its frame all rows of lower buckets (each row carries its
+    # own bucket's last non-null value). They keep every column, so this branch
+    # reads the same shuffle as the bulk.
+    needs = F.lit(False)
+    for c in cols:
+        needs = needs | F.col(prefix + c).isNull()
+    inner = rows.where(~needs).select(*out_cols)
+    lead = rows.where(needs).select(
         "*", *[F.col(f"{SEQ_ID}.{k}").alias(n) for k, n in zip(keys, key_cols)],
         F.col(f"{SEQ_ID}.{BUCKET}").alias(BUCKET),
     )
-    w_b = Window.partitionBy(*key_cols).orderBy(BUCKET)
-    for c in cols:
-        if ignore_nulls:
-            carried = F.last("__seq_t_" + c, ignorenulls=True).over(
-                w_b.rowsBetween(Window.unboundedPreceding, -1)
-            )
-        else:
-            carried = F.lag("__seq_t_" + c).over(w_b)
-        heads = heads.withColumn(prefix + c, carried)
-    return inner.unionByName(heads.select(*out_cols))
+    earlier = Window.partitionBy(*key_cols).orderBy(BUCKET).rangeBetween(Window.unboundedPreceding, -1)
+    lead = lead.select(
+        *df.columns,
+        *[
+            F.coalesce(F.col(prefix + c), F.last("__seq_t_" + c, ignorenulls=True).over(earlier)).alias(prefix + c)
+            for c in cols
+        ],
+    )
+    return inner.unionByName(lead)

@@ -40,16 +40,15 @@ def write_partitioned(df: DataFrame, path: str, partition_by: str = PARTITION,
 
 def merge_insert_only(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
                       partition_by: str = PARTITION, fmt: str = TABLE_FORMAT,
-                      schema: T.StructType | None = None) -> DataFrame:
+                      schema: T.StructType | None = None) -> None:
     """Insert the rows of ``source`` whose key is not yet in the table at ``path``;
-    bootstrap the table when it does not exist. Returns the inserted rows' plan."""
+    bootstrap the table when it does not exist."""
     if not path_exists(spark, path):
         write_partitioned(source, path, partition_by, fmt)
-        return source
+        return
     existing = read_table(spark, path, schema, fmt).select(*keys)
     new_rows = source.join(existing, on=list(keys), how="left_anti")
     write_partitioned(new_rows, path, partition_by, fmt, mode="append")
-    return new_rows
 
 
 def upsert_by_key(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
@@ -90,12 +89,15 @@ def incremental_load(spark: SparkSession, rows: DataFrame, path: str,
 
     ``rows`` are the input rows with a ``key`` column; ``build`` turns rows into
     table rows. Matches already stored are skipped before any work is done on
-    them (semi join on the new keys).
+    them (semi join on the new keys). Returns the keys that were loaded: one row
+    per new match, checkpointed (shared checkpoint folder) before the write so
+    the answer does not change once the table has grown.
     """
-    todo = new_keys(spark, rows, path, key, fmt, schema)
+    checkpoint_base(spark)
+    todo = new_keys(spark, rows, path, key, fmt, schema).checkpoint(eager=True)
     fresh = build(rows.join(todo, on=[key], how="left_semi"))
     write_partitioned(fresh, path, key, fmt, mode="append")
-    return fresh
+    return todo
 
 
 def features_as_of(features: DataFrame, cutoff: str, keys: Sequence[str] = ("side", "player_id"),
