@@ -79,14 +79,19 @@ def q_player_performance_join(spark, sf_dir):
 
 # -- leaderboards -----------------------------------------------------------------
 
+# Leaderboards come ordered (side, match, rank), as the reference shows them;
+# the sort runs over at most n rows per group.
+
 @query("top_players")
 def q_top_players(spark, sf_dir):
-    return _rank_bigint(ranking.top_players(q_player_performance(spark, sf_dir)))
+    board = ranking.top_players(q_player_performance(spark, sf_dir))
+    return _rank_bigint(board).orderBy("side", "match_date", "rank")
 
 
 @query("bottom_players")
 def q_bottom_players(spark, sf_dir):
-    return _rank_bigint(ranking.bottom_players(q_player_performance(spark, sf_dir)))
+    board = ranking.bottom_players(q_player_performance(spark, sf_dir))
+    return _rank_bigint(board).orderBy("side", "match_date", "rank")
 
 
 @query("top_players_overall")
