@@ -17,7 +17,7 @@ from touchline.functions.clock import display_time, match_date
 from touchline.operators import ball, events, frames, ranking, speed, tables
 from touchline.session import configure, shared_dir
 from touchline.sources import adapter, files
-from touchline.streaming import ingest, live
+from touchline.streaming import ingest, live, sampling
 from touchline.streaming import lines as lines_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -354,3 +354,32 @@ def q_stream_live_events(spark, sf_dir):
     )
     q.awaitTermination()
     return files.read_table(spark, sink, out.schema)
+
+
+@query("stream_sampled_ball_state")
+def q_stream_sampled_ball_state(spark, sf_dir):
+    """Windows closed by the watermark: all but the last ``DELAY`` of the feed."""
+    feed = feed_from_events(spark, sf_dir)
+    sink, ckpt = shared_dir(spark, "sampled"), shared_dir(spark, "sampled_ckpt")
+    good, _ = lines_mod.split_parsed(lines_mod.parse_ball_lines(ingest.read_lines(spark, "text", feed)))
+    out = sampling.sampled_state_stream(good)
+    q = (
+        out.writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", ckpt).option("path", sink)
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return files.read_table(spark, sink, out.schema)
+
+
+@query("stream_latest_ball_state")
+def q_stream_latest_ball_state(spark, sf_dir):
+    """Batch read of the ingest stream's committed output (the reference's
+    re-scan of the growing folder), then the newest row per match."""
+    feed = feed_from_events(spark, sf_dir)
+    sink, ckpt = shared_dir(spark, "ball_rows"), shared_dir(spark, "ball_rows_ckpt")
+    lines = ingest.read_lines(spark, "text", feed)
+    schema = lines_mod.parse_ball_lines(lines).schema
+    for q in ingest.start_ball_stream(lines, sink, ckpt, available_now=True):
+        q.awaitTermination()
+    return ball.latest_ball_state(files.read_table(spark, sink, schema))

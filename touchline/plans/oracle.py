@@ -294,3 +294,13 @@ ORACLE.update({
        x, y, z, ball_status, ball_speed, ball_team, in_box, in_field FROM f""",
     "stream_live_events": _with(TRACKING, FEED_ROWS, FLAGS, EVENTS) + "SELECT * FROM ev",
 })
+
+# Append mode emits a window once the watermark (largest clock - 10 s) reaches its end.
+ORACLE["stream_sampled_ball_state"] = _with(TRACKING, FEED_ROWS, FLAGS) + f"""SELECT match_id, window_start_ms, {STATE_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY match_id, window_start_ms ORDER BY wall_ms DESC, frame_idx DESC) AS rn
+  FROM (SELECT *, wall_ms - (wall_ms % 3000) AS window_start_ms FROM f)
+) WHERE rn = 1 AND window_start_ms + 3000 <= (SELECT max(wall_ms) FROM f) - 10000"""
+
+ORACLE["stream_latest_ball_state"] = _with(TRACKING, FEED_ROWS, FLAGS) + f"""SELECT match_id, {STATE_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY wall_ms DESC, frame_idx DESC) AS rn FROM f
+) WHERE rn = 1"""

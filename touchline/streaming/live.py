@@ -21,6 +21,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -76,11 +77,23 @@ def _text(value) -> str:
     return str(value)
 
 
+def _previous_known(values: np.ndarray, known: np.ndarray, initial) -> np.ndarray:
+    """For each position, the last known value strictly before it (else ``initial``)."""
+    idx = np.where(known, np.arange(len(values)), -1)
+    np.maximum.accumulate(idx, out=idx)
+    before = np.empty(len(values), dtype=object)
+    before[0] = initial
+    if len(values) > 1:
+        last = idx[:-1]
+        before[1:] = np.where(last >= 0, values[np.maximum(last, 0)], initial)
+    return before
+
+
 def step(rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
     """Compare sorted rows with their predecessors; return (events, new state).
 
-    Pure pandas, vectorised per signal: previous value = last non-null value
-    before the row, the stored state before the first row.
+    Vectorised per signal (numpy): previous value = last non-null value before
+    the row, the stored state before the first row.
     """
     status0, box0, field0, last_ms, last_fi, late = state
     frame = rows["frame_idx"].astype("float64").fillna(float(NO_FRAME))
@@ -95,10 +108,10 @@ def step(rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
     out = []
     new_state = []
     for (col, seq, kind_true, kind_false), initial in zip(SIGNALS, (status0, box0, field0)):
-        cur = rows[col].astype(object).where(rows[col].notna(), None)
-        prev = cur.ffill().shift(1)
-        prev = prev.where(prev.notna(), initial).astype(object)
-        changed = cur.notna() & (cur != prev)
+        cur = rows[col].to_numpy(dtype=object)
+        known_at = pd.notna(cur)
+        prev = _previous_known(cur, known_at, initial)
+        changed = known_at & (cur != prev)
         if changed.any():
             hit = rows[changed]
             new_vals, old_vals = cur[changed], prev[changed]
@@ -118,8 +131,8 @@ def step(rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
                 "y": hit["y"].values,
                 "ball_team": hit["ball_team"].values,
             }))
-        known = cur.dropna()
-        new_state.append(known.iloc[-1] if len(known) else initial)
+        known = cur[known_at]
+        new_state.append(known[-1] if len(known) else initial)
 
     last = rows.iloc[-1]
     state_out = (
