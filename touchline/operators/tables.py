@@ -46,7 +46,14 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, path: str, keys: S
     if not path_exists(spark, path):
         write_partitioned(source, path, partition_by, fmt)
         return
-    existing = read_table(spark, path, schema, fmt).select(*keys)
+    # Only the key columns of the partitions the new rows touch are read (the
+    # semi join on the partition column allows dynamic partition pruning).
+    touched = source.select(partition_by).distinct()
+    existing = (
+        read_table(spark, path, schema, fmt)
+        .join(touched, on=[partition_by], how="left_semi")
+        .select(*keys)
+    )
     new_rows = source.join(existing, on=list(keys), how="left_anti")
     write_partitioned(new_rows, path, partition_by, fmt, mode="append")
 

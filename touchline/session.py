@@ -81,6 +81,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def _ensure_checkpoint_dir(spark: SparkSession, base: str) -> None:
-    sc = getattr(spark, "sparkContext", None)
-    if sc is not None and sc.getCheckpointDir() is None:
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)

@@ -68,8 +68,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on the cluster's file system (Hadoop FS API)."""
-    jvm = getattr(spark, "_jvm", None) or spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    """Whether a path exists on the cluster's file system (Hadoop FS API).
+
+    Sessions without a JVM gateway (Spark Connect) fall back to listing the
+    path through the binary-file source."""
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath))
+    except Exception:  # noqa: BLE001 - no gateway: probe with a lazy read
+        from pyspark.errors import AnalysisException
+
+        try:
+            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+            return True
+        except AnalysisException:
+            return False
