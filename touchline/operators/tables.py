@@ -46,14 +46,8 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, path: str, keys: S
     if not path_exists(spark, path):
         write_partitioned(source, path, partition_by, fmt)
         return
-    # Only the key columns of the partitions the new rows touch are read (the
-    # semi join on the partition column allows dynamic partition pruning).
-    touched = source.select(partition_by).distinct()
-    existing = (
-        read_table(spark, path, schema, fmt)
-        .join(touched, on=[partition_by], how="left_semi")
-        .select(*keys)
-    )
+    # Only the table's key columns are read; ``source`` is evaluated once.
+    existing = read_table(spark, path, schema, fmt).select(*keys)
     new_rows = source.join(existing, on=list(keys), how="left_anti")
     write_partitioned(new_rows, path, partition_by, fmt, mode="append")
 
@@ -65,18 +59,19 @@ def upsert_by_key(spark: SparkSession, source: DataFrame, path: str, keys: Seque
     if not path_exists(spark, path):
         write_partitioned(source, path, partition_by, fmt)
         return
-    touched = source.select(partition_by).distinct()
+    # Reliable checkpoints in the cluster's shared checkpoint folder: the source
+    # is evaluated once, and the rows kept from the touched partitions no
+    # longer depend on the files the overwrite replaces.
+    checkpoint_base(spark)
     current = read_table(spark, path, schema, fmt)
+    src = source.select(*current.columns).checkpoint(eager=True)
+    touched = src.select(partition_by).distinct()
     kept = (
         current.join(touched, on=[partition_by], how="left_semi")
-        .join(source.select(*keys), on=list(keys), how="left_anti")
+        .join(src.select(*keys), on=list(keys), how="left_anti")
+        .checkpoint(eager=True)
     )
-    merged = kept.unionByName(source.select(*current.columns))
-    # Cut the lineage to the files being replaced (reliable checkpoint in the
-    # cluster's shared checkpoint folder), then overwrite only touched partitions.
-    checkpoint_base(spark)
-    merged = merged.checkpoint(eager=True)
-    write_partitioned(merged, path, partition_by, fmt, mode="overwrite")
+    write_partitioned(kept.unionByName(src), path, partition_by, fmt, mode="overwrite")
 
 
 def new_keys(spark: SparkSession, candidates: DataFrame, path: str, key: str = PARTITION,
