@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from touchline import schemas
 from touchline.functions.clock import display_time, match_date
 from touchline.operators import ball, events, frames, ranking, speed, tables
-from touchline.session import configure, shared_dir
+from touchline.session import checkpoint_base, configure, shared_dir
 from touchline.sources import adapter, files
 from touchline.streaming import ingest, live, sampling
 from touchline.streaming import lines as lines_mod
@@ -253,10 +253,17 @@ def _features_table(spark: SparkSession, path: str) -> DataFrame:
     return files.read_table(spark, path, schemas.PLAYER_FEATURES)
 
 
+def _materialized(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (shared checkpoint folder) of a small aggregated table
+    that several writes below reuse, so it is computed once."""
+    checkpoint_base(spark)
+    return df.checkpoint(eager=True)
+
+
 @query("write_partitioned")
 def q_write_partitioned(spark, sf_dir):
     path = shared_dir(spark, "player_features")
-    feats = speed.player_performance(tracking(spark, sf_dir))
+    feats = _materialized(spark, speed.player_performance(tracking(spark, sf_dir)))
     tables.write_partitioned(feats, path)
     # A second overwrite replaces the same partitions and leaves others alone.
     tables.write_partitioned(feats, path)
@@ -271,7 +278,7 @@ def q_merge_insert_only(spark, sf_dir):
     """Bootstrap with the first half of the matches, then merge all matches twice:
     the first merge inserts the rest, the second inserts nothing."""
     path = shared_dir(spark, "player_features")
-    feats = speed.player_performance(tracking(spark, sf_dir))
+    feats = _materialized(spark, speed.player_performance(tracking(spark, sf_dir)))
     keys = ["match_date", "side", "player_id"]
     tables.merge_insert_only(spark, feats.where(F.col("match_date") <= FIRST_HALF_END), path, keys,
                              schema=schemas.PLAYER_FEATURES)
