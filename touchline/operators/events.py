@@ -39,10 +39,6 @@ MSG_BOX_LEFT = "Timestamp: {ts}; There is no more danger! Ball is going outside
 MSG_FIELD_REENTERED = "Timestamp: {ts}; Ball is back on the field!; Position: {pos}"
 MSG_FIELD_LEFT = "Timestamp: {ts}; Ball is outside of the field!; {restart} for {team} team; Position: {pos}"
 
-EVENT_COLUMNS = [
-    "match_id", "wall_ms", "frame_idx", "seq", "kind", "old_value", "new_value",
-    "restart", "team", "x", "y", "restart_x", "restart_y", "message",
-]
 ORDER = ["wall_ms", "frame_idx"]
 BUCKET_MS = 60_000
 

@@ -18,7 +18,6 @@ from touchline.functions.clock import match_date
 from touchline.functions.geometry import PITCH_LENGTH_M, in_penalty_area
 
 
-
 def _frame_keys() -> list[Column]:
     return [
         match_date(F.col("wallClock")).alias("match_date"),
@@ -30,8 +29,6 @@ def _frame_keys() -> list[Column]:
         F.col("lastTouch").alias("last_touch"),
     ]
 
-PLAYER_COLUMNS = ["side", "player_id", "speed", "x", "y", "z"]
-
 
 def _tagged(list_col: str, side: str) -> Column:
     empty = F.array().cast(schemas.FRAME["homePlayers"].dataType)

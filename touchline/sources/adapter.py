@@ -17,11 +17,6 @@ from pyspark.sql import functions as F
 
 from touchline.functions.geometry import HOME_TEAM_CODE
 
-TRACKING_COLUMNS = [
-    "match_date", "wall_ms", "period", "frame_idx", "side", "player_id",
-    "speed", "x", "y", "ball_status", "game_clock",
-]
-
 # Players of at most this many consecutive events share one nested frame, so a
 # frame's player lists are bounded by construction (event ids are unique).
 EVENTS_PER_FRAME = 16

@@ -14,11 +14,6 @@ from pyspark.sql import functions as F
 from touchline.functions.clock import display_time, match_date
 from touchline.functions.geometry import in_field, in_penalty_area
 
-BALL_ROW_COLUMNS = [
-    "match_id", "match_time", "wall_ms", "frame_idx", "ball_raw", "ball_position", "x", "y", "z",
-    "ball_status", "ball_speed", "ball_team", "in_box", "in_field",
-]
-
 
 def parse_ball_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     parts = F.split(F.col(value_col), ":")
