@@ -48,3 +48,25 @@ def test_one_hot_key_spread_over_buckets(spark):
     wide = with_previous(df, ["k"], ["t", "i"], F.lit(0), ["v"])
     assert sorted(narrow.collect()) == sorted(wide.collect())
     assert narrow.where(F.col("prev_v").isNull()).count() == 1
+
+
+def test_deep_recursion_with_small_fanout(spark):
+    # Tiny buckets and fanout force several bucketed levels above the rows.
+    df = spark.createDataFrame(_rows(11, 600), "k string, t long, i long, v string")
+    bucket = F.floor(F.col("t") / F.lit(7))
+    w = Window.partitionBy("k").orderBy("t", "i")
+    want = {
+        r.i: (r.a, r.b)
+        for r in df.select(
+            "i",
+            F.lag("v").over(w).alias("a"),
+            F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("b"),
+        ).collect()
+    }
+    lag = with_previous(df, ["k"], ["t", "i"], bucket, ["v"], levels=3, fanout=2)
+    nn = with_previous(df, ["k"], ["t", "i"], bucket, ["v"], ignore_nulls=True, levels=3, fanout=2)
+    got_lag = {r.i: r.prev_v for r in lag.collect()}
+    got_nn = {r.i: r.prev_v for r in nn.collect()}
+    assert len(got_lag) == len(got_nn) == 600
+    assert all(got_lag[i] == want[i][0] for i in want)
+    assert all(got_nn[i] == want[i][1] for i in want)

@@ -4,8 +4,8 @@ The reference polls the newest stored row every 3 s and compares it with three
 driver variables, so it misses changes between polls. Here every row is compared
 with the match's previous row (by wall clock, then frame), starting from the
 initial state below, in one distributed plan: the previous values come from
-:func:`touchline.operators.sequence.with_previous`, bucketed by minute so a long
-match is never a single task. A row may yield up to three events, in the order
+:func:`touchline.operators.sequence.with_previous`, bucketed by frame counter so
+a long match is never a single task. A row may yield up to three events, in the order
 status, area, field; a null flag yields none and leaves the state as it was.
 
 The streaming form (:mod:`touchline.streaming.live`) applies the same rules with
@@ -25,7 +25,7 @@ from touchline.functions.geometry import (
     restart_spot,
     restart_team,
 )
-from touchline.operators.sequence import with_previous
+from touchline.operators.sequence import frame_bucket, with_previous
 
 # The state before a match's first row.
 INITIAL_STATUS = "Alive"
@@ -40,7 +40,6 @@ MSG_FIELD_REENTERED = "Timestamp: {ts}; Ball is back on the field!; Position: {p
 MSG_FIELD_LEFT = "Timestamp: {ts}; Ball is outside of the field!; {restart} for {team} team; Position: {pos}"
 
 ORDER = ["wall_ms", "frame_idx"]
-BUCKET_MS = 60_000
 
 
 def _render(template: str, **parts: Column) -> Column:
@@ -121,12 +120,14 @@ def decorate_events(raw: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M)
     )
 
 
-def live_events(flagged: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M,
-                bucket_ms: int = BUCKET_MS) -> DataFrame:
-    """Flagged ball rows (see :func:`touchline.operators.ball.ball_flags`) → events."""
-    bucket = F.floor(F.col("wall_ms") / F.lit(bucket_ms))
+def live_events(flagged: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M) -> DataFrame:
+    """Flagged ball rows (see :func:`touchline.operators.ball.ball_flags`) → events.
+
+    The match sequence is bucketed by frame counter (one ball row per frame), so
+    the frame index must rise with the wall clock, as a feed's frame counter does.
+    """
     rows = with_previous(
-        flagged, ["match_id"], ORDER, bucket, ["ball_status", "in_box", "in_field"], ignore_nulls=True
+        flagged, ["match_id"], ORDER, frame_bucket(), ["ball_status", "in_box", "in_field"], ignore_nulls=True
     )
     return decorate_events(events_from_previous(rows), length, width)
 

@@ -2,23 +2,31 @@
 
 ``lag(c) OVER (PARTITION BY keys ORDER BY order)`` puts every row of one key into
 one task. A player's or a match's sequence can be a large share of all rows, so
-this operator splits each key's sequence into buckets of a column that rises
-with the order (for example ``floor(game_clock / 60)``):
+this operator splits each key's sequence into buckets of a numeric column that
+rises with the order. The library buckets by frame counter, ``floor(frame_idx /
+65536)``: a key has at most one row per frame, so no bucket holds more than
+65,536 rows whatever the data (44 minutes of 25 Hz tracking).
 
 1. one window per (keys, bucket) gives every row its previous row inside the
    bucket, and the bucket's first row also the bucket's last values;
-2. the first rows (one per bucket, a far smaller table) get the previous
-   bucket's last values from a window per key over them;
-3. the other rows keep their in-bucket values; the two parts are unioned.
-   With ``ignore_nulls`` the rows before a bucket's first non-null value also
-   need the carried-in value; they (normally only the first row) get it the
-   same way.
-
-All parts read the same shuffle (Spark reuses the exchange), so the rows are
-scanned and shuffled once; only the per-bucket table moves a second time.
-
-The bucket column must be numeric and non-decreasing along ``order`` within a key, and
-``order`` must be a total order within a key (add a unique tie-breaker).
+2. the first rows (one per bucket) need the previous bucket's last values: a
+   plain window per key over them, which sees one row per 65,536 rows of the
+   key (5 million rows for a key of 300 billion rows). For still larger keys
+   ``levels > 0`` runs the same operator on the first rows, bucketed by
+   ``floor(bucket / fanout)``, each level ``fanout`` times smaller; every level
+   costs one more (small) shuffle;
+3. the other rows keep their in-bucket values; the parts are unioned.
+
+With ``ignore_nulls`` the rows before a bucket's first non-null value (normally
+only the first row) take the value carried in from earlier buckets in the same
+way; only the last of them passes its bucket's value on.
+
+All branches of a level read the same shuffle (Spark reuses the exchange), so
+the rows are scanned and shuffled once; each further level moves a table
+``fanout`` times smaller than the one below.
+
+The bucket column must be numeric and non-decreasing along ``order`` within a
+key, and ``order`` must be a total order within a key (add a unique tie-breaker).
 """
 
 from __future__ import annotations
@@ -28,79 +36,103 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "__seq_bucket"
-SEQ_ID = "__seq_id"
+FRAMES_PER_BUCKET = 65536
+FANOUT = 1024
+LEVELS = 0
+
+
+def frame_bucket(frame_col: str = "frame_idx", frames: int = FRAMES_PER_BUCKET) -> Column:
+    """The default bucket: consecutive runs of ``frames`` frame numbers."""
+    return F.floor(F.col(frame_col) / F.lit(frames))
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _plain(df: DataFrame, keys, order, cols, prefix, ignore_nulls) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*_cols(order))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    for c in cols:
+        prev = F.last(c, ignorenulls=True).over(before) if ignore_nulls else F.lag(c).over(w)
+        df = df.withColumn(prefix + c, prev)
+    return df
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
+    bucket: Column | None,
     cols: Sequence[str],
     prefix: str = "prev_",
     ignore_nulls: bool = False,
+    levels: int = LEVELS,
+    fanout: int = FANOUT,
 ) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the key.
 
     With ``ignore_nulls`` it is the last non-null value before the row instead.
-    Null keys form their own sequence, as in a window. Output rows are not
-    partitioned by key.
+    Null keys form their own sequence, as in a window. ``bucket=None`` or
+    ``levels < 0`` gives the plain window. Output rows are not partitioned by key.
     """
     keys, order, cols = list(keys), list(order), list(cols)
+    if bucket is None or levels < 0:
+        return _plain(df, keys, order, cols, prefix, ignore_nulls)
+
+    n = f"__s{levels}"  # internal names, unique per level
+    sid, b, first, t = f"{n}_id", f"{n}_b", f"{n}_first", f"{n}_t_"
     out_cols = list(df.columns) + [prefix + c for c in cols]
     # (keys, bucket) as one struct column: one hash partitioning for the window.
-    rows = df.withColumn(SEQ_ID, F.struct(*[F.col(k) for k in keys], bucket.alias(BUCKET)))
-    w_in = Window.partitionBy(SEQ_ID).orderBy(*_cols(order))
+    # The bucket lives only inside the struct, so every branch below projects the
+    # same columns under the exchange and Spark reuses it.
+    rows = df.withColumn(sid, F.struct(*[F.col(k) for k in keys], bucket.alias(b)))
+    b_col = F.col(f"{sid}.{b}").alias(b)
+    w_in = Window.partitionBy(sid).orderBy(*_cols(order))
     before = w_in.rowsBetween(Window.unboundedPreceding, -1)
     whole = w_in.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
-    rows = rows.withColumn("__seq_first", F.lag(F.lit(1)).over(w_in).isNull())
+    rows = rows.withColumn(first, F.lag(F.lit(1)).over(w_in).isNull())
     for c in cols:
         if ignore_nulls:
             rows = rows.withColumn(prefix + c, F.last(c, ignorenulls=True).over(before))
         else:
             rows = rows.withColumn(prefix + c, F.lag(c).over(w_in))
-        # The bucket's last (non-null) value, carried on its rows for step 2.
-        rows = rows.withColumn("__seq_t_" + c, F.last(c, ignorenulls=ignore_nulls).over(whole))
+        # The bucket's last (non-null) value, for the buckets after it.
+        rows = rows.withColumn(t + c, F.last(c, ignorenulls=ignore_nulls).over(whole))
+
+    upper = F.floor(F.col(b) / F.lit(fanout)) if levels > 0 else None
+    t_cols = [t + c for c in cols]
 
-    key_cols = [f"__seq_k{i}" for i in range(len(keys))]
     if not ignore_nulls:
-        # Only a bucket's first row lacks an in-bucket predecessor.
-        heads = rows.where(F.col("__seq_first")).select(
-            "*", *[F.col(f"{SEQ_ID}.{k}").alias(n) for k, n in zip(keys, key_cols)],
-            F.col(f"{SEQ_ID}.{BUCKET}").alias(BUCKET),
-        )
-        w_b = Window.partitionBy(*key_cols).orderBy(BUCKET)
-        inner = rows.where(~F.col("__seq_first")).select(*out_cols)
-        first = heads.select(
-            *df.columns, *[F.lag("__seq_t_" + c).over(w_b).alias(prefix + c) for c in cols]
-        )
-        return inner.unionByName(first)
-
-    # Rows before a bucket's first non-null value (normally just its first row)
-    # take the value carried in from earlier buckets: a window per key over
-    # these few rows, its frame all rows of lower buckets (each row carries its
-    # own bucket's last non-null value). They keep every column, so this branch
-    # reads the same shuffle as the bulk.
+        inner = rows.where(~F.col(first)).select(*out_cols)
+        heads = rows.where(F.col(first)).select(*df.columns, b_col, *t_cols)
+        heads = with_previous(heads, keys, [b], upper, t_cols, prefix="p", levels=levels - 1, fanout=fanout)
+        firsts = heads.select(*df.columns, *[F.col("p" + t + c).alias(prefix + c) for c in cols])
+        return inner.unionByName(firsts)
+
+    # Rows before a bucket's first non-null value ("lead" rows, a prefix of the
+    # bucket) take the value carried in from earlier buckets. Only the last lead
+    # row of a bucket passes the bucket's value on, so no lead row sees its own
+    # bucket's value.
     needs = F.lit(False)
     for c in cols:
         needs = needs | F.col(prefix + c).isNull()
-    inner = rows.where(~needs).select(*out_cols)
-    lead = rows.where(needs).select(
-        "*", *[F.col(f"{SEQ_ID}.{k}").alias(n) for k, n in zip(keys, key_cols)],
-        F.col(f"{SEQ_ID}.{BUCKET}").alias(BUCKET),
+    lead_flag, last_lead = f"{n}_lead", f"{n}_last_lead"
+    rows = rows.withColumn(lead_flag, needs)
+    rows = rows.withColumn(
+        last_lead, F.col(lead_flag) & F.coalesce(~F.lead(F.col(lead_flag)).over(w_in), F.lit(True))
+    )
+    inner = rows.where(~F.col(lead_flag)).select(*out_cols)
+    lead = rows.where(F.col(lead_flag)).select(
+        *df.columns, *[prefix + c for c in cols], b_col,
+        *[F.when(F.col(last_lead), F.col(t + c)).alias(t + c) for c in cols],
+    )
+    lead = with_previous(
+        lead, keys, [b, *order], upper, t_cols, prefix="p", ignore_nulls=True, levels=levels - 1, fanout=fanout
     )
-    earlier = Window.partitionBy(*key_cols).orderBy(BUCKET).rangeBetween(Window.unboundedPreceding, -1)
     lead = lead.select(
         *df.columns,
-        *[
-            F.coalesce(F.col(prefix + c), F.last("__seq_t_" + c, ignorenulls=True).over(earlier)).alias(prefix + c)
-            for c in cols
-        ],
+        *[F.coalesce(F.col(prefix + c), F.col("p" + t + c)).alias(prefix + c) for c in cols],
     )
     return inner.unionByName(lead)

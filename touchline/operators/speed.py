@@ -4,8 +4,9 @@ The reference builds its player feature table from two plans that it then joins:
 an average/maximum of the reported speed per (player, match), and a maximum of the
 directional speed ``|Δx| / Δt`` per player from two ``lag`` windows. Here both come
 from one pass over the rows: one hash exchange on (match, side, player, period,
-minute bucket), one sort, one window, then aggregation over the small per-bucket
-table. See :mod:`touchline.operators.sequence` for why the sequence is bucketed.
+frame bucket), one sort, one window, then aggregation over the per-bucket table
+(one row per 65,536 frames). See :mod:`touchline.operators.sequence` for
+why and how sequences are bucketed.
 
 Our defaults fix the reference's defects (SURVEY §0.1): the lag restarts per match,
 side and period (D13), the order is total (D11), a player's first frame has no
@@ -18,11 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.sequence import with_previous
+from touchline.operators.sequence import frame_bucket, with_previous
 
 PLAYER_KEYS = ["match_date", "side", "player_id"]
 ORDER = ["game_clock", "frame_idx"]
-BUCKET_SECONDS = 60.0
 _B = "__speed_bucket"
 
 
@@ -31,16 +31,21 @@ def speed_x(x: Column, prev_x: Column, t: Column, prev_t: Column) -> Column:
     return F.try_divide(F.abs(x - prev_x), t - prev_t)
 
 
-def _minute_bucket(bucket_seconds: float) -> Column:
-    return F.floor(F.col("game_clock") / F.lit(float(bucket_seconds)))
+def _frame_slot_bucket() -> Column:
+    """Parity sequences run across matches in (period, game clock) order, so the
+    frame counter is not monotone along them; their buckets are 40 ms slots of
+    the game clock (at most one row per match per slot)."""
+    return F.col("period").cast("bigint") * F.lit(10**8) + F.floor(F.col("game_clock") * F.lit(25.0))
 
 
 def _bucket_table(rows: DataFrame, seq_keys: list[str], bucket: Column, first_frame: str) -> DataFrame:
     """Per (sequence, bucket): speed partials and the directional-speed maximum.
 
     ``edge_speed_x`` is the speed of the bucket's first row against the last row of
-    the bucket before; with ``first_frame="zero"`` a sequence's very first row is
-    compared with position 0 at time 0, as the reference's ``fillna(0.0)`` does.
+    the bucket before (a window per sequence over this one-row-per-bucket table,
+    65,536 times smaller than the rows); with ``first_frame="zero"`` a sequence's very
+    first row is compared with position 0 at time 0, as the reference's
+    ``fillna(0.0)`` does.
     """
     rows = rows.withColumn(_B, bucket)
     w = Window.partitionBy(*seq_keys, _B).orderBy(*ORDER)
@@ -56,21 +61,24 @@ def _bucket_table(rows: DataFrame, seq_keys: list[str], bucket: Column, first_fr
         F.max("__sx").alias("inner_speed_x"),
         F.min_by(pos, order_key).alias("head"),
         F.max_by(pos, order_key).alias("tail"),
+    ).select(
+        *seq_keys, _B, "speed_sum", "speed_n", "speed_max", "inner_speed_x",
+        F.col("head.x").alias("head_x"), F.col("head.game_clock").alias("head_t"),
+        F.col("tail.x").alias("tail_x"), F.col("tail.game_clock").alias("tail_t"),
     )
-    prev = F.lag("tail").over(Window.partitionBy(*seq_keys).orderBy(_B))
-    prev_x, prev_t = prev.getField("x"), prev.getField("game_clock")
+    per_bucket = with_previous(per_bucket, seq_keys, [_B], None, ["tail_x", "tail_t"])
+    prev_x, prev_t = F.col("prev_tail_x"), F.col("prev_tail_t")
     if first_frame == "zero":
         prev_x, prev_t = F.coalesce(prev_x, F.lit(0.0)), F.coalesce(prev_t, F.lit(0.0))
     elif first_frame != "skip":
         raise ValueError(f"first_frame must be 'skip' or 'zero', got {first_frame!r}")
-    edge = speed_x(F.col("head.x"), prev_x, F.col("head.game_clock"), prev_t)
-    return per_bucket.withColumn("edge_speed_x", edge)
+    return per_bucket.withColumn("edge_speed_x", speed_x(F.col("head_x"), prev_x, F.col("head_t"), prev_t))
 
 
-def player_features(tracking_df: DataFrame, bucket_seconds: float = BUCKET_SECONDS) -> DataFrame:
+def player_features(tracking_df: DataFrame) -> DataFrame:
     """Per (match, side, player): average and maximum speed, maximum x-speed."""
     rows = tracking_df.select(*PLAYER_KEYS, "period", *ORDER, "x", "speed")
-    buckets = _bucket_table(rows, PLAYER_KEYS + ["period"], _minute_bucket(bucket_seconds), "skip")
+    buckets = _bucket_table(rows, PLAYER_KEYS + ["period"], frame_bucket(), "skip")
     return buckets.groupBy(*PLAYER_KEYS).agg(
         F.round(F.try_divide(F.sum("speed_sum"), F.sum("speed_n")), 6).alias("player_avg_speed"),
         F.max("speed_max").alias("player_max_speed"),
@@ -86,27 +94,26 @@ def player_speed_stats(tracking_df: DataFrame) -> DataFrame:
     )
 
 
-def max_speed_x(tracking_df: DataFrame, bucket_seconds: float = BUCKET_SECONDS) -> DataFrame:
-    return player_features(tracking_df, bucket_seconds).select(*PLAYER_KEYS, "maximum_speed_x")
+def max_speed_x(tracking_df: DataFrame) -> DataFrame:
+    return player_features(tracking_df).select(*PLAYER_KEYS, "maximum_speed_x")
 
 
-def max_speed_x_zero_fill(tracking_df: DataFrame, bucket_seconds: float = BUCKET_SECONDS) -> DataFrame:
+def max_speed_x_zero_fill(tracking_df: DataFrame) -> DataFrame:
     """Reference parity: one sequence per (side, player) across matches and periods,
     ordered by (period, game clock), first frame against position 0 at time 0."""
     keys = ["side", "player_id"]
     rows = tracking_df.select(*keys, "period", *ORDER, "x", "speed")
-    bucket = F.struct(F.col("period"), _minute_bucket(bucket_seconds).alias("minute"))
-    buckets = _bucket_table(rows, keys, bucket, "zero")
+    buckets = _bucket_table(rows, keys, _frame_slot_bucket(), "zero")
     return buckets.groupBy(*keys).agg(
         F.greatest(F.max("inner_speed_x"), F.max("edge_speed_x")).alias("maximum_speed_x")
     )
 
 
-def frame_speed_x(tracking_df: DataFrame, bucket_seconds: float = BUCKET_SECONDS) -> DataFrame:
+def frame_speed_x(tracking_df: DataFrame) -> DataFrame:
     """Directional speed of every frame that has a previous frame of the same player."""
     seq = PLAYER_KEYS + ["period"]
     rows = tracking_df.select(*seq, *ORDER, "x")
-    rows = with_previous(rows, seq, ORDER, _minute_bucket(bucket_seconds), ["x", "game_clock"])
+    rows = with_previous(rows, seq, ORDER, frame_bucket(), ["x", "game_clock"])
     return rows.where(F.col("prev_game_clock").isNotNull()).select(
         *seq,
         "frame_idx",
@@ -115,15 +122,15 @@ def frame_speed_x(tracking_df: DataFrame, bucket_seconds: float = BUCKET_SECONDS
     )
 
 
-def player_performance(tracking_df: DataFrame, bucket_seconds: float = BUCKET_SECONDS) -> DataFrame:
+def player_performance(tracking_df: DataFrame) -> DataFrame:
     """The player feature table (both sides), single-pass form."""
-    return player_features(tracking_df, bucket_seconds)
+    return player_features(tracking_df)
 
 
-def player_performance_join(tracking_df: DataFrame, bucket_seconds: float = BUCKET_SECONDS) -> DataFrame:
+def player_performance_join(tracking_df: DataFrame) -> DataFrame:
     """The reference's form: speed stats left-joined with the x-speed maxima.
 
     Kept to check the single-pass form against; costs a second scan and a join.
     """
     stats = player_speed_stats(tracking_df)
-    return stats.join(max_speed_x(tracking_df, bucket_seconds), on=PLAYER_KEYS, how="left")
+    return stats.join(max_speed_x(tracking_df), on=PLAYER_KEYS, how="left")
