@@ -12,7 +12,7 @@ same rules as the batch form (:func:`touchline.operators.events.live_events`).
 Rows not newer than the last row already processed are late: they are dropped
 and counted in the state. The per-match work of one call is bounded by the
 micro-batch size (``maxFilesPerTrigger`` / the feed rate); backfills of whole
-seasons belong to the batch form, which splits matches into minute buckets.
+seasons belong to the batch form, which splits matches into frame buckets.
 Message texts are rendered afterwards by the shared Spark expressions.
 """
 
