@@ -4,7 +4,8 @@ The reference reads a TCP socket, which cannot replay, so its checkpoint gives
 no recovery. Here the source is a directory of text files (or Kafka/socket as a
 configuration choice); with a replayable source the checkpoint makes a restart
 resume exactly where it stopped, without duplicates in the file sink.
-Unusable lines go to a quarantine sink and the stream goes on.
+Unusable lines go to a quarantine folder and the stream goes on; with a
+quarantine the source is read once per micro-batch (``foreachBatch``).
 """
 
 from __future__ import annotations
@@ -47,16 +48,39 @@ def _write(df: DataFrame, sink_path: str, checkpoint: str, fmt: str, available_n
     return writer.start()
 
 
+def _split_writer(sink_path: str, quarantine_path: str, fmt: str):
+    """``foreachBatch`` body: parse once, write accepted and quarantined rows.
+
+    Each micro-batch goes to ``<path>/batch_id=<n>`` with mode overwrite, so a
+    batch replayed after a failure replaces its own output (idempotent)."""
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        parsed = batch_df.persist()
+        good, bad = split_parsed(parsed)
+        good.write.mode("overwrite").format(fmt).save(f"{sink_path}/batch_id={batch_id}")
+        bad.write.mode("overwrite").format(fmt).save(f"{quarantine_path}/batch_id={batch_id}")
+        parsed.unpersist()
+
+    return write
+
+
 def start_ball_stream(lines: DataFrame, sink_path: str, checkpoint: str,
                       quarantine_path: str | None = None, fmt: str = "parquet",
                       available_now: bool = False) -> list[StreamingQuery]:
-    """Start the ingest query (and the quarantine query when a path is given).
+    """Start the ingest query.
 
-    The sink is partitioned by ``match_id``. Each query needs its own
-    checkpoint folder; the quarantine one uses ``<checkpoint>-quarantine``.
+    Without a quarantine path: usable rows to a file sink partitioned by
+    ``match_id`` (exactly-once through the sink's metadata log). With one: a
+    single query whose ``foreachBatch`` writes usable and unusable rows of each
+    micro-batch, so the source is read once (see :func:`_split_writer`).
     """
-    good, bad = split_parsed(parse_ball_lines(lines))
-    queries = [_write(good, sink_path, checkpoint, fmt, available_now, partition_by="match_id")]
-    if quarantine_path:
-        queries.append(_write(bad, quarantine_path, checkpoint + "-quarantine", fmt, available_now))
-    return queries
+    parsed = parse_ball_lines(lines)
+    if not quarantine_path:
+        good, _ = split_parsed(parsed)
+        return [_write(good, sink_path, checkpoint, fmt, available_now, partition_by="match_id")]
+    writer = parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        _split_writer(sink_path, quarantine_path, fmt)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return [writer.start()]
