@@ -87,3 +87,22 @@ def _ensure_checkpoint_dir(spark: SparkSession, base: str) -> None:
         return
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
+
+
+def cluster_conf(input_bytes: int, executor_cores_total: int) -> dict[str, str]:
+    """Suggested settings for a large run, from the input size and total cores.
+
+    Shuffle partitions are sized for ~256 MB each after map-side aggregation
+    (AQE coalesces smaller ones and splits skewed ones); scan splits are 512 MB.
+    Pass the result to :func:`build_session` ``extra`` or the job's submit conf.
+    """
+    target = 256 * 1024 * 1024
+    partitions = max(executor_cores_total * 2, input_bytes // target)
+    return {
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.files.maxPartitionBytes": str(2 * target),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
