@@ -47,12 +47,13 @@ def _event_keys(rows):
 
 def test_parse_routes_bad_lines_to_quarantine(spark):
     lines = spark.createDataFrame(
-        [(_line(1),), ("1704103200000:F1|p1:12.5x,100,0,1.0,A,Alive;:",), ("garbage",), ("17:F2:100;:",)],
+        [(_line(1),), ("1704103200000:F1|p1:12.5x,100,0,1.0,A,Alive;:",), ("garbage",), ("17:F2:100;:",),
+         ("99999999999999999999:F3|p1:100,100,0,1.0,A,Alive;:",), ("9999999999999999:F3|p1:100,100,0,1.0,A,Alive;:",)],
         "value string",
     )
     good, bad = split_parsed(parse_ball_lines(lines))
     assert [r.x for r in good.collect()] == [45.0]
-    assert bad.count() == 3
+    assert bad.count() == 5
     row = good.collect()[0]
     assert (row.in_box, row.in_field, row.ball_status, row.ball_team, row.frame_idx) == (True, True, "Alive", "A", 1)
 

@@ -39,7 +39,7 @@ def read_match_metadata(spark: SparkSession, path: str) -> DataFrame:
         .schema(schemas.MATCH_METADATA)
         .load(path)
     )
-    kickoff = F.to_timestamp("_dtDate", "yyyy-MM-dd HH:mm:ss")
+    kickoff = F.try_to_timestamp(F.col("_dtDate"), F.lit("yyyy-MM-dd HH:mm:ss"))
     return raw.select(
         F.date_format(kickoff, "yyyy-MM-dd").alias("match_id"),
         kickoff.alias("kickoff"),

@@ -18,6 +18,8 @@ from touchline.functions.geometry import in_field, in_penalty_area
 def parse_ball_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     parts = F.split(F.col(value_col), ":")
     wall_ms = F.get(parts, 0).try_cast("bigint")
+    # A clock beyond +-10^15 ms (year 33,000) is a bad number, not a time.
+    wall_ms = F.when(F.abs(wall_ms) < F.lit(10**15), wall_ms)
     players = F.get(parts, 1)
     ball_raw = F.get(parts, 2)
     fields = F.split(ball_raw, ",")
