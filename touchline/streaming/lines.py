@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.clock import display_time, match_date
+from touchline.functions.clock import MAX_ABS_MS, display_time, match_date
 from touchline.functions.geometry import in_field, in_penalty_area
 
 
@@ -19,7 +19,7 @@ def parse_ball_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     parts = F.split(F.col(value_col), ":")
     wall_ms = F.get(parts, 0).try_cast("bigint")
     # A clock beyond +-10^15 ms (year 33,000) is a bad number, not a time.
-    wall_ms = F.when(F.abs(wall_ms) < F.lit(10**15), wall_ms)
+    wall_ms = F.when(F.abs(wall_ms) < F.lit(MAX_ABS_MS), wall_ms)
     players = F.get(parts, 1)
     ball_raw = F.get(parts, 2)
     fields = F.split(ball_raw, ",")
