@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -168,17 +169,89 @@ class LiveEventProcessor(StatefulProcessor):
         pass
 
 
-def live_event_stream(ball_rows: DataFrame, length=None, width=None) -> DataFrame:
-    """Streaming ball rows (parsed, flagged) → decorated live events."""
-    raw = (
-        ball_rows.select(*INPUT_COLUMNS)
-        .groupBy("match_id")
-        .transformWithStateInPandas(
-            statefulProcessor=LiveEventProcessor(),
-            outputStructType=RAW_EVENT_SCHEMA,
-            outputMode="Append",
-            timeMode="None",
-        )
+BUFFER_SCHEMA = T.StructType([
+    T.StructField("match_id", T.StringType()),
+    T.StructField("wall_ms", T.LongType()),
+    T.StructField("frame_idx", T.LongType()),
+    T.StructField("x", T.DoubleType()),
+    T.StructField("y", T.DoubleType()),
+    T.StructField("ball_team", T.StringType()),
+    T.StructField("ball_status", T.StringType()),
+    T.StructField("in_box", T.BooleanType()),
+    T.StructField("in_field", T.BooleanType()),
+])
+
+
+def _as_tuples(pdf: pd.DataFrame) -> list[tuple]:
+    plain = pdf[INPUT_COLUMNS].astype(object)
+    return list(plain.where(pd.notna(plain), None).itertuples(index=False, name=None))
+
+
+class OrderedLiveEventProcessor(StatefulProcessor):
+    """Event-time variant for feeds that arrive out of order.
+
+    New rows wait in list state until the watermark (largest clock seen minus
+    the delay) has passed them; an event-time timer then processes them in
+    clock order. Rows are late only when older than the watermark. Pending
+    state per match is bounded by the delay times the feed rate.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("ball_state", STATE_SCHEMA)
+        self.pending = handle.getListState("pending", BUFFER_SCHEMA)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        if len(batch):
+            self.pending.appendList(_as_tuples(batch))
+            self.handle.registerTimer(int(batch["wall_ms"].max()))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        pending = pd.DataFrame(list(self.pending.get()), columns=INPUT_COLUMNS)
+        ready, rest = pending[pending["wall_ms"] <= watermark], pending[pending["wall_ms"] > watermark]
+        if len(rest):
+            self.pending.put(_as_tuples(rest))
+            self.handle.registerTimer(int(rest["wall_ms"].max()))
+        else:
+            self.pending.clear()
+        if not len(ready):
+            return
+        if self.state.exists():
+            stored = tuple(self.state.get())
+        else:
+            stored = (INITIAL_STATUS, INITIAL_IN_BOX, INITIAL_IN_FIELD, None, None, 0)
+        events, new_state = step(ready, stored)
+        self.state.update(new_state)
+        if len(events):
+            yield events.astype({"seq": "int32"})[RAW_EVENT_SCHEMA.names]
+
+    def close(self) -> None:
+        pass
+
+
+def live_event_stream(ball_rows: DataFrame, length=None, width=None, delay: str | None = None) -> DataFrame:
+    """Streaming ball rows (parsed, flagged) → decorated live events.
+
+    Without ``delay`` rows are processed as their micro-batch arrives (the feed
+    must be in clock order across batches). With ``delay`` (e.g. ``"10 seconds"``)
+    the stream is ordered by event time: rows are held until the watermark passes
+    them, so disorder up to ``delay`` is tolerated and events appear ``delay``
+    after the play.
+    """
+    rows = ball_rows.select(*INPUT_COLUMNS)
+    if delay is None:
+        processor, time_mode = LiveEventProcessor(), "None"
+    else:
+        rows = rows.withColumn("event_time", F.timestamp_millis("wall_ms")).withWatermark("event_time", delay)
+        processor, time_mode = OrderedLiveEventProcessor(), "EventTime"
+    raw = rows.groupBy("match_id").transformWithStateInPandas(
+        statefulProcessor=processor,
+        outputStructType=RAW_EVENT_SCHEMA,
+        outputMode="Append",
+        timeMode=time_mode,
     )
     dims = {k: v for k, v in (("length", length), ("width", width)) if v is not None}
     return decorate_events(raw, **dims)
