@@ -390,3 +390,23 @@ def q_stream_latest_ball_state(spark, sf_dir):
     for q in ingest.start_ball_stream(lines, sink, ckpt, available_now=True):
         q.awaitTermination()
     return ball.latest_ball_state(files.read_table(spark, sink, schema))
+
+
+ORDERED_DELAY = "10 seconds"
+
+
+@query("stream_live_events_ordered")
+def q_stream_live_events_ordered(spark, sf_dir):
+    """Event-time mode: events of rows the watermark (newest clock - 10 s) has
+    released, processed in clock order whatever the arrival order."""
+    feed = feed_from_events(spark, sf_dir)
+    sink, ckpt = shared_dir(spark, "live_events_ordered"), shared_dir(spark, "live_events_ordered_ckpt")
+    good, _ = lines_mod.split_parsed(lines_mod.parse_ball_lines(ingest.read_lines(spark, "text", feed)))
+    out = live.live_event_stream(good, delay=ORDERED_DELAY)
+    q = (
+        out.writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", ckpt).option("path", sink)
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return files.read_table(spark, sink, out.schema)

@@ -304,3 +304,8 @@ ORACLE["stream_sampled_ball_state"] = _with(TRACKING, FEED_ROWS, FLAGS) + f"""SE
 ORACLE["stream_latest_ball_state"] = _with(TRACKING, FEED_ROWS, FLAGS) + f"""SELECT match_id, {STATE_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY wall_ms DESC, frame_idx DESC) AS rn FROM f
 ) WHERE rn = 1"""
+
+# Rows are released once the watermark (newest clock - 10 s) has passed them.
+ORACLE["stream_live_events_ordered"] = (
+    _with(TRACKING, FEED_ROWS, FLAGS, EVENTS) + "SELECT * FROM ev WHERE wall_ms <= (SELECT max(wall_ms) FROM f) - 10000"
+)

@@ -205,7 +205,8 @@ class OrderedLiveEventProcessor(StatefulProcessor):
         batch = pd.concat(list(rows), ignore_index=True)
         if len(batch):
             self.pending.appendList(_as_tuples(batch))
-            self.handle.registerTimer(int(batch["wall_ms"].max()))
+            # Fires once the watermark passes the oldest new row.
+            self.handle.registerTimer(int(batch["wall_ms"].min()))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -214,7 +215,7 @@ class OrderedLiveEventProcessor(StatefulProcessor):
         ready, rest = pending[pending["wall_ms"] <= watermark], pending[pending["wall_ms"] > watermark]
         if len(rest):
             self.pending.put(_as_tuples(rest))
-            self.handle.registerTimer(int(rest["wall_ms"].max()))
+            self.handle.registerTimer(int(rest["wall_ms"].min()))
         else:
             self.pending.clear()
         if not len(ready):
