@@ -36,7 +36,8 @@ def ball_flags(
     )
 
 
-def _box_minutes(flagged: DataFrame, keys: list[str]) -> DataFrame:
+def box_minutes(flagged: DataFrame, keys: list[str]) -> DataFrame:
+    """Minutes (25 Hz frames) and frame count of the given (already filtered) rows."""
     n = F.count(F.lit(1))
     return flagged.groupBy(*keys).agg(
         F.lit(True).alias("ball_inside_box"),
@@ -51,7 +52,7 @@ def ball_in_box_stats(ball_df: DataFrame, ends: str = "both", length=PITCH_LENGT
     ``n_times_inside_box`` counts frames, as in the reference, not visits.
     """
     inside = ball_df.where(in_penalty_area(F.col("x"), F.col("y"), length, ends))
-    return _box_minutes(inside, ["match_id"])
+    return box_minutes(inside, ["match_id"])
 
 
 def ball_in_box_by_pitch(ball_df: DataFrame, metadata: DataFrame, ends: str = "both") -> DataFrame:
@@ -62,7 +63,7 @@ def ball_in_box_by_pitch(ball_df: DataFrame, metadata: DataFrame, ends: str = "b
     """
     joined = join_lookup(ball_df, metadata.select("match_id", "pitch_length"), ["match_id"])
     inside = joined.where(in_penalty_area(F.col("x"), F.col("y"), F.col("pitch_length"), ends))
-    return _box_minutes(inside, ["match_id", "pitch_length"])
+    return box_minutes(inside, ["match_id", "pitch_length"])
 
 
 def ball_in_field(ball_df: DataFrame) -> DataFrame:

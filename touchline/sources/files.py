@@ -61,10 +61,15 @@ def write_match_metadata(metadata: DataFrame, path: str) -> None:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = TABLE_FORMAT) -> DataFrame:
+    """A stored table. Without a schema, an inferred ``match_date`` partition
+    (Spark reads ``yyyy-MM-dd`` folder names as dates) is turned back into text."""
     reader = spark.read.format(fmt)
     if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+        return reader.schema(schema).load(path)
+    df = reader.load(path)
+    if "match_date" in df.columns and dict(df.dtypes)["match_date"] != "string":
+        df = df.withColumn("match_date", F.date_format("match_date", "yyyy-MM-dd"))
+    return df
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
