@@ -59,3 +59,32 @@ def test_restart_kinds(spark):
     assert (rows[0].sx, rows[0].sy) == (10.0, HALF_W)
     assert (rows[1].sx, rows[1].sy) == (HALF_L, HALF_W)
     assert (rows[2].sx, rows[2].sy) == (HALF_L, -HALF_W)
+
+
+def test_flags_match_plain_python_rules_on_random_points(spark):
+    """Brute force: the Column expressions against the rules written in Python."""
+    import random
+
+    rnd = random.Random(3)
+    pts = [(rnd.uniform(-60, 60), rnd.uniform(-40, 40)) for _ in range(2000)]
+    pts += [(HALF_L, 0.0), (-INNER, AREA_W - 1e-9), (INNER + 1e-9, 0.0), (0.0, -HALF_W)]
+    df = spark.createDataFrame(pts, "x double, y double")
+    got = df.select(
+        "x", "y",
+        g.in_penalty_area(F.col("x"), F.col("y")).alias("box"),
+        g.in_penalty_area(F.col("x"), F.col("y"), ends="left").alias("left"),
+        g.in_field(F.col("x"), F.col("y")).alias("field"),
+        g.restart_kind(F.col("x")).alias("kind"),
+    ).collect()
+
+    def box(x, y):
+        return INNER < abs(x) < HALF_L and abs(y) < AREA_W
+
+    def left(x, y):
+        return -HALF_L < x < -INNER and -AREA_W < y < AREA_W
+
+    for r in got:
+        assert r.box == box(r.x, r.y)
+        assert r.left == left(r.x, r.y)
+        assert r.field == (abs(r.x) < HALF_L and abs(r.y) < HALF_W)
+        assert r.kind == ("corner" if abs(r.x) >= HALF_L else "throw-in")

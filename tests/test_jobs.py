@@ -31,3 +31,23 @@ def test_ingest_and_features_jobs(spark, sf_dir):
     assert sorted((r.match_date, r.n_times_inside_box) for r in got_box.collect()) == sorted(
         (r.match_id, r.n_times_inside_box) for r in want_box.collect()
     )
+
+
+def test_stream_and_live_jobs(spark, sf_dir):
+    from touchline.operators import events
+    from touchline.streaming.lines import parse_ball_lines, split_parsed
+
+    feed = shared_dir(spark, "job-feed")
+    adapter.stream_lines(adapter.tracking(spark, sf_dir)).write.text(feed)
+    rows, rows_ckpt, bad = shared_dir(spark, "job-rows"), shared_dir(spark, "job-rows-ckpt"), shared_dir(spark, "job-bad")
+    live_out, live_ckpt = shared_dir(spark, "job-live"), shared_dir(spark, "job-live-ckpt")
+    jobs.main(["stream", "--path", feed, "--sink", rows, "--checkpoint", rows_ckpt, "--quarantine", bad,
+               "--available-now"])
+    jobs.main(["live", "--path", feed, "--sink", live_out, "--checkpoint", live_ckpt, "--available-now"])
+
+    lines = spark.read.text(feed)
+    good, _ = split_parsed(parse_ball_lines(lines))
+    assert files.read_table(spark, rows).count() == lines.count()
+    want = events.live_events(good)
+    got = files.read_table(spark, live_out).select(*want.columns)
+    assert sorted(got.collect()) == sorted(want.collect())
