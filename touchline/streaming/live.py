@@ -155,7 +155,10 @@ class LiveEventProcessor(StatefulProcessor):
         self.state = handle.getValueState("ball_state", STATE_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
+        chunks = list(rows)
+        if not chunks:
+            return
+        batch = pd.concat(chunks, ignore_index=True)
         if self.state.exists():
             stored = tuple(self.state.get())
         else:
@@ -202,8 +205,9 @@ class OrderedLiveEventProcessor(StatefulProcessor):
         self.pending = handle.getListState("pending", BUFFER_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        if len(batch):
+        chunks = [c for c in rows if len(c)]
+        if chunks:
+            batch = pd.concat(chunks, ignore_index=True)
             self.pending.appendList(_as_tuples(batch))
             # Fires once the watermark passes the oldest new row.
             self.handle.registerTimer(int(batch["wall_ms"].min()))
