@@ -4,8 +4,9 @@ an incremental-load gate and an as-of lookup.
 The reference uses Delta ``MERGE ... WHEN NOT MATCHED INSERT``. Plain Parquet
 tables reject ``MERGE``, so the same effect is built from joins:
 
-* insert-only merge: ``left_anti`` join of the new rows against the table's key
-  columns (only those columns are read), then append;
+* insert-only merge: ``left_anti`` join of the new rows against the table's
+  distinct keys (only key columns are read; broadcast behind a bounded count),
+  then append;
 * upsert: rows of the touched partitions whose key is not in the new rows, plus
   the new rows, written with dynamic partition overwrite. The result is first
   checkpointed to the shared checkpoint folder so the write does not read the
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.operators.joins import join_lookup
 from touchline.session import checkpoint_base
 from touchline.sources.files import TABLE_FORMAT, path_exists, read_table
 
@@ -46,9 +48,12 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, path: str, keys: S
     if not path_exists(spark, path):
         write_partitioned(source, path, partition_by, fmt)
         return
-    # Only the table's key columns are read; ``source`` is evaluated once.
-    existing = read_table(spark, path, schema, fmt).select(*keys)
-    new_rows = source.join(existing, on=list(keys), how="left_anti")
+    # Only the table's key columns are read, reduced to distinct keys map-side
+    # (a whole-match key such as ``match_date`` collapses to a few rows), then
+    # broadcast when a bounded count allows: the large ``source`` is not
+    # shuffled on a low-cardinality key. ``source`` is evaluated once.
+    existing = read_table(spark, path, schema, fmt).select(*keys).distinct()
+    new_rows = join_lookup(source, existing, list(keys), how="left_anti")
     write_partitioned(new_rows, path, partition_by, fmt, mode="append")
 
 
@@ -66,11 +71,8 @@ def upsert_by_key(spark: SparkSession, source: DataFrame, path: str, keys: Seque
     current = read_table(spark, path, schema, fmt)
     src = source.select(*current.columns).checkpoint(eager=True)
     touched = src.select(partition_by).distinct()
-    kept = (
-        current.join(touched, on=[partition_by], how="left_semi")
-        .join(src.select(*keys), on=list(keys), how="left_anti")
-        .checkpoint(eager=True)
-    )
+    kept = join_lookup(current, touched, [partition_by], how="left_semi")
+    kept = kept.join(src.select(*keys), on=list(keys), how="left_anti").checkpoint(eager=True)
     write_partitioned(kept.unionByName(src), path, partition_by, fmt, mode="overwrite")
 
 
@@ -97,7 +99,7 @@ def incremental_load(spark: SparkSession, rows: DataFrame, path: str,
     """
     checkpoint_base(spark)
     todo = new_keys(spark, rows, path, key, fmt, schema).checkpoint(eager=True)
-    fresh = build(rows.join(todo, on=[key], how="left_semi"))
+    fresh = build(join_lookup(rows, todo, [key], how="left_semi"))
     write_partitioned(fresh, path, key, fmt, mode="append")
     return todo
 
