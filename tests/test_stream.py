@@ -87,6 +87,8 @@ def test_late_rows_are_dropped(spark):
     _write_file(feed, "b.txt", [_line(i) for i in range(0, 20)], now + 10)  # older clocks
     _run_live(spark, feed, sink, ckpt)
     assert spark.read.schema(schema).parquet(sink).count() == before
+    state = live.live_state(spark, ckpt).collect()
+    assert [(r.match_id, r.late_rows, r.last_frame_idx) for r in state] == [("2024-01-01", 20, 39)]
 
 
 def test_ingest_stream_with_quarantine_and_restart(spark):

@@ -260,3 +260,10 @@ def live_event_stream(ball_rows: DataFrame, length=None, width=None, delay: str
     )
     dims = {k: v for k, v in (("length", length), ("width", width)) if v is not None}
     return decorate_events(raw, **dims)
+
+
+def live_state(spark, checkpoint: str) -> DataFrame:
+    """The per-match state of a live-event query, read from its checkpoint with
+    the state store reader: last status and flags, last row, late rows dropped."""
+    state = spark.read.format("statestore").option("stateVarName", "ball_state").load(checkpoint)
+    return state.select(F.col("key.match_id").alias("match_id"), "value.*")
