@@ -70,3 +70,26 @@ def test_deep_recursion_with_small_fanout(spark):
     assert len(got_lag) == len(got_nn) == 600
     assert all(got_lag[i] == want[i][0] for i in want)
     assert all(got_nn[i] == want[i][1] for i in want)
+
+
+def test_hot_key_with_default_frame_buckets(spark):
+    """One key, 200,000 frames across four 65,536-frame buckets, with nulls: the
+    bucketed result equals the plain window, and the big window is keyed by
+    (key, bucket), not by the key alone."""
+    from touchline.operators.sequence import frame_bucket
+
+    df = spark.range(0, 200_000).select(
+        F.lit("hot").alias("k"),
+        F.col("id").alias("frame_idx"),
+        (F.col("id") * F.lit(0.04)).alias("t"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") % 7).alias("v"),
+    )
+    got = with_previous(df, ["k"], ["t", "frame_idx"], frame_bucket(), ["v"], ignore_nulls=True)
+    w = Window.partitionBy("k").orderBy("t", "frame_idx")
+    want = df.select(
+        "frame_idx", F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("w")
+    )
+    diff = got.join(want, "frame_idx").where(~F.col("prev_v").eqNullSafe(F.col("w")))
+    assert got.count() == 200_000 and diff.count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__s0_id" in plan
