@@ -119,7 +119,11 @@ RULES = BLOCKING + ["q_no_home", "q_no_away"]
 
 def quality_split(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted frames, quarantined frames with their failed rules)."""
-    flagged = quality_flags(frames)
+    return split_flagged(quality_flags(frames))
+
+
+def split_flagged(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`quality_split` on frames that already carry the rule columns."""
     bad = F.lit(False)
     for rule in BLOCKING:
         bad = bad | F.col(rule)

@@ -21,7 +21,7 @@ from touchline import schemas
 from touchline.functions.geometry import in_penalty_area
 from touchline.operators import ball, frames, speed, tables
 from touchline.operators.joins import join_lookup
-from touchline.session import build_session, configure
+from touchline.session import build_session, configure, shared_dir
 from touchline.sources import files
 from touchline.streaming import ingest as stream_ingest
 from touchline.streaming import live
@@ -41,7 +41,12 @@ def ingest(spark: SparkSession, frames_path: str, metadata_path: str | None, pla
     """
     configure(spark)
     raw = files.read_frames(spark, frames_path, keep_corrupt=True)
-    good, bad = frames.quality_split(raw)
+    flagged = frames.quality_flags(raw)
+    # Parse the JSON once: the flagged frames are staged as Parquet in the shared
+    # checkpoint folder (cuts the lineage; columnar re-reads), then split.
+    staged = shared_dir(spark, "ingest-frames")
+    flagged.write.parquet(staged)
+    good, bad = frames.split_flagged(spark.read.parquet(staged))
     if quarantine_path:
         bad.write.mode("append").json(quarantine_path)
     good = frames.dedup_frames(good.drop(schemas.CORRUPT))
