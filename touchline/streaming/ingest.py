@@ -51,13 +51,14 @@ def _write(df: DataFrame, sink_path: str, checkpoint: str, fmt: str, available_n
 def _split_writer(sink_path: str, quarantine_path: str, fmt: str):
     """``foreachBatch`` body: parse once, write accepted and quarantined rows.
 
-    Each micro-batch goes to ``<path>/batch_id=<n>`` with mode overwrite, so a
-    batch replayed after a failure replaces its own output (idempotent)."""
+    Each micro-batch goes to ``<path>/batch_id=<n>`` (accepted rows partitioned
+    by ``match_id``) with mode overwrite, so a batch replayed after a failure
+    replaces its own output (idempotent)."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         parsed = batch_df.persist()
         good, bad = split_parsed(parsed)
-        good.write.mode("overwrite").format(fmt).save(f"{sink_path}/batch_id={batch_id}")
+        good.write.mode("overwrite").format(fmt).partitionBy("match_id").save(f"{sink_path}/batch_id={batch_id}")
         bad.write.mode("overwrite").format(fmt).save(f"{quarantine_path}/batch_id={batch_id}")
         parsed.unpersist()
 
