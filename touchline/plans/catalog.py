@@ -410,3 +410,14 @@ def q_stream_live_events_ordered(spark, sf_dir):
     )
     q.awaitTermination()
     return files.read_table(spark, sink, out.schema)
+
+
+@query("dedup_frames")
+def q_dedup_frames(spark, sf_dir):
+    """Frames delivered twice (the derived JSON written a second time, as a
+    replayed feed would), de-duplicated once at frame level, then flattened."""
+    path = shared_dir(spark, "frames_twice")
+    nested = adapter.nested_frames(tracking(spark, sf_dir))
+    files.write_frames(nested, path)
+    nested.write.mode("append").json(path)
+    return frames.unified_players(frames.dedup_frames(files.read_frames(spark, path)))

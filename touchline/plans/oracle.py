@@ -309,3 +309,5 @@ ORACLE["stream_latest_ball_state"] = _with(TRACKING, FEED_ROWS, FLAGS) + f"""SEL
 ORACLE["stream_live_events_ordered"] = (
     _with(TRACKING, FEED_ROWS, FLAGS, EVENTS) + "SELECT * FROM ev WHERE wall_ms <= (SELECT max(wall_ms) FROM f) - 10000"
 )
+
+ORACLE["dedup_frames"] = _with(TRACKING, FRAMES) + f"SELECT {UP_COLS} FROM up"
