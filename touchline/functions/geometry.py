@@ -95,7 +95,9 @@ def restart_spot(
     half_w = _num(width) / F.lit(2.0)
     corner = F.abs(x) >= half_l
     spot_x = F.when(corner, F.signum(x) * half_l).otherwise(x)
-    spot_y = F.signum(y) * half_w
+    # The touch line on the ball's side (y = 0 counts as the positive side, so a
+    # ball out over the goal line mid-goal still gets a real corner).
+    spot_y = F.when(y.isNull(), F.lit(None)).when(y >= 0, half_w).otherwise(-half_w)
     return spot_x, spot_y
 
 

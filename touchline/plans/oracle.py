@@ -152,7 +152,7 @@ ev AS (
          CASE WHEN NOT in_field THEN restart_team END,
          x, y,
          CASE WHEN NOT in_field THEN (CASE WHEN abs(x) >= {_d(HALF_L)} THEN sign(x) * {_d(HALF_L)} ELSE x END) END,
-         CASE WHEN NOT in_field THEN sign(y) * {_d(HALF_W)} END,
+         CASE WHEN NOT in_field THEN (CASE WHEN y >= 0 THEN {_d(HALF_W)} ELSE -{_d(HALF_W)} END) END,
          CASE WHEN in_field
               THEN 'Timestamp: ' || ts_text || '; Ball is back on the field!; Position: ' || pos_text
               ELSE 'Timestamp: ' || ts_text || '; Ball is outside of the field!; ' || restart_kind || ' for '
