@@ -51,3 +51,19 @@ def test_stream_and_live_jobs(spark, sf_dir):
     want = events.live_events(good)
     got = files.read_table(spark, live_out).select(*want.columns)
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_ingest_job_quarantines_bad_frames(spark, sf_dir):
+    import os
+
+    tracking = adapter.tracking(spark, sf_dir)
+    frames_path = shared_dir(spark, "job-frames-bad")
+    files.write_frames(adapter.nested_frames(tracking), frames_path)
+    with open(os.path.join(frames_path, "part-bad.json"), "w") as fh:
+        fh.write('{"period": 1, "frameIdx": 7, "gameClock": "oops"\n')
+    players, ball_t, bad = (shared_dir(spark, n) for n in ("players-q", "ball-q", "quarantine-q"))
+    jobs.main(["ingest", "--frames", frames_path, "--players", players, "--ball", ball_t, "--quarantine", bad])
+    good_frames = files.read_frames(spark, frames_path).where("wallClock IS NOT NULL")
+    assert files.read_table(spark, ball_t).count() == good_frames.count()
+    quarantined = spark.read.json(bad).collect()
+    assert len(quarantined) == 1 and "corrupt" in quarantined[0]["reasons"]
