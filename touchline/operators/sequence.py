@@ -42,7 +42,11 @@ LEVELS = 0
 
 
 def frame_bucket(frame_col: str = "frame_idx", frames: int = FRAMES_PER_BUCKET) -> Column:
-    """The default bucket: consecutive runs of ``frames`` frame numbers."""
+    """The default bucket: consecutive runs of ``frames`` frame numbers.
+
+    Rows without a frame index share one null bucket, ordered before all others,
+    so sequences bucketed this way need a frame index on every row (feeds and
+    frame records carry one)."""
     return F.floor(F.col(frame_col) / F.lit(frames))
 
 
