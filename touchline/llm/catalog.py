@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import license_scan, quality_rules, source_mix
+from touchline.llm import (
+    license_scan,
+    packing_bfd,
+    packing_bm25,
+    quality_rules,
+    source_mix,
+    toxicity_fm,
+    warc,
+)
 from touchline.llm.common import read
+from touchline.session import shared_dir
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.pages_through_archives(read(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,10 +37,32 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op8_packing_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_bm25.pack_bm25(read(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
+def op9_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_fm.train(docs, read(spark, sf_dir, "labels"))
+    out = toxicity_fm.score(docs, model)
+    return out.select("doc_id", toxicity_fm.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+                      (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-matrices")
+    packing_bfd.write_matrices(packing_bfd.pack_bfd(read(spark, sf_dir, "documents")), path)
+    return packing_bfd.pieces(spark.read.parquet(path))
+
+
 QUERIES = {
+    "op2_warc": op2_warc,
     "op3_license_scan": op3_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_source_mix": op7_source_mix,
+    "op8_packing_bm25": op8_packing_bm25,
+    "op9_toxicity_fm": op9_toxicity_fm,
+    "op10_token_matrices": op10_token_matrices,
 }
 
 ORACLE = {
