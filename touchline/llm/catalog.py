@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm import (
     license_scan,
+    ngram_join,
     packing_bfd,
     packing_bm25,
     quality_rules,
@@ -18,6 +19,10 @@ from touchline.llm.common import read
 from touchline.session import shared_dir
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(read(spark, sf_dir, "documents"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc.pages_through_archives(read(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -56,6 +61,7 @@ def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_warc": op2_warc,
     "op3_license_scan": op3_license_scan,
     "op6_quality_rules": op6_quality_rules,

@@ -29,6 +29,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET_SHARE = 1.5
 MAX_EPOCHS = 2.0
 SEED = 7
+#: Copies of a source's plan row that its documents are dealt over.
+SALTS = 64
 #: Histogram bins of one source. A border bin holds about 1 / BINS of a source.
 BINS = 65536
 
@@ -93,8 +95,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget_share: float = BUDGET_SHARE, ma
     border = hist.filter((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("words") < F.col("rest"))).groupBy("_s").agg(
         F.min("bin").alias("border"), F.min(F.col("upto") - F.col("words")).alias("before"))
     plan = targets.join(border.withColumnRenamed("_s", "_b"), F.col("_s").eqNullSafe(F.col("_b")), "left").drop("_b")
-    # One row per source: Spark broadcasts it while it is below its size threshold.
-    m = binned.join(plan, F.col("source").eqNullSafe(F.col("_s")), "left")
+    # The plan has one row per source. Its rows are repeated over SALTS, and a document
+    # joins the copy that its hash names, so a hot source's documents go to many tasks.
+    plan = plan.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    m = binned.join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("u") % SALTS == F.col("_salt")), "left")
     outside = m.filter(F.coalesce(F.col("bin") != F.col("border"), F.lit(True))).withColumn(
         "part", F.when(F.col("bin") < F.col("border"), F.col("size")).otherwise(F.lit(0)).cast("long"))
     before = F.sum("size").over(Window.partitionBy("source").orderBy("u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1))
