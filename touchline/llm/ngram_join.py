@@ -58,26 +58,25 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        made = self[word] = xxhash.xxh3_64_intdigest(word)
+        return made
+
+
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word k-shingles (A-Z lower-cased)."""
 
     def __init__(self, k: int):
-        self.k, self._cache = k, {}
+        self.k, self._words = k, _WordHashes()
 
     def __call__(self, text: bytes) -> np.ndarray:
         words = text.lower().split()  # on bytes: A-Z only, and blanks and 9 to 13 only
         if not words:
             return np.empty(0, dtype=np.uint64)
-        cache = self._cache
-        try:
-            h = np.array([cache[w] for w in words], dtype=np.uint64)
-        except KeyError:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-            for w in words:
-                if w not in cache:
-                    cache[w] = xxhash.xxh3_64_intdigest(w)
-            h = np.array([cache[w] for w in words], dtype=np.uint64)
+        if len(self._words) > CACHE_WORDS:
+            self._words.clear()
+        h = np.fromiter(map(self._words.__getitem__, words), dtype=np.uint64, count=len(words))
         width = min(self.k, len(h))
         n = len(h) - width + 1
         # The width is part of the hash: a short text equals no shingle of a longer one.

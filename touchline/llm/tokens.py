@@ -7,7 +7,10 @@ chunks it has met in a bounded cache; a repeated chunk costs a dictionary lookup
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,33 +19,77 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import text_or_empty
 
-#: Chunks one task keeps; the cache is begun anew beyond that (results are the same).
-CACHE_CHUNKS = 400_000
+#: Words one task keeps; the cache is begun anew beyond that (results are the same).
+CACHE_WORDS = 400_000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 
+# Texts of these characters alone need no Unicode normalization and no Unicode tables:
+# ASCII and the Latin-1 letters. Anything else goes through the tokenizer's own pipeline.
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_ODD = re.compile("[^\\x09-\\x0d\\x20-\\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]")
+# Fixed value: the tokenizer's word pattern, for lower-cased text of those characters.
+_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 stands for itself, the rest for code points from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+class _WordIds(dict):
+    """Ids of words (uint16, little-endian), made where they are missing."""
+
+    def __init__(self, model):
+        super().__init__()
+        self._model, self._letters = model, _byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        mapped = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self._letters)
+        ids = [t.id for t in self._model.tokenize(mapped)]
+        made = self[word] = struct.pack(f"<{len(ids)}H", *ids)
+        return made
+
 
 class ChunkTokenizer:
-    """``ids(text_bytes)``: little-endian uint16 ids as bytes (the vocabulary has 49,408 entries)."""
+    """``ids(text_bytes)``: little-endian uint16 ids as bytes (the vocabulary has 49,408 entries).
+
+    White space is dropped and words are encoded one by one, so a word's ids are
+    looked up where it has been met before.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
-        self._cache: dict[bytes, bytes] = {}
+        self._words = _WordIds(self._tok.model)
+
+    def _plain(self, text: str) -> bytes:
+        if len(self._words) > CACHE_WORDS:
+            self._words.clear()
+        return b"".join(map(self._words.__getitem__, _WORD.findall(text.lower())))
 
     def ids(self, text: bytes) -> bytes:
-        chunks = text.split()  # ASCII white space, all of which the tokenizer drops
-        cache = self._cache
-        try:
-            return b"".join([cache[c] for c in chunks])
-        except KeyError:
-            if len(cache) > CACHE_CHUNKS:
-                cache.clear()
-            new = [c for c in dict.fromkeys(chunks) if c not in cache]
-            for c, e in zip(new, self._tok.encode_batch([c.decode("utf-8") for c in new], add_special_tokens=False)):
-                cache[c] = np.array(e.ids, dtype="<u2").tobytes()
-            return b"".join([cache[c] for c in chunks])
+        whole = text.decode("utf-8")
+        if not _ODD.search(whole) and "<|" not in whole:
+            return self._plain(whole)
+        # ASCII white space separates in any text: only the chunks that need it take the long way.
+        out = []
+        for chunk in text.split():
+            c = chunk.decode("utf-8")
+            if _ODD.search(c) or "<|" in c:
+                out.append(np.array(self._tok.encode(c, add_special_tokens=False).ids, dtype="<u2").tobytes())
+            else:
+                out.append(self._plain(c))
+        return b"".join(out)
+
+
+@lru_cache(maxsize=1)
+def _worker_tokenizer(path: str) -> ChunkTokenizer:
+    """One per Python worker: Spark uses a worker for many tasks, so later ones begin with its words."""
+    return ChunkTokenizer(path)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -55,7 +102,7 @@ def tokenized(docs: DataFrame, path: str | None = None, end_id: int = END_ID) ->
     """``doc_id, n_tokens, ids`` (uint16 little-endian, ``end_id`` last); null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = ChunkTokenizer(path or tokenizer_path())
+        tok = _worker_tokenizer(path or tokenizer_path())
         end = np.array([end_id], dtype="<u2").tobytes()
         for batch in batches:
             ids = [tok.ids(t) + end for t in batch.column(1).to_pylist()]
