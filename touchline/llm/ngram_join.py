@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import stage, text_or_empty
+from touchline.llm.common import small, stage, text_or_empty
 from touchline.llm.graph import components
 
 K = 3
@@ -99,7 +99,7 @@ def shingle_ranks(docs: DataFrame, k: int, size: int = SKETCH) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, total = Shingler(k), np.zeros(size, dtype=np.int64)
-        for b in batches:
+        for b in small(batches):
             for t in b.column(1).to_pylist():
                 np.add.at(total, (shingles(t) & np.uint64(size - 1)).astype(np.int64), 1)
         at = np.flatnonzero(total)
@@ -117,7 +117,7 @@ def signatures(docs: DataFrame, ranks, k: int, threshold: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, rank = Shingler(k), ranks.value
         mask = np.uint64(len(rank) - 1)
-        for b in batches:
+        for b in small(batches):
             n, fp, prefix = [], [], []
             for t in b.column(1).to_pylist():
                 s = shingles(t)
@@ -138,7 +138,7 @@ def signatures(docs: DataFrame, ranks, k: int, threshold: int) -> DataFrame:
 
 def _prefix_rows(reps: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             sets = [np.frombuffer(p, np.int64) for p in b.column(2).to_pylist()]
             size = np.array([len(s) for s in sets])
             if not size.sum():
@@ -300,7 +300,7 @@ def _tile_edges(tiles: DataFrame, threshold: int) -> DataFrame:
                 out_a.extend(e[0] for e in edges)
                 out_b.extend(e[1] for e in edges)
 
-        for b in batches:
+        for b in small(batches):
             for token, ci, cj, own, rep, raw in zip(*[c.to_pylist() for c in b.columns]):
                 if (token, ci, cj) != key:
                     close()
@@ -322,7 +322,7 @@ def _edges(a, b):
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(k)
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())],
                                              names=["doc_id", "set"])
 

@@ -26,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.tokens import tokenized
+from touchline.llm.common import small
+from touchline.llm.tokens import encode, texts
 
 SEQ_LEN = 2048
 #: Pieces packed together; bounds a task's memory (about 2 bytes an id).
@@ -115,7 +116,7 @@ def pack_bfd(docs: DataFrame, seq_len: int = SEQ_LEN, path: str | None = None, s
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
         waiting: list[tuple] = []
-        for batch in batches:
+        for batch in encode(batches, path):  # tokenized in the same task: one Python worker
             full = []
             for doc, n, ids in zip(*[batch.column(i).to_pylist() for i in range(3)]):
                 for start in range(0, n, seq_len):
@@ -132,14 +133,14 @@ def pack_bfd(docs: DataFrame, seq_len: int = SEQ_LEN, path: str | None = None, s
         if waiting:
             yield emit([[waiting[i] for i in b] for b in best_fit_decreasing([len(p[3]) // 2 for p in waiting], seq_len)])
 
-    return tokenized(docs, path).mapInArrow(run, SCHEMA)
+    return texts(docs).mapInArrow(run, SCHEMA)
 
 
 def pieces(sequences: DataFrame) -> DataFrame:
     """One row per piece of the packed sequences, with the CRC-32 of its ids as little-endian uint32."""
 
     def crcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             out = [[] for _ in range(7)]
             for seq, ids, cu, docs, starts, totals in zip(*[b.column(i).to_pylist() for i in range(6)]):
                 for k, doc in enumerate(docs):

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import stage
+from touchline.llm.common import small, stage
 from touchline.llm.tokens import tokenized
 
 WINDOW = 2048
@@ -45,7 +45,7 @@ def document_frequencies(tok: DataFrame) -> tuple[np.ndarray, int, float]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(VOCABULARY, dtype=np.int64)
-        for b in batches:
+        for b in small(batches):
             for ids in b.column(0).to_pylist():
                 df[np.unique(np.frombuffer(ids, "<u2"))] += 1
         at = np.flatnonzero(df)
@@ -154,7 +154,7 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq, _ = shared.value
         rank = np.where(freq > 1, freq, np.iinfo(np.int64).max)
-        for b in batches:
+        for b in small(batches):
             keys = []
             for ids in b.column(2).to_pylist():
                 t = np.unique(np.frombuffer(ids, "<u2"))
@@ -181,7 +181,7 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
                                               names=[x.split(" ")[0] for x in SCHEMA.split(", ")])
 
         waiting: list[tuple] = []
-        for b in batches:
+        for b in small(batches):
             for doc, n, raw in zip(*[b.column(i).to_pylist() for i in range(3)]):
                 ids = np.frombuffer(raw, "<u2")
                 whole = n // window * window

@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import text_or_empty
+from touchline.llm.common import small, text_or_empty
 
 #: Words one task keeps; the cache is begun anew beyond that (results are the same).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 
@@ -98,17 +98,25 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+TOKEN_COLUMNS = "doc_id long, n_tokens long, ids binary"
+
+
+def texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, t``: what :func:`encode` reads; null text is empty."""
+    return docs.select(F.col("doc_id").cast("long"), text_or_empty().cast("binary").alias("t"))
+
+
+def encode(batches: Iterator[pa.RecordBatch], path: str | None = None, end_id: int = END_ID) -> Iterator[pa.RecordBatch]:
+    """Batches of (doc_id, text bytes) to ``doc_id, n_tokens, ids`` (uint16 little-endian, ``end_id`` last)."""
+    tok = _worker_tokenizer(path or tokenizer_path())
+    end = struct.pack("<H", end_id)
+    for batch in small(batches):
+        ids = [tok.ids(t) + end for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+            names=["doc_id", "n_tokens", "ids"])
+
+
 def tokenized(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, n_tokens, ids`` (uint16 little-endian, ``end_id`` last); null text is empty."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _worker_tokenizer(path or tokenizer_path())
-        end = np.array([end_id], dtype="<u2").tobytes()
-        for batch in batches:
-            ids = [tok.ids(t) + end for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=["doc_id", "n_tokens", "ids"])
-
-    d = docs.select(F.col("doc_id").cast("long"), text_or_empty().cast("binary").alias("t"))
-    return d.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    """One row per document: ``doc_id, n_tokens, ids``."""
+    return texts(docs).mapInArrow(lambda batches: encode(batches, path, end_id), TOKEN_COLUMNS)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import text_or_empty
+from touchline.llm.common import small, text_or_empty
 
 BUCKETS = 1 << 18
 FACTORS = 4
@@ -145,7 +145,7 @@ def held_out(doc_id: Column) -> Column:
 def _hashed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = TermHasher()
-        for b in batches:
+        for b in small(batches):
             ids = [hasher.ids(t).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["y", "ids"])
 
@@ -174,7 +174,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, m = TermHasher(), shared.value
-        for b in batches:
+        for b in small(batches):
             out = []
             for at in range(0, b.num_rows, 256):  # bounds the gathered factors
                 rows = [hasher.ids(t) for t in b.column(b.num_columns - 1).slice(at, 256).to_pylist()]
