@@ -12,6 +12,7 @@ from touchline.llm import (
     packing_bm25,
     quality_rules,
     source_mix,
+    suffix_dedup,
     toxicity_fm,
     warc,
 )
@@ -32,6 +33,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(read(spark, sf_dir, "documents")).drop("spans")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(read(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     # failed_rule names the first rule of a timed order, so it may differ between runs.
     return quality_rules.quality_rules(read(spark, sf_dir, "documents")).drop("failed_rule")
@@ -64,6 +69,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_warc": op2_warc,
     "op3_license_scan": op3_license_scan,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_source_mix": op7_source_mix,
     "op8_packing_bm25": op8_packing_bm25,
