@@ -3,8 +3,9 @@
 1. Every document is tokenized once and staged (ids as uint16).
 2. Document frequencies of all token ids are counted over the whole corpus. The
    vocabulary is fixed (49,408 ids), so the collected table has a bound.
-3. Documents are range-partitioned by their rarest shared token, doc_id second, so
-   lexical neighbours are in one shard and a group of copies is split, not gathered.
+3. Documents are range-partitioned by their largest token id (merged last, so rarest by
+   the vocabulary's own order), doc_id second: documents that share a rare token are in
+   one shard, and a group of copies is split, not gathered.
 4. In each shard (a bounded run of a partition) an inverted index over the
    documents answers one BM25 query per seed; its unused neighbours fill the seed's
    window in order of score. The last neighbour is cut to fit and its rest seeds the
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import small, stage
-from touchline.llm.tokens import tokenized
+from touchline.llm.tokens import TOKEN_COLUMNS, encode, texts
 
 WINDOW = 2048
 #: Documents of one index shard: bounds a task's memory and a query's cost.
@@ -76,7 +77,7 @@ class ShardIndex:
         order = np.argsort(terms, kind="stable")
         self.owner, self.weight = owner[order], weight[order]
         # begin[t]:begin[t + 1] are the postings of token t
-        self.begin = np.searchsorted(terms[order], np.arange(VOCABULARY + 1))
+        self.begin = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=VOCABULARY))))
         self.n = len(docs)
 
     def scores(self, i: int) -> np.ndarray:
@@ -145,24 +146,19 @@ def powers_of_two(pieces: list[tuple]) -> list[list[tuple]]:
 def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, shard_docs: int = SHARD_DOCS,
               with_ids: bool = True) -> DataFrame:
     """One row per piece (see SCHEMA); ``ids`` are its uint16 ids unless ``with_ids`` is false."""
-    tok = stage(tokenized(docs, path), "pack-tokens")
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in encode(batches, path):
+            keys = [int(np.frombuffer(x, "<u2").max()) for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int32())], names=["doc_id", "n_tokens", "ids", "key"])
+
+    tok = stage(texts(docs).mapInArrow(keyed, TOKEN_COLUMNS + ", key int"), "pack-tokens")
     df, n_docs, mean = document_frequencies(tok)
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((df.astype(np.int64), idf))  # fixed size: one entry per id
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq, _ = shared.value
-        rank = np.where(freq > 1, freq, np.iinfo(np.int64).max)
-        for b in small(batches):
-            keys = []
-            for ids in b.column(2).to_pylist():
-                t = np.unique(np.frombuffer(ids, "<u2"))
-                keys.append(int(t[np.argmin(rank[t])]))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64())], names=["doc_id", "n_tokens", "ids", "key"])
+    shared = spark.sparkContext.broadcast(idf)  # fixed size: one entry per id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, weights = shared.value
+        weights = shared.value
         next_id = TaskContext.get().partitionId() << 32
 
         def emit(sequences):
@@ -202,6 +198,5 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
             yield emit(powers_of_two(waiting))
 
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_docs // (4 * shard_docs) + 1))
-    ranged = tok.mapInArrow(keyed, "doc_id long, n_tokens long, ids binary, key long")
-    ranged = ranged.repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id", "n_tokens", "ids")
+    ranged = tok.repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id", "n_tokens", "ids")
     return ranged.mapInArrow(run, SCHEMA)
