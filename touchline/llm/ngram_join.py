@@ -11,11 +11,13 @@ different texts count; the result is one row per document with its component.
 3. Representatives that share a prefix shingle form a block. Blocks with the same
    members are kept once. A block is dealt over as many tiles as its size asks for
    (chunk pairs), so no block is ever in one task whole; a tile has a size bound.
-4. In a tile, members are bucketed by set size into classes; each class has a
-   signature tree whose nodes hold OR-combined token bitmaps and size ranges. The
-   dual traversal drops node pairs whose largest possible overlap is below what a
-   link needs. Remaining pairs are verified on the sets, unless already connected.
-5. Tiles give star edges; connected components give the smallest reachable doc_id.
+4. In a tile, members are put into classes by set size; each class has a signature
+   tree whose nodes hold OR-combined token bitmaps and size ranges. The dual traversal
+   drops node pairs whose largest possible overlap is below what a link needs. Members
+   joined by remaining pairs form groups; a group found in several tiles is kept once.
+5. The sets of group members (only these) are made again and the groups' pairs are
+   verified by a second, finer tree and the sets themselves, unless already connected.
+6. Groups give star edges; connected components give the smallest reachable doc_id.
 
 Defined results: null or empty text has size 0 and links with nothing (its own
 component). Rows with one doc_id are one document: their links are joined. A null
@@ -28,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +46,9 @@ THRESHOLD = 90  # per cent
 SKETCH = 1 << 18
 #: Shingles of one side of a tile (8 bytes each).
 CHUNK = 1 << 20
-#: Bitmap bits per shingle of the largest member; fan-out of a tree node.
-BITS = 32
+#: Bitmap bits per shingle: of the tiles' bitmaps, and of those made from whole sets.
+TILE_BITS, SET_BITS = 2, 32
+#: Fan-out of a tree node.
 FAN = 8
 CACHE_WORDS = 300_000
 
@@ -70,20 +74,31 @@ class Shingler:
     def __init__(self, k: int):
         self.k, self._words = k, _WordHashes()
 
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()  # on bytes: A-Z only, and blanks and 9 to 13 only
-        if not words:
-            return np.empty(0, dtype=np.uint64)
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self._words) > CACHE_WORDS:
             self._words.clear()
-        h = np.fromiter(map(self._words.__getitem__, words), dtype=np.uint64, count=len(words))
-        width = min(self.k, len(h))
-        n = len(h) - width + 1
+        # On bytes, lower and split know A-Z, the blank and 9 to 13 only.
+        words = [t.lower().split() for t in texts]
+        n = [len(w) for w in words]
+        h = np.fromiter(map(self._words.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=sum(n))
+        acc = self._shingles(h, self.k)
+        out, at = [], 0
+        for size in n:
+            if size >= self.k:
+                out.append(np.unique(acc[at:at + size - self.k + 1]))
+            else:  # the whole sequence as one, or nothing
+                out.append(self._shingles(h[at:at + size], size) if size else np.empty(0, dtype=np.uint64))
+            at += size
+        return out
+
+    @staticmethod
+    def _shingles(h: np.ndarray, width: int) -> np.ndarray:
+        n = max(len(h) - width + 1, 0)
         # The width is part of the hash: a short text equals no shingle of a longer one.
         acc = np.full(n, width, dtype=np.uint64)
         for i in range(width):
-            acc = mix64(acc * _P + h[i:i + n])
-        return np.unique(acc)
+            acc = (acc ^ (acc >> np.uint64(29))) * _P + h[i:i + n]
+        return mix64(acc)
 
 
 def prefix_size(n: int, threshold: int) -> int:
@@ -100,8 +115,8 @@ def shingle_ranks(docs: DataFrame, k: int, size: int = SKETCH) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, total = Shingler(k), np.zeros(size, dtype=np.int64)
         for b in small(batches):
-            for t in b.column(1).to_pylist():
-                np.add.at(total, (shingles(t) & np.uint64(size - 1)).astype(np.int64), 1)
+            sets = np.concatenate(shingles(b.column(1).to_pylist()))
+            total += np.bincount((sets & np.uint64(size - 1)).astype(np.int64), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["b", "n"])
 
@@ -111,29 +126,41 @@ def shingle_ranks(docs: DataFrame, k: int, size: int = SKETCH) -> np.ndarray:
     return np.minimum(ranks, 2**31 - 1).astype(np.int32)
 
 
+def bitmap(shingles: np.ndarray, per_shingle: int) -> np.ndarray:
+    """One bit per hash; as many as the next power of two of ``per_shingle`` times the set's size."""
+    bits = max(64, 1 << (per_shingle * len(shingles) - 1).bit_length())
+    flags = np.zeros(bits, dtype=bool)
+    flags[(shingles & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(flags).view(np.uint64)
+
+
 def signatures(docs: DataFrame, ranks, k: int, threshold: int) -> DataFrame:
-    """``doc_id, n, fp, prefix``; ``ranks`` is a broadcast of :func:`shingle_ranks`."""
+    """``doc_id, n, fp, prefix, bits``; ``ranks`` is a broadcast of :func:`shingle_ranks`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, rank = Shingler(k), ranks.value
+        shingles, rank = Shingler(k), np.minimum(ranks.value, (1 << 20) - 1).astype(np.uint64)
         mask = np.uint64(len(rank) - 1)
         for b in small(batches):
-            n, fp, prefix = [], [], []
-            for t in b.column(1).to_pylist():
-                s = shingles(t)
+            n, fp, prefix, bits = [], [], [], []
+            for s in shingles(b.column(1).to_pylist()):
                 n.append(len(s))
                 if len(s):
-                    order = np.lexsort((s, rank[(s & mask).astype(np.int64)]))
-                    prefix.append(s[order[:prefix_size(len(s), threshold)]].tobytes())
+                    # Rank first, then hash: the same order for every document.
+                    order = (rank[(s & mask).astype(np.int64)] << np.uint64(44)) | (s >> np.uint64(20))
+                    size = prefix_size(len(s), threshold)
+                    first = np.argpartition(order, size - 1)[:size] if size < len(s) else slice(None)
+                    prefix.append(s[first].tobytes())
                     fp.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    bits.append(bitmap(s, TILE_BITS).tobytes())
                 else:
                     prefix.append(b"")
                     fp.append(None)
+                    bits.append(b"")
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(prefix, pa.binary())],
-                names=["doc_id", "n", "fp", "prefix"])
+                [b.column(0), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in (fp, prefix, bits)]],
+                names=["doc_id", "n", "fp", "prefix", "bits"])
 
-    return _texts(docs).mapInArrow(run, "doc_id long, n long, fp binary, prefix binary")
+    return _texts(docs).mapInArrow(run, "doc_id long, n long, fp binary, prefix binary, bits binary")
 
 
 def _prefix_rows(reps: DataFrame) -> DataFrame:
@@ -154,13 +181,10 @@ def _prefix_rows(reps: DataFrame) -> DataFrame:
 class SignatureTree:
     """Members (sorted by size) under nodes with OR-combined bitmaps and size ranges."""
 
-    def __init__(self, sets: list[np.ndarray], bits: int):
-        words = bits // 64
-        low = np.zeros((len(sets), words), dtype=np.uint64)
-        for i, s in enumerate(sets):
-            at = s & np.uint64(bits - 1)
-            np.bitwise_or.at(low[i], (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-        size = np.array([len(s) for s in sets], dtype=np.int64)
+    def __init__(self, bitmaps: list[np.ndarray], sizes: list[int], words: int):
+        # A wider bitmap is folded: its bit numbers are hashes modulo a power of two.
+        low = np.stack([np.bitwise_or.reduce(m.reshape(-1, words), axis=0) if len(m) > words else m for m in bitmaps])
+        size = np.array(sizes, dtype=np.int64)
         # Several shingles on one bit: so many more than common bits can two sets share.
         extra = size - np.bitwise_count(low).sum(axis=1, dtype=np.int64)
         self.levels = [(low, size, size, extra)]
@@ -224,107 +248,147 @@ def size_class(n: int, threshold: int) -> int:
     return int(math.log(n) / -math.log(threshold / 100) + 1e-9)
 
 
-def link_tile(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]] | None, threshold: int) -> list[tuple[int, int]]:
-    """Star edges (member, smaller member) of the links within ``left``, or between
-    ``left`` and ``right``. A member is (id, sorted shingle hashes)."""
-    members = left + (right or [])
-    root = np.arange(len(members))
-    sets = [m[1] for m in members]
+class Linker:
+    """Union-find over members: (id, set size, bitmap). ``confirm(i, j)`` decides a pair
+    that the trees leave; without it every such pair joins."""
+
+    def __init__(self, members: list[tuple[int, int, np.ndarray]], threshold: int, confirm=None):
+        self.members, self.threshold, self.confirm = members, threshold, confirm
+        self.root = list(range(len(members)))
 
-    def find(i):
+    def find(self, i: int) -> int:
+        root = self.root
         while root[i] != i:
             root[i] = root[root[i]]
             i = root[i]
         return i
 
-    def classes(lo, hi):
+    def _classes(self, lo: int, hi: int) -> dict[int, list[int]]:
         out: dict[int, list[int]] = {}
-        for i in sorted(range(lo, hi), key=lambda i: (len(sets[i]), int(sets[i][0]))):
-            out.setdefault(size_class(len(sets[i]), threshold), []).append(i)
+        # Equal sizes by bitmap: similar sets tend to share a node.
+        for i in sorted(range(lo, hi), key=lambda i: (self.members[i][1], self.members[i][2].tobytes())):
+            out.setdefault(size_class(self.members[i][1], self.threshold), []).append(i)
         return out
 
-    a = classes(0, len(left))
-    b = a if right is None else classes(len(left), len(members))
-    trees: dict = {}
-
-    def tree(cls, ids, bits):
-        key = (id(cls), ids[0], bits)
-        if key not in trees:
-            trees[key] = SignatureTree([sets[i] for i in ids], bits)
-        return trees[key]
-
-    for c, own in sorted(a.items()):
-        for d in ((c, c + 1, c + 2) if right is None else (c - 2, c - 1, c, c + 1, c + 2)):  # a border class more, against rounding
-            other = b.get(d)
-            if not other:
-                continue
-            same = right is None and c == d
-            if same and len(own) < 2:
-                continue
-            bits = max(64, 1 << (BITS * max(len(sets[own[-1]]), len(sets[other[-1]])) - 1).bit_length())
-            x = tree(a, own, bits)
-            y = x if same else tree(b, other, bits)
-            own_ids, other_ids = np.array(own), np.array(other)
-            for i, j in candidates(x, y, same, threshold):
-                i, j = own_ids[i], other_ids[j]
-                for s in range(0, len(i), 256):
-                    for p, q in zip(i[s:s + 256].tolist(), j[s:s + 256].tolist()):
-                        rp, rq = find(p), find(q)
-                        if rp == rq:
-                            continue
-                        small, large = (sets[p], sets[q]) if len(sets[p]) < len(sets[q]) else (sets[q], sets[p])
-                        at = np.searchsorted(large, small)
-                        at[at == len(large)] = 0
-                        both = int((large[at] == small).sum())
-                        if 100 * both >= threshold * (len(small) + len(large) - both):
-                            root[max(rp, rq)] = min(rp, rq)
-    groups: dict[int, list[int]] = {}
-    for i in range(len(members)):
-        groups.setdefault(find(i), []).append(members[i][0])
-    return [(m, min(g)) for g in groups.values() if len(g) > 1 for m in g if m != min(g)]
-
-
-def _tile_edges(tiles: DataFrame, threshold: int) -> DataFrame:
-    """Tiles arrive sorted by (token, ci, cj); one tile at a time is in memory."""
+    def _tree(self, ids: list[int], words: int) -> SignatureTree:
+        return SignatureTree([self.members[i][2] for i in ids], [self.members[i][1] for i in ids], words)
+
+    def _join(self, x: list[int], y: list[int], same: bool) -> None:
+        words = min(len(self.members[x[0]][2]), len(self.members[y[0]][2]))
+        tx = self._tree(x, words)
+        ty = tx if same else self._tree(y, words)
+        ax, ay = np.array(x), np.array(y)
+        for i, j in candidates(tx, ty, same, self.threshold):
+            for p, q in zip(ax[i].tolist(), ay[j].tolist()):
+                rp, rq = self.find(p), self.find(q)
+                if rp != rq and (self.confirm is None or self.confirm(p, q)):
+                    self.root[max(rp, rq)] = min(rp, rq)
+
+    def run(self, split: int | None = None) -> list[list[int]]:
+        """Groups (member numbers) of linked members; with ``split``, pairs across that border only."""
+        n = len(self.members)
+        if split is None and n == 2:  # the usual case: one pair
+            self._join([0], [1], False)
+        else:
+            a = self._classes(0, n if split is None else split)
+            b = a if split is None else self._classes(split, n)
+            for c, own in sorted(a.items()):
+                # Linked sizes lie in one class or in neighbours; one class more guards against rounding.
+                for d in (c, c + 1, c + 2) if split is None else (c - 2, c - 1, c, c + 1, c + 2):
+                    other = b.get(d)
+                    if other and not (split is None and c == d and len(own) < 2):
+                        self._join(own, other, split is None and c == d)
+        groups: dict[int, list[int]] = {}
+        for i in range(n):
+            groups.setdefault(self.find(i), []).append(i)
+        return [g for g in groups.values() if len(g) > 1]
+
+
+def _tile_groups(tiles: DataFrame, threshold: int) -> DataFrame:
+    """``gid, members``: groups that bitmaps cannot tell apart. Tiles arrive sorted by
+    (token, ci, cj); one tile at a time is in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, left, right = None, [], []
-        out_a, out_b = [], []
+        found: dict[bytes, list[int]] = {}
 
         def close():
-            if key is not None:
-                if key[1] == key[2]:
-                    edges = link_tile(left, None, threshold) if len(left) > 1 else []
-                else:
-                    edges = link_tile(left, right, threshold) if left and right else []
-                out_a.extend(e[0] for e in edges)
-                out_b.extend(e[1] for e in edges)
+            if key is None:
+                return
+            cross = key[1] != key[2]
+            if (cross and not (left and right)) or len(left) + len(right) < 2:
+                return
+            members = left + right
+            for g in Linker(members, threshold).run(len(left) if cross else None):
+                ids = sorted(members[i][0] for i in g)
+                found[hashlib.blake2b(np.array(ids).tobytes(), digest_size=16).digest()] = ids
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.list_(pa.int64()))],
+                                              names=["gid", "members"])
 
         for b in small(batches):
-            for token, ci, cj, own, rep, raw in zip(*[c.to_pylist() for c in b.columns]):
+            for token, ci, cj, own, rep, n, raw in zip(*[c.to_pylist() for c in b.columns]):
                 if (token, ci, cj) != key:
                     close()
                     key, left, right = (token, ci, cj), [], []
-                (left if own == ci else right).append((rep, np.frombuffer(raw, np.uint64)))
-            if len(out_a) > 10_000:
-                yield _edges(out_a, out_b)
-                out_a.clear(), out_b.clear()
+                (left if own == ci else right).append((rep, n, np.frombuffer(raw, np.uint64)))
+            if len(found) > 5000:
+                yield rows()
+                found.clear()
         close()
-        yield _edges(out_a, out_b)
+        yield rows()
 
-    return tiles.select("token", "ci", "cj", "own", "rep", "set").mapInArrow(run, "a long, b long")
+    return tiles.select("token", "ci", "cj", "own", "rep", "n", "bits").mapInArrow(run, "gid binary, members array<long>")
 
 
-def _edges(a, b):
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _group_edges(groups: DataFrame, threshold: int) -> DataFrame:
+    """Star edges of the verified links of groups that arrive sorted by gid."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, sets = None, [], []
+        a, b = [], []
+
+        def confirm(p: int, q: int) -> bool:
+            less, more = (sets[p], sets[q]) if len(sets[p]) < len(sets[q]) else (sets[q], sets[p])
+            at = np.searchsorted(more, less)
+            at[at == len(more)] = 0
+            both = int((more[at] == less).sum())
+            return 100 * both >= threshold * (len(less) + len(more) - both)
+
+        def close():
+            if len(ids) > 1:
+                members = [(i, len(s), bitmap(s, SET_BITS)) for i, s in zip(ids, sets)]
+                for g in Linker(members, threshold, confirm).run():
+                    low = min(ids[i] for i in g)
+                    for i in g:
+                        if ids[i] != low:
+                            a.append(ids[i]), b.append(low)
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in small(batches):
+            for gid, rep, raw in zip(*[c.to_pylist() for c in batch.columns]):
+                if gid != key:
+                    close()
+                    key, ids, sets = gid, [], []
+                ids.append(rep), sets.append(np.frombuffer(raw, np.uint64))
+            if len(a) > 10_000:
+                yield rows()
+                a.clear(), b.clear()
+        close()
+        yield rows()
+
+    return groups.select("gid", "rep", "set").mapInArrow(run, "a long, b long")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(k)
         for b in small(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())],
-                                             names=["doc_id", "set"])
+            sets = [s.tobytes() for s in shingles(b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["doc_id", "set"])
 
     return _texts(docs).mapInArrow(run, "doc_id long, set binary")
 
@@ -336,24 +400,29 @@ def ngram_join(docs: DataFrame, k: int = K, threshold: int = THRESHOLD, chunk: i
     ranks = spark.sparkContext.broadcast(shingle_ranks(docs, k))
     sig = stage(signatures(docs, ranks, k, threshold), "ngram-signatures")
     reps = sig.filter("fp IS NOT NULL").groupBy("fp").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("copies"))
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
+        F.first("bits").alias("bits"), F.count("*").alias("copies"))
     reps = stage(reps, "ngram-reps")
     rows = _prefix_rows(reps.filter("rep IS NOT NULL"))
-    # Blocks: shingles that begin the prefix of two sets or more; equal blocks once.
-    blocks = rows.groupBy("token").agg(F.count("*").alias("c"), F.sum("n").alias("total"), F.sum(F.xxhash64("rep").cast("decimal(28,0)")).alias("who"))
+    # Blocks: shingles that two prefixes or more hold; blocks of the same members once.
+    blocks = rows.groupBy("token").agg(F.count("*").alias("c"), F.sum("n").alias("total"),
+                                       F.sum(F.xxhash64("rep").cast("decimal(28,0)")).alias("who"))
     blocks = blocks.filter("c > 1").groupBy("c", "total", "who").agg(F.min("token").alias("_t"))
     blocks = stage(blocks.select("_t", F.ceil(F.col("total") / chunk).cast("int").alias("parts")), "ngram-blocks")
     hit = rows.join(blocks, F.col("token") == F.col("_t")).select("token", "rep", "parts")
     hit = hit.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     hit = hit.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    hit = stage(hit.select("token", "rep", "own", F.least("own", "_j").alias("ci"), F.greatest("own", "_j").alias("cj")), "ngram-hits")
-    # The sets of the members only, made again from their texts.
-    members = hit.select("rep").distinct()
-    texts = docs.join(members, docs["doc_id"] == members["rep"], "left_semi").dropDuplicates(["doc_id", "text"])
-    sets = stage(shingle_sets(texts, k).filter(F.length("set") > 0), "ngram-sets")
-    tiles = hit.join(sets, hit["rep"] == sets["doc_id"]).select("token", "ci", "cj", "own", "rep", "set")
+    hit = hit.select("token", F.col("rep").alias("_r"), "own", F.least("own", "_j").alias("ci"), F.greatest("own", "_j").alias("cj"))
+    tiles = hit.join(reps.select("rep", "n", "bits"), F.col("_r") == F.col("rep"))
     tiles = tiles.repartition("token", "ci", "cj").sortWithinPartitions("token", "ci", "cj")
-    found = components(_tile_edges(tiles, threshold))
+    groups = stage(_tile_groups(tiles, threshold).dropDuplicates(["gid"]), "ngram-groups")
+    members = groups.select("gid", F.explode("members").alias("rep"))
+    # The sets of group members only, made again from their texts.
+    wanted = stage(members.select("rep").distinct(), "ngram-members")
+    texts = docs.join(wanted, docs["doc_id"] == wanted["rep"], "left_semi").dropDuplicates(["doc_id", "text"])
+    sets = stage(shingle_sets(texts, k).filter(F.length("set") > 0), "ngram-sets")
+    together = members.join(sets, members["rep"] == sets["doc_id"]).select("gid", "rep", "set")
+    found = components(_group_edges(together.repartition("gid").sortWithinPartitions("gid"), threshold))
     # A set's component: that of its representative.
     classes = reps.select("fp", "rep", "copies").join(found, F.col("rep") == F.col("node"), "left")
     classes = classes.select(F.col("fp").alias("_fp"), F.coalesce("component", "rep").alias("_c"), "rep", "copies").filter("copies > 1 OR _c <> rep")
