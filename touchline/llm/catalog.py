@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import (
+    embedding_graph,
     license_scan,
     ngram_join,
     packing_bfd,
@@ -33,6 +34,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(read(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_graph.embedding_links(read(spark, sf_dir, "embeddings"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(read(spark, sf_dir, "documents"), with_text=False).drop("kept")
 
@@ -69,6 +74,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_warc": op2_warc,
     "op3_license_scan": op3_license_scan,
+    "op4_embedding_graph": op4_embedding_graph,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_source_mix": op7_source_mix,
