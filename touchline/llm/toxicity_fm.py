@@ -159,7 +159,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     # At most sample_rows rows of (id, label): a broadcast with a bound.
     sample = lab.orderBy(F.xxhash64("_id"), "_id", "y").limit(sample_rows)
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("y", "text", "_id")
-    got = _hashed(joined.limit(2 * sample_rows)).collect()  # a sampled id may stand for repeated rows
+    # One row per sampled id, spread over tasks by it: what is collected has the same bound.
+    got = _hashed(joined.dropDuplicates(["_id"])).collect()
     got = sorted((r["ids"], r["y"]) for r in got)
     return fit([np.frombuffer(bytes(i), dtype=np.int32) for i, _ in got], np.array([y for _, y in got]))
 
