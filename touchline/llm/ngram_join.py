@@ -5,11 +5,12 @@ documents link when ``100 * intersection >= threshold * union``. All links betwe
 different texts count; the result is one row per document with its component.
 
 1. A count sketch of fixed size gives every shingle a global rank, rare first.
-2. One pass makes (doc_id, set size, set fingerprint, prefix): the prefix holds the
-   n - ceil(t n) + 1 first shingles in rank order, of which linked sets share one.
-   Equal sets collapse to one representative by a partial aggregate.
-3. Representatives that share a prefix shingle form a block. Blocks with the same
-   members are kept once. A block is dealt over as many tiles as its size asks for
+2. One pass makes (doc_id, set size, set fingerprint, prefix). Of the p = n - ceil(t n) + 1
+   first shingles in rank order linked sets share one, and of the p + l - 1 first ones
+   they share l. Equal sets collapse to one representative by a partial aggregate.
+3. A representative of whose p + l - 1 first shingles fewer than l occur in any other
+   prefix links with nothing and goes no further. The others form a block for each of
+   their p first shingles that two of them hold; blocks of the same members are kept once. A block is dealt over as many tiles as its size asks for
    (chunk pairs), so no block is ever in one task whole; a tile has a size bound.
 4. In a tile, members are put into classes by set size; each class has a signature
    tree whose nodes hold OR-combined token bitmaps and size ranges. The dual traversal
@@ -105,6 +106,15 @@ def prefix_size(n: int, threshold: int) -> int:
     return n - -(-threshold * n // 100) + 1
 
 
+def shared_needed(n: int, threshold: int) -> int:
+    """l: so many shingles of its extended prefix a set shares with any linked one."""
+    return (prefix_size(n, threshold) + 1) // 2
+
+
+def extended_size(n: int, threshold: int) -> int:
+    return prefix_size(n, threshold) + shared_needed(n, threshold) - 1
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().cast("binary").alias("t"))
 
@@ -147,9 +157,9 @@ def signatures(docs: DataFrame, ranks, k: int, threshold: int) -> DataFrame:
                 if len(s):
                     # Rank first, then hash: the same order for every document.
                     order = (rank[(s & mask).astype(np.int64)] << np.uint64(44)) | (s >> np.uint64(20))
-                    size = prefix_size(len(s), threshold)
-                    first = np.argpartition(order, size - 1)[:size] if size < len(s) else slice(None)
-                    prefix.append(s[first].tobytes())
+                    size = extended_size(len(s), threshold)
+                    first = np.argpartition(order, size - 1)[:size] if size < len(s) else np.arange(len(s))
+                    prefix.append(s[first[np.argsort(order[first])]].tobytes())
                     fp.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     bits.append(bitmap(s, TILE_BITS).tobytes())
                 else:
@@ -163,19 +173,22 @@ def signatures(docs: DataFrame, ranks, k: int, threshold: int) -> DataFrame:
     return _texts(docs).mapInArrow(run, "doc_id long, n long, fp binary, prefix binary, bits binary")
 
 
-def _prefix_rows(reps: DataFrame) -> DataFrame:
+def _prefix_rows(reps: DataFrame, threshold: int, extended: bool) -> DataFrame:
+    """``token, rep, n, need``: a row per prefix shingle, of the extended prefix or of the first p only."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            sets = [np.frombuffer(p, np.int64) for p in b.column(2).to_pylist()]
-            size = np.array([len(s) for s in sets])
-            if not size.sum():
-                continue
-            token = np.concatenate(sets)
             rep, n = b.column(0).to_numpy(), b.column(1).to_numpy()
+            sets = [np.frombuffer(p, np.int64) for p in b.column(2).to_pylist()]
+            if not extended:
+                sets = [s[:prefix_size(size, threshold)] for s, size in zip(sets, n.tolist())]
+            count = np.array([len(s) for s in sets])
+            need = np.array([shared_needed(size, threshold) for size in n.tolist()])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token), pa.array(np.repeat(rep, size)), pa.array(np.repeat(n, size))], names=["token", "rep", "n"])
+                [pa.array(np.concatenate(sets)), *[pa.array(np.repeat(x, count)) for x in (rep, n, need)]],
+                names=["token", "rep", "n", "need"])
 
-    return reps.select("rep", "n", "prefix").mapInArrow(run, "token long, rep long, n long")
+    return reps.select("rep", "n", "prefix").mapInArrow(run, "token long, rep long, n long, need long")
 
 
 class SignatureTree:
@@ -403,8 +416,13 @@ def ngram_join(docs: DataFrame, k: int = K, threshold: int = THRESHOLD, chunk: i
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
         F.first("bits").alias("bits"), F.count("*").alias("copies"))
     reps = stage(reps, "ngram-reps")
-    rows = _prefix_rows(reps.filter("rep IS NOT NULL"))
-    # Blocks: shingles that two prefixes or more hold; blocks of the same members once.
+    named = reps.filter("rep IS NOT NULL")
+    rows = _prefix_rows(named, threshold, extended=True)
+    common = stage(rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("token").alias("_t")), "ngram-common")
+    likely = rows.join(common, F.col("token") == F.col("_t")).groupBy("rep").agg(F.count("*").alias("c"), F.first("need").alias("need"))
+    likely = stage(likely.filter("c >= need").select(F.col("rep").alias("_l")), "ngram-likely")
+    rows = _prefix_rows(named.join(likely, F.col("rep") == F.col("_l"), "left_semi"), threshold, extended=False)
+    # Blocks: shingles that two of these prefixes or more hold; blocks of the same members once.
     blocks = rows.groupBy("token").agg(F.count("*").alias("c"), F.sum("n").alias("total"),
                                        F.sum(F.xxhash64("rep").cast("decimal(28,0)")).alias("who"))
     blocks = blocks.filter("c > 1").groupBy("c", "total", "who").agg(F.min("token").alias("_t"))
