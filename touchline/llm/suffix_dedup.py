@@ -34,6 +34,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ from touchline.llm.common import text_or_empty
 WINDOW = 50
 GRAM = 16
 #: Text bytes of one chunk, on average.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 #: Text bytes per anchor bucket.
 BUCKET_BYTES = 16 << 20
 #: From so many documents on, an anchor's windows are sent one by one.
@@ -56,6 +57,8 @@ NO_BYTE = 256
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _POS = np.uint64((1 << 22) - 1)
+#: Anchor hashes have 48 bits.
+_HASH = np.uint64((1 << 48) - 1)
 
 
 def _u(n: int) -> np.uint64:
@@ -81,8 +84,9 @@ def slab_anchors(a: np.ndarray, begin: np.ndarray, window: int, gram: int):
     h ^= h >> _u(32)
     h *= _P
     h ^= h >> _u(29)
+    h &= _HASH
     # Least hash, leftmost at ties: the position takes the place of the lowest bits.
-    m = (h & ~_POS) | np.arange(n, dtype=np.uint64)
+    m = (h << _u(16) & ~_POS) | np.arange(n, dtype=np.uint64)
     width, span = window - gram + 1, 1
     while span * 2 <= width:
         m = np.minimum(m[:-span], m[span:])
@@ -267,11 +271,35 @@ class Chunk:
         np.maximum.at(self.high, ctx, ids[d])
 
 
+def _pack(data: bytes) -> bytes:
+    """Messages are compressed better than shuffle files are by default."""
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+#: A maximal repeat group's occurrence as a chunk is told it.
+GROUP = np.dtype([("ctx", "<u4"), ("off", "<u2"), ("len", "<u2"), ("low", "<i8")])
+
+
+def _short(h: np.ndarray) -> bytes:
+    """Hashes as six bytes each. They choose what is looked at; equality is decided on the texts."""
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _long(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
 def _told(messages: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     told, hot = [], []
     for kind, data in zip(messages.column("kind").to_pylist(), messages.column("data").to_pylist()):
         if kind < 2:
-            (told if kind == 0 else hot).append(np.frombuffer(data, np.uint64))
+            (told if kind == 0 else hot).append(_long(data))
     none = np.empty(0, np.uint64)
     return np.unique(np.concatenate([none, *told, *hot])), np.unique(np.concatenate([none, *hot]))
 
@@ -305,7 +333,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
                 for part, several in ((at[count[at] == 1], False), (at[count[at] > 1], True)):
                     if len(part):
                         counts = count[part].astype(np.uint32).tobytes() if several else b""
-                        for c, v in zip(cols, (b, own, distinct[part].tobytes(), counts)):
+                        for c, v in zip(cols, (b, own, _short(distinct[part]), counts)):
                             c.append(v)
         return pa.Table.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()),
                                      pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())],
@@ -314,7 +342,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
     def shared(table: pa.Table) -> pa.Table:
         h, n, src, several = [], [], [], []
         for c, data, counts in zip(*[table.column(x).to_pylist() for x in ("chunk", "hashes", "counts")]):
-            a = np.frombuffer(data, np.uint64)
+            a = _long(data)
             h.append(a), src.append(np.full(len(a), c)), several.append(np.full(len(a), bool(counts)))
             n.append(np.frombuffer(counts, np.uint32).astype(np.int64) if counts else np.ones(len(a), np.int64))
         h, n, src, several = (np.concatenate(x) for x in (h, n, src, several))
@@ -324,7 +352,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
         for kind, pick in ((0, (docs_of > 1) & ~several & (docs_of < hot_docs)), (1, docs_of >= hot_docs)):
             at = np.flatnonzero(pick)
             for c, part in _split(src[at]):
-                for col, v in zip(cols, (c, kind, h[at[part]].tobytes())):
+                for col, v in zip(cols, (c, kind, _short(h[at[part]]))):
                     col.append(v)
         return pa.Table.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())],
                                     names=["chunk", "kind", "data"])
@@ -337,9 +365,11 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
             own = table.column("chunk")[0].as_py()
             if len(c.texts):
                 for b, at in _split((c.key % _u(buckets)).astype(np.int64)):
+                    at = at[np.argsort(c.key[at], kind="stable")]  # texts of one anchor are alike
                     parts = [c.texts[i] for i in at.tolist()]
-                    row = (b, own, b"".join(parts), np.array([len(p) for p in parts], np.uint8).tobytes(),
-                           np.stack([at, c.low[at], c.high[at]]).astype(np.int64).tobytes(), c.key[at].tobytes())
+                    info = np.stack([at, c.low[at], c.high[at]]).astype(np.int64)
+                    row = (b, own, _pack(b"".join(parts)), _pack(np.array([len(p) for p in parts], np.uint8).tobytes()),
+                           _pack(info.tobytes()), _pack(c.key[at].tobytes()))
                     for col, v in zip(cols, row):
                         col.append(v)
         kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
@@ -349,6 +379,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
         number: dict[bytes, int] = {}
         ctx, src, info, keys = [], [], [], []
         for c, texts, lens, raw, key in zip(*[table.column(x).to_pylist() for x in ("chunk", "texts", "lens", "info", "keys")]):
+            texts, lens, raw, key = map(_unpack, (texts, lens, raw, key))
             at = 0
             for n in lens:
                 ctx.append(number.setdefault(texts[at:at + n], len(number)))
@@ -386,8 +417,9 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
         at, member = at[use], member[use]
         cols = [[], [], []]
         for s, p in _split(src[member]) if len(member) else []:
-            data = np.stack([info[0][member[p]], o[at[p]], n[at[p]], m[at[p]]]).astype(np.int64)
-            for col, v in zip(cols, (s, 2, data.tobytes())):
+            data = np.empty(len(p), dtype=GROUP)
+            data["ctx"], data["off"], data["len"], data["low"] = info[0][member[p]], o[at[p]], n[at[p]], m[at[p]]
+            for col, v in zip(cols, (s, 2, _pack(data.tobytes()))):
                 col.append(v)
         return pa.Table.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())],
                                     names=["chunk", "kind", "data"])
@@ -397,11 +429,12 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
         size = np.array([len(t) for t in texts], dtype=np.int64)
         begin = np.concatenate(([0], np.cumsum(size)))
         gone = np.zeros(begin[-1] + 1, dtype=np.int32)
-        groups = [np.frombuffer(d, np.int64).reshape(4, -1) for k, d in
+        groups = [np.frombuffer(_unpack(d), GROUP) for k, d in
                   zip(messages.column("kind").to_pylist(), messages.column("data").to_pylist()) if k == 2]
         if groups:
             c = Chunk(ids, texts, *_told(messages), window, gram)
-            which, o, n, m = np.concatenate(groups, axis=1)
+            told = np.concatenate(groups)
+            which, o, n, m = (told[f].astype(np.int64) for f in ("ctx", "off", "len", "low"))
             by = np.argsort(which, kind="stable")
             which, o, n, m = which[by], o[by], n[by], m[by]
             lo, hi = np.searchsorted(which, c.ctx, side="left"), np.searchsorted(which, c.ctx, side="right")
