@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import small, stage, text_or_empty
+from touchline.llm.common import bound_batches, small, stage, text_or_empty
 from touchline.llm.graph import components
 
 K = 3
@@ -409,6 +409,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
 def ngram_join(docs: DataFrame, k: int = K, threshold: int = THRESHOLD, chunk: int = CHUNK) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = docs.select("doc_id", "text")
     ranks = spark.sparkContext.broadcast(shingle_ranks(docs, k))
     sig = stage(signatures(docs, ranks, k, threshold), "ngram-signatures")

@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import small, text_or_empty
+from touchline.llm.common import bound_batches, small, text_or_empty
 
 #: Words one task keeps; the cache is begun anew beyond that (results are the same).
-CACHE_WORDS = 250_000
+CACHE_WORDS = 150_000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 
@@ -103,6 +103,7 @@ TOKEN_COLUMNS = "doc_id long, n_tokens long, ids binary"
 
 def texts(docs: DataFrame) -> DataFrame:
     """``doc_id, t``: what :func:`encode` reads; null text is empty."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().cast("binary").alias("t"))
 
 

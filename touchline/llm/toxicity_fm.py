@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import small, text_or_empty
+from touchline.llm.common import bound_batches, small, text_or_empty
 
 BUCKETS = 1 << 18
 FACTORS = 4
@@ -167,6 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` plus ``toxicity`` (0 to 1), one row per input row."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     temp = "_toxicity_text"

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import stage
+from touchline.llm.common import bound_batches, stage
 from touchline.session import shared_dir
 
 # The field lines of the two ARC versions, and protocol texts.
@@ -166,6 +166,7 @@ def pages_to_arc(pages: DataFrame, records: int = ARC_RECORDS) -> DataFrame:
                 made += 1
                 yield _batch([{"path": name, "content": content}], ARC_SCHEMA)
 
+    bound_batches(pages.sparkSession)
     p = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("html"))
     return p.mapInArrow(run, ARC_SCHEMA)
 
