@@ -72,9 +72,19 @@ def ball_in_field(ball_df: DataFrame) -> DataFrame:
 
 
 def latest_ball_state(flagged: DataFrame) -> DataFrame:
-    """Newest ball row per match by (wall clock, frame), via ``max_by``."""
-    newest = F.max_by(F.struct(*STATE_COLUMNS), F.struct("wall_ms", "frame_idx"))
-    return flagged.groupBy("match_id").agg(newest.alias("s")).select(
+    """Newest ball row per match by (wall clock, frame).
+
+    Three hash aggregates instead of one over structs, which would sort all rows: the
+    largest clock of a match, its largest frame, and one of the rows that have both.
+    Only the candidates (rows at a match's last clock) are joined back; the join key
+    holds the clock, so a hot match is not one task's. Rows without a clock count as
+    oldest: a match of only such rows has no newest row.
+    """
+    rows = flagged.where(F.col("wall_ms").isNotNull()).select("match_id", *STATE_COLUMNS)
+    clock = rows.groupBy("match_id").agg(F.max("wall_ms").alias("_ms")).withColumnRenamed("match_id", "_m")
+    last = rows.join(clock, F.col("match_id").eqNullSafe(F.col("_m")) & (F.col("wall_ms") == F.col("_ms"))).drop("_m", "_ms")
+    newest = F.max_by(F.struct(*STATE_COLUMNS), F.struct("frame_idx", "ball_status", "x", "y"))
+    return last.groupBy("match_id").agg(newest.alias("s")).select(
         "match_id", *[F.col(f"s.{c}").alias(c) for c in STATE_COLUMNS]
     )
 

@@ -4,7 +4,7 @@ The reference polls the newest stored row every 3 s and compares it with three
 driver variables, so it misses changes between polls. Here every row is compared
 with the match's previous row (by wall clock, then frame), starting from the
 initial state below, in one distributed plan: the previous values come from
-:func:`touchline.operators.sequence.with_previous`, bucketed by frame counter so
+:func:`touchline.operators.sequence.with_previous`, bucketed by wall-clock slots so
 a long match is never a single task. A row may yield up to three events, in the order
 status, area, field; a null flag yields none and leaves the state as it was.
 
@@ -25,7 +25,9 @@ from touchline.functions.geometry import (
     restart_spot,
     restart_team,
 )
-from touchline.operators.sequence import frame_bucket, with_previous
+from touchline.operators.ball import SAMPLE_MS, ball_flags, sampled_ball_state
+from touchline.operators.joins import join_lookup
+from touchline.operators.sequence import SLOT_SECONDS, time_slot, with_previous
 
 # The state before a match's first row.
 INITIAL_STATUS = "Alive"
@@ -40,6 +42,8 @@ MSG_FIELD_REENTERED = "Timestamp: {ts}; Ball is back on the field!; Position: {p
 MSG_FIELD_LEFT = "Timestamp: {ts}; Ball is outside of the field!; {restart} for {team} team; Position: {pos}"
 
 ORDER = ["wall_ms", "frame_idx"]
+#: Per-match pitch size, carried to the restart rule where the rows have it.
+PITCH_COLUMNS = ["pitch_length", "pitch_width"]
 
 
 def _render(template: str, **parts: Column) -> Column:
@@ -87,7 +91,8 @@ def events_from_previous(rows: DataFrame) -> DataFrame:
         ),
         lambda e: e.isNotNull(),
     )
-    return rows.select("match_id", "wall_ms", "frame_idx", "x", "y", "ball_team", F.inline(found))
+    pitch = [c for c in PITCH_COLUMNS if c in rows.columns]
+    return rows.select("match_id", "wall_ms", "frame_idx", "x", "y", "ball_team", *pitch, F.inline(found))
 
 
 def decorate_events(raw: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M) -> DataFrame:
@@ -120,18 +125,46 @@ def decorate_events(raw: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M)
     )
 
 
-def live_events(flagged: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M) -> DataFrame:
+def live_events(flagged: DataFrame, length=PITCH_LENGTH_M, width=PITCH_WIDTH_M,
+                slot_seconds: float = SLOT_SECONDS) -> DataFrame:
     """Flagged ball rows (see :func:`touchline.operators.ball.ball_flags`) → events.
 
-    The match sequence is bucketed by frame counter (one ball row per frame), so
-    the frame index must rise with the wall clock, as a feed's frame counter does.
+    Rows are ordered by wall clock, the frame index breaking ties (it may restart or be
+    null). Rows without a clock have no place in the order: :func:`unordered` returns them.
     """
+    ordered = flagged.where(F.col("wall_ms").isNotNull())
     rows = with_previous(
-        flagged, ["match_id"], ORDER, frame_bucket(), ["ball_status", "in_box", "in_field"], ignore_nulls=True
+        ordered, ["match_id"], ORDER, time_slot("wall_ms", slot_seconds * 1000.0),
+        ["ball_status", "in_box", "in_field"], ignore_nulls=True,
     )
     return decorate_events(events_from_previous(rows), length, width)
 
 
+def unordered(flagged: DataFrame) -> DataFrame:
+    """The rows that :func:`live_events` cannot place: those without a wall clock."""
+    return flagged.where(F.col("wall_ms").isNull())
+
+
+def live_events_by_pitch(ball_df: DataFrame, metadata: DataFrame, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
+    """Live events with each match's own pitch size for the area, the field and the
+    restart spot; matches without metadata have the default pitch."""
+    sized = with_pitch(ball_df, metadata)
+    length, width = F.col("pitch_length"), F.col("pitch_width")
+    return live_events(ball_flags(sized, length, width), length, width, slot_seconds)
+
+
+def with_pitch(ball_df: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Ball rows (batch or stream) with ``pitch_length`` and ``pitch_width`` of their match."""
+    joined = join_lookup(ball_df, metadata.select("match_id", *PITCH_COLUMNS), ["match_id"], how="left")
+    return joined.fillna({"pitch_length": PITCH_LENGTH_M, "pitch_width": PITCH_WIDTH_M})
+
+
+def sampled_live_events(flagged: DataFrame, every_ms: int = SAMPLE_MS, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
+    """Events as a poller sees them: changes between the newest rows of successive
+    ``every_ms`` windows, not between all rows."""
+    return live_events(sampled_ball_state(flagged, every_ms), slot_seconds=slot_seconds)
+
+
 def ball_out_restarts(events: DataFrame) -> DataFrame:
     """Throw-ins and corners: the ball leaving the field, with the restart spot."""
     return events.where(F.col("kind") == "FIELD_LEFT").select(

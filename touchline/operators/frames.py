@@ -18,9 +18,18 @@ from touchline.functions.clock import match_date
 from touchline.functions.geometry import PITCH_LENGTH_M, in_penalty_area
 
 
-def _frame_keys() -> list[Column]:
+def match_key(frames: DataFrame) -> Column:
+    """The match of a frame: its ``matchId`` where the input names one, else its UTC day.
+
+    Two matches of a day, or a match over midnight, need the id (from the feed, the
+    metadata element or the file name); the day is all there is without it."""
+    day = match_date(F.col("wallClock"))
+    return F.coalesce(F.col("matchId"), day) if "matchId" in frames.columns else day
+
+
+def _frame_keys(frames: DataFrame) -> list[Column]:
     return [
-        match_date(F.col("wallClock")).alias("match_date"),
+        match_key(frames).alias("match_date"),
         F.col("period"),
         F.col("frameIdx").alias("frame_idx"),
         F.col("gameClock").alias("game_clock"),
@@ -48,14 +57,14 @@ def _tagged(list_col: str, side: str) -> Column:
 def unified_players(frames: DataFrame) -> DataFrame:
     """One row per player per frame (FIXTURES.md F4), both sides, one explode."""
     both = F.concat(_tagged("homePlayers", "home"), _tagged("awayPlayers", "away"))
-    return frames.select(*_frame_keys(), F.inline(both))
+    return frames.select(*_frame_keys(frames), F.inline(both))
 
 
 def unified_ball(frames: DataFrame, length=PITCH_LENGTH_M, ends: str = "both") -> DataFrame:
     """One ball row per frame with its penalty-area flag (FIXTURES.md F5)."""
     x, y = F.get(F.col("ball.xyz"), 0), F.get(F.col("ball.xyz"), 1)
     return frames.select(
-        match_date(F.col("wallClock")).alias("match_id"),
+        match_key(frames).alias("match_id"),
         F.col("wallClock").alias("wall_ms"),
         F.col("frameIdx").alias("frame_idx"),
         "period",
@@ -84,8 +93,14 @@ def dedup_players(frames: DataFrame) -> DataFrame:
 
 
 def dedup_frames(frames: DataFrame) -> DataFrame:
-    """Drop repeated input lines once, at frame level, before any explode."""
-    return frames.dropDuplicates(["wallClock", "frameIdx", "period"])
+    """Drop repeated input lines once, at frame level, before any explode.
+
+    Two lines are the same delivery when match, clocks, frame, period and content (a
+    hash) agree; different frames under one key both stay. Rows are grouped by that
+    narrow key, one number per frame, so nested arrays are never compared."""
+    content = F.xxhash64(*[F.col(c) for c in frames.columns if c in schemas.FRAME_WITH_CORRUPT.fieldNames()])
+    keyed = frames.withColumn("__match", match_key(frames)).withColumn("__content", content)
+    return keyed.dropDuplicates(["__match", "wallClock", "frameIdx", "period", "__content"]).drop("__match", "__content")
 
 
 # -- quality gate -------------------------------------------------------------------
@@ -97,6 +112,10 @@ def _bad_players(list_col: str) -> Column:
     )
 
 
+#: Halves, extra-time halves and the shoot-out.
+PERIODS = (1, 2, 3, 4, 5)
+
+
 def quality_flags(frames: DataFrame) -> DataFrame:
     """Add one boolean column per rule. ``frames`` should come from
     :func:`touchline.sources.files.read_frames` with ``keep_corrupt=True``."""
@@ -104,8 +123,9 @@ def quality_flags(frames: DataFrame) -> DataFrame:
     return frames.select(
         "*",
         corrupt.alias("q_corrupt"),
-        (F.col("wallClock").isNull() | F.col("gameClock").isNull()).alias("q_missing_clock"),
-        F.coalesce(~F.col("period").isin(1, 2), F.lit(True)).alias("q_bad_period"),
+        # A clock out of range has no day, so it counts as missing.
+        (match_date(F.col("wallClock")).isNull() | F.col("gameClock").isNull()).alias("q_missing_clock"),
+        F.coalesce(~F.col("period").isin(*PERIODS), F.lit(True)).alias("q_bad_period"),
         (F.coalesce(F.size(F.col("ball.xyz")), F.lit(0)) < 3).alias("q_short_ball_xyz"),
         (_bad_players("homePlayers") | _bad_players("awayPlayers")).alias("q_bad_player"),
         (F.coalesce(F.size("homePlayers"), F.lit(0)) == 0).alias("q_no_home"),
@@ -118,7 +138,10 @@ RULES = BLOCKING + ["q_no_home", "q_no_away"]
 
 
 def quality_split(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted frames, quarantined frames with their failed rules)."""
+    """(accepted frames, quarantined frames with their failed rules).
+
+    The strict gate: a bad player or ball blocks its whole frame. :func:`quality_rows`
+    keeps the rest of such a frame."""
     return split_flagged(quality_flags(frames))
 
 
@@ -135,10 +158,48 @@ def split_flagged(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, quarantined
 
 
+#: Rules that leave nothing of a frame to store.
+FRAME_RULES = ["q_corrupt", "q_missing_clock", "q_bad_period"]
+REJECT_COLUMNS = ["match_date", "period", "frame_idx", "part", "side", "player_id", "reasons"]
+
+
+def quality_rows(flagged: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Row-level gate on frames with rule columns: (player rows, ball rows, rejects).
+
+    A frame without a usable clock or period, or an unreadable line, is one reject; a
+    player without an id or position and a ball without a position are a reject each,
+    and the frame's other rows stay. Every input row is in exactly one of the three.
+    """
+    bad = F.lit(False)
+    for rule in FRAME_RULES:
+        bad = bad | F.col(rule)
+    good = flagged.where(~bad)
+    none = F.lit(None).cast("string")
+
+    def reasons(*found: Column) -> Column:
+        return F.filter(F.array(*found), lambda r: r.isNotNull()).alias("reasons")
+
+    frame_rejects = flagged.where(bad).select(
+        match_key(flagged).alias("match_date"), "period", F.col("frameIdx").alias("frame_idx"),
+        F.lit("frame").alias("part"), none.alias("side"), none.alias("player_id"),
+        reasons(*[F.when(F.col(r), F.lit(r[2:])) for r in FRAME_RULES]))
+    players = unified_players(good)
+    no_id, no_place = F.col("player_id").isNull(), F.col("x").isNull() | F.col("y").isNull()
+    player_rejects = players.where(no_id | no_place).select(
+        "match_date", "period", "frame_idx", F.lit("player").alias("part"), "side", "player_id",
+        reasons(F.when(no_id, F.lit("no_player_id")), F.when(no_place, F.lit("no_position"))))
+    ball_rows = unified_ball(good)
+    ball_rejects = ball_rows.where(no_place).select(
+        F.col("match_id").alias("match_date"), "period", "frame_idx", F.lit("ball").alias("part"), none.alias("side"),
+        none.alias("player_id"), reasons(F.lit("no_position")))
+    rejects = frame_rejects.unionByName(player_rejects).unionByName(ball_rejects)
+    return players.where(~no_id & ~no_place), ball_rows.where(~no_place), rejects
+
+
 def frame_quality_report(frames: DataFrame) -> DataFrame:
     """Per match: frames read and how many break each rule."""
     flagged = quality_flags(frames)
     counts = [F.count(F.when(F.col(r), 1)).alias("n_" + r[2:]) for r in RULES]
-    return flagged.groupBy(match_date(F.col("wallClock")).alias("match_id")).agg(
+    return flagged.groupBy(match_key(flagged).alias("match_id")).agg(
         F.count(F.lit(1)).alias("n_frames"), *counts
     )

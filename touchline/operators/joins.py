@@ -5,26 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when a bounded count proves it small.
-BROADCAST_MAX_ROWS = 100_000
 
-
-def join_lookup(
-    big: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def join_lookup(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join a per-key lookup table (e.g. match metadata) onto a large table.
 
-    The lookup is counted up to ``max_rows + 1`` rows (bounded work); only when
-    it fits is it broadcast. Beyond that the join is left to the planner, which
-    shuffles both sides on the keys (sort-merge) or, with adaptive execution,
-    still broadcasts if the measured size turns out small.
+    No hint and no count: Spark broadcasts the lookup while its size in bytes is below
+    ``spark.sql.autoBroadcastJoinThreshold`` (adaptive execution uses the measured
+    size) and otherwise shuffles both sides, splitting skewed keys.
     """
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        lookup = F.broadcast(lookup)
     return big.join(lookup, on=list(on), how=how)

@@ -2,31 +2,34 @@
 
 ``lag(c) OVER (PARTITION BY keys ORDER BY order)`` puts every row of one key into
 one task. A player's or a match's sequence can be a large share of all rows, so
-this operator splits each key's sequence into buckets of a numeric column that
-rises with the order. The library buckets by frame counter, ``floor(frame_idx /
-65536)``: a key has at most one row per frame, so no bucket holds more than
-65,536 rows whatever the data (44 minutes of 25 Hz tracking).
+this operator splits each key's sequence into buckets. The library's buckets are
+time slots, ``floor(clock / width)`` of the leading order column (:func:`time_slot`):
+they rise with the order by construction, whatever the frame counter does, and a
+key has a bounded number of rows per slot (25 frames a second). The width changes
+the work per task, never the result.
 
 1. one window per (keys, bucket) gives every row its previous row inside the
    bucket, and the bucket's first row also the bucket's last values;
 2. the first rows (one per bucket) need the previous bucket's last values: a
-   plain window per key over them, which sees one row per 65,536 rows of the
-   key (5 million rows for a key of 300 billion rows). For still larger keys
-   ``levels > 0`` runs the same operator on the first rows, bucketed by
+   plain window per key over them, which sees one row per slot of the key. For
+   still larger keys ``levels > 0`` runs the same operator on the first rows, bucketed by
    ``floor(bucket / fanout)``, each level ``fanout`` times smaller; every level
    costs one more (small) shuffle;
 3. the other rows keep their in-bucket values; the parts are unioned.
 
-With ``ignore_nulls`` the rows before a bucket's first non-null value (normally
-only the first row) take the value carried in from earlier buckets in the same
-way; only the last of them passes its bucket's value on.
+With ``ignore_nulls`` the rows before a bucket's first non-null value (all of its
+rows, where a signal stays null) take the value carried in from earlier buckets.
+Only one summary row per bucket goes into the window per key; its answer is spread
+over the bucket's rows by a window per (keys, bucket).
 
 All branches of a level read the same shuffle (Spark reuses the exchange), so
 the rows are scanned and shuffled once; each further level moves a table
 ``fanout`` times smaller than the one below.
 
-The bucket column must be numeric and non-decreasing along ``order`` within a
-key, and ``order`` must be a total order within a key (add a unique tie-breaker).
+The bucket column must be numeric and non-decreasing along ``order`` within a key
+(a time slot of the first order column is), and ``order`` must be a total order
+within a key (add a unique tie-breaker). With ``ignore_nulls`` the columns must be
+orderable (the single carried value of a bucket is picked with ``max``).
 """
 
 from __future__ import annotations
@@ -40,13 +43,21 @@ FRAMES_PER_BUCKET = 65536
 FANOUT = 1024
 LEVELS = 0
 
+#: Default slot width: an hour of 25 Hz tracking is 90,000 rows of one key.
+SLOT_SECONDS = 3600.0
 
-def frame_bucket(frame_col: str = "frame_idx", frames: int = FRAMES_PER_BUCKET) -> Column:
-    """The default bucket: consecutive runs of ``frames`` frame numbers.
 
-    Rows without a frame index share one null bucket, ordered before all others,
-    so sequences bucketed this way need a frame index on every row (feeds and
-    frame records carry one)."""
+def time_slot(clock: str | Column, width: float) -> Column:
+    """The bucket of a clock value: ``floor(clock / width)``, in the clock's own unit.
+
+    Rows without a clock have a null slot, ordered before all others; callers that
+    cannot order such rows take them out first."""
+    clock = F.col(clock) if isinstance(clock, str) else clock
+    return F.floor(clock / F.lit(width))
+
+
+def frame_bucket(frame_col: str = "frame_idx", frames: int = FRAMES_PER_BUCKET) -> Column:
+    """Runs of ``frames`` frame numbers, for sequences ordered by that very column."""
     return F.floor(F.col(frame_col) / F.lit(frames))
 
 
@@ -115,28 +126,23 @@ def with_previous(
         firsts = heads.select(*df.columns, *[F.col("p" + t + c).alias(prefix + c) for c in cols])
         return inner.unionByName(firsts)
 
-    # Rows before a bucket's first non-null value ("lead" rows, a prefix of the
-    # bucket) take the value carried in from earlier buckets. Only the last lead
-    # row of a bucket passes the bucket's value on, so no lead row sees its own
-    # bucket's value.
+    # Rows before a bucket's first non-null value ("lead" rows) take the value carried
+    # in from earlier buckets. One head row per bucket fetches it (a window per key over
+    # heads alone) and hands it to the bucket's lead rows.
     needs = F.lit(False)
     for c in cols:
         needs = needs | F.col(prefix + c).isNull()
-    lead_flag, last_lead = f"{n}_lead", f"{n}_last_lead"
-    rows = rows.withColumn(lead_flag, needs)
-    rows = rows.withColumn(
-        last_lead, F.col(lead_flag) & F.coalesce(~F.lead(F.col(lead_flag)).over(w_in), F.lit(True))
-    )
-    inner = rows.where(~F.col(lead_flag)).select(*out_cols)
-    lead = rows.where(F.col(lead_flag)).select(
-        *df.columns, *[prefix + c for c in cols], b_col,
-        *[F.when(F.col(last_lead), F.col(t + c)).alias(t + c) for c in cols],
-    )
-    lead = with_previous(
-        lead, keys, [b, *order], upper, t_cols, prefix="p", ignore_nulls=True, levels=levels - 1, fanout=fanout
-    )
-    lead = lead.select(
-        *df.columns,
-        *[F.coalesce(F.col(prefix + c), F.col("p" + t + c)).alias(prefix + c) for c in cols],
-    )
+    inner = rows.where(~needs).select(*out_cols)
+    is_head, carry = f"{n}_head", f"{n}_carry_"
+    # Heads keep all columns, so that every branch has the same ones under the exchange.
+    heads = rows.where(F.col(first)).select(*out_cols, sid, b_col, *t_cols)
+    heads = with_previous(heads, keys, [b], upper, t_cols, prefix="p", ignore_nulls=True, levels=levels - 1, fanout=fanout)
+    heads = heads.select(*out_cols, sid, F.lit(True).alias(is_head), *[F.col("p" + t + c).alias(carry + c) for c in cols])
+    lead = rows.where(needs).select(*out_cols, sid, F.lit(False).alias(is_head))
+    both = lead.unionByName(heads, allowMissingColumns=True)
+    per_bucket = Window.partitionBy(sid)
+    for c in cols:
+        both = both.withColumn(carry + c, F.max(carry + c).over(per_bucket))
+    lead = both.where(~F.col(is_head)).select(
+        *df.columns, *[F.coalesce(F.col(prefix + c), F.col(carry + c)).alias(prefix + c) for c in cols])
     return inner.unionByName(lead)

@@ -4,8 +4,8 @@ The reference builds its player feature table from two plans that it then joins:
 an average/maximum of the reported speed per (player, match), and a maximum of the
 directional speed ``|Δx| / Δt`` per player from two ``lag`` windows. Here both come
 from one pass over the rows: one hash exchange on (match, side, player, period,
-frame bucket), one sort, one window, then aggregation over the per-bucket table
-(one row per 65,536 frames). See :mod:`touchline.operators.sequence` for
+clock slot), one sort, one window, then aggregation over the per-slot table
+(one row per player and hour of the game clock by default). See :mod:`touchline.operators.sequence` for
 why and how sequences are bucketed.
 
 Our defaults fix the reference's defects (SURVEY §0.1): the lag restarts per match,
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.sequence import frame_bucket, with_previous
+from touchline.operators.sequence import SLOT_SECONDS, time_slot, with_previous
 
 PLAYER_KEYS = ["match_date", "side", "player_id"]
 ORDER = ["game_clock", "frame_idx"]
@@ -31,21 +31,22 @@ def speed_x(x: Column, prev_x: Column, t: Column, prev_t: Column) -> Column:
     return F.try_divide(F.abs(x - prev_x), t - prev_t)
 
 
-def _frame_slot_bucket() -> Column:
-    """Parity sequences run across matches in (period, game clock) order, so the
-    frame counter is not monotone along them; their buckets are 40 ms slots of
-    the game clock (at most one row per match per slot)."""
-    return F.col("period").cast("bigint") * F.lit(10**8) + F.floor(F.col("game_clock") * F.lit(25.0))
+#: Slot of the parity sequences, which interleave all matches of a player by game clock.
+PARITY_SLOT_SECONDS = 10.0
+
+
+def _parity_slot(width: float) -> Column:
+    """Parity sequences run across matches in (period, game clock) order."""
+    return F.col("period").cast("bigint") * F.lit(10**12) + time_slot("game_clock", width)
 
 
 def _bucket_table(rows: DataFrame, seq_keys: list[str], bucket: Column, first_frame: str) -> DataFrame:
     """Per (sequence, bucket): speed partials and the directional-speed maximum.
 
     ``edge_speed_x`` is the speed of the bucket's first row against the last row of
-    the bucket before (a window per sequence over this one-row-per-bucket table,
-    65,536 times smaller than the rows); with ``first_frame="zero"`` a sequence's very
-    first row is compared with position 0 at time 0, as the reference's
-    ``fillna(0.0)`` does.
+    the bucket before (a window per sequence over this one-row-per-bucket table);
+    with ``first_frame="zero"`` a sequence's very first row is compared with position 0
+    at time 0, as the reference's ``fillna(0.0)`` does.
     """
     rows = rows.withColumn(_B, bucket)
     w = Window.partitionBy(*seq_keys, _B).orderBy(*ORDER)
@@ -75,10 +76,18 @@ def _bucket_table(rows: DataFrame, seq_keys: list[str], bucket: Column, first_fr
     return per_bucket.withColumn("edge_speed_x", speed_x(F.col("head_x"), prev_x, F.col("head_t"), prev_t))
 
 
-def player_features(tracking_df: DataFrame) -> DataFrame:
-    """Per (match, side, player): average and maximum speed, maximum x-speed."""
+def player_features(tracking_df: DataFrame, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
+    """Per (match, side, player): average and maximum speed, maximum x-speed.
+
+    Rows without a game clock count for the speeds but have no place in the order, so
+    they have no x-speed. ``slot_seconds`` sets the size of a sorted group only.
+    """
     rows = tracking_df.select(*PLAYER_KEYS, "period", *ORDER, "x", "speed")
-    buckets = _bucket_table(rows, PLAYER_KEYS + ["period"], frame_bucket(), "skip")
+    timed = rows.where(F.col("game_clock").isNotNull())
+    buckets = _bucket_table(timed, PLAYER_KEYS + ["period"], time_slot("game_clock", slot_seconds), "skip")
+    untimed = rows.where(F.col("game_clock").isNull()).groupBy(*PLAYER_KEYS).agg(
+        F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_n"), F.max("speed").alias("speed_max"))
+    buckets = buckets.unionByName(untimed, allowMissingColumns=True)
     return buckets.groupBy(*PLAYER_KEYS).agg(
         F.round(F.try_divide(F.sum("speed_sum"), F.sum("speed_n")), 6).alias("player_avg_speed"),
         F.max("speed_max").alias("player_max_speed"),
@@ -98,22 +107,24 @@ def max_speed_x(tracking_df: DataFrame) -> DataFrame:
     return player_features(tracking_df).select(*PLAYER_KEYS, "maximum_speed_x")
 
 
-def max_speed_x_zero_fill(tracking_df: DataFrame) -> DataFrame:
+def max_speed_x_zero_fill(tracking_df: DataFrame, slot_seconds: float = PARITY_SLOT_SECONDS) -> DataFrame:
     """Reference parity: one sequence per (side, player) across matches and periods,
-    ordered by (period, game clock), first frame against position 0 at time 0."""
+    ordered by (period, game clock). Every null is 0 before the speed is taken: a
+    row's position and clock, and the lags of the first row."""
     keys = ["side", "player_id"]
-    rows = tracking_df.select(*keys, "period", *ORDER, "x", "speed")
-    buckets = _bucket_table(rows, keys, _frame_slot_bucket(), "zero")
+    rows = tracking_df.select(*keys, "period", *ORDER, "x", "speed").fillna(0.0, subset=["x", "game_clock"])
+    rows = rows.fillna(0, subset=["period"])
+    buckets = _bucket_table(rows, keys, _parity_slot(slot_seconds), "zero")
     return buckets.groupBy(*keys).agg(
         F.greatest(F.max("inner_speed_x"), F.max("edge_speed_x")).alias("maximum_speed_x")
     )
 
 
-def frame_speed_x(tracking_df: DataFrame) -> DataFrame:
+def frame_speed_x(tracking_df: DataFrame, slot_seconds: float = SLOT_SECONDS) -> DataFrame:
     """Directional speed of every frame that has a previous frame of the same player."""
     seq = PLAYER_KEYS + ["period"]
-    rows = tracking_df.select(*seq, *ORDER, "x")
-    rows = with_previous(rows, seq, ORDER, frame_bucket(), ["x", "game_clock"])
+    rows = tracking_df.select(*seq, *ORDER, "x").where(F.col("game_clock").isNotNull())
+    rows = with_previous(rows, seq, ORDER, time_slot("game_clock", slot_seconds), ["x", "game_clock"])
     return rows.where(F.col("prev_game_clock").isNotNull()).select(
         *seq,
         "frame_idx",

@@ -5,15 +5,19 @@ The reference uses Delta ``MERGE ... WHEN NOT MATCHED INSERT``. Plain Parquet
 tables reject ``MERGE``, so the same effect is built from joins:
 
 * insert-only merge: ``left_anti`` join of the new rows against the table's
-  distinct keys (only key columns are read; broadcast behind a bounded count),
-  then append;
+  distinct keys, then append. Only key columns of the partitions that the new rows
+  touch are read;
 * upsert: rows of the touched partitions whose key is not in the new rows, plus
-  the new rows, written with dynamic partition overwrite. The result is first
+  the new rows, written with dynamic partition overwrite. Both are first
   checkpointed to the shared checkpoint folder so the write does not read the
-  partitions it replaces;
+  partitions it replaces. Two new rows with one key are an error;
 * incremental gate: matches whose key is absent from the table (anti join on
   the partition column), replacing the reference's directory-name check.
 
+Keys compare null-safe: a null is a value, so a re-run does not insert it again.
+Writes are clustered by match (``rebalance``), so a match is a few files, and a
+large match is several tasks' work.
+
 Without Delta these writes are not atomic; concurrent writers are out of scope.
 With ``fmt="delta"`` (jar present) the same calls write Delta files.
 """
@@ -33,11 +37,43 @@ from touchline.sources.files import TABLE_FORMAT, path_exists, read_table
 PARTITION = "match_date"
 
 
+#: Beyond so many touched partitions a merge reads the key columns of the whole table.
+PRUNE_PARTITIONS = 10_000
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: str = PARTITION,
                       fmt: str = TABLE_FORMAT, mode: str = "overwrite") -> None:
     """Write partitioned by match. With the session's dynamic partition overwrite
-    mode, ``overwrite`` replaces only the partitions present in ``df``."""
-    df.write.format(fmt).mode(mode).partitionBy(partition_by).save(path)
+    mode, ``overwrite`` replaces only the partitions present in ``df``.
+
+    Rows are rebalanced by match first: adaptive execution puts small matches
+    together and splits large ones, so files follow the data's size, not the tasks."""
+    clustered = df.hint("rebalance", F.col(partition_by))
+    clustered.write.format(fmt).mode(mode).partitionBy(partition_by).save(path)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join in which null keys equal each other."""
+    other = right.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & left[k].eqNullSafe(other[f"__k_{k}"])
+    return left.join(other, condition, how)
+
+
+def touched_partitions(table: DataFrame, source: DataFrame, partition_by: str = PARTITION) -> DataFrame:
+    """The rows of ``table`` in the partitions that ``source`` has rows of.
+
+    The partition values (one per match of the load) become a filter that the scan
+    prunes by; a load of very many matches uses a semi join instead, with the same rows.
+    """
+    values = source.select(partition_by).distinct()
+    some = [r[0] for r in values.limit(PRUNE_PARTITIONS + 1).collect()]
+    if len(some) > PRUNE_PARTITIONS:
+        return null_safe_join(table, values, [partition_by], "left_semi")
+    known = [v for v in some if v is not None]
+    wanted = F.col(partition_by).isin(known)
+    return table.where(wanted | F.col(partition_by).isNull() if len(known) < len(some) else wanted)
 
 
 def merge_insert_only(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
@@ -48,31 +84,34 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, path: str, keys: S
     if not path_exists(spark, path):
         write_partitioned(source, path, partition_by, fmt)
         return
-    # Only the table's key columns are read, reduced to distinct keys map-side
-    # (a whole-match key such as ``match_date`` collapses to a few rows), then
-    # broadcast when a bounded count allows: the large ``source`` is not
-    # shuffled on a low-cardinality key. ``source`` is evaluated once.
-    existing = read_table(spark, path, schema, fmt).select(*keys).distinct()
-    new_rows = join_lookup(source, existing, list(keys), how="left_anti")
-    write_partitioned(new_rows, path, partition_by, fmt, mode="append")
+    existing = touched_partitions(read_table(spark, path, schema, fmt), source, partition_by).select(*keys).distinct()
+    write_partitioned(null_safe_join(source, existing, keys, "left_anti"), path, partition_by, fmt, mode="append")
+
+
+def _one_row_per_key(source: DataFrame, keys: Sequence[str]) -> None:
+    twice = source.groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"the source holds {twice[0]['count']} rows for one key: {twice[0].asDict()}")
 
 
 def upsert_by_key(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
                   partition_by: str = PARTITION, fmt: str = TABLE_FORMAT,
                   schema: T.StructType | None = None) -> None:
-    """Insert new keys and replace the rows of existing keys with ``source``'s."""
+    """Insert new keys and replace the rows of existing keys with ``source``'s.
+
+    Raises ValueError when ``source`` holds a key twice: which row wins is the caller's to say."""
+    checkpoint_base(spark)
+    # Reliable checkpoints in the cluster's shared checkpoint folder: the source is
+    # evaluated once, and the rows kept from the touched partitions no longer depend
+    # on the files the overwrite replaces.
+    src = source.checkpoint(eager=True)
+    _one_row_per_key(src, keys)
     if not path_exists(spark, path):
-        write_partitioned(source, path, partition_by, fmt)
+        write_partitioned(src, path, partition_by, fmt)
         return
-    # Reliable checkpoints in the cluster's shared checkpoint folder: the source
-    # is evaluated once, and the rows kept from the touched partitions no
-    # longer depend on the files the overwrite replaces.
-    checkpoint_base(spark)
     current = read_table(spark, path, schema, fmt)
-    src = source.select(*current.columns).checkpoint(eager=True)
-    touched = src.select(partition_by).distinct()
-    kept = join_lookup(current, touched, [partition_by], how="left_semi")
-    kept = kept.join(src.select(*keys), on=list(keys), how="left_anti").checkpoint(eager=True)
+    src = src.select(*current.columns)
+    kept = null_safe_join(touched_partitions(current, src, partition_by), src, keys, "left_anti").checkpoint(eager=True)
     write_partitioned(kept.unionByName(src), path, partition_by, fmt, mode="overwrite")
 
 

@@ -46,7 +46,7 @@ def main(argv: list[str]) -> None:
     print("Regenerate with `python -m touchline.plans.explain <sf_dir> > PLANS.md`.\n")
     for name in names:
         df = QUERIES[name](spark, sf_dir)
-        df.collect()
+        df.write.format("noop").mode("overwrite").save()
         print(f"## {name}\n")
         print(final_plan(spark, df))
 

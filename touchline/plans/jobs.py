@@ -17,7 +17,6 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline import schemas
 from touchline.functions.geometry import in_penalty_area
 from touchline.operators import ball, frames, speed, tables
 from touchline.operators.joins import join_lookup
@@ -27,31 +26,31 @@ from touchline.streaming import ingest as stream_ingest
 from touchline.streaming import live
 from touchline.streaming.lines import parse_ball_lines, split_parsed
 
-PLAYER_ROW_KEYS = ["match_date"]
+PLAYER_ROW_KEYS = ["match_date", "period", "frame_idx", "side", "player_id"]
+BALL_ROW_KEYS = ["match_date", "period", "frame_idx"]
 FEATURE_KEYS = ["match_date", "side", "player_id"]
 
 
 def ingest(spark: SparkSession, frames_path: str, metadata_path: str | None, players_path: str,
-           ball_path: str, quarantine_path: str | None = None) -> None:
+           ball_path: str, quarantine_path: str | None = None) -> dict[str, int]:
     """Frames (JSON lines) + match metadata (XML) → player and ball tables.
 
-    Frames failing the quality rules go to ``quarantine_path``. The ball's
-    penalty-area flag uses each match's pitch length from the metadata (the
-    default pitch where a match has none). Matches already stored are skipped.
+    Rows failing the quality rules go to ``quarantine_path`` (by default next to the
+    player table), one row per rejected frame, player or ball, so nothing vanishes: the
+    returned counts of rows read, stored or already stored, and rejected add up. Rows
+    already stored (match, period, frame, player) are skipped, so late files and further
+    matches of a day are added. The ball's penalty-area flag uses each match's pitch
+    length from the metadata (the default pitch where a match has none).
     """
     configure(spark)
     raw = files.read_frames(spark, frames_path, keep_corrupt=True)
-    flagged = frames.quality_flags(raw)
-    # Parse the JSON once: the flagged frames are staged as Parquet in the shared
+    # Parse the JSON once: the distinct flagged frames are staged as Parquet in the shared
     # checkpoint folder (cuts the lineage; columnar re-reads), then split.
     staged = shared_dir(spark, "ingest-frames")
-    flagged.write.parquet(staged)
-    good, bad = frames.split_flagged(spark.read.parquet(staged))
-    if quarantine_path:
-        bad.write.mode("append").json(quarantine_path)
-    good = frames.dedup_frames(good.drop(schemas.CORRUPT))
-    players = frames.unified_players(good)
-    ball_rows = frames.unified_ball(good)
+    frames.quality_flags(frames.dedup_frames(raw)).write.parquet(staged)
+    flagged = spark.read.parquet(staged)
+    players, ball_rows, rejects = frames.quality_rows(flagged)
+    rejects.write.mode("append").json(quarantine_path or players_path.rstrip("/") + "_rejects")
     if metadata_path:
         meta = files.read_match_metadata(spark, metadata_path).select("match_id", "pitch_length")
         ball_rows = join_lookup(ball_rows, meta, ["match_id"], how="left").withColumn(
@@ -62,20 +61,49 @@ def ingest(spark: SparkSession, frames_path: str, metadata_path: str | None, pla
             ),
         ).drop("pitch_length")
     tables.merge_insert_only(spark, players, players_path, PLAYER_ROW_KEYS)
-    tables.merge_insert_only(spark, ball_rows.withColumnRenamed("match_id", "match_date"), ball_path,
-                             PLAYER_ROW_KEYS)
+    tables.merge_insert_only(spark, ball_rows.withColumnRenamed("match_id", "match_date"), ball_path, BALL_ROW_KEYS)
+    per_part = {r["part"]: r["n"] for r in rejects.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    sizes = flagged.agg(
+        F.count("*").alias("frames"),
+        F.sum(F.coalesce(F.size("homePlayers"), F.lit(0)) + F.coalesce(F.size("awayPlayers"), F.lit(0))).alias("players")).first()
+    counts = {"frames_read": sizes["frames"], "player_entries_read": sizes["players"] or 0,
+              "player_rows": players.count(), "ball_rows": ball_rows.count(),
+              **{f"{part}_rejects": per_part.get(part, 0) for part in ("frame", "player", "ball")}}
+    drop_staged(spark, staged)  # both tables are written: the copy of the input goes
+    return counts
 
 
 def features(spark: SparkSession, players_path: str, ball_path: str, player_features_path: str,
              ball_features_path: str) -> None:
-    """Player and ball feature tables from the stored player and ball tables."""
+    """Player and ball feature tables from the stored player and ball tables.
+
+    Matches whose features are stored are skipped before any work is done on them
+    (:func:`touchline.operators.tables.incremental_load`). A match whose rows came in
+    several files is rebuilt by :func:`refresh_features` once all are in."""
     configure(spark)
     players = files.read_table(spark, players_path)
-    tables.merge_insert_only(spark, speed.player_performance(players), player_features_path, FEATURE_KEYS)
-    ball_rows = files.read_table(spark, ball_path).withColumnRenamed("match_date", "match_id")
-    box = ball.box_minutes(ball_rows.where(F.col("ball_inside_box")), ["match_id"])
-    tables.merge_insert_only(spark, box.withColumnRenamed("match_id", "match_date"), ball_features_path,
-                             ["match_date"])
+    tables.incremental_load(spark, players, player_features_path, speed.player_performance)
+    ball_rows = files.read_table(spark, ball_path)
+    tables.incremental_load(spark, ball_rows, ball_features_path, _box_features)
+
+
+def refresh_features(spark: SparkSession, matches: list[str], players_path: str, ball_path: str,
+                     player_features_path: str, ball_features_path: str) -> None:
+    """Rebuild and replace the features of the named matches (late or corrected input)."""
+    configure(spark)
+    wanted = F.col("match_date").isin(matches)
+    tables.write_partitioned(speed.player_performance(files.read_table(spark, players_path).where(wanted)), player_features_path)
+    tables.write_partitioned(_box_features(files.read_table(spark, ball_path).where(wanted)), ball_features_path)
+
+
+def _box_features(ball_rows: DataFrame) -> DataFrame:
+    return ball.box_minutes(ball_rows.where(F.col("ball_inside_box")), ["match_date"])
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Remove a staged copy that :func:`touchline.session.shared_dir` named."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -115,7 +143,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(app_name=f"touchline-{args.job}")
 
     if args.job == "ingest":
-        ingest(spark, args.frames, args.metadata, args.players, args.ball, args.quarantine)
+        print(ingest(spark, args.frames, args.metadata, args.players, args.ball, args.quarantine))
     elif args.job == "features":
         features(spark, args.players, args.ball, args.player_features, args.ball_features)
     elif args.job == "stream":

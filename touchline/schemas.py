@@ -28,14 +28,18 @@ FRAME = T.StructType([
     ])),
 ])
 
+# The same with the match's own id, for feeds that carry one (null: the day is used).
+FRAME_WITH_ID = T.StructType([T.StructField("matchId", T.StringType()), *FRAME.fields])
+
 CORRUPT = "_corrupt_record"
-FRAME_WITH_CORRUPT = T.StructType(FRAME.fields + [T.StructField(CORRUPT, T.StringType())])
+FRAME_WITH_CORRUPT = T.StructType(FRAME_WITH_ID.fields + [T.StructField(CORRUPT, T.StringType())])
 
 # XML element <match dtDate=".." fPitchXSizeMeters=".." fPitchYSizeMeters=".."/>.
 MATCH_METADATA = T.StructType([
     T.StructField("_dtDate", T.StringType()),
     T.StructField("_fPitchXSizeMeters", T.DoubleType()),
     T.StructField("_fPitchYSizeMeters", T.DoubleType()),
+    T.StructField("_matchId", T.StringType()),
 ])
 
 # Stored tracking rows (partitioned by match_date, kept as text).

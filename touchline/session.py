@@ -60,9 +60,13 @@ def build_session(
 def checkpoint_base(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``), also
     registered as the context's checkpoint folder for ``DataFrame.checkpoint``.
-    Only when it is unset (a bare local test session) is a private one made."""
+    Only a local session may leave it unset: a private folder is made for it. On a
+    cluster such a folder would be the driver's alone, so that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master!r})")
         base = tempfile.mkdtemp(prefix="touchline-")
         spark.conf.set("spark.checkpoint.dir", base)
     _ensure_checkpoint_dir(spark, base)

@@ -22,7 +22,7 @@ def read_frames(spark: SparkSession, path: str, keep_corrupt: bool = False) -> D
     if keep_corrupt:
         reader = reader.schema(schemas.FRAME_WITH_CORRUPT).option("columnNameOfCorruptRecord", schemas.CORRUPT)
     else:
-        reader = reader.schema(schemas.FRAME)
+        reader = reader.schema(schemas.FRAME_WITH_ID)
     return reader.json(path)
 
 
@@ -32,7 +32,8 @@ def write_frames(frames: DataFrame, path: str) -> None:
 
 def read_match_metadata(spark: SparkSession, path: str) -> DataFrame:
     """``<match dtDate=.. fPitchXSizeMeters=.. fPitchYSizeMeters=..>`` elements →
-    (match_id, kickoff, pitch_length, pitch_width); ``match_id`` is the kickoff's date."""
+    (match_id, kickoff, pitch_length, pitch_width); ``match_id`` is the element's
+    ``matchId`` where it has one, else the kickoff's date."""
     raw = (
         spark.read.format("xml")
         .option("rowTag", "match")
@@ -41,7 +42,7 @@ def read_match_metadata(spark: SparkSession, path: str) -> DataFrame:
     )
     kickoff = F.try_to_timestamp(F.col("_dtDate"), F.lit("yyyy-MM-dd HH:mm:ss"))
     return raw.select(
-        F.date_format(kickoff, "yyyy-MM-dd").alias("match_id"),
+        F.coalesce(F.col("_matchId"), F.date_format(kickoff, "yyyy-MM-dd")).alias("match_id"),
         kickoff.alias("kickoff"),
         F.col("_fPitchXSizeMeters").alias("pitch_length"),
         F.col("_fPitchYSizeMeters").alias("pitch_width"),
@@ -55,6 +56,7 @@ def write_match_metadata(metadata: DataFrame, path: str) -> None:
         F.col("dtDate").alias("_dtDate"),
         F.col("fPitchXSizeMeters").alias("_fPitchXSizeMeters"),
         F.col("fPitchYSizeMeters").alias("_fPitchYSizeMeters"),
+        *[F.col("matchId").alias("_matchId")] * ("matchId" in metadata.columns),
     )
     out.write.mode("overwrite").format("xml").option("rowTag", "match").option("rootTag", "matches").save(path)
 
@@ -67,25 +69,33 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     if schema is not None:
         return reader.schema(schema).load(path)
     df = reader.load(path)
-    if "match_date" in df.columns and dict(df.dtypes)["match_date"] != "string":
-        df = df.withColumn("match_date", F.date_format("match_date", "yyyy-MM-dd"))
+    kind = dict(df.dtypes).get("match_date", "string")
+    if kind != "string":  # folder names that all look like days, or like numbers
+        text = F.date_format("match_date", "yyyy-MM-dd") if kind in ("date", "timestamp") else F.col("match_date").cast("string")
+        df = df.withColumn("match_date", text)
     return df
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on the cluster's file system (Hadoop FS API).
 
-    Sessions without a JVM gateway (Spark Connect) fall back to listing the
-    path through the binary-file source."""
+    File-system errors (permissions, a store that does not answer) fail the call: a
+    table that cannot be reached must not be taken for one that is absent. Sessions
+    without a JVM gateway (Spark Connect) list the path through the binary-file source."""
     try:
         sc = spark.sparkContext
-        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath))
-    except Exception:  # noqa: BLE001 - no gateway: probe with a lazy read
-        from pyspark.errors import AnalysisException
-
-        try:
-            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
-            return True
-        except AnalysisException:
-            return False
+        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - Spark Connect has no gateway
+        jvm = None
+    if jvm is not None:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(conf).exists(hpath))
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+        return True
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False

@@ -9,8 +9,9 @@ query scales out by match and survives restarts from its checkpoint.
 Per micro-batch and match the new rows are sorted by (wall clock, frame) and
 compared with the previous row, the first one with the stored state, with the
 same rules as the batch form (:func:`touchline.operators.events.live_events`).
-Rows not newer than the last row already processed are late: they are dropped
-and counted in the state. The per-match work of one call is bounded by the
+Rows not newer than the last row already processed are late: they change nothing and
+are counted in the state; with ``late_rows=True`` they also come out of the stream as
+``LATE_ROW`` records, for a side output. The per-match work of one call is bounded by the
 micro-batch size (``maxFilesPerTrigger`` / the feed rate); backfills of whole
 seasons belong to the batch form, which splits matches into frame buckets.
 Message texts are rendered afterwards by the shared Spark expressions.
@@ -29,12 +30,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from touchline.operators.ball import ball_flags
 from touchline.operators.events import (
     INITIAL_IN_BOX,
     INITIAL_IN_FIELD,
     INITIAL_STATUS,
     decorate_events,
+    with_pitch,
 )
+from touchline.streaming.marks import is_end_mark, without_end_marks
 
 STATE_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
@@ -90,23 +94,37 @@ def _previous_known(values: np.ndarray, known: np.ndarray, initial) -> np.ndarra
     return before
 
 
-def step(rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
+#: The kind under which late rows leave the stream (``seq`` 0, no old or new value but the status).
+LATE_ROW = "LATE_ROW"
+
+
+def _late_records(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({
+        "match_id": rows["match_id"].values, "wall_ms": rows["wall_ms"].values, "frame_idx": rows["frame_idx"].values,
+        "seq": 0, "kind": LATE_ROW, "old_value": None, "new_value": rows["ball_status"].values,
+        "x": rows["x"].values, "y": rows["y"].values, "ball_team": rows["ball_team"].values,
+    })
+
+
+def step(rows: pd.DataFrame, state: tuple, late_rows: bool = False) -> tuple[pd.DataFrame, tuple]:
     """Compare sorted rows with their predecessors; return (events, new state).
 
     Vectorised per signal (numpy): previous value = last non-null value before
     the row, the stored state before the first row.
     """
     status0, box0, field0, last_ms, last_fi, late = state
-    frame = rows["frame_idx"].astype("float64").fillna(float(NO_FRAME))
+    frame = rows["frame_idx"].astype("Int64").fillna(NO_FRAME).astype("int64")  # exact beyond 2**53
     rows = rows.assign(_fi=frame).sort_values(["wall_ms", "_fi"], kind="mergesort")
     if last_ms is not None:
         newer = (rows["wall_ms"] > last_ms) | ((rows["wall_ms"] == last_ms) & (rows["_fi"] > last_fi))
         late += int((~newer).sum())
+        out = [_late_records(rows[~newer])] if late_rows and not newer.all() else []
         rows = rows[newer]
+    else:
+        out = []
     if rows.empty:
-        return rows.iloc[0:0], (status0, box0, field0, last_ms, last_fi, late)
+        return out[0] if out else rows.iloc[0:0], (status0, box0, field0, last_ms, last_fi, late)
 
-    out = []
     new_state = []
     for (col, seq, kind_true, kind_false), initial in zip(SIGNALS, (status0, box0, field0)):
         cur = rows[col].to_numpy(dtype=object)
@@ -151,6 +169,9 @@ def step(rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
 class LiveEventProcessor(StatefulProcessor):
     """Per-match state: last status / area / field flags and the last row seen."""
 
+    def __init__(self, late_rows: bool = False):
+        self.late_rows = late_rows
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("ball_state", STATE_SCHEMA)
 
@@ -163,7 +184,7 @@ class LiveEventProcessor(StatefulProcessor):
             stored = tuple(self.state.get())
         else:
             stored = (INITIAL_STATUS, INITIAL_IN_BOX, INITIAL_IN_FIELD, None, None, 0)
-        events, new_state = step(batch, stored)
+        events, new_state = step(batch, stored, self.late_rows)
         self.state.update(new_state)
         if len(events):
             yield events.astype({"seq": "int32"})[RAW_EVENT_SCHEMA.names]
@@ -237,20 +258,30 @@ class OrderedLiveEventProcessor(StatefulProcessor):
         pass
 
 
-def live_event_stream(ball_rows: DataFrame, length=None, width=None, delay: str | None = None) -> DataFrame:
+def live_event_stream(ball_rows: DataFrame, length=None, width=None, delay: str | None = None,
+                      metadata: DataFrame | None = None, late_rows: bool = False) -> DataFrame:
     """Streaming ball rows (parsed, flagged) → decorated live events.
 
     Without ``delay`` rows are processed as their micro-batch arrives (the feed
     must be in clock order across batches). With ``delay`` (e.g. ``"10 seconds"``)
     the stream is ordered by event time: rows are held until the watermark passes
     them, so disorder up to ``delay`` is tolerated and events appear ``delay``
-    after the play.
+    after the play. An end mark (:func:`end_mark_lines`) releases the rest of a feed.
+
+    ``metadata`` (a static table of match_id, pitch_length, pitch_width) gives each match
+    its own pitch for the flags and the restart rule. ``late_rows`` (arrival mode only)
+    adds the rows that came too late as records of kind ``LATE_ROW``.
     """
+    if metadata is not None:
+        sized = with_pitch(ball_rows, metadata)
+        size = F.col("pitch_length"), F.col("pitch_width")
+        ball_rows = ball_flags(sized.drop("in_box", "in_field"), *size)
     rows = ball_rows.select(*INPUT_COLUMNS)
     if delay is None:
-        processor, time_mode = LiveEventProcessor(), "None"
+        processor, time_mode = LiveEventProcessor(late_rows), "None"
+        rows = rows.where(~is_end_mark(F.col("ball_status")))
     else:
-        rows = rows.withColumn("event_time", F.timestamp_millis("wall_ms")).withWatermark("event_time", delay)
+        rows = without_end_marks(rows.withColumn("event_time", F.timestamp_millis("wall_ms")).withWatermark("event_time", delay))
         processor, time_mode = OrderedLiveEventProcessor(), "EventTime"
     raw = rows.groupBy("match_id").transformWithStateInPandas(
         statefulProcessor=processor,
@@ -258,6 +289,8 @@ def live_event_stream(ball_rows: DataFrame, length=None, width=None, delay: str
         outputMode="Append",
         timeMode=time_mode,
     )
+    if metadata is not None:
+        return decorate_events(with_pitch(raw, metadata), F.col("pitch_length"), F.col("pitch_width"))
     dims = {k: v for k, v in (("length", length), ("width", width)) if v is not None}
     return decorate_events(raw, **dims)
 

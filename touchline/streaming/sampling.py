@@ -5,7 +5,8 @@ stream form keeps, per match and per 3-second tumbling window of the feed's
 own clock, the newest row (``max_by`` on (clock, frame)). A watermark bounds the
 state: a window is emitted (append mode) once the watermark, the largest clock
 seen minus ``delay``, has passed its end, and rows older than the watermark are
-dropped as late.
+dropped as late. An end mark (:mod:`touchline.streaming.marks`) closes the last windows
+of a finished feed.
 """
 
 from __future__ import annotations
@@ -14,15 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.ball import SAMPLE_MS, STATE_COLUMNS
+from touchline.streaming.marks import without_end_marks
 
 DELAY = "10 seconds"
 
 
 def sampled_state_stream(ball_rows: DataFrame, every_ms: int = SAMPLE_MS, delay: str = DELAY) -> DataFrame:
     newest = F.max_by(F.struct(*STATE_COLUMNS), F.struct("wall_ms", "frame_idx"))
+    rows = ball_rows.withColumn("event_time", F.timestamp_millis("wall_ms")).withWatermark("event_time", delay)
     return (
-        ball_rows.withColumn("event_time", F.timestamp_millis("wall_ms"))
-        .withWatermark("event_time", delay)
+        without_end_marks(rows)
         .groupBy("match_id", F.window("event_time", f"{every_ms} milliseconds").alias("w"))
         .agg(newest.alias("s"))
         .select(
