@@ -43,7 +43,7 @@ from touchline.llm.common import text_or_empty
 WINDOW = 50
 GRAM = 16
 #: Text bytes of one chunk, on average.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 #: Text bytes per anchor bucket.
 BUCKET_BYTES = 16 << 20
 #: From so many documents on, an anchor's windows are sent one by one.
@@ -136,19 +136,22 @@ def anchors(texts: list[bytes], window: int, gram: int):
 
 
 def _docs_of(h: np.ndarray, d: np.ndarray):
-    """Distinct hashes, and in how many texts each occurs."""
-    order = np.lexsort((d, h))
+    """Distinct hashes, and in how many texts each occurs. ``d`` does not fall, as anchors come text by text."""
+    order = np.argsort(h, kind="stable")
     h, d = h[order], d[order]
-    first = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))
-    return np.unique(h[first], return_counts=True)
+    new = np.concatenate(([True], h[1:] != h[:-1]))
+    first = new | np.concatenate(([True], d[1:] != d[:-1]))
+    at = np.flatnonzero(new)
+    return h[at], np.add.reduceat(first, at, dtype=np.int64)
 
 
 def _sorted_docs(docs: pa.Table) -> tuple[pa.Table, np.ndarray, list[bytes]]:
-    """A chunk in an order that does not depend on how its rows arrived."""
+    """A chunk in an order that does not depend on how its rows arrived (the table without its texts)."""
     ids = [NO_ID if i is None else i for i in docs.column("doc_id").to_pylist()]
     texts = docs.column("text").to_pylist()
     order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
-    return docs.take(pa.array(order, pa.int64())), np.array([ids[i] for i in order], dtype=np.int64), [texts[i] for i in order]
+    rest = docs.drop_columns(["text"]).take(pa.array(order, pa.int64()))
+    return rest, np.array([ids[i] for i in order], dtype=np.int64), [texts[i] for i in order]
 
 
 def _split(bucket: np.ndarray):
@@ -427,41 +430,37 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
     def remove(table: pa.Table, messages: pa.Table) -> pa.Table:
         table, ids, texts = _sorted_docs(table)
         size = np.array([len(t) for t in texts], dtype=np.int64)
-        begin = np.concatenate(([0], np.cumsum(size)))
-        gone = np.zeros(begin[-1] + 1, dtype=np.int32)
+        begin = np.concatenate(([0], np.cumsum(size + 1)))  # a place more per text, for runs that end with it
+        gone = np.zeros(begin[-1], dtype=np.int16)  # +1 where an occurrence begins, -1 after its end
         groups = [np.frombuffer(_unpack(d), GROUP) for k, d in
                   zip(messages.column("kind").to_pylist(), messages.column("data").to_pylist()) if k == 2]
         if groups:
             c = Chunk(ids, texts, *_told(messages), window, gram)
             told = np.concatenate(groups)
-            which, o, n, m = (told[f].astype(np.int64) for f in ("ctx", "off", "len", "low"))
-            by = np.argsort(which, kind="stable")
-            which, o, n, m = which[by], o[by], n[by], m[by]
-            lo, hi = np.searchsorted(which, c.ctx, side="left"), np.searchsorted(which, c.ctx, side="right")
-            step = 1 << 18
+            told = told[np.argsort(told["ctx"], kind="stable")]
+            lo, hi = np.searchsorted(told["ctx"], c.ctx, side="left"), np.searchsorted(told["ctx"], c.ctx, side="right")
+            step = 1 << 16
             for s in range(0, len(c.ctx), step):
                 reps = hi[s:s + step] - lo[s:s + step]
                 at = np.repeat(lo[s:s + step] - np.concatenate(([0], np.cumsum(reps)[:-1])), reps) + np.arange(reps.sum())
                 occ = np.repeat(np.arange(s, s + len(reps)), reps)
-                use = m[at] < ids[c.doc[occ]]
+                use = told["low"][at] < ids[c.doc[occ]]
                 at, occ = at[use], occ[use]
-                first = begin[c.doc[occ]] + c.lo[occ] + o[at]
+                first = begin[c.doc[occ]] + c.lo[occ] + told["off"][at]
                 np.add.at(gone, first, 1)
-                np.add.at(gone, first + n[at], -1)
-        removed = np.cumsum(gone[:-1]) > 0
-        count = np.concatenate(([0], np.cumsum(removed)))
-        # A run begins where a removed byte follows a kept one, or begins its document.
-        starts = removed & ~np.concatenate(([False], removed[:-1]))[:len(removed)]
-        heads = begin[:-1][size > 0]
-        starts[heads] = removed[heads]
-        runs = np.concatenate(([0], np.cumsum(starts)))
-        whole = np.frombuffer(b"".join(texts), np.uint8)
-        kept = [whole[a:b][~removed[a:b]].tobytes() if count[b] > count[a] else t for t, a, b in zip(texts, begin[:-1].tolist(), begin[1:].tolist())]
+                np.add.at(gone, first + told["len"][at], -1)
+        removed, runs, sums, kept = [], [], [], []
+        for t, a in zip(texts, begin.tolist()):
+            r = np.cumsum(gone[a:a + len(t)], dtype=np.int32) > 0
+            n = int(np.count_nonzero(r))
+            removed.append(n)
+            runs.append(int(r[0]) + int(np.count_nonzero(r[1:] & ~r[:-1])) if n else 0)
+            left = np.frombuffer(t, np.uint8)[~r].tobytes() if n else t
+            sums.append(hashlib.sha256(left).hexdigest())
+            kept.append(left if with_text else None)
         return pa.Table.from_arrays(
-            [table.column("doc_id"), pa.array(size), pa.array(count[begin[1:]] - count[begin[:-1]], pa.int64()),
-             pa.array(runs[begin[1:]] - runs[begin[:-1]], pa.int64()),
-             pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
-             pa.array(kept if with_text else [None] * len(kept), pa.binary()), table.column("carried")],
+            [table.column("doc_id"), pa.array(size), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
+             pa.array(sums, pa.string()), pa.array(kept, pa.binary()), table.column("carried")],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "carried"])
 
     told = base.groupBy("chunk").applyInArrow(lambda t: hashes(t), "bucket int, chunk int, hashes binary, counts binary")
