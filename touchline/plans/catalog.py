@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from touchline import schemas
 from touchline.functions.clock import display_time, match_date
 from touchline.operators import ball, events, frames, ranking, speed, tables
+from touchline.plans import jobs
 from touchline.session import checkpoint_base, configure, shared_dir
 from touchline.sources import adapter, files
-from touchline.streaming import ingest, live, sampling
+from touchline.streaming import ingest, live, marks, sampling
 from touchline.streaming import lines as lines_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,7 +60,8 @@ def q_max_speed_x(spark, sf_dir):
 
 @query("max_speed_x_zero_fill")
 def q_max_speed_x_zero_fill(spark, sf_dir):
-    return speed.max_speed_x_zero_fill(tracking(spark, sf_dir))
+    # Some rows lack a position or a clock: nulls count as 0, as in the reference.
+    return speed.max_speed_x_zero_fill(adapter.with_gaps(tracking(spark, sf_dir)))
 
 
 @query("frame_speed_x")
@@ -158,6 +160,18 @@ def q_live_events(spark, sf_dir):
     return events.live_events(flagged_ball(spark, sf_dir))
 
 
+@query("live_events_by_pitch")
+def q_live_events_by_pitch(spark, sf_dir):
+    """Events with each match's own pitch size, from the metadata elements."""
+    meta = files.read_match_metadata(spark, metadata_from_events(spark, sf_dir))
+    return events.live_events_by_pitch(adapter.ball_rows(tracking(spark, sf_dir)), meta)
+
+
+@query("sampled_live_events")
+def q_sampled_live_events(spark, sf_dir):
+    return events.sampled_live_events(flagged_ball(spark, sf_dir))
+
+
 @query("ball_out_restarts")
 def q_ball_out_restarts(spark, sf_dir):
     return events.ball_out_restarts(q_live_events(spark, sf_dir))
@@ -219,12 +233,44 @@ def q_dedup_players(spark, sf_dir):
     return frames.dedup_players(files.read_frames(spark, frames_from_events(spark, sf_dir)))
 
 
+def faulty_frames(spark: SparkSession, sf_dir: str, two_matches: bool) -> str:
+    """Frames with faults as JSON lines, and unreadable lines beside them."""
+    path = shared_dir(spark, "faulty_frames")
+    nested = adapter.nested_frames(tracking(spark, sf_dir))
+    if two_matches:
+        nested = adapter.two_matches_a_day(nested)
+    files.write_frames(adapter.with_faults(nested), path)
+    adapter.broken_lines(nested).write.mode("append").text(path)
+    return path
+
+
 @query("frame_quality_report")
 def q_frame_quality_report(spark, sf_dir):
-    fr = files.read_frames(spark, frames_from_events(spark, sf_dir), keep_corrupt=True)
+    """Counts per rule over frames with faults; unreadable lines have no match."""
+    fr = files.read_frames(spark, faulty_frames(spark, sf_dir, two_matches=False), keep_corrupt=True)
     return frames.frame_quality_report(fr)
 
 
+@query("ingest_accounting")
+def q_ingest_accounting(spark, sf_dir):
+    """Two matches a day, extra time and bad rows through the ingest job, run twice: what
+    went in is stored or rejected, per match and part (the re-run stores nothing again)."""
+    path = faulty_frames(spark, sf_dir, two_matches=True)
+    players, ball_rows = shared_dir(spark, "acc_players"), shared_dir(spark, "acc_ball")
+    first, again = shared_dir(spark, "acc_rejects"), shared_dir(spark, "acc_rejects_again")
+    jobs.ingest(spark, path, None, players, ball_rows, first)
+    jobs.ingest(spark, path, None, players, ball_rows, again)
+    one = lambda part: F.count(F.when(F.col("part") == part, 1)).alias(f"{part}_rejects")
+    stored = files.read_table(spark, players).groupBy("match_date").agg(
+        F.count("*").alias("player_rows"), F.max("period").cast("int").alias("last_period"))
+    balls = files.read_table(spark, ball_rows).groupBy("match_date").agg(F.count("*").alias("ball_rows"))
+    rejected = spark.read.schema("match_date string, part string").json(first).groupBy("match_date").agg(
+        one("frame"), one("player"), one("ball"))
+    out = rejected.join(stored, "match_date", "full").join(balls, "match_date", "full")
+    return out.select("match_date", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in
+                                      ("player_rows", "ball_rows", "frame_rejects", "player_rejects", "ball_rejects")], "last_period")
+
+
 @query("scan_match_metadata")
 def q_scan_match_metadata(spark, sf_dir):
     meta = files.read_match_metadata(spark, metadata_from_events(spark, sf_dir))
@@ -260,54 +306,69 @@ def _materialized(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+FIRST_HALF_END = "2024-01-15"
+# A match that the source of the merges below does not have, and a player in the ones it has.
+OTHER_MATCH, OTHER_PLAYER = "2023-12-31", "p-other"
+FEATURE_KEYS = ["match_date", "side", "player_id"]
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _materialized(spark, speed.player_performance(tracking(spark, sf_dir)))
+
+
+def _stored_before(feats: DataFrame) -> DataFrame:
+    """What the tables hold before a load: the first half of the matches with other values
+    (-1), the home side only; a match and players that the load does not have."""
+    old = feats.where((F.col("match_date") <= FIRST_HALF_END) & (F.col("side") == "home")).withColumn("player_avg_speed", F.lit(-1.0))
+    other_match = old.where("match_date = '2024-01-01'").withColumn("match_date", F.lit(OTHER_MATCH))
+    other_player = old.groupBy("match_date").agg(F.lit("home").alias("side"), F.lit(OTHER_PLAYER).alias("player_id"),
+                                                 F.lit(-2.0).alias("player_avg_speed"), F.max("player_max_speed").alias("player_max_speed"),
+                                                 F.lit(0.5).alias("maximum_speed_x"))
+    return old.unionByName(other_match).unionByName(other_player)
+
+
 @query("write_partitioned")
 def q_write_partitioned(spark, sf_dir):
+    """A second overwrite with other values of the later matches replaces those partitions
+    and leaves the others alone."""
     path = shared_dir(spark, "player_features")
-    feats = _materialized(spark, speed.player_performance(tracking(spark, sf_dir)))
-    tables.write_partitioned(feats, path)
-    # A second overwrite replaces the same partitions and leaves others alone.
+    feats = _features(spark, sf_dir)
     tables.write_partitioned(feats, path)
+    later = feats.where(F.col("match_date") > FIRST_HALF_END)
+    tables.write_partitioned(later.withColumn("player_avg_speed", F.lit(-3.0)), path)
     return _features_table(spark, path)
 
 
-FIRST_HALF_END = "2024-01-15"
-
-
 @query("merge_insert_only")
 def q_merge_insert_only(spark, sf_dir):
-    """Bootstrap with the first half of the matches, then merge all matches twice:
-    the first merge inserts the rest, the second inserts nothing."""
+    """Merged twice into a table that holds some of the keys with other values: those stay,
+    the rest is inserted once."""
     path = shared_dir(spark, "player_features")
-    feats = _materialized(spark, speed.player_performance(tracking(spark, sf_dir)))
-    keys = ["match_date", "side", "player_id"]
-    tables.merge_insert_only(spark, feats.where(F.col("match_date") <= FIRST_HALF_END), path, keys,
-                             schema=schemas.PLAYER_FEATURES)
+    feats = _features(spark, sf_dir)
+    tables.merge_insert_only(spark, _stored_before(feats), path, FEATURE_KEYS, schema=schemas.PLAYER_FEATURES)
     for _ in range(2):
-        tables.merge_insert_only(spark, feats, path, keys, schema=schemas.PLAYER_FEATURES)
+        tables.merge_insert_only(spark, feats, path, FEATURE_KEYS, schema=schemas.PLAYER_FEATURES)
     return _features_table(spark, path)
 
 
 @query("upsert_by_key")
 def q_upsert_by_key(spark, sf_dir):
-    """Bootstrap with stale features (status-error frames left out), then upsert
-    the full features: every key ends with the new values."""
+    """Upserted into the same table: the load's keys get its values, keys and matches that
+    it does not have stay."""
     path = shared_dir(spark, "player_features")
-    t = tracking(spark, sf_dir)
-    stale = speed.player_performance(t.where(F.col("ball_status") == "Alive"))
-    keys = ["match_date", "side", "player_id"]
-    tables.upsert_by_key(spark, stale, path, keys, schema=schemas.PLAYER_FEATURES)
-    tables.upsert_by_key(spark, speed.player_performance(t), path, keys, schema=schemas.PLAYER_FEATURES)
+    feats = _features(spark, sf_dir)
+    tables.upsert_by_key(spark, _stored_before(feats), path, FEATURE_KEYS, schema=schemas.PLAYER_FEATURES)
+    tables.upsert_by_key(spark, feats, path, FEATURE_KEYS, schema=schemas.PLAYER_FEATURES)
     return _features_table(spark, path)
 
 
 @query("incremental_load")
 def q_incremental_load(spark, sf_dir):
-    """The table holds the first half of the matches; a load of all rows builds
-    features only for the matches it lacks."""
+    """The table holds some matches with other values; a load of all rows builds features
+    only for the matches it lacks."""
     path = shared_dir(spark, "player_features")
     t = tracking(spark, sf_dir)
-    tables.incremental_load(spark, t.where(F.col("match_date") <= FIRST_HALF_END), path,
-                            speed.player_performance, schema=schemas.PLAYER_FEATURES)
+    tables.write_partitioned(_stored_before(_features(spark, sf_dir)), path)
     tables.incremental_load(spark, t, path, speed.player_performance, schema=schemas.PLAYER_FEATURES)
     return _features_table(spark, path)
 
@@ -317,7 +378,9 @@ AS_OF_CUTOFF = "2024-01-20"
 
 @query("features_as_of")
 def q_features_as_of(spark, sf_dir):
-    return tables.features_as_of(q_write_partitioned(spark, sf_dir), AS_OF_CUTOFF)
+    path = shared_dir(spark, "player_features")
+    tables.write_partitioned(speed.player_performance(tracking(spark, sf_dir)), path)
+    return tables.features_as_of(_features_table(spark, path), AS_OF_CUTOFF)
 
 
 # -- streaming ----------------------------------------------------------------------
@@ -325,12 +388,32 @@ def q_features_as_of(spark, sf_dir):
 # run with trigger(availableNow) and checkpoints under the shared folder, and the
 # registered query reads what the sink committed.
 
-def feed_from_events(spark: SparkSession, sf_dir: str) -> str:
+def feed_from_events(spark: SparkSession, sf_dir: str, end_mark: bool = False) -> str:
+    """The feed as text files; with ``end_mark`` a last line that ends it."""
     path = shared_dir(spark, "feed")
-    adapter.stream_lines(tracking(spark, sf_dir)).write.mode("overwrite").text(path)
+    lines = adapter.stream_lines(tracking(spark, sf_dir))
+    lines.write.mode("overwrite").text(path)
+    if end_mark:
+        marks.end_mark_lines(spark.read.text(path)).write.mode("append").text(path)
     return path
 
 
+def _finished(spark: SparkSession, out: DataFrame, name: str) -> DataFrame:
+    """Run a stream over what its source has and read what the sink committed."""
+    sink, ckpt = shared_dir(spark, name), shared_dir(spark, f"{name}_ckpt")
+    q = (
+        out.writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", ckpt).option("path", sink)
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return files.read_table(spark, sink, out.schema)
+
+
+def _feed_rows(spark: SparkSession, feed: str) -> DataFrame:
+    return lines_mod.split_parsed(lines_mod.parse_ball_lines(ingest.read_lines(spark, "text", feed)))[0]
+
+
 STREAM_COLUMNS = [
     "match_id", "match_time", "wall_ms", "frame_idx", "x", "y", "z",
     "ball_status", "ball_speed", "ball_team", "in_box", "in_field",
@@ -365,18 +448,23 @@ def q_stream_live_events(spark, sf_dir):
 
 @query("stream_sampled_ball_state")
 def q_stream_sampled_ball_state(spark, sf_dir):
-    """Windows closed by the watermark: all but the last ``DELAY`` of the feed."""
-    feed = feed_from_events(spark, sf_dir)
-    sink, ckpt = shared_dir(spark, "sampled"), shared_dir(spark, "sampled_ckpt")
-    good, _ = lines_mod.split_parsed(lines_mod.parse_ball_lines(ingest.read_lines(spark, "text", feed)))
-    out = sampling.sampled_state_stream(good)
-    q = (
-        out.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", ckpt).option("path", sink)
-        .trigger(availableNow=True).start()
-    )
-    q.awaitTermination()
-    return files.read_table(spark, sink, out.schema)
+    """Windows closed by the watermark; the feed's end mark closes the last ones."""
+    rows = _feed_rows(spark, feed_from_events(spark, sf_dir, end_mark=True))
+    return _finished(spark, sampling.sampled_state_stream(rows), "sampled")
+
+
+@query("stream_sampled_live_events")
+def q_stream_sampled_live_events(spark, sf_dir):
+    """The poller's events from the windows that the sampling stream committed."""
+    return events.live_events(q_stream_sampled_ball_state(spark, sf_dir))
+
+
+@query("stream_live_events_by_pitch")
+def q_stream_live_events_by_pitch(spark, sf_dir):
+    """Live events with each match's pitch size, looked up in the stream."""
+    meta = files.read_match_metadata(spark, metadata_from_events(spark, sf_dir))
+    rows = _feed_rows(spark, feed_from_events(spark, sf_dir))
+    return _finished(spark, live.live_event_stream(rows, metadata=meta), "live_events_pitch")
 
 
 @query("stream_latest_ball_state")
@@ -397,19 +485,10 @@ ORDERED_DELAY = "10 seconds"
 
 @query("stream_live_events_ordered")
 def q_stream_live_events_ordered(spark, sf_dir):
-    """Event-time mode: events of rows the watermark (newest clock - 10 s) has
-    released, processed in clock order whatever the arrival order."""
-    feed = feed_from_events(spark, sf_dir)
-    sink, ckpt = shared_dir(spark, "live_events_ordered"), shared_dir(spark, "live_events_ordered_ckpt")
-    good, _ = lines_mod.split_parsed(lines_mod.parse_ball_lines(ingest.read_lines(spark, "text", feed)))
-    out = live.live_event_stream(good, delay=ORDERED_DELAY)
-    q = (
-        out.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", ckpt).option("path", sink)
-        .trigger(availableNow=True).start()
-    )
-    q.awaitTermination()
-    return files.read_table(spark, sink, out.schema)
+    """Event-time mode: rows are processed in clock order whatever the arrival order, once
+    the watermark (newest clock - 10 s) has passed them; the end mark releases the tail."""
+    rows = _feed_rows(spark, feed_from_events(spark, sf_dir, end_mark=True))
+    return _finished(spark, live.live_event_stream(rows, delay=ORDERED_DELAY), "live_events_ordered")
 
 
 @query("dedup_frames")

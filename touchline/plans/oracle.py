@@ -7,6 +7,8 @@ expressions compute, so boundary comparisons agree bit for bit.
 
 from __future__ import annotations
 
+import re
+
 from touchline.functions.geometry import (
     FRAME_SECONDS,
     PENALTY_AREA_LENGTH_M,
@@ -14,6 +16,7 @@ from touchline.functions.geometry import (
     PITCH_LENGTH_M,
     PITCH_WIDTH_M,
 )
+from touchline.operators import events as ev
 
 
 def _d(value: float) -> str:
@@ -118,7 +121,15 @@ GROUP BY match_id"""
 TS = "strftime(make_timestamp(wall_ms * 1000), '%Y-%m-%d %H:%M:%S.%g')"
 POS = "printf('[%.2f, %.2f]', x, y)"
 
-EVENTS = f"""
+def _sql_text(template: str, **columns: str) -> str:
+    """An event message template as SQL: literals and columns joined with ``||``."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return " || ".join(columns[x] if i % 2 else f"'{x}'" for i, x in enumerate(parts) if x)
+
+
+def events_sql(half_l: str, half_w: str) -> str:
+    """The events of flagged rows ``f``; the half pitch sizes are SQL expressions."""
+    return f"""
 p AS (
   SELECT *, {TS} AS ts_text, {POS} AS pos_text,
          coalesce(lag(ball_status) OVER w, 'Alive') AS old_status,
@@ -132,7 +143,7 @@ ev AS (
          old_status AS old_value, ball_status AS new_value,
          NULL::VARCHAR AS restart, NULL::VARCHAR AS team, x, y,
          NULL::DOUBLE AS restart_x, NULL::DOUBLE AS restart_y,
-         'Timestamp: ' || ts_text || '; Ball change status from ' || old_status || ' to ' || ball_status AS message
+         {_sql_text(ev.MSG_STATUS, ts='ts_text', old='old_status', new='ball_status')} AS message
   FROM p WHERE ball_status <> old_status
   UNION ALL
   SELECT match_id, wall_ms, frame_idx, 2,
@@ -140,8 +151,8 @@ ev AS (
          CAST(old_box AS VARCHAR), CAST(in_box AS VARCHAR),
          NULL, NULL, x, y, NULL, NULL,
          CASE WHEN in_box
-              THEN 'Timestamp: ' || ts_text || '; Action is coming! Ball is going to inside penalty box!; Position: ' || pos_text
-              ELSE 'Timestamp: ' || ts_text || '; There is no more danger! Ball is going outside the penalty box!; Position: ' || pos_text
+              THEN {_sql_text(ev.MSG_BOX_ENTERED, ts='ts_text', pos='pos_text')}
+              ELSE {_sql_text(ev.MSG_BOX_LEFT, ts='ts_text', pos='pos_text')}
          END
   FROM p WHERE in_box <> old_box
   UNION ALL
@@ -151,20 +162,22 @@ ev AS (
          CASE WHEN NOT in_field THEN restart_kind END,
          CASE WHEN NOT in_field THEN restart_team END,
          x, y,
-         CASE WHEN NOT in_field THEN (CASE WHEN abs(x) >= {_d(HALF_L)} THEN sign(x) * {_d(HALF_L)} ELSE x END) END,
-         CASE WHEN NOT in_field THEN (CASE WHEN y >= 0 THEN {_d(HALF_W)} ELSE -{_d(HALF_W)} END) END,
+         CASE WHEN NOT in_field THEN (CASE WHEN abs(x) >= {half_l} THEN sign(x) * {half_l} ELSE x END) END,
+         CASE WHEN NOT in_field THEN (CASE WHEN y >= 0 THEN {half_w} ELSE -{half_w} END) END,
          CASE WHEN in_field
-              THEN 'Timestamp: ' || ts_text || '; Ball is back on the field!; Position: ' || pos_text
-              ELSE 'Timestamp: ' || ts_text || '; Ball is outside of the field!; ' || restart_kind || ' for '
-                   || restart_team || ' team; Position: ' || pos_text
+              THEN {_sql_text(ev.MSG_FIELD_REENTERED, ts='ts_text', pos='pos_text')}
+              ELSE {_sql_text(ev.MSG_FIELD_LEFT, ts='ts_text', restart='restart_kind', team='restart_team', pos='pos_text')}
          END
   FROM (
-    SELECT *, CASE WHEN abs(x) >= {_d(HALF_L)} THEN 'corner' ELSE 'throw-in' END AS restart_kind,
+    SELECT *, CASE WHEN abs(x) >= {half_l} THEN 'corner' ELSE 'throw-in' END AS restart_kind,
               CASE WHEN ball_team = 'A' THEN 'home' ELSE 'away' END AS restart_team
     FROM p
   ) WHERE in_field <> old_field
 )"""
 
+
+EVENTS = events_sql(_d(HALF_L), _d(HALF_W))
+
 STATE_COLS = "wall_ms, frame_idx, ball_status, x, y, ball_team, in_box, in_field"
 
 ORACLE: dict[str, str] = {
@@ -173,11 +186,14 @@ ORACLE: dict[str, str] = {
 FROM t GROUP BY match_date, side, player_id""",
     "max_speed_x": _with(TRACKING, SPEED_ROWS) + """SELECT match_date, side, player_id, max(speed_x) AS maximum_speed_x
 FROM sx GROUP BY match_date, side, player_id""",
+    # Input with gaps (x of every 11th row, clock of every 13th): all nulls count as 0.
     "max_speed_x_zero_fill": _with(TRACKING) + """SELECT side, player_id,
-       max(abs(x - coalesce(px, 0.0::DOUBLE)) / nullif(game_clock - coalesce(pt, 0.0::DOUBLE), 0)) AS maximum_speed_x
+       max(abs(x0 - coalesce(px, 0.0::DOUBLE)) / nullif(t0 - coalesce(pt, 0.0::DOUBLE), 0)) AS maximum_speed_x
 FROM (
-  SELECT *, lag(x) OVER w AS px, lag(game_clock) OVER w AS pt
-  FROM t WINDOW w AS (PARTITION BY side, player_id ORDER BY period, game_clock, frame_idx)
+  SELECT *, lag(x0) OVER w AS px, lag(t0) OVER w AS pt
+  FROM (SELECT *, CASE WHEN frame_idx % 11 = 0 THEN 0.0::DOUBLE ELSE x END AS x0,
+               CASE WHEN frame_idx % 13 = 0 THEN 0.0::DOUBLE ELSE game_clock END AS t0 FROM t)
+  WINDOW w AS (PARTITION BY side, player_id ORDER BY period, t0, frame_idx)
 )
 GROUP BY side, player_id""",
     "frame_speed_x": _with(TRACKING, SPEED_ROWS) + """SELECT match_date, side, player_id, period, frame_idx, game_clock, speed_x
@@ -245,7 +261,16 @@ m AS (
   FROM t GROUP BY match_date
 )"""
 
-PERF_ALL = _with(TRACKING, SPEED_ROWS, PERFORMANCE) + "SELECT * FROM perf"
+# What the merged tables hold before the load: other values, a match and players it lacks.
+STORED_BEFORE = """, old AS (
+  SELECT * REPLACE (-1.0::DOUBLE AS player_avg_speed) FROM perf WHERE match_date <= '2024-01-15' AND side = 'home'),
+stored AS (
+  SELECT match_date, side, player_id, player_avg_speed, player_max_speed, maximum_speed_x FROM old
+  UNION ALL
+  SELECT '2023-12-31', side, player_id, player_avg_speed, player_max_speed, maximum_speed_x FROM old WHERE match_date = '2024-01-01'
+  UNION ALL
+  SELECT match_date, 'home', 'p-other', -2.0::DOUBLE, max(player_max_speed), 0.5::DOUBLE FROM old GROUP BY match_date)
+"""
 
 ORACLE.update({
     "scan_frames_json": _with(TRACKING, FRAMES) + """SELECT match_date, period, frame_no AS frame_idx,
@@ -260,12 +285,32 @@ FROM fk""",
 FROM fk""",
     "split_by_side": _with(TRACKING, FRAMES) + f"SELECT {UP_COLS} FROM up WHERE side = 'home'",
     "dedup_players": _with(TRACKING, FRAMES) + f"SELECT DISTINCT {UP_COLS} FROM up WHERE n_home > 0 AND n_away > 0",
+    # Frames with faults by frame number (unknown period, no clock, short ball, nameless player)
+    # and unreadable lines, which have no match.
     "frame_quality_report": _with(TRACKING, FRAMES) + """SELECT match_date AS match_id, count(*) AS n_frames,
-       0::BIGINT AS n_corrupt, 0::BIGINT AS n_missing_clock, 0::BIGINT AS n_bad_period,
-       0::BIGINT AS n_short_ball_xyz, 0::BIGINT AS n_bad_player,
+       0::BIGINT AS n_corrupt, count(*) FILTER (WHERE frame_no % 60 = 0) AS n_missing_clock,
+       count(*) FILTER (WHERE frame_no % 50 = 0) AS n_bad_period,
+       count(*) FILTER (WHERE frame_no % 7 = 0) AS n_short_ball_xyz,
+       count(*) FILTER (WHERE frame_no % 9 = 0 AND n_home > 0) AS n_bad_player,
        count(*) FILTER (WHERE n_home = 0) AS n_no_home,
        count(*) FILTER (WHERE n_away = 0) AS n_no_away
-FROM fk GROUP BY match_date""",
+FROM fk GROUP BY match_date
+UNION ALL
+SELECT NULL, n, n, n, n, n, 0, n, n FROM (SELECT count(*) AS n FROM fk WHERE frame_no % 40 = 0) WHERE n > 0""",
+    "ingest_accounting": _with(TRACKING, FRAMES) + """, q AS (
+  SELECT match_date || '-' || m AS match_date, frame_no, CASE WHEN m = 'A' THEN period ELSE period + 2 END AS period,
+         n_home, n_away, frame_no % 60 = 0 OR frame_no % 50 = 0 AS bad,
+         CASE WHEN frame_no % 9 = 0 AND n_home > 0 THEN 1 ELSE 0 END AS nameless
+  FROM fk, (VALUES ('A'), ('B')) AS v(m))
+SELECT match_date, coalesce(sum(n_home + n_away - nameless) FILTER (WHERE NOT bad), 0)::BIGINT AS player_rows,
+       count(*) FILTER (WHERE NOT bad AND frame_no % 7 <> 0) AS ball_rows,
+       count(*) FILTER (WHERE bad) AS frame_rejects,
+       coalesce(sum(nameless) FILTER (WHERE NOT bad), 0)::BIGINT AS player_rejects,
+       count(*) FILTER (WHERE NOT bad AND frame_no % 7 = 0) AS ball_rejects,
+       max(CASE WHEN NOT bad AND n_home + n_away > nameless THEN period END)::INTEGER AS last_period
+FROM q GROUP BY match_date
+UNION ALL
+SELECT NULL, 0, 0, n, 0, 0, NULL FROM (SELECT count(DISTINCT frame_no) AS n FROM fk WHERE frame_no % 40 = 0) WHERE n > 0""",
     "scan_match_metadata": _with(TRACKING, PITCH) + "SELECT match_id, kickoff_text, pitch_length, pitch_width FROM m",
     "ball_in_box_by_pitch": _with(TRACKING, BALL, PITCH) + f"""SELECT b.match_id, m.pitch_length, true AS ball_inside_box,
        count(*) * {_d(FRAME_SECONDS)} / 60.0::DOUBLE AS minutes_inside_box,
@@ -277,10 +322,14 @@ WHERE abs(x) < m.pitch_length / 2.0::DOUBLE
 GROUP BY b.match_id, m.pitch_length""",
     "scan_table": _with(TRACKING) + """SELECT wall_ms, period, frame_idx, side, player_id, speed, x, y,
        ball_status, game_clock, match_date FROM t""",
-    "write_partitioned": PERF_ALL,
-    "merge_insert_only": PERF_ALL,
-    "upsert_by_key": PERF_ALL,
-    "incremental_load": PERF_ALL,
+    "write_partitioned": _with(TRACKING, SPEED_ROWS, PERFORMANCE) + """SELECT * REPLACE (
+       CASE WHEN match_date > '2024-01-15' THEN -3.0::DOUBLE ELSE player_avg_speed END AS player_avg_speed) FROM perf""",
+    "merge_insert_only": _with(TRACKING, SPEED_ROWS, PERFORMANCE) + STORED_BEFORE + """SELECT * FROM stored
+UNION ALL SELECT * FROM perf WHERE (match_date, side, player_id) NOT IN (SELECT (match_date, side, player_id) FROM stored)""",
+    "upsert_by_key": _with(TRACKING, SPEED_ROWS, PERFORMANCE) + STORED_BEFORE + """SELECT * FROM perf
+UNION ALL SELECT * FROM stored WHERE (match_date, side, player_id) NOT IN (SELECT (match_date, side, player_id) FROM perf)""",
+    "incremental_load": _with(TRACKING, SPEED_ROWS, PERFORMANCE) + STORED_BEFORE + """SELECT * FROM stored
+UNION ALL SELECT * FROM perf WHERE match_date NOT IN (SELECT match_date FROM stored)""",
     "features_as_of": _with(TRACKING, SPEED_ROWS, PERFORMANCE) + """SELECT side, player_id, player_avg_speed,
        player_max_speed, maximum_speed_x, match_date
 FROM (
@@ -295,19 +344,39 @@ ORACLE.update({
     "stream_live_events": _with(TRACKING, FEED_ROWS, FLAGS, EVENTS) + "SELECT * FROM ev",
 })
 
-# Append mode emits a window once the watermark (largest clock - 10 s) reaches its end.
 ORACLE["stream_sampled_ball_state"] = _with(TRACKING, FEED_ROWS, FLAGS) + f"""SELECT match_id, window_start_ms, {STATE_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY match_id, window_start_ms ORDER BY wall_ms DESC, frame_idx DESC) AS rn
   FROM (SELECT *, wall_ms - (wall_ms % 3000) AS window_start_ms FROM f)
-) WHERE rn = 1 AND window_start_ms + 3000 <= (SELECT max(wall_ms) FROM f) - 10000"""
+) WHERE rn = 1"""
 
 ORACLE["stream_latest_ball_state"] = _with(TRACKING, FEED_ROWS, FLAGS) + f"""SELECT match_id, {STATE_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY wall_ms DESC, frame_idx DESC) AS rn FROM f
 ) WHERE rn = 1"""
 
-# Rows are released once the watermark (newest clock - 10 s) has passed them.
-ORACLE["stream_live_events_ordered"] = (
-    _with(TRACKING, FEED_ROWS, FLAGS, EVENTS) + "SELECT * FROM ev WHERE wall_ms <= (SELECT max(wall_ms) FROM f) - 10000"
+ORACLE["stream_live_events_ordered"] = _with(TRACKING, FEED_ROWS, FLAGS, EVENTS) + "SELECT * FROM ev"
+
+# Each match's own pitch: the flags, the restart rule and spot use its half sizes.
+PITCH_FLAGS = f"""
+f AS (
+  SELECT b.*, m.pitch_length / 2.0::DOUBLE AS half_l, m.pitch_width / 2.0::DOUBLE AS half_w,
+         (abs(x) < m.pitch_length / 2.0::DOUBLE AND abs(x) > m.pitch_length / 2.0::DOUBLE - {_d(PENALTY_AREA_LENGTH_M)}
+          AND abs(y) < {_d(AREA_HALF_W)}) AS in_box,
+         (abs(x) < m.pitch_length / 2.0::DOUBLE AND abs(y) < m.pitch_width / 2.0::DOUBLE) AS in_field
+  FROM b JOIN m ON b.match_id = m.match_id
+)"""
+ORACLE["live_events_by_pitch"] = _with(TRACKING, PITCH, BALL_ROWS, PITCH_FLAGS, events_sql("half_l", "half_w")) + "SELECT * FROM ev"
+ORACLE["stream_live_events_by_pitch"] = (
+    _with(TRACKING, PITCH, FEED_ROWS, PITCH_FLAGS, events_sql("half_l", "half_w")) + "SELECT * FROM ev"
 )
 
+# What a poller sees: events between the newest rows of successive 3 s windows.
+SAMPLED = """
+s AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY match_id, wall_ms - (wall_ms % 3000) ORDER BY wall_ms DESC, frame_idx DESC) AS rn FROM f
+  ) WHERE rn = 1)"""
+SAMPLED_EVENTS = EVENTS.replace("FROM f\n", "FROM s\n", 1)
+ORACLE["sampled_live_events"] = _with(TRACKING, BALL, SAMPLED, SAMPLED_EVENTS) + "SELECT * FROM ev"
+ORACLE["stream_sampled_live_events"] = _with(TRACKING, FEED_ROWS, FLAGS, SAMPLED, SAMPLED_EVENTS) + "SELECT * FROM ev"
+
 ORACLE["dedup_frames"] = _with(TRACKING, FRAMES) + f"SELECT {UP_COLS} FROM up"

@@ -147,3 +147,42 @@ def match_metadata(tracking_df: DataFrame) -> DataFrame:
         (F.lit(100.0) + (day % 6).cast("double")).alias("fPitchXSizeMeters"),
         (F.lit(64.0) + (day % 5).cast("double")).alias("fPitchYSizeMeters"),
     )
+
+
+# -- inputs with faults, for the queries that must cope with them -------------------------
+
+def with_gaps(tracking_df: DataFrame) -> DataFrame:
+    """Tracking rows without a position (every 11th) or a game clock (every 13th)."""
+    return tracking_df.withColumn("x", F.when(F.col("frame_idx") % 11 != 0, F.col("x"))).withColumn(
+        "game_clock", F.when(F.col("frame_idx") % 13 != 0, F.col("game_clock")))
+
+
+def two_matches_a_day(nested: DataFrame) -> DataFrame:
+    """Every day's frames as two matches, ``<day>-A`` and ``<day>-B``; B is played in
+    extra time (periods 3 and 4) at the same clocks and frame numbers."""
+    day = F.date_format(F.timestamp_millis("wallClock"), "yyyy-MM-dd")
+    a = nested.withColumn("matchId", F.concat(day, F.lit("-A")))
+    b = nested.withColumn("matchId", F.concat(day, F.lit("-B"))).withColumn("period", (F.col("period") + 2).cast("int"))
+    return a.unionByName(b)
+
+
+def with_faults(nested: DataFrame) -> DataFrame:
+    """Frames with faults by frame number: an unknown period (every 50th), no game clock
+    (every 60th), a ball without a place (every 7th), a first home player without an id
+    (every 9th)."""
+    no = F.col("frameIdx")
+    player = nested.schema["homePlayers"].dataType.elementType
+    nameless = F.transform("homePlayers", lambda p, i: F.when(i > 0, p).otherwise(p.withField("playerId", F.lit(None).cast("string"))))
+    return nested.select(
+        *[c for c in nested.columns if c not in ("period", "gameClock", "ball", "homePlayers")],
+        F.when(no % 50 == 0, F.lit(9)).otherwise(F.col("period")).cast("int").alias("period"),
+        F.when(no % 60 != 0, F.col("gameClock")).alias("gameClock"),
+        F.when(no % 7 != 0, F.col("ball")).otherwise(F.col("ball").withField("xyz", F.slice("ball.xyz", 1, 1))).alias("ball"),
+        F.when(no % 9 == 0, nameless).otherwise(F.col("homePlayers")).cast(f"array<{player.simpleString()}>").alias("homePlayers"),
+    )
+
+
+def broken_lines(nested: DataFrame) -> DataFrame:
+    """Unreadable input lines (every 40th frame sends one): JSON cut in its middle."""
+    cut = F.concat(F.lit('{"period": 1, "frameIdx": '), F.col("frameIdx").cast("string"), F.lit(', "gameClock": "oops'))
+    return nested.where(F.col("frameIdx") % 40 == 0).select(cut.alias("value"))

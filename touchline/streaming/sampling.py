@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.ball import SAMPLE_MS, STATE_COLUMNS
-from touchline.streaming.marks import without_end_marks
+from touchline.streaming.marks import is_end_mark
 
 DELAY = "10 seconds"
 
@@ -24,12 +24,13 @@ def sampled_state_stream(ball_rows: DataFrame, every_ms: int = SAMPLE_MS, delay:
     newest = F.max_by(F.struct(*STATE_COLUMNS), F.struct("wall_ms", "frame_idx"))
     rows = ball_rows.withColumn("event_time", F.timestamp_millis("wall_ms")).withWatermark("event_time", delay)
     return (
-        without_end_marks(rows)
-        .groupBy("match_id", F.window("event_time", f"{every_ms} milliseconds").alias("w"))
+        rows.groupBy("match_id", F.window("event_time", f"{every_ms} milliseconds").alias("w"))
         .agg(newest.alias("s"))
         .select(
             "match_id",
             F.unix_millis(F.col("w.start")).alias("window_start_ms"),
             *[F.col(f"s.{c}").alias(c) for c in STATE_COLUMNS],
         )
+        # An end mark moves the watermark from a window of its own, far after the feed's last.
+        .where(~is_end_mark(F.col("ball_status")))
     )
