@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from touchline.llm.common import bound_batches, small, text_or_empty
 
 #: Words one task keeps; the cache is begun anew beyond that (results are the same).
-CACHE_WORDS = 150_000
+CACHE_WORDS = 500_000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 
