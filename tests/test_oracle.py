@@ -26,4 +26,5 @@ def test_entry_smoke(spark):
 
     df = entry.entry(spark)
     assert df.count() > 0
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    # Optional subpackages may add queries that SQL cannot express; the library's own all have SQL.
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
