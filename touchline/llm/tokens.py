@@ -11,6 +11,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import bound_batches, small, text_or_empty
 
-#: Words one task keeps; the cache is begun anew beyond that (results are the same).
-CACHE_WORDS = 500_000
+#: Chunks that a worker keeps; beyond that the newer half goes (results are the same).
+CACHE_CHUNKS = 500_000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 
@@ -39,37 +40,47 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
-class _WordIds(dict):
-    """Ids of words (uint16, little-endian), made where they are missing."""
+class _ChunkIds(dict):
+    """Ids of lower-cased chunks (uint16, little-endian), made where they are missing."""
 
     def __init__(self, model):
         super().__init__()
         self._model, self._letters = model, _byte_letters()
 
-    def __missing__(self, word: str) -> bytes:
-        mapped = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self._letters)
-        ids = [t.id for t in self._model.tokenize(mapped)]
-        made = self[word] = struct.pack(f"<{len(ids)}H", *ids)
+    def __missing__(self, chunk: str) -> bytes:
+        words = _WORD.findall(chunk)
+        if len(words) == 1:
+            mapped = chunk if chunk.isascii() else chunk.encode("utf-8").decode("latin-1").translate(self._letters)
+            ids = [t.id for t in self._model.tokenize(mapped)]
+            made = struct.pack(f"<{len(ids)}H", *ids)
+        else:
+            made = b"".join([self[w] for w in words])
+        self[chunk] = made
         return made
 
+    def shrink(self) -> None:
+        """Keep the older half: what is frequent was met early."""
+        for chunk in list(islice(reversed(self), len(self) // 2)):
+            del self[chunk]
+
 
 class ChunkTokenizer:
     """``ids(text_bytes)``: little-endian uint16 ids as bytes (the vocabulary has 49,408 entries).
 
-    White space is dropped and words are encoded one by one, so a word's ids are
-    looked up where it has been met before.
+    White space is dropped and never joined across, so chunks are encoded one by one,
+    and a chunk's ids are looked up where it has been met before.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
-        self._words = _WordIds(self._tok.model)
+        self._chunks = _ChunkIds(self._tok.model)
 
     def _plain(self, text: str) -> bytes:
-        if len(self._words) > CACHE_WORDS:
-            self._words.clear()
-        return b"".join(map(self._words.__getitem__, _WORD.findall(text.lower())))
+        if len(self._chunks) > CACHE_CHUNKS:
+            self._chunks.shrink()
+        return b"".join(map(self._chunks.__getitem__, text.lower().split()))
 
     def ids(self, text: bytes) -> bytes:
         whole = text.decode("utf-8")
@@ -88,7 +99,7 @@ class ChunkTokenizer:
 
 @lru_cache(maxsize=1)
 def _worker_tokenizer(path: str) -> ChunkTokenizer:
-    """One per Python worker: Spark uses a worker for many tasks, so later ones begin with its words."""
+    """One per Python worker: Spark uses a worker for many tasks, so later ones begin with its chunks."""
     return ChunkTokenizer(path)
 
 
