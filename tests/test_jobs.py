@@ -67,3 +67,25 @@ def test_ingest_job_quarantines_bad_frames(spark, sf_dir):
     assert files.read_table(spark, ball_t).count() == good_frames.count()
     quarantined = spark.read.json(bad).collect()
     assert len(quarantined) == 1 and "corrupt" in quarantined[0]["reasons"]
+
+
+def test_live_job_with_metadata_and_late_rows(spark, sf_dir):
+    from touchline.operators import events
+    from touchline.streaming import live
+    from touchline.streaming.lines import parse_ball_lines, split_parsed
+
+    tracking = adapter.tracking(spark, sf_dir)
+    feed, meta, out, late, ckpt = (shared_dir(spark, n) for n in ("jl-feed", "jl-meta", "jl-out", "jl-late", "jl-ckpt"))
+    adapter.stream_lines(tracking).write.text(feed)
+    files.write_match_metadata(adapter.match_metadata(tracking), meta)
+    args = ["live", "--path", feed, "--sink", out, "--checkpoint", ckpt, "--metadata", meta, "--late", late, "--available-now"]
+    jobs.main(args)
+    good, _ = split_parsed(parse_ball_lines(spark.read.text(feed)))
+    want = events.live_events_by_pitch(good.drop("in_box", "in_field"), files.read_match_metadata(spark, meta))
+    got = spark.read.parquet(out).select(*want.columns)
+    assert sorted(got.collect()) == sorted(want.collect())
+    # The first lines again, in a later file: all late.
+    adapter.stream_lines(tracking.orderBy("wall_ms").limit(7)).coalesce(1).write.mode("append").text(feed)
+    jobs.main(args)
+    assert spark.read.parquet(late).where(f"kind = '{live.LATE_ROW}'").count() == 7
+    assert spark.read.parquet(out).count() == want.count()

@@ -414,6 +414,9 @@ def _feed_rows(spark: SparkSession, feed: str) -> DataFrame:
     return lines_mod.split_parsed(lines_mod.parse_ball_lines(ingest.read_lines(spark, "text", feed)))[0]
 
 
+# Micro-batches of so many files, whatever the backlog.
+FILES_PER_TRIGGER = 64
+
 STREAM_COLUMNS = [
     "match_id", "match_time", "wall_ms", "frame_idx", "x", "y", "z",
     "ball_status", "ball_speed", "ball_team", "in_box", "in_field",
@@ -424,7 +427,7 @@ STREAM_COLUMNS = [
 def q_stream_ball_rows(spark, sf_dir):
     feed = feed_from_events(spark, sf_dir)
     sink, ckpt, quarantine = (shared_dir(spark, n) for n in ("ball_rows", "ball_rows_ckpt", "quarantine"))
-    lines = ingest.read_lines(spark, "text", feed)
+    lines = ingest.read_lines(spark, "text", feed, FILES_PER_TRIGGER)
     schema = lines_mod.parse_ball_lines(lines).schema
     for q in ingest.start_ball_stream(lines, sink, ckpt, quarantine, available_now=True):
         q.awaitTermination()
@@ -473,7 +476,7 @@ def q_stream_latest_ball_state(spark, sf_dir):
     re-scan of the growing folder), then the newest row per match."""
     feed = feed_from_events(spark, sf_dir)
     sink, ckpt = shared_dir(spark, "ball_rows"), shared_dir(spark, "ball_rows_ckpt")
-    lines = ingest.read_lines(spark, "text", feed)
+    lines = ingest.read_lines(spark, "text", feed, FILES_PER_TRIGGER)
     schema = lines_mod.parse_ball_lines(lines).schema
     for q in ingest.start_ball_stream(lines, sink, ckpt, available_now=True):
         q.awaitTermination()

@@ -131,7 +131,8 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--path")
         s.add_argument("--host")
         s.add_argument("--port")
-        s.add_argument("--max-files-per-trigger", type=int)
+        # A backlog is read in micro-batches of so many files.
+        s.add_argument("--max-files-per-trigger", type=int, default=64)
         s.add_argument("--sink", required=True)
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--available-now", action="store_true")
@@ -139,6 +140,8 @@ def main(argv: list[str] | None = None) -> None:
             s.add_argument("--quarantine")
         else:
             s.add_argument("--delay")
+            s.add_argument("--metadata", help="match metadata (XML): each match's own pitch size")
+            s.add_argument("--late", help="folder for rows that came too late (arrival mode)")
     args = p.parse_args(argv)
     spark = build_session(app_name=f"touchline-{args.job}")
 
@@ -152,13 +155,31 @@ def main(argv: list[str] | None = None) -> None:
             q.awaitTermination()
     else:
         good, _ = split_parsed(parse_ball_lines(_lines(spark, args)))
-        out = live.live_event_stream(good, delay=args.delay)
-        writer = (out.writeStream.format("parquet").outputMode("append")
-                  .option("checkpointLocation", args.checkpoint).option("path", args.sink))
+        meta = files.read_match_metadata(spark, args.metadata) if args.metadata else None
+        out = live.live_event_stream(good, delay=args.delay, metadata=meta, late_rows=bool(args.late))
+        writer = out.writeStream.outputMode("append").option("checkpointLocation", args.checkpoint)
+        if args.late:
+            writer = writer.foreachBatch(_late_writer(args.sink, args.late))
+        else:
+            writer = writer.format("parquet").option("path", args.sink)
         if args.available_now:
             writer = writer.trigger(availableNow=True)
         writer.start().awaitTermination()
 
 
+def _late_writer(sink: str, late: str):
+    """``foreachBatch`` body: events and late rows of a micro-batch to folders of their own
+    (``batch_id=<n>``, overwritten when a batch is replayed)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist()
+        is_late = F.col("kind") == live.LATE_ROW
+        rows.where(~is_late).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        rows.where(is_late).write.mode("overwrite").parquet(f"{late}/batch_id={batch_id}")
+        rows.unpersist()
+
+    return write
+
+
 if __name__ == "__main__":
     main()
