@@ -51,7 +51,7 @@ CHUNK = 1 << 20
 TILE_BITS, SET_BITS = 2, 32
 #: Fan-out of a tree node.
 FAN = 8
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P = np.uint64(0x9E3779B97F4A7C15)

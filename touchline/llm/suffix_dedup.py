@@ -49,7 +49,7 @@ BUCKET_BYTES = 16 << 20
 #: From so many documents on, an anchor's windows are sent one by one.
 HOT_DOCS = 1000
 #: Bytes hashed at a time; longer texts are cut into overlapping segments.
-SLAB = 1 << 20
+SLAB = 1 << 18
 #: The id that stands for null.
 NO_ID = np.iinfo(np.int64).max
 #: A context's first byte has no known byte before it.
@@ -116,7 +116,8 @@ def anchors(texts: list[bytes], window: int, gram: int):
         h, lo, hi = slab_anchors(np.frombuffer(b"".join(p[2] for p in parts), np.uint8), begin, window, gram)
         seg = np.searchsorted(begin, lo, side="right") - 1
         shift = np.array([p[1] for p in parts], dtype=np.int64)[seg] - begin[seg]
-        out.append((h, np.array([p[0] for p in parts], dtype=np.int64)[seg], lo + shift, hi + shift))
+        doc = np.array([p[0] for p in parts], dtype=np.int32)[seg]
+        out.append((h, doc, (lo + shift).astype(np.int32), (hi + shift).astype(np.int32)))
 
     for d, t in enumerate(texts):
         if len(t) < window:
@@ -131,7 +132,7 @@ def anchors(texts: list[bytes], window: int, gram: int):
     if parts:
         flush()
     if not out:
-        return np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3
+        return np.empty(0, np.uint64), *[np.empty(0, np.int32)] * 3
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -252,12 +253,12 @@ class Chunk:
         if is_hot.any():  # one context per window
             n = np.where(is_hot, hi - lo + 1, 1)
             at = np.repeat(np.arange(len(h)), n)
-            step = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
+            step = (np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)).astype(np.int32)
             h, d, single = h[at], d[at], is_hot[at]
             lo, hi = lo[at] + step, np.where(single, lo[at] + step, hi[at])
             is_hot = single
         number: dict[bytes, int] = {}
-        ctx = np.empty(len(h), dtype=np.int64)
+        ctx = np.empty(len(h), dtype=np.int32)
         for i, (t, a, b) in enumerate(zip(d.tolist(), lo.tolist(), (hi + window).tolist())):
             ctx[i] = number.setdefault(texts[t][a:b], len(number))
         self.texts = list(number)
@@ -309,11 +310,12 @@ def _told(messages: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES,
                  bucket_bytes: int = BUCKET_BYTES, hot_docs: int = HOT_DOCS, carry: list[str] | None = None,
-                 with_text: bool = True) -> DataFrame:
+                 with_text: bool = True, whole_characters: bool = False) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept``.
 
-    ``kept`` holds the remaining bytes (null unless ``with_text``). Columns named in
-    ``carry`` come along as the struct ``carried``.
+    ``kept`` holds the remaining bytes (null unless ``with_text``), without what is left
+    of cut characters if ``whole_characters``. Columns named in ``carry`` come along as
+    the struct ``carried``.
     """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("binary")))).first()[0] or 0
@@ -444,7 +446,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
                 reps = hi[s:s + step] - lo[s:s + step]
                 at = np.repeat(lo[s:s + step] - np.concatenate(([0], np.cumsum(reps)[:-1])), reps) + np.arange(reps.sum())
                 occ = np.repeat(np.arange(s, s + len(reps)), reps)
-                use = told["low"][at] < ids[c.doc[occ]]
+                use = told["low"][at] < ids[c.doc[occ]]  # the group begins in a smaller document
                 at, occ = at[use], occ[use]
                 first = begin[c.doc[occ]] + c.lo[occ] + told["off"][at]
                 np.add.at(gone, first, 1)
@@ -457,6 +459,8 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
             runs.append(int(r[0]) + int(np.count_nonzero(r[1:] & ~r[:-1])) if n else 0)
             left = np.frombuffer(t, np.uint8)[~r].tobytes() if n else t
             sums.append(hashlib.sha256(left).hexdigest())
+            if whole_characters and n:
+                left = left.decode("utf-8", "ignore").encode()
             kept.append(left if with_text else None)
         return pa.Table.from_arrays(
             [table.column("doc_id"), pa.array(size), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
@@ -480,8 +484,6 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     A cut inside a character drops the rest of that character. Null text stays null
     only where nothing was there to cut: it comes back empty.
     """
-    out = suffix_dedup(docs, carry=docs.columns, **options)
-    # Bytes that are no whole character become U+FFFD, which is then taken out where the text had none.
-    fixed = F.make_valid_utf8(F.col("kept").cast("string"))
-    fixed = F.when(F.contains(F.col("carried.text"), F.lit("\ufffd")), fixed).otherwise(F.translate(fixed, "\ufffd", ""))
-    return out.select(*[fixed.alias(c) if c == "text" else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
+    others = [c for c in docs.columns if c != "text"]
+    out = suffix_dedup(docs, carry=others, whole_characters=True, **options)
+    return out.select(*[F.col("kept").cast("string").alias(c) if c == "text" else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])

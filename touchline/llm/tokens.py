@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from touchline.llm.common import bound_batches, small, text_or_empty
 
 #: Chunks that a worker keeps; beyond that the newer half goes (results are the same).
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 300_000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 

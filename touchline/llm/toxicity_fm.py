@@ -40,34 +40,35 @@ PREFIXES = (4, 5, 6, 7)
 FOLDS = 5
 EPOCHS = 8
 TOXIC_WEIGHT = 4.0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 _PART = re.compile(r"\w+")
 
 
-class TermHasher:
-    """Distinct feature ids of a text; a word's ids are kept in a bounded cache."""
+class _WordFeatures(dict):
+    """Feature ids of a white-space-separated word, as int32 bytes."""
 
-    def __init__(self):
-        self._cache: dict[bytes, tuple[int, ...]] = {}
-
-    def _features(self, raw: bytes) -> tuple[int, ...]:
+    def __missing__(self, raw: bytes) -> bytes:
         found = set()
         for part in _PART.findall(raw.decode("utf-8", "replace").lower()):
             found.add("w" + part)
             found.update(f"p{part[:n]}" for n in PREFIXES if len(part) >= n)
-        return tuple(xxhash.xxh32_intdigest(x.encode()) % BUCKETS for x in found)
+        made = np.array([xxhash.xxh32_intdigest(x.encode()) % BUCKETS for x in found], dtype=np.int32).tobytes()
+        self[raw] = made
+        return made
+
+
+class TermHasher:
+    """Distinct feature ids of a text; a word's ids are kept in a bounded cache."""
+
+    def __init__(self):
+        self._words = _WordFeatures()
 
     def ids(self, text: bytes) -> np.ndarray:
-        cache, out = self._cache, []
-        for w in set(text.split()):
-            f = cache.get(w)
-            if f is None:
-                if len(cache) > CACHE_WORDS:
-                    cache.clear()
-                f = cache[w] = self._features(w)
-            out.extend(f)
-        return np.unique(np.array(out, dtype=np.int32))
+        if len(self._words) > CACHE_WORDS:
+            self._words.clear()
+        found = b"".join(map(self._words.__getitem__, set(text.split())))
+        return np.unique(np.frombuffer(found, dtype=np.int32))
 
 
 @dataclass
@@ -178,8 +179,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         hasher, m = TermHasher(), shared.value
         for b in small(batches):
             out = []
-            for at in range(0, b.num_rows, 256):  # bounds the gathered factors
-                rows = [hasher.ids(t) for t in b.column(b.num_columns - 1).slice(at, 256).to_pylist()]
+            for at in range(0, b.num_rows, 100):  # bounds the gathered factors
+                rows = [hasher.ids(t) for t in b.column(b.num_columns - 1).slice(at, 100).to_pylist()]
                 begin = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
                 out.append(m.scores(np.concatenate(rows), begin))
             s = pa.array(np.concatenate(out) if out else np.empty(0), pa.float64())
