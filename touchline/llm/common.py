@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,11 +44,22 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Spark keeps a Python worker for later tasks, and
+    what an earlier one has freed would count against the executor for as long."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches: bounds what a task holds as Python objects."""
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+    give_back()
 
 
 def text_or_empty(text="text"):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import small, stage
+from touchline.llm.common import bound_batches, small, stage
 from touchline.llm.graph import components
 
 THRESHOLD = 0.95
@@ -319,6 +319,7 @@ def audit(reps: DataFrame, links: DataFrame, threshold: float, queries: int = AU
 
 def embedding_links(vectors: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, min_recall: float = MIN_RECALL) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``."""
+    bound_batches(vectors.sparkSession)
     clean = stage(usable(vectors), "vec-clean")
     linkable = clean.filter("vec_id IS NOT NULL AND fp IS NOT NULL")
     reps = stage(linkable.select("vec_id", "fp", "v").groupBy("fp").agg(

@@ -38,18 +38,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import text_or_empty
+from touchline.llm.common import bound_batches, give_back, text_or_empty
 
 WINDOW = 50
 GRAM = 16
 #: Text bytes of one chunk, on average.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 #: Text bytes per anchor bucket.
 BUCKET_BYTES = 16 << 20
 #: From so many documents on, an anchor's windows are sent one by one.
 HOT_DOCS = 1000
 #: Bytes hashed at a time; longer texts are cut into overlapping segments.
 SLAB = 1 << 18
+#: Contexts whose suffixes are sorted at a time (whole anchor groups).
+RUN_CONTEXTS = 2048
 #: The id that stands for null.
 NO_ID = np.iinfo(np.int64).max
 #: A context's first byte has no known byte before it.
@@ -259,8 +261,10 @@ class Chunk:
             is_hot = single
         number: dict[bytes, int] = {}
         ctx = np.empty(len(h), dtype=np.int32)
-        for i, (t, a, b) in enumerate(zip(d.tolist(), lo.tolist(), (hi + window).tolist())):
-            ctx[i] = number.setdefault(texts[t][a:b], len(number))
+        for at in range(0, len(h), 20_000):
+            part = slice(at, at + 20_000)
+            ctx[part] = [number.setdefault(texts[t][a:b], len(number))
+                         for t, a, b in zip(d[part].tolist(), lo[part].tolist(), (hi[part] + window).tolist())]
         self.texts = list(number)
         self.doc, self.lo, self.ctx = d, lo, ctx  # occurrences
         self.key = np.zeros(len(number), dtype=np.uint64)
@@ -286,6 +290,7 @@ def _unpack(data: bytes) -> bytes:
 
 #: A maximal repeat group's occurrence as a chunk is told it.
 GROUP = np.dtype([("ctx", "<u4"), ("off", "<u2"), ("len", "<u2"), ("low", "<i8")])
+TOLD = np.dtype([("chunk", "<i4"), *GROUP.descr])
 
 
 def _short(h: np.ndarray) -> bytes:
@@ -318,6 +323,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
     the struct ``carried``.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("binary")))).first()[0] or 0
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = int(max(width, total // chunk_bytes + 1))
@@ -398,32 +404,35 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
         np.minimum.at(low, ctx, info[1])
         key = np.zeros(len(texts), dtype=np.uint64)
         key[ctx] = keys
-        found = []
+        # The chunks' copies of each context.
+        copies = np.argsort(ctx, kind="stable")
+        begin = np.searchsorted(ctx[copies], np.arange(len(texts) + 1))
+        told = []
         # Windows are equal only under one anchor: a run of whole anchor groups is sorted at a time.
         order = np.argsort(key, kind="stable")
         edges = np.concatenate((np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0))), [len(order)]))
         cut = 0
         while cut < len(edges) - 1:
-            end = int(np.searchsorted(edges, edges[cut] + 4096, side="right")) - 1
+            end = int(np.searchsorted(edges, edges[cut] + RUN_CONTEXTS, side="right")) - 1
             end = max(end, cut + 1)
             part = order[edges[cut]:edges[end]]
-            c, o, n, m = maximal_repeats([texts[i] for i in part.tolist()], low[part], window)
-            found.append((part[c], o, n, m))
             cut = end
-        c, o, n, m = (np.concatenate(x) for x in zip(*found))
-        by = np.argsort(c, kind="stable")
-        c, o, n, m = c[by], o[by], n[by], m[by]
-        # Every chunk's copy of a context gets its groups that begin in a smaller document.
-        lo, hi = np.searchsorted(c, ctx, side="left"), np.searchsorted(c, ctx, side="right")
-        reps = hi - lo
-        at = np.repeat(lo - np.concatenate(([0], np.cumsum(reps)[:-1])), reps) + np.arange(reps.sum())
-        member = np.repeat(np.arange(len(ctx)), reps)
-        use = m[at] < info[2][member]
-        at, member = at[use], member[use]
+            c, o, n, m = maximal_repeats([texts[i] for i in part.tolist()], low[part], window)
+            c = part[c]
+            reps = begin[c + 1] - begin[c]
+            at = np.repeat(np.arange(len(c)), reps)
+            member = copies[np.repeat(begin[c] - np.concatenate(([0], np.cumsum(reps)[:-1])), reps) + np.arange(reps.sum())]
+            use = m[at] < info[2][member]  # of use where the group begins in a smaller document
+            at, member = at[use], member[use]
+            out = np.empty(len(at), dtype=TOLD)
+            out["chunk"], out["ctx"], out["off"], out["len"], out["low"] = src[member], info[0][member], o[at], n[at], m[at]
+            told.append(out)
+        told = np.concatenate(told)
         cols = [[], [], []]
-        for s, p in _split(src[member]) if len(member) else []:
+        for s, p in _split(told["chunk"]) if len(told) else []:
             data = np.empty(len(p), dtype=GROUP)
-            data["ctx"], data["off"], data["len"], data["low"] = info[0][member[p]], o[at[p]], n[at[p]], m[at[p]]
+            for f in GROUP.names:
+                data[f] = told[f][p]
             for col, v in zip(cols, (s, 2, _pack(data.tobytes()))):
                 col.append(v)
         return pa.Table.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())],
@@ -467,13 +476,22 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_
              pa.array(sums, pa.string()), pa.array(kept, pa.binary()), table.column("carried")],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "carried"])
 
-    told = base.groupBy("chunk").applyInArrow(lambda t: hashes(t), "bucket int, chunk int, hashes binary, counts binary")
-    told = told.groupBy("bucket").applyInArrow(lambda t: shared(t), "chunk int, kind int, data binary")
+    def then_give_back(fn):
+        def run(*tables: pa.Table) -> pa.Table:
+            out = fn(*tables)
+            give_back()
+            return out
+
+        return run
+
+    f_hashes, f_shared, f_contexts, f_repeats, f_remove = map(then_give_back, (hashes, shared, contexts, repeats, remove))
+    told = base.groupBy("chunk").applyInArrow(lambda t: f_hashes(t), "bucket int, chunk int, hashes binary, counts binary")
+    told = told.groupBy("bucket").applyInArrow(lambda t: f_shared(t), "chunk int, kind int, data binary")
     ctx = base.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
-        lambda a, b: contexts(a, b), "bucket int, chunk int, texts binary, lens binary, info binary, keys binary")
-    groups = ctx.groupBy("bucket").applyInArrow(lambda t: repeats(t), "chunk int, kind int, data binary")
+        lambda a, b: f_contexts(a, b), "bucket int, chunk int, texts binary, lens binary, info binary, keys binary")
+    groups = ctx.groupBy("bucket").applyInArrow(lambda t: f_repeats(t), "chunk int, kind int, data binary")
     out = base.groupBy("chunk").cogroup(told.unionByName(groups).groupBy("chunk")).applyInArrow(
-        lambda a, b: remove(a, b),
+        lambda a, b: f_remove(a, b),
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, carried " + base.schema["carried"].dataType.simpleString())
     return out if carry else out.drop("carried")
 
