@@ -108,6 +108,53 @@ def test_bm25_scores_against_the_formula():
         assert np.allclose(index.scores(q), want)
 
 
+def neighbour_setup(seed=5, n=300):
+    """Tokens of pairs: two documents share their words but for one rare word each."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n // 2):
+        w = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(30)]
+        rows += [(i, " ".join([*w, f"Ωx{rng.random()}"])), (10_000 + i, " ".join([f"日{rng.random()}", *w]))]
+    return [(d, t, "en", "s", len(t)) for d, t in rows]
+
+
+def test_neighbours_of_the_whole_corpus(spark, monkeypatch):
+    monkeypatch.setattr(packing_bm25, "BLOCK_DOCS", 70)
+    monkeypatch.setattr(packing_bm25, "BLOCK_SEEDS", 16)
+    monkeypatch.setattr(packing_bm25, "DENSE_TERMS", 40)
+    rows = neighbour_setup(n=200)
+    ids = [reference_ids(r[1]).astype("<u2") for r in rows]
+    tok = spark.createDataFrame([(r[0], len(x), bytearray(x.tobytes()), i) for i, (r, x) in enumerate(zip(rows, ids))],
+                                "doc_id long, n_tokens long, ids binary, row long")
+    df, n, mean = packing_bm25.document_frequencies(tok)
+    idf = np.log1p((n - df + 0.5) / (df + 0.5))
+    near = {r["row"]: r["near"] for r in packing_bm25.neighbours(tok, n, df, idf, mean).collect()}
+    index = packing_bm25.ShardIndex(ids, idf, mean)
+    for q in range(n):
+        want = index.scores(q)
+        want[q] = -1
+        assert np.allclose([e["score"] for e in near[q]], np.sort(want)[::-1][:10], rtol=1e-4)
+        assert all(np.isclose(want[e["to"]], e["score"], rtol=1e-4) for e in near[q])
+
+
+def test_near_copies_share_a_window(spark):
+    """One differing rare word does not part two documents, however many lie between them."""
+    got = packing_bm25.pack_bm25(frame(spark, neighbour_setup(n=600)), shard_docs=16).collect()
+    at = defaultdict(set)
+    for r in got:
+        at[r["doc_id"]].add(r["sequence_id"])
+    together = sum(bool(at[i] & at[10_000 + i]) for i in range(300))
+    assert together >= 270
+
+
+def test_long_documents_are_indexed_whole():
+    """The rest of a long document goes to the neighbour of its beginning."""
+    begin, rest, other = np.arange(0, 50, dtype="<u2"), np.arange(100, 110, dtype="<u2"), np.arange(200, 210, dtype="<u2")
+    items = [(0, 2048, 2058, rest, np.concatenate([begin, rest])), (1, 0, 10, other, other), (2, 0, 10, begin[:10], begin[:10])]
+    windows, _ = packing_bm25.pack_shard(items, np.ones(packing_bm25.VOCABULARY), 20.0, 20)
+    assert [p[0] for p in windows[0]] == [0, 2]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOC_SCHEMA)
     assert packing_bfd.pieces(packing_bfd.pack_bfd(none)).count() == 0

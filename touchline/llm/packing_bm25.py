@@ -3,15 +3,19 @@
 1. Every document is tokenized once and staged (ids as uint16).
 2. Document frequencies of all token ids are counted over the whole corpus. The
    vocabulary is fixed (49,408 ids), so the collected table has a bound.
-3. Documents are range-partitioned by their largest token id (merged last, so rarest by
-   the vocabulary's own order), doc_id second: documents that share a rare token are in
-   one shard, and a group of copies is split, not gathered.
-4. In each shard (a bounded run of a partition) an inverted index over the
+3. Every document queries all documents, by all its terms: blocks of documents meet in a
+   block join, a cell holds two blocks, and the best ``NEIGHBOURS`` of each are kept.
+4. A document that others name as their best neighbour heads a group of these; groups are
+   joined by their best links outwards in the same way, ``ROUNDS`` times. The range
+   partition follows the groups, so neighbours lie side by side; one larger than a
+   partition is split.
+5. In each shard (a bounded run of a partition) an inverted index over the whole
    documents answers one BM25 query per seed; its unused neighbours fill the seed's
    window in order of score. The last neighbour is cut to fit and its rest seeds the
    next window. What remains at the end of a shard is passed to the next one.
-5. Windows of a document that is longer than the window are its own. A partition's
-   last, short window is cut into powers of two, which need no padding.
+6. Windows of a document that is longer than the window are its own; its rest is placed
+   by the terms of the whole document. A partition's last, short window is cut into
+   powers of two, which need no padding.
 
 Null or empty text is the end id alone. Repeated rows and null ids are documents
 of their own. An empty table gives no pieces. Extra columns are not read.
@@ -34,6 +38,11 @@ from touchline.llm.tokens import TOKEN_COLUMNS, encode, texts
 WINDOW = 2048
 #: Documents of one index shard: bounds a task's memory and a query's cost.
 SHARD_DOCS = 256
+#: Documents of a block of the block join, and seeds that are scored at a time.
+BLOCK_DOCS, BLOCK_SEEDS = 4096, 256
+#: Commonest ids, which are scored by a dense product; the others by their postings.
+DENSE_TERMS = 1024
+NEIGHBOURS, ROUNDS = 10, 4
 #: Ids above the vocabulary do not occur (uint16).
 VOCABULARY = 65536
 K1, B = 1.2, 0.75
@@ -60,6 +69,144 @@ def document_frequencies(tok: DataFrame) -> tuple[np.ndarray, int, float]:
     return df, n, float(mean or 1.0)
 
 
+def _blocks(tok: DataFrame, n_docs: int, idf: np.ndarray, mean: float) -> DataFrame:
+    """One row per block of about ``BLOCK_DOCS`` documents: row ids, begins, terms, weights."""
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            found = [np.unique(np.frombuffer(x, "<u2"), return_counts=True) for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([t.tobytes() for t, _ in found], pa.binary()),
+                 pa.array([c.astype("<u4").tobytes() for _, c in found], pa.binary())], names=["row", "n", "terms", "counts"])
+
+    shared = tok.sparkSession.sparkContext.broadcast(idf)
+
+    def gather(t: pa.Table) -> pa.Table:
+        t = t.sort_by("row")
+        raw = t.column("terms").to_pylist()
+        size = np.array([len(x) // 2 for x in raw])
+        ids, c = np.frombuffer(b"".join(raw), "<u2"), np.frombuffer(b"".join(t.column("counts").to_pylist()), "<u4")
+        norm = np.repeat(K1 * (1 - B + B * t.column("n").to_numpy() / mean), size)
+        weight = (shared.value[ids] * c * (K1 + 1) / (c + norm)).astype("<f4")
+        begin = np.concatenate(([0], np.cumsum(size)))
+        cols = [t.column("row").to_numpy().astype("<i8"), begin.astype("<i8"), ids, weight]
+        return pa.Table.from_arrays([t.column("block")[:1], *[pa.array([x.tobytes()], pa.binary()) for x in cols]],
+                                    names=["block", "rows", "begin", "terms", "weights"])
+
+    count = -(-n_docs // BLOCK_DOCS)
+    narrow = tok.select("row", "n_tokens", "ids").mapInArrow(terms, "row long, n long, terms binary, counts binary")
+    narrow = narrow.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(count)).cast("int"))
+    return stage(narrow.groupBy("block").applyInArrow(
+        lambda t: gather(t), "block int, rows binary, begin binary, terms binary, weights binary"), "pack-blocks")
+
+
+class BlockIndex:
+    """Scores of a block's documents: a dense matrix of the common ids, postings of the others."""
+
+    def __init__(self, begin: np.ndarray, terms: np.ndarray, weights: np.ndarray, column: np.ndarray):
+        self.n, self.column = len(begin) - 1, column
+        owner = np.repeat(np.arange(self.n), np.diff(begin))
+        at = column[terms]
+        common = at >= 0
+        self.dense = np.zeros((int(column.max()) + 1, self.n), dtype=np.float32)
+        self.dense[at[common], owner[common]] = weights[common]
+        rare, owner, weights = terms[~common], owner[~common], weights[~common]
+        order = np.argsort(rare, kind="stable")
+        self.owner, self.weight = owner[order], weights[order]
+        self.begin = np.concatenate(([0], np.cumsum(np.bincount(rare, minlength=VOCABULARY))))
+
+    def scores(self, begin: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        """(seeds, documents) for seeds whose terms are terms[begin[i]:begin[i + 1]]."""
+        m = len(begin) - 1
+        terms = terms[begin[0]:begin[-1]]
+        seed, at = np.repeat(np.arange(m), np.diff(begin)), self.column[terms]
+        common = at >= 0
+        asked = np.zeros((m, len(self.dense)), dtype=np.float32)
+        asked[seed[common], at[common]] = 1
+        out = asked @ self.dense
+        seed, rare = seed[~common], terms[~common].astype(np.int64)
+        lo, n = self.begin[rare], self.begin[rare + 1] - self.begin[rare]
+        if n.sum():
+            at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+            np.add.at(out.ravel(), np.repeat(seed, n) * self.n + self.owner[at], self.weight[at])
+        return out
+
+
+def neighbours(tok: DataFrame, n_docs: int, df: np.ndarray, idf: np.ndarray, mean: float, k: int = NEIGHBOURS) -> DataFrame:
+    """``row, near``: the k documents (score, row) of the whole corpus that score best for each document."""
+    column = np.full(VOCABULARY, -1)
+    used = np.argsort(-df, kind="stable")[:DENSE_TERMS]
+    column[used] = np.arange(len(used))
+    shared = tok.sparkSession.sparkContext.broadcast(column)
+    blocks = _blocks(tok, n_docs, idf, mean)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple] = {}  # of the blocks of one input partition
+        for b in small(batches, 1):
+            seed_block, doc_block = b.column(0)[0].as_py(), b.column(4)[0].as_py()
+            raw = [b.column(i)[0].as_py() for i in (1, 2, 3, 5, 6, 7, 8)]
+            rows, begin, terms, others, o_begin, o_terms, o_weights = [
+                np.frombuffer(x, t) for x, t in zip(raw, ("<i8", "<i8", "<u2", "<i8", "<i8", "<u2", "<f4"))]
+            index = BlockIndex(o_begin, o_terms, o_weights, shared.value)
+            if seed_block not in best:
+                best[seed_block] = rows, np.full((len(rows), k), -1, dtype=np.float32), np.full((len(rows), k), -1, dtype=np.int64)
+            _, top, who = best[seed_block]
+            for s in range(0, len(rows), BLOCK_SEEDS):
+                e = min(s + BLOCK_SEEDS, len(rows))
+                score = index.scores(begin[s:e + 1], terms)
+                if seed_block == doc_block:
+                    score[np.arange(e - s), np.arange(s, e)] = -1  # not its own neighbour
+                better = score.max(axis=1) > top[s:e, -1]
+                if not better.any():
+                    continue
+                score, mine = score[better], np.arange(s, e)[better]
+                m = min(k, score.shape[1])
+                at = np.argpartition(score, score.shape[1] - m, axis=1)[:, -m:]
+                both = np.concatenate([top[mine], np.take_along_axis(score, at, 1)], axis=1)
+                names = np.concatenate([who[mine], others[at]], axis=1)
+                order = np.argsort(-both, axis=1, kind="stable")[:, :k]
+                top[mine], who[mine] = np.take_along_axis(both, order, 1), np.take_along_axis(names, order, 1)
+        for rows, top, who in best.values():
+            for s in range(0, len(rows), 1000):
+                keep = top[s:s + 1000] > 0
+                near = pa.StructArray.from_arrays([pa.array(top[s:s + 1000][keep]), pa.array(who[s:s + 1000][keep])], names=["score", "to"])
+                ends = np.concatenate(([0], np.cumsum(keep.sum(axis=1)))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[s:s + 1000]), pa.ListArray.from_arrays(ends, near)], names=["row", "near"])
+
+    seeds = blocks.select(F.col("block").alias("_b"), F.col("rows").alias("_r"), F.col("begin").alias("_g"), F.col("terms").alias("_t"))
+    part = seeds.crossJoin(blocks).mapInArrow(run, "row long, near array<struct<score:float,to:long>>")
+    near = F.slice(F.sort_array(F.flatten(F.collect_list("near")), asc=False), 1, k)
+    return stage(part.groupBy("row").agg(near.alias("near")), "pack-neighbours")
+
+
+def neighbour_order(near: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``row, c<rounds> ... c1, last``: sorted by these columns, neighbours lie side by side.
+
+    A group that is the best link of another one is a head, two that are each other's are
+    one; every other group joins the head that it links to best."""
+    links = near.select("row", F.explode("near").alias("e")).select(F.col("row").alias("a"), F.col("e.to").alias("b"), F.col("e.score").alias("score"))
+    keys = stage(near.select("row", F.col("row").alias("g")), "pack-groups")
+    names: list[str] = []
+    for i in range(rounds):
+        best = links.groupBy("a").agg(F.max(F.struct("score", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+        best = stage(best, "pack-best")
+        back = best.select(F.col("a").alias("_x"), F.col("b").alias("_y"))
+        mutual = best.join(back, (F.col("b") == F.col("_x")) & (F.col("a") == F.col("_y"))).filter("a > b").select(F.col("a").alias("_a"), F.col("b").alias("_g"))
+        mutual = stage(mutual, "pack-mutual")
+        named = stage(best.select(F.col("b").alias("_h")).distinct(), "pack-named")
+        rest = best.join(named, F.col("a") == F.col("_h"), "left_anti").join(mutual, F.col("b") == F.col("_a"), "left")
+        head = stage(rest.select(F.col("a").alias("_a"), F.coalesce("_g", "b").alias("_g")).unionByName(mutual), "pack-heads")
+        if not i:  # in a group, those that others name come first
+            keys = stage(keys.join(named, F.col("row") == F.col("_h"), "left").select("row", "g", F.isnull("_h").alias("last")), "pack-groups")
+        keys = keys.join(head, F.col("g") == F.col("_a"), "left").withColumn("g", F.coalesce("_g", "g")).drop("_a", "_g")
+        names.insert(0, f"c{i + 1}")
+        keys = stage(keys.withColumn(names[0], F.col("g")), "pack-groups")
+        if i + 1 < rounds:
+            links = links.join(head, F.col("a") == F.col("_a"), "left").select(F.coalesce("_g", "a").alias("a"), "b", "score")
+            links = links.join(head, F.col("b") == F.col("_a"), "left").select("a", F.coalesce("_g", "b").alias("b"), "score")
+            links = stage(links.filter("a <> b").groupBy("a", "b").agg(F.max("score").alias("score")), "pack-links")
+    return keys.select("row", *names, "last")
+
+
 class ShardIndex:
     """Inverted index of one shard: postings (document, weight) by token id."""
 
@@ -89,8 +236,8 @@ class ShardIndex:
 
 
 def pack_shard(items: list[tuple], idf: np.ndarray, mean: float, window: int) -> tuple[list[list[tuple]], list[tuple]]:
-    """Full windows and the rest. An item is (doc, start, doc_tokens, ids as uint16 array)."""
-    index = ShardIndex([it[3] for it in items], idf, mean)
+    """Full windows and the rest. An item is (doc, start, doc_tokens, ids as uint16 array, ids of the whole document)."""
+    index = ShardIndex([it[4] for it in items], idf, mean)
     left = list(items)  # an item's unplaced rest
     unused = np.ones(len(items), dtype=bool)
     windows: list[list[tuple]] = []
@@ -106,13 +253,13 @@ def pack_shard(items: list[tuple], idf: np.ndarray, mean: float, window: int) ->
             score[~unused] = -1.0
             score[at] = np.inf  # the seed itself comes first
             for j in np.argsort(-score, kind="stable")[: int(unused.sum())]:
-                doc, start, total, ids = left[j]
-                current.append((doc, start, total, ids[:room]))
+                doc, start, total, ids, whole = left[j]
+                current.append((doc, start, total, ids[:room], whole))
                 if len(ids) <= room:
                     unused[j] = False
                     room -= len(ids)
                 else:
-                    left[j] = (doc, start + room, total, ids[room:])
+                    left[j] = (doc, start + room, total, ids[room:], whole)
                     room = 0
                 if not room:
                     break
@@ -134,7 +281,7 @@ def powers_of_two(pieces: list[tuple]) -> list[list[tuple]]:
         n -= room
         seq = []
         while room:
-            doc, start, total, ids = todo.pop(0)
+            doc, start, total, ids, *_ = todo.pop(0)
             seq.append((doc, start, total, ids[:room]))
             if len(ids) > room:
                 todo.insert(0, (doc, start + room, total, ids[room:]))
@@ -146,12 +293,13 @@ def powers_of_two(pieces: list[tuple]) -> list[list[tuple]]:
 def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, shard_docs: int = SHARD_DOCS,
               with_ids: bool = True) -> DataFrame:
     """One row per piece (see SCHEMA); ``ids`` are its uint16 ids unless ``with_ids`` is false."""
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 32
         for b in encode(batches, path):
-            keys = [int(np.frombuffer(x, "<u2").max()) for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int32())], names=["doc_id", "n_tokens", "ids", "key"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.arange(row, row + b.num_rows))], names=["doc_id", "n_tokens", "ids", "row"])
+            row += b.num_rows
 
-    tok = stage(texts(docs).mapInArrow(keyed, TOKEN_COLUMNS + ", key int"), "pack-tokens")
+    tok = stage(texts(docs).mapInArrow(numbered, TOKEN_COLUMNS + ", row long"), "pack-tokens")
     df, n_docs, mean = document_frequencies(tok)
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
     spark = docs.sparkSession
@@ -166,7 +314,7 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
             cols = [[] for _ in range(8)]
             for seq in sequences:
                 offset = 0
-                for doc, start, total, ids in seq:
+                for doc, start, total, ids, *_ in seq:
                     row = (doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, next_id, offset,
                            ids.tobytes() if with_ids else None)
                     offset += len(ids)
@@ -184,7 +332,7 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
                 if whole:
                     yield emit([[(doc, s, n, ids[s:s + window])] for s in range(0, whole, window)])
                 if whole < n:
-                    waiting.append((doc, whole, n, ids[whole:]))
+                    waiting.append((doc, whole, n, ids[whole:], ids))
                 if len(waiting) >= shard_docs:
                     full, waiting = pack_shard(waiting, weights, mean, window)
                     yield emit(full)
@@ -198,5 +346,8 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
             yield emit(powers_of_two(waiting))
 
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_docs // (4 * shard_docs) + 1))
-    ranged = tok.repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id", "n_tokens", "ids")
+    order = neighbour_order(neighbours(tok, n_docs, df, idf, mean))
+    keys = [c for c in order.columns if c != "row"] + ["row"]
+    placed = tok.join(order.withColumnRenamed("row", "_o"), F.col("row") == F.col("_o"), "left").select("doc_id", "n_tokens", "ids", *keys)
+    ranged = placed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     return ranged.mapInArrow(run, SCHEMA)
