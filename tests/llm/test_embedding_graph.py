@@ -86,5 +86,34 @@ def test_search_against_all_rows():
     assert not (hit & ~true).any() and hit.sum() >= 0.99 * true.sum()
 
 
+def crowds(groups, size, seed=7, dim=32, spread=0.02):
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([rng.normal(size=dim) / np.sqrt(dim) + rng.normal(size=(size, dim)) * spread for _ in range(groups)])
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_groups_larger_than_pool_and_beam():
+    """Many groups that fill the candidate pool and the beam; none may be lost."""
+    for groups, size in ((5, 200), (12, 80)):
+        x = crowds(groups, size)
+        near = eg.build_graph(x)
+        width = max(len(a) for a in near)
+        adj = np.array([a.tolist() + [-1] * (width - len(a)) for a in near])
+        cover = eg.entry_points(x)
+        assert ((x @ x[cover[0]].T).max(axis=1) >= eg.COVER - 1e-12).all()
+        hit = eg.range_search(x, adj, cover[0], x, 0.95, cover=cover)
+        true = x @ x.T >= 0.95
+        assert (hit == true).all()
+
+
+def test_large_groups_end_to_end(spark):
+    x = crowds(3, 200, seed=2)
+    df = spark.createDataFrame([(i, v.tolist(), 1, "x", 2, 3) for i, v in enumerate(x)], SCHEMA)
+    got = {r["vec_id"]: r["n_links"] for r in eg.embedding_links(df).collect()}
+    y = x.astype(np.float32).astype(float)
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    assert [got[i] for i in range(len(x))] == ((y @ y.T >= 0.95).sum(axis=1) - 1).tolist()
+
+
 def test_empty_table(spark):
     assert eg.embedding_links(spark.createDataFrame([], SCHEMA)).count() == 0

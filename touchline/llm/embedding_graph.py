@@ -7,9 +7,11 @@
 3. A part's graph: nearest candidates, robust-pruned (a candidate is dropped if a chosen
    neighbour is nearer to it by the factor alpha), with reverse edges. The adjacency
    lists that a vector gets in its shards are united.
-4. Every vector searches the parts of its shards: a greedy beam search from the medoid,
-   then range expansion, which follows the neighbours of every vector in range until
-   none is new. Cosines are computed in double, so no link is below the threshold.
+4. Every vector searches the parts of its shards: a greedy beam search from entry points
+   that cover the part, then range expansion, which follows the neighbours of every vector
+   in range until none is new. What the search has not met is compared unless its entry
+   point's distance rules it out (triangle inequality of angles), so a part's answer is
+   whole. Cosines are computed in double, so no link is below the threshold.
 5. A pair that meets in several shards counts in the first they share. Links are counted
    and joined into stars inside the part; pairs are never sent anywhere.
 6. Recall is audited: bounded sample queries against all vectors by brute force, in
@@ -43,6 +45,8 @@ OVERLAP = 2
 DEGREE, CANDIDATES, ALPHA = 24, 48, 1.2
 BEAM = 32
 BLOCK = 256
+#: Cosine within which each row of a part has an entry point of the search.
+COVER = 0.8
 #: Audit queries and the recall below which the index is built anew.
 AUDIT_QUERIES, MIN_RECALL = 256, 0.98
 
@@ -125,8 +129,32 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, pool: int = CANDIDATES, alp
     return [np.unique(np.array(a + b, dtype=np.int64)) for a, b in zip(out, back)]
 
 
-def range_search(x: np.ndarray, adjacency: np.ndarray, start: int, q: np.ndarray, threshold: float, beam: int = BEAM) -> np.ndarray:
-    """Boolean (queries, rows): rows found within range. ``adjacency`` is padded with -1."""
+def entry_points(x: np.ndarray, cover: float = COVER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows that cover all others (cosine ``cover`` or more to one of them), the place of each
+    row's entry point in them, and the widest angle to a row of each."""
+    first = int((x @ x.mean(axis=0)).argmax())  # the medoid
+    starts, owner, sim = [first], np.zeros(len(x), dtype=np.int64), x @ x[first]
+    sim[first] = np.inf
+    while True:
+        far = int(sim.argmin())
+        if sim[far] >= cover:
+            break
+        new = x @ x[far]
+        new[far] = np.inf
+        nearer = new > sim
+        owner[nearer], sim[nearer] = len(starts), new[nearer]
+        starts.append(far)
+    angle = np.arccos(np.clip(sim, -1, 1))
+    radius = np.zeros(len(starts))
+    np.maximum.at(radius, owner, angle)
+    return np.array(starts), owner, radius
+
+
+def range_search(x: np.ndarray, adjacency: np.ndarray, start, q: np.ndarray, threshold: float, beam: int = BEAM,
+                 cover: tuple | None = None) -> np.ndarray:
+    """Boolean (queries, rows): rows found within range. ``adjacency`` is padded with -1,
+    ``start`` is one row or several; with ``cover`` (see :func:`entry_points`) rows that the
+    search has not met are compared too, unless their entry point's distance rules them out."""
     n, m = len(x), len(q)
     seen = np.zeros((m, n + 1), dtype=bool)
     seen[:, n] = True  # the pad
@@ -135,9 +163,13 @@ def range_search(x: np.ndarray, adjacency: np.ndarray, start: int, q: np.ndarray
     ids = np.full((m, beam), n)
     sims = np.full((m, beam), -np.inf)
     opened = np.ones((m, beam), dtype=bool)
-    ids[:, 0], sims[:, 0], opened[:, 0] = start, q @ x[start], False
+    start = np.atleast_1d(start)
+    first = q @ x[start].T
     seen[:, start] = True
-    hit[:, start] = sims[:, 0] >= threshold
+    hit[:, start] = first >= threshold
+    k = min(beam, len(start))
+    top = np.argpartition(-first, k - 1, axis=1)[:, :k]
+    ids[:, :k], sims[:, :k], opened[:, :k] = start[top], np.take_along_axis(first, top, 1), False
     padded = np.vstack([x, np.zeros((1, x.shape[1]))])
     active = np.arange(m)
     while len(active):
@@ -166,7 +198,7 @@ def range_search(x: np.ndarray, adjacency: np.ndarray, start: int, q: np.ndarray
     while True:
         r, c = np.nonzero(hit & ~done)
         if not len(r):
-            return hit
+            break
         done[r, c] = True
         for s in range(0, len(r), 4096):
             qs = np.repeat(r[s:s + 4096], adjacency.shape[1])
@@ -179,6 +211,14 @@ def range_search(x: np.ndarray, adjacency: np.ndarray, start: int, q: np.ndarray
                 a, b = qs[t:t + 65536], ns[t:t + 65536]
                 inside = np.einsum("ij,ij->i", q[a], padded[b]) >= threshold
                 hit[a[inside], b[inside]] = True
+    if cover is not None:
+        _, owner, radius = cover
+        reach = np.arccos(np.clip(first, -1, 1)) <= np.arccos(threshold) + radius + 1e-6
+        left = reach[:, owner] & ~seen[:, :n]
+        for t in np.flatnonzero(left.any(axis=1)).tolist():
+            c = np.flatnonzero(left[t])
+            hit[t, c[x[c] @ q[t] >= threshold]] = True
+    return hit
 
 
 def _assign(reps: DataFrame, centroids, parts, overlap: int) -> DataFrame:
@@ -248,11 +288,11 @@ def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int],
             width = max(1, max(len(a) for a in near))
             adjacency = np.array([a + [-1] * (width - len(a)) for a in near])
             y = x[node]
-            medoid = int((y @ y.mean(axis=0)).argmax())
+            cover = entry_points(y)
             found = []
             for s in range(0, len(ids), BLOCK):
                 q = np.arange(s, min(s + BLOCK, len(ids)))
-                hit = range_search(y, adjacency, medoid, x[q], threshold)
+                hit = range_search(y, adjacency, cover[0], x[q], threshold, cover=cover)
                 hit &= ids[q][:, None] != ids[node][None, :]
                 r, c = np.nonzero(hit)
                 earlier = np.zeros(len(r), dtype=bool)  # the pair shares a smaller shard
