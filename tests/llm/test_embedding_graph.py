@@ -115,5 +115,24 @@ def test_large_groups_end_to_end(spark):
     assert [got[i] for i in range(len(x))] == ((y @ y.T >= 0.95).sum(axis=1) - 1).tolist()
 
 
+def test_recall_of_small_neighbourhoods_is_not_drowned():
+    hot, lost = [(9000, 9000)] * 300, [(3, 0)] * 20
+    assert eg.least_recall([*hot, *lost, (0, 0)]) == 0 and eg.least_recall(hot) == 1 and eg.least_recall([]) == 1
+
+
+def test_audit_that_never_passes_ends_exact(spark, monkeypatch):
+    """Shards cut through the groups: what no overlap mends is searched exactly."""
+    monkeypatch.setattr(eg, "SHARD_SIZE", 20)
+    monkeypatch.setattr(eg, "SHARD_CAP", 25)
+    monkeypatch.setattr(eg, "MAX_OVERLAP", 1)
+    monkeypatch.setattr(eg, "audit", lambda *a, **k: 0.0)
+    x = crowds(4, 60, seed=3, dim=16, spread=0.05)
+    df = spark.createDataFrame([(i, v.tolist(), 1, "x", 2, 3) for i, v in enumerate(x)], SCHEMA)
+    got = {r["vec_id"]: r["n_links"] for r in eg.embedding_links(df, overlap=1).collect()}
+    y = x.astype(np.float32).astype(float)
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    assert [got[i] for i in range(len(x))] == ((y @ y.T >= 0.95).sum(axis=1) - 1).tolist()
+
+
 def test_empty_table(spark):
     assert eg.embedding_links(spark.createDataFrame([], SCHEMA)).count() == 0

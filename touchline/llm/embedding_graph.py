@@ -15,7 +15,9 @@
 5. A pair that meets in several shards counts in the first they share. Links are counted
    and joined into stars inside the part; pairs are never sent anywhere.
 6. Recall is audited: bounded sample queries against all vectors by brute force, in
-   blocks. Below ``min_recall`` the overlap is raised and the graph built anew.
+   blocks, query by query and by size of neighbourhood. Below ``min_recall`` the overlap
+   is raised and the graph built anew; past ``MAX_OVERLAP`` every vector searches all
+   shards that can hold one in range, which misses nothing.
 
 Defined results: a null, empty, zero or non-finite vector links with nothing and is its
 own component. A null vec_id takes no part (no links, null component, not kept).
@@ -25,6 +27,7 @@ link. An empty table gives no rows.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +51,11 @@ BLOCK = 256
 #: Cosine within which each row of a part has an entry point of the search.
 COVER = 0.8
 #: Audit queries and the recall below which the index is built anew.
-AUDIT_QUERIES, MIN_RECALL = 256, 0.98
+AUDIT_QUERIES, MIN_RECALL = 4096, 0.98
+#: The widest overlap that is tried before the exact search.
+MAX_OVERLAP = 16
+
+log = logging.getLogger(__name__)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -221,24 +228,43 @@ def range_search(x: np.ndarray, adjacency: np.ndarray, start, q: np.ndarray, thr
     return hit
 
 
-def _assign(reps: DataFrame, centroids, parts, overlap: int) -> DataFrame:
-    """Members and queries of parts: ``rep, copies, v, shards, shard, part, member``."""
+def visited(c: np.ndarray, sim: np.ndarray, gap: np.ndarray, threshold: float) -> tuple[int, np.ndarray]:
+    """The home (nearest centroid) of a vector and the shards that are home to all vectors
+    within range: beyond the border between two homes by more than the range nothing is."""
+    home = int(sim.argmax())
+    return home, np.flatnonzero(sim[home] - sim <= np.sqrt(2 - 2 * threshold) * gap[home] + 1e-9)
+
+
+def _assign(reps: DataFrame, centroids, parts, overlap: int | None, threshold: float) -> DataFrame:
+    """Members and queries of parts: ``rep, copies, v, shards, shard, part, member``.
+
+    Without ``overlap`` the answer is exact: a vector is a member of its home alone and
+    queries every shard that can hold one in range (``shards`` is empty, no pair meets twice).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c_of = centroids.value
         n_parts = parts.value if parts is not None else {}
+        gaps: dict[int, np.ndarray] = {}
         for b in small(batches, 1000):
             rows = [[] for _ in range(7)]
             for rep, copies, v in zip(*[x.to_pylist() for x in b.columns[:3]]):
                 dim = len(v) // 8
                 base, c = c_of[dim]
                 sim = c @ _unit([v])[0]
-                k = min(overlap, len(c))
-                shards = sorted(base + int(i) for i in np.argpartition(-sim, k - 1)[:k])
+                if overlap is None:
+                    if dim not in gaps:
+                        gaps[dim] = np.sqrt(np.maximum(2 - 2 * c @ c.T, 0))
+                    home, found = visited(c, sim, gaps[dim], threshold)
+                    shards, named, home = [base + int(i) for i in found], [], base + home
+                else:
+                    k = min(overlap, len(c))
+                    shards = named = sorted(base + int(i) for i in np.argpartition(-sim, k - 1)[:k])
+                    home = None
                 for s in shards:
                     own = rep % n_parts.get(s, 1)
                     for p in range(n_parts.get(s, 1)):
-                        for col, val in zip(rows, (rep, copies, v, shards, s, p, p == own)):
+                        for col, val in zip(rows, (rep, copies, v, named, s, p, p == own and home in (None, s))):
                             col.append(val)
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)],
@@ -248,8 +274,8 @@ def _assign(reps: DataFrame, centroids, parts, overlap: int) -> DataFrame:
         run, "rep long, copies long, v binary, shards array<int>, shard int, part int, member boolean")
 
 
-def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int], overlap: int, threshold: float):
-    """(rep, n other distinct vectors' copies linked) and star edges, for one overlap."""
+def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int], overlap: int | None, threshold: float):
+    """(rep, n other distinct vectors' copies linked) and star edges, for one overlap (None: exact)."""
     spark = reps.sparkSession
     fitted, base = {}, 0
     for dim, x in sorted(sample.items()):
@@ -257,9 +283,9 @@ def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int],
         fitted[dim] = (base, fit_centroids(x, k))
         base += k
     centroids = spark.sparkContext.broadcast(fitted)  # at most MAX_SHARDS rows a dimension
-    sizes = _assign(reps, centroids, None, overlap).groupBy("shard").count().collect()  # a row per shard: bounded
+    sizes = _assign(reps, centroids, None, overlap, threshold).groupBy("shard").count().collect()  # a row per shard: bounded
     parts = spark.sparkContext.broadcast({r["shard"]: -(-r["count"] // SHARD_CAP) for r in sizes if r["count"] > SHARD_CAP})
-    members = stage(_assign(reps, centroids, parts, overlap), "vec-members")
+    members = stage(_assign(reps, centroids, parts, overlap, threshold), "vec-members")
 
     def build(t: pa.Table) -> pa.Table:
         ids = t.column("rep").to_numpy()
@@ -278,7 +304,7 @@ def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int],
         ids, copies = t.column("rep").to_numpy(), t.column("copies").to_numpy()
         x = _unit(t.column("v").to_pylist())
         shard = t.column("shard")[0].as_py()
-        sets = np.array([s + [-1] * (overlap - len(s)) for s in t.column("shards").to_pylist()])
+        sets = np.array([s + [-1] * ((overlap or 1) - len(s)) for s in t.column("shards").to_pylist()])
         node = np.flatnonzero(t.column("member").to_numpy(zero_copy_only=False))
         links, low = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
         if len(node):
@@ -320,13 +346,18 @@ def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int],
 
 
 def audit(reps: DataFrame, links: DataFrame, threshold: float, queries: int = AUDIT_QUERIES) -> float:
-    """Found share of the true links of sample vectors that have any, by brute force in blocks."""
+    """Least recall over the sizes of neighbourhoods, by brute force in blocks.
+
+    A query's recall is the found share of its true links. Queries with 1, 2 to 9, 10 to 99
+    (and so on) true links are averaged apart, so those of large groups hide no others.
+    Queries are random vectors, found links or not, and as many of those with links.
+    """
     spark = reps.sparkSession
     linked = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    q = reps.join(linked, "rep").orderBy(F.xxhash64("rep"), "rep").limit(queries).select("rep", "v", "links")
-    # As many again of those with links: most vectors may have none.
-    with_links = reps.join(linked.filter("links > 0"), "rep").orderBy(F.xxhash64("rep"), "rep").limit(queries).select("rep", "v", "links")
-    rows = {r["rep"]: (bytes(r["v"]), r["links"]) for r in [*q.collect(), *with_links.collect()]}
+    q = reps.join(linked, "rep", "left").na.fill(0, ["links"])
+    random = q.orderBy(F.xxhash64("rep"), "rep").limit(queries).select("rep", "v", "links")
+    with_links = q.filter("links > 0").orderBy(F.xxhash64("rep"), "rep").limit(queries).select("rep", "v", "links")
+    rows = {r["rep"]: (bytes(r["v"]), r["links"]) for r in [*random.collect(), *with_links.collect()]}
     if not rows:
         return 1.0
     shared = spark.sparkContext.broadcast([(k, v[0]) for k, v in rows.items()])
@@ -353,8 +384,16 @@ def audit(reps: DataFrame, links: DataFrame, threshold: float, queries: int = AU
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["rep", "n"])
 
     true = reps.select("rep", "copies", "v").mapInArrow(count, "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n")).collect()
-    wanted = sum(r["n"] for r in true)
-    return sum(min(r["n"], rows[r["rep"]][1]) for r in true) / wanted if wanted else 1.0
+    return least_recall([(r["n"], rows[r["rep"]][1]) for r in true])
+
+
+def least_recall(counts: list[tuple[int, int]]) -> float:
+    """Least mean recall of the size classes of (true links, found links) of queries."""
+    classes: dict[int, list[float]] = {}
+    for n, found in counts:
+        if n:
+            classes.setdefault(len(str(n)) if n > 1 else 0, []).append(min(n, found) / n)
+    return min((sum(c) / len(c) for c in classes.values()), default=1.0)
 
 
 def embedding_links(vectors: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, min_recall: float = MIN_RECALL) -> DataFrame:
@@ -379,10 +418,13 @@ def embedding_links(vectors: DataFrame, threshold: float = THRESHOLD, overlap: i
     sample = {d: _unit(v) for d, v in sample.items()}
     while True:
         links = _links(reps, sample, n_of, overlap, threshold)
+        if overlap is None:
+            break  # exact
         recall = audit(reps, links, threshold)
-        if recall >= min_recall or overlap >= 16:
+        log.info("overlap %d: recall %.4f", overlap, recall)
+        if recall >= min_recall:
             break
-        overlap *= 2
+        overlap = overlap * 2 if overlap < MAX_OVERLAP else None
     found = components(links.filter("star <> rep").select(F.col("rep").alias("a"), F.col("star").alias("b")))
     counts = links.groupBy("rep").agg(F.sum("links").alias("links")).select(F.col("rep").alias("_l"), "links")
     per = reps.select("fp", "rep", "copies").join(counts, F.col("rep") == F.col("_l"), "left").join(found, F.col("rep") == F.col("node"), "left")
