@@ -134,5 +134,21 @@ def test_audit_that_never_passes_ends_exact(spark, monkeypatch):
     assert [got[i] for i in range(len(x))] == ((y @ y.T >= 0.95).sum(axis=1) - 1).tolist()
 
 
+def test_cells_of_a_hot_shard_are_bounded(spark):
+    """No task gets all queries of a shard: a cell holds one part and one block."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 8))
+    reps = spark.createDataFrame([(i, 1, bytearray(v.tobytes())) for i, v in enumerate(x)], "rep long, copies long, v binary")
+    shared = spark.sparkContext.broadcast({8: (0, x[:1] / np.linalg.norm(x[0]))})
+    cells = eg._assign(reps, shared, spark.sparkContext.broadcast({0: 8}), 1, 0.95).collect()
+    at, met = {}, set()
+    for r in cells:
+        at.setdefault((r["part"], r["block"]), []).append(r)
+    for rows in at.values():
+        assert len(rows) <= 160  # of 400: about 50 members and 50 queries
+        met |= {(q["rep"], m["rep"]) for q in rows if q["query"] for m in rows if m["member"]}
+    assert len(met) == 400 * 400  # every query meets every member
+
+
 def test_empty_table(spark):
     assert eg.embedding_links(spark.createDataFrame([], SCHEMA)).count() == 0

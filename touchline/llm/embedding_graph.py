@@ -3,7 +3,7 @@
 1. Vectors that can link (finite, not zero) are cast to double, equal ones collapsed.
 2. Centroids of a bounded sample make overlapping shards: a vector goes to its
    ``overlap`` nearest ones. A shard beyond ``SHARD_CAP`` members is dealt into parts;
-   each part has a graph of its own and answers all of the shard's members.
+   each part has a graph of its own and answers all of the shard's members, block by block.
 3. A part's graph: nearest candidates, robust-pruned (a candidate is dropped if a chosen
    neighbour is nearer to it by the factor alpha), with reverse edges. The adjacency
    lists that a vector gets in its shards are united.
@@ -236,7 +236,10 @@ def visited(c: np.ndarray, sim: np.ndarray, gap: np.ndarray, threshold: float) -
 
 
 def _assign(reps: DataFrame, centroids, parts, overlap: int | None, threshold: float) -> DataFrame:
-    """Members and queries of parts: ``rep, copies, v, shards, shard, part, member``.
+    """Members and queries of cells: ``rep, copies, v, shards, shard, part, block, member, query``.
+
+    A shard of several parts has as many blocks of queries; a cell is one part and one block,
+    so neither side of it grows with the shard.
 
     Without ``overlap`` the answer is exact: a vector is a member of its home alone and
     queries every shard that can hold one in range (``shards`` is empty, no pair meets twice).
@@ -247,7 +250,7 @@ def _assign(reps: DataFrame, centroids, parts, overlap: int | None, threshold: f
         n_parts = parts.value if parts is not None else {}
         gaps: dict[int, np.ndarray] = {}
         for b in small(batches, 1000):
-            rows = [[] for _ in range(7)]
+            rows = [[] for _ in range(9)]
             for rep, copies, v in zip(*[x.to_pylist() for x in b.columns[:3]]):
                 dim = len(v) // 8
                 base, c = c_of[dim]
@@ -262,16 +265,21 @@ def _assign(reps: DataFrame, centroids, parts, overlap: int | None, threshold: f
                     shards = named = sorted(base + int(i) for i in np.argpartition(-sim, k - 1)[:k])
                     home = None
                 for s in shards:
-                    own = rep % n_parts.get(s, 1)
-                    for p in range(n_parts.get(s, 1)):
-                        for col, val in zip(rows, (rep, copies, v, named, s, p, p == own and home in (None, s))):
+                    n = n_parts.get(s, 1)
+                    own = (rep * 2654435761 >> 16) % n
+                    inside = home in (None, s)
+                    cells = [(p, own, inside and p == own, True) for p in range(n)]
+                    if inside:
+                        cells += [(own, q, True, False) for q in range(n) if q != own]
+                    for cell in cells:
+                        for col, val in zip(rows, (rep, copies, v, named, s, *cell)):
                             col.append(val)
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.bool_()]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)],
-                                             names=["rep", "copies", "v", "shards", "shard", "part", "member"])
+                                             names=["rep", "copies", "v", "shards", "shard", "part", "block", "member", "query"])
 
     return reps.select("rep", "copies", "v").mapInArrow(
-        run, "rep long, copies long, v binary, shards array<int>, shard int, part int, member boolean")
+        run, "rep long, copies long, v binary, shards array<int>, shard int, part int, block int, member boolean, query boolean")
 
 
 def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int], overlap: int | None, threshold: float):
@@ -295,7 +303,7 @@ def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int],
         near = [ids[a].tolist() for a in build_graph(x)]
         return pa.Table.from_arrays([pa.array(ids), pa.array(near, pa.list_(pa.int64()))], names=["node", "near"])
 
-    graph = members.filter("member").select("rep", "v", "shard", "part").groupBy("shard", "part").applyInArrow(
+    graph = members.filter("member AND part = block").select("rep", "v", "shard", "part").groupBy("shard", "part").applyInArrow(
         lambda t: build(t), "node long, near array<long>")
     united = graph.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
 
@@ -316,8 +324,9 @@ def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int],
             y = x[node]
             cover = entry_points(y)
             found = []
-            for s in range(0, len(ids), BLOCK):
-                q = np.arange(s, min(s + BLOCK, len(ids)))
+            asked = np.flatnonzero(t.column("query").to_numpy(zero_copy_only=False))
+            for s in range(0, len(asked), BLOCK):
+                q = asked[s:s + BLOCK]
                 hit = range_search(y, adjacency, cover[0], x[q], threshold, cover=cover)
                 hit &= ids[q][:, None] != ids[node][None, :]
                 r, c = np.nonzero(hit)
@@ -342,7 +351,7 @@ def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int],
         return pa.Table.from_arrays([pa.array(ids), pa.array(links), pa.array(ids[low])], names=["rep", "links", "star"])
 
     joined = members.join(united, members["rep"] == united["node"], "left").drop("node")
-    return stage(joined.groupBy("shard", "part").applyInArrow(lambda t: search(t), "rep long, links long, star long"), "vec-links")
+    return stage(joined.groupBy("shard", "part", "block").applyInArrow(lambda t: search(t), "rep long, links long, star long"), "vec-links")
 
 
 def audit(reps: DataFrame, links: DataFrame, threshold: float, queries: int = AUDIT_QUERIES) -> float:
