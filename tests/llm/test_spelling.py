@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from helpers import ascii_lower, documents, frame
+
+from touchline.llm import catalog, spelling
+from touchline.llm.common import read
+
+
+def brute_words(docs):
+    n = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = ascii_lower(run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1:]
+            n[run] += 1
+    return {w: c for w, c in n.items() if len(w) >= 7 and c >= 2}
+
+
+def near(a, b):
+    """Exactly one inserted, deleted or replaced letter."""
+    if len(a) > len(b):
+        a, b = b, a
+    if a == b or len(b) - len(a) > 1:
+        return False
+    i = 0
+    while i < len(a) and a[i] == b[i]:
+        i += 1
+    return a[i:] == b[i + 1:] or (len(a) == len(b) and a[i + 1:] == b[i + 1:])
+
+
+def brute(n):
+    """{word: (form, root, n, n_near, form_n)} from all pairs that share a wildcard form."""
+    by = {}
+    for w in n:
+        for i in range(len(w) + 1):
+            by.setdefault(("gap", w[:i] + "*" + w[i:]), set()).add(w)
+        for i in range(len(w)):
+            by.setdefault(("gap", w[:i] + "*" + w[i + 1:]), set()).add(w)
+    links = {w: set() for w in n}
+    for group in by.values():
+        for a in group:
+            links[a] |= {b for b in group if b != a and near(a, b)}
+    form = {}
+    for w, around in links.items():
+        if around:
+            best = min(around, key=lambda x: (-n[x], x))
+            if n[best] >= 10 * n[w]:
+                form[w] = best
+    out = {}
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (form.get(w), root, n[w], len(links[w]), n[form[w]] if w in form else None)
+    return out
+
+
+def got(df):
+    rows = df.collect()
+    assert len({r.word for r in rows}) == len(rows)
+    return {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in rows}
+
+
+def test_whole_table(spark, sf_dir):
+    docs = [(r.doc_id, r.text) for r in read(spark, sf_dir, "documents").select("doc_id", "text").collect()]
+    want = brute(brute_words(docs))
+    assert want and any(v[0] for v in want.values())
+    assert got(catalog.op12_spelling_variants(spark, sf_dir)) == want
+
+
+def test_edge_documents(spark):
+    extra = [(70, "caféteria CAFÉTERIA " * 9 + "Straße×÷ÿ", "fr", "s", 1), (71, "y" * 5000 + " " + "y" * 4999 + "x", "en", "s", 1),
+             (71, "y" * 5000 + " " + "y" * 4999 + "x", "en", "s", 1), (72, "abcdefg_abcdefg1abcdefgāabcdefg", "en", "s", 1)]
+    rows = [*documents(), *extra]
+    want = brute(brute_words([r[:2] for r in rows]))
+    assert got(spelling.spelling_variants(frame(spark, rows, clash=True))) == want
+
+
+@pytest.mark.parametrize("letters,lengths", [("ab", (7, 12)), ("aBé", (7, 9)), ("abcdefgh", (15, 19)), ("ab", (31, 36))])
+def test_random_words(spark, letters, lengths):
+    """Every edit of random words, repeated letters and every length class among them."""
+    rng = random.Random(len(letters) * 100 + lengths[0])
+    words = {}
+    for _ in range(60):
+        w = "".join(rng.choice(letters) for _ in range(rng.randint(*lengths)))
+        words[w] = rng.randint(2, 10**rng.randint(1, 5))
+        for _ in range(6):
+            i = rng.randrange(len(w))
+            v = rng.choice([w[:i] + w[i + 1:], w[:i] + rng.choice(letters) + w[i:], w[:i] + rng.choice(letters) + w[i + 1:], w + letters[0]])
+            if len(v) >= 7:
+                words.setdefault(v, rng.randint(2, 1000))
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    assert got(spelling.group_variants(df)) == brute(words)
+
+
+def test_hot_prefix_has_no_hot_key(spark):
+    """Words that share all but the last letters: keys hold a few words each, not all."""
+    words = [("commonprefix" + "".join(c), 5) for c in {(a, b, c, d) for a in "abcdef" for b in "ghijkl" for c in "mnopqr" for d in "stuvwx"}]
+    df = spark.createDataFrame(words, "word string, n long")
+    keys = spelling._keys(df, 0).groupBy("length", "segment", "gram", "rest").count().agg({"count": "max"}).first()[0]
+    assert keys <= 36 < len(words)
+    assert got(spelling.group_variants(df)) == brute(dict(words))
+
+
+def test_ties_chain_and_ratio(spark):
+    rows = [("abcdefgh", 1000), ("abcdefgi", 1000), ("abcdefgx", 100), ("abcdefgxy", 10), ("abcdefgxyz", 2), ("zzzzzzzz", 9)]
+    out = got(spelling.group_variants(spark.createDataFrame(rows, "word string, n long")))
+    assert out["abcdefgx"][0] == "abcdefgh"  # the smaller of two equals
+    assert out["abcdefgxy"][:2] == ("abcdefgx", "abcdefgh")  # a chain is followed
+    assert out["abcdefgxyz"][:2] == (None, "abcdefgxyz")  # 10 < 10 * 2
+    assert out["zzzzzzzz"] == (None, "zzzzzzzz", 9, 0, None)
+
+
+def test_empty(spark):
+    out = spelling.spelling_variants(frame(spark, []))
+    assert out.collect() == [] and out.columns == ["word", "form", "root", "n", "n_near", "form_n"]

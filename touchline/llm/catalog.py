@@ -12,10 +12,13 @@ from touchline.llm import (
     packing_bfd,
     packing_bm25,
     quality_rules,
+    sharding,
     source_mix,
+    spelling,
     suffix_dedup,
     toxicity_fm,
     warc,
+    whitening,
 )
 from touchline.llm.common import read
 from touchline.session import shared_dir
@@ -70,6 +73,18 @@ def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_bfd.pieces(spark.read.parquet(path))
 
 
+def op11_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.interleave(read(spark, sf_dir, "documents")).drop("source")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_warc": op2_warc,
@@ -81,6 +96,9 @@ QUERIES = {
     "op8_packing_bm25": op8_packing_bm25,
     "op9_toxicity_fm": op9_toxicity_fm,
     "op10_token_matrices": op10_token_matrices,
+    "op11_interleave": op11_interleave,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE = {
