@@ -133,6 +133,7 @@ def refine(a: np.ndarray, x: np.ndarray, rounds: int = 12) -> tuple[np.ndarray,
     for _ in range(rounds):
         r = np.eye(d) - x.T @ x
         s = x.T @ a @ x
+        s = (s + s.T) / 2  # rounding that is not symmetric would be divided by the smallest gaps
         values = np.diag(s) / (1.0 - np.diag(r))
         off = s - np.diag(values)
         width = 2 * (np.linalg.norm(off, 2) + size * np.linalg.norm(r, 2))
@@ -151,7 +152,7 @@ def refine(a: np.ndarray, x: np.ndarray, rounds: int = 12) -> tuple[np.ndarray,
         if change < 1e-15 or (change < 1e-10 and change >= last / 2):
             break
         last = change
-    x = x / np.linalg.norm(x, axis=0)
+    x = x + x @ (np.eye(d) - x.T @ x) / 2
     values = np.einsum("ij,ij->j", x, a @ x)
     order = np.argsort(-values, kind="stable")
     x = x[:, order]
