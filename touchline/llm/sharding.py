@@ -30,7 +30,7 @@ from touchline.llm.common import stage, text_or_empty
 SHARDS = 16
 SEED = 11
 #: Rows of one bin, the unit that a task ranks; bins of one group of the upper level.
-ROWS_PER_BIN, BINS_PER_GROUP = 65536, 1024
+ROWS_PER_BIN, BINS_PER_GROUP = 8192, 1024
 #: Copies of one row that one task makes.
 COPY_BLOCK = 65536
 #: Rows of one written file.
