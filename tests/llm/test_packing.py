@@ -94,18 +94,71 @@ def test_bm25_round_trip_and_padding(spark):
         assert all(zlib.crc32(np.frombuffer(r["ids"], "<u2").astype("<u4").tobytes()) == r["ids_crc32"] for r in got)
 
 
-def test_bm25_scores_against_the_formula():
-    rng = np.random.default_rng(1)
-    docs = [rng.integers(0, 50, rng.integers(5, 80)).astype("<u2") for _ in range(30)]
+def bm25_corpus(seed, n=30, vocabulary=50):
+    rng = np.random.default_rng(seed)
+    docs = [rng.integers(0, vocabulary, rng.integers(5, 80)).astype("<u2") for _ in range(n)]
     df = np.zeros(packing_bm25.VOCABULARY)
     for d in docs:
         df[np.unique(d)] += 1
-    idf, mean = np.log1p((30 - df + 0.5) / (df + 0.5)), np.mean([len(d) for d in docs])
-    index = packing_bm25.ShardIndex(docs, idf, mean)
-    for q in range(30):
-        want = [sum(idf[t] * (d == t).sum() * 2.2 / ((d == t).sum() + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t in np.unique(docs[q]))
-                for d in docs]
-        assert np.allclose(index.scores(q), want)
+    return docs, np.log1p((n - df + 0.5) / (df + 0.5)), np.mean([len(d) for d in docs])
+
+
+def formula(q, d, idf, mean):
+    return sum(idf[t] * (d == t).sum() * 2.2 / ((d == t).sum() + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t in np.unique(q))
+
+
+def test_bm25_scores_against_the_formula():
+    docs, idf, mean = bm25_corpus(1)
+    want = [[formula(q, d, idf, mean) for d in docs] for q in docs]
+    for dense in (0, 8, 16, 1000):  # all lists by the product, some, none
+        assert np.allclose(packing_bm25.shard_scores(docs, idf, mean, dense), want, rtol=1e-5)
+
+
+def plain_filling(items, idf, mean, window):
+    """The filling rule, document by document, on scores of the formula."""
+    docs = {it[0]: it[4] for it in items}
+    length = {it[0]: len(it[3]) for it in items}
+    score = {a: {b: formula(docs[a], docs[b], idf, mean) for b in docs if b != a} for a in docs}
+    best = {a: max(score[a], key=lambda b: score[a][b]) for a in docs}
+    followers = {a: sorted((b for b in docs if best[b] == a and score[b][a] > 0), key=lambda b: -score[b][a]) for a in docs}
+    seeds = sorted(docs, key=lambda a: -len(followers[a]))
+    open_, windows, at = set(docs), [], None
+    while open_:
+        if at is None:
+            at = next(s for s in seeds if s in open_)
+        line = []
+
+        def bring(b):
+            if b in open_ and b not in line:
+                line.append(b)
+                for f in followers[b]:
+                    bring(f)
+
+        for b in [at, *sorted((b for b in open_ if b != at), key=lambda b: -score[at][b])]:
+            bring(b)
+        current, room, at = [], window, None
+        for b in line:
+            take = min(room, length[b])
+            current.append((b, take))
+            room, length[b] = room - take, length[b] - take
+            if length[b]:
+                at = b
+            else:
+                open_.discard(b)
+            if not room:
+                break
+        windows.append(current)
+    return windows
+
+
+def test_filling_against_the_plain_rule():
+    for seed, window in ((2, 64), (3, 100), (4, 17), (5, 500)):
+        docs, idf, mean = bm25_corpus(seed, n=40, vocabulary=400)
+        items = [(i, 0, len(d), d, d) for i, d in enumerate(docs)]
+        windows, rest = packing_bm25.pack_shard(items, idf, mean, window)
+        assert all(sum(len(p[3]) for p in w) == window for w in windows) and sum(len(p[3]) for p in rest) < window
+        got = [[(p[0], len(p[3])) for p in w] for w in [*windows, rest] if w]
+        assert got == plain_filling(items, idf, mean, window)
 
 
 def neighbour_setup(seed=5, n=300):
@@ -118,23 +171,16 @@ def neighbour_setup(seed=5, n=300):
     return [(d, t, "en", "s", len(t)) for d, t in rows]
 
 
-def test_neighbours_of_the_whole_corpus(spark, monkeypatch):
-    monkeypatch.setattr(packing_bm25, "BLOCK_DOCS", 70)
-    monkeypatch.setattr(packing_bm25, "BLOCK_SEEDS", 16)
-    monkeypatch.setattr(packing_bm25, "DENSE_TERMS", 40)
-    rows = neighbour_setup(n=200)
-    ids = [reference_ids(r[1]).astype("<u2") for r in rows]
-    tok = spark.createDataFrame([(r[0], len(x), bytearray(x.tobytes()), i) for i, (r, x) in enumerate(zip(rows, ids))],
-                                "doc_id long, n_tokens long, ids binary, row long")
+def test_like_documents_have_near_places(spark):
+    """Ten vocabularies: the order by place keeps each of them together."""
+    rng = np.random.default_rng(4)
+    ids = [(t, rng.integers(t * 300, t * 300 + 300, 80).astype("<u2")) for t in rng.permutation(np.repeat(np.arange(10), 60))]
+    tok = spark.createDataFrame([(i, len(x), bytearray(x.tobytes()), i) for i, (_, x) in enumerate(ids)], "doc_id long, n_tokens long, ids binary, row long")
     df, n, mean = packing_bm25.document_frequencies(tok)
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    near = {r["row"]: r["near"] for r in packing_bm25.neighbours(tok, n, df, idf, mean).collect()}
-    index = packing_bm25.ShardIndex(ids, idf, mean)
-    for q in range(n):
-        want = index.scores(q)
-        want[q] = -1
-        assert np.allclose([e["score"] for e in near[q]], np.sort(want)[::-1][:10], rtol=1e-4)
-        assert all(np.isclose(want[e["to"]], e["score"], rtol=1e-4) for e in near[q])
+    order = packing_bm25.placed(tok, n, np.log1p((n - df + 0.5) / (df + 0.5)), mean, 64).orderBy("p1", "p2", "p3", "row").collect()
+    topic = [ids[r["row"]][0] for r in order]
+    assert sorted(r["row"] for r in order) == list(range(600))
+    assert np.mean([a == b for a, b in zip(topic, topic[1:])]) > 0.9
 
 
 def test_near_copies_share_a_window(spark):

@@ -3,17 +3,18 @@
 1. Every document is tokenized once and staged (ids as uint16).
 2. Document frequencies of all token ids are counted over the whole corpus. The
    vocabulary is fixed (49,408 ids), so the collected table has a bound.
-3. Every document queries all documents, by all its terms: blocks of documents meet in a
-   block join, a cell holds two blocks, and the best ``NEIGHBOURS`` of each are kept.
-4. A document that others name as their best neighbour heads a group of these; groups are
-   joined by their best links outwards in the same way, ``ROUNDS`` times. The range
-   partition follows the groups, so neighbours lie side by side; one larger than a
-   partition is split.
-5. In each shard (a bounded run of a partition) an inverted index over the whole
-   documents answers one BM25 query per seed; its unused neighbours fill the seed's
-   window in order of score. The last neighbour is cut to fit and its rest seeds the
-   next window. What remains at the end of a shard is passed to the next one.
-6. Windows of a document that is longer than the window are its own; its rest is placed
+3. A document's BM25 weights are projected to a sketch of ``SKETCH`` numbers. Centroids of
+   two levels, fitted on a bounded sample of sketches, and the sketch's signs below them
+   name its place: the range partition by place is the order of the index shards, so
+   documents of like vocabulary come together. The work is linear in the corpus.
+4. A task chains a pool of consecutive documents from nearest sketch to nearest sketch and
+   cuts the chain at weak links into shards of about ``shard_docs``. Each shard has an inverted index over the whole
+   documents, which every document queries with all its terms. Documents that are the best
+   neighbour of most others are seeds first. A seed's window takes its unused neighbours:
+   those that have the seed as their own best neighbour, then what the seed's own query
+   returns, best first; each brings those whose best neighbour it is. The last neighbour is cut to fit and its rest seeds the next
+   window. What remains at the end of a shard is passed to the next one.
+5. Windows of a document that is longer than the window are its own; its rest is placed
    by the terms of the whole document. A partition's last, short window is cut into
    powers of two, which need no padding.
 
@@ -25,6 +26,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +40,15 @@ from touchline.llm.tokens import TOKEN_COLUMNS, encode, texts
 
 WINDOW = 2048
 #: Documents of one index shard: bounds a task's memory and a query's cost.
-SHARD_DOCS = 256
-#: Documents of a block of the block join, and seeds that are scored at a time.
-BLOCK_DOCS, BLOCK_SEEDS = 4096, 256
-#: Commonest ids, which are scored by a dense product; the others by their postings.
-DENSE_TERMS = 1024
-NEIGHBOURS, ROUNDS = 10, 4
+SHARD_DOCS = 1024
+#: Numbers of a sketch, rows that the centroids are fitted on, centroids of a level at most.
+SKETCH, SAMPLE_ROWS, MAX_CENTROIDS = 64, 16384, 64
+#: Clusters of two levels that a shard holds on average.
+CLUSTERS_PER_SHARD = 8
+#: Shards that a task orders at a time, and those of a partition at least, but for the last.
+POOL_SHARDS, PARTITION_SHARDS = 4, 16
+#: Ids of more documents of a shard than this are scored by a dense product, others by postings.
+DENSE_DOCS = 48
 #: Ids above the vocabulary do not occur (uint16).
 VOCABULARY = 65536
 K1, B = 1.2, 0.75
@@ -50,14 +56,38 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "ids binary")
 
 
+class Terms(NamedTuple):
+    """Distinct ids of some documents with their counts, document by document."""
+
+    owner: np.ndarray
+    terms: np.ndarray
+    counts: np.ndarray
+    lengths: np.ndarray
+
+    @staticmethod
+    def of(raw: list) -> Terms:
+        """From ids as bytes or arrays (uint16), at most 65,536 documents."""
+        lengths = np.array([len(memoryview(x).cast("B")) // 2 for x in raw], dtype=np.int64)
+        ids = np.frombuffer(b"".join([bytes(x) for x in raw]), "<u2")
+        key = np.repeat(np.arange(len(raw), dtype=np.uint32) << 16, lengths) | ids
+        key.sort()
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, dtype=np.int64)
+        found = key[first]
+        return Terms((found >> 16).astype(np.int64), (found & 0xFFFF).astype(np.int64), np.diff(first, append=len(key)), lengths)
+
+    def weights(self, idf: np.ndarray, mean: float) -> np.ndarray:
+        """BM25 weight that a query with the id gives the document."""
+        norm = K1 * (1 - B + B * self.lengths / mean)
+        return (idf[self.terms] * self.counts * (K1 + 1) / (self.counts + norm[self.owner])).astype(np.float32)
+
+
 def document_frequencies(tok: DataFrame) -> tuple[np.ndarray, int, float]:
     """(frequency of each id, number of documents, mean length) over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(VOCABULARY, dtype=np.int64)
         for b in small(batches):
-            for ids in b.column(0).to_pylist():
-                df[np.unique(np.frombuffer(ids, "<u2"))] += 1
+            df += np.bincount(Terms.of(b.column(0).to_pylist()).terms, minlength=VOCABULARY)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], names=["token", "df"])
 
@@ -69,207 +99,198 @@ def document_frequencies(tok: DataFrame) -> tuple[np.ndarray, int, float]:
     return df, n, float(mean or 1.0)
 
 
-def _blocks(tok: DataFrame, n_docs: int, idf: np.ndarray, mean: float) -> DataFrame:
-    """One row per block of about ``BLOCK_DOCS`` documents: row ids, begins, terms, weights."""
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@lru_cache(maxsize=1)
+def _projection() -> np.ndarray:
+    """The same random directions in every worker, one row per token id."""
+    return np.random.default_rng(17).standard_normal((VOCABULARY, SKETCH), dtype=np.float32)
+
+
+def sketches(raw: list, idf: np.ndarray, mean: float) -> np.ndarray:
+    """One row per document: its BM25 weights, projected and scaled to length one."""
+    t = Terms.of(raw)
+    w, r = t.weights(idf, mean), _projection()
+    ends = np.searchsorted(t.owner, np.arange(len(raw) + 1))
+    out = np.zeros((len(raw), SKETCH), dtype=np.float32)
+    for i, (lo, hi) in enumerate(zip(ends, ends[1:])):
+        out[i] = w[lo:hi] @ r[t.terms[lo:hi]]
+    return unit(out)
+
+
+def unit(v: np.ndarray) -> np.ndarray:
+    return v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-9)
+
+
+def _centroids(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
+    """Spherical k-means; an empty centroid stays where it is."""
+    c = x[rng.choice(len(x), min(k, len(x)), replace=False)]
+    for _ in range(rounds):
+        near = (x @ c.T).argmax(axis=1)
+        sums = np.zeros_like(c)
+        np.add.at(sums, near, x)
+        c = np.where((np.bincount(near, minlength=len(c)) > 0)[:, None], unit(sums), c)
+    return c
+
+
+class Places:
+    """Where a sketch belongs in the order of documents: centroid, centroid below it, signs."""
+
+    def __init__(self, sample: np.ndarray, clusters: int, seed: int = 5):
+        rng = np.random.default_rng(seed)
+        self.mean = sample.mean(axis=0)
+        x = unit(sample - self.mean)
+        k = max(1, min(MAX_CENTROIDS, round(clusters**0.5)))
+        self.top = _centroids(x, k, rng)
+        near = (x @ self.top.T).argmax(axis=1)
+        self.below = [_centroids(x[near == i] if (near == i).any() else self.top[i:i + 1], k, rng) for i in range(len(self.top))]
+
+    def of(self, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x = unit(sketches - self.mean)
+        first = (x @ self.top.T).argmax(axis=1)
+        second = np.zeros(len(x), dtype=np.int64)
+        for i in np.unique(first):
+            second[first == i] = (x[first == i] @ self.below[i].T).argmax(axis=1)
+        left = x - np.stack([self.below[i][j] for i, j in zip(first, second)]) if len(x) else x
+        signs = (left[:, :32] > 0) @ (1 << np.arange(31, -1, -1, dtype=np.int64))
+        return first, second, signs
+
+
+def placed(tok: DataFrame, n_docs: int, idf: np.ndarray, mean: float, shard_docs: int) -> DataFrame:
+    """``tok`` with the columns ``p1, p2, p3``: sorted by them, like documents are near each other."""
+    spark = tok.sparkSession
+    shared = spark.sparkContext.broadcast(idf)  # fixed size: one entry per id
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            s = sketches(b.column(0).to_pylist(), shared.value, mean)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in s], pa.binary())], names=["s"])
+
+    # Rows by a threshold on a hash: each task keeps its share, and no more than a little over SAMPLE_ROWS come.
+    share = min(1.0, SAMPLE_ROWS / max(n_docs, 1))
+    taken = tok.filter(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("ids")
+    sample = [np.frombuffer(r["s"], "<f4") for r in taken.mapInArrow(sampled, "s binary").collect()]
+    places = Places(np.stack(sample) if sample else np.zeros((1, SKETCH), "<f4"), CLUSTERS_PER_SHARD * n_docs // shard_docs + 1)
+    model = spark.sparkContext.broadcast(places)  # at most MAX_CENTROIDS squared sketches
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            found = [np.unique(np.frombuffer(x, "<u2"), return_counts=True) for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([t.tobytes() for t, _ in found], pa.binary()),
-                 pa.array([c.astype("<u4").tobytes() for _, c in found], pa.binary())], names=["row", "n", "terms", "counts"])
-
-    shared = tok.sparkSession.sparkContext.broadcast(idf)
-
-    def gather(t: pa.Table) -> pa.Table:
-        t = t.sort_by("row")
-        raw = t.column("terms").to_pylist()
-        size = np.array([len(x) // 2 for x in raw])
-        ids, c = np.frombuffer(b"".join(raw), "<u2"), np.frombuffer(b"".join(t.column("counts").to_pylist()), "<u4")
-        norm = np.repeat(K1 * (1 - B + B * t.column("n").to_numpy() / mean), size)
-        weight = (shared.value[ids] * c * (K1 + 1) / (c + norm)).astype("<f4")
-        begin = np.concatenate(([0], np.cumsum(size)))
-        cols = [t.column("row").to_numpy().astype("<i8"), begin.astype("<i8"), ids, weight]
-        return pa.Table.from_arrays([t.column("block")[:1], *[pa.array([x.tobytes()], pa.binary()) for x in cols]],
-                                    names=["block", "rows", "begin", "terms", "weights"])
-
-    count = -(-n_docs // BLOCK_DOCS)
-    narrow = tok.select("row", "n_tokens", "ids").mapInArrow(terms, "row long, n long, terms binary, counts binary")
-    narrow = narrow.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(count)).cast("int"))
-    return stage(narrow.groupBy("block").applyInArrow(
-        lambda t: gather(t), "block int, rows binary, begin binary, terms binary, weights binary"), "pack-blocks")
-
-
-class BlockIndex:
-    """Scores of a block's documents: a dense matrix of the common ids, postings of the others."""
-
-    def __init__(self, begin: np.ndarray, terms: np.ndarray, weights: np.ndarray, column: np.ndarray):
-        self.n, self.column = len(begin) - 1, column
-        owner = np.repeat(np.arange(self.n), np.diff(begin))
-        at = column[terms]
-        common = at >= 0
-        self.dense = np.zeros((int(column.max()) + 1, self.n), dtype=np.float32)
-        self.dense[at[common], owner[common]] = weights[common]
-        rare, owner, weights = terms[~common], owner[~common], weights[~common]
-        order = np.argsort(rare, kind="stable")
-        self.owner, self.weight = owner[order], weights[order]
-        self.begin = np.concatenate(([0], np.cumsum(np.bincount(rare, minlength=VOCABULARY))))
-
-    def scores(self, begin: np.ndarray, terms: np.ndarray) -> np.ndarray:
-        """(seeds, documents) for seeds whose terms are terms[begin[i]:begin[i + 1]]."""
-        m = len(begin) - 1
-        terms = terms[begin[0]:begin[-1]]
-        seed, at = np.repeat(np.arange(m), np.diff(begin)), self.column[terms]
-        common = at >= 0
-        asked = np.zeros((m, len(self.dense)), dtype=np.float32)
-        asked[seed[common], at[common]] = 1
-        out = asked @ self.dense
-        seed, rare = seed[~common], terms[~common].astype(np.int64)
-        lo, n = self.begin[rare], self.begin[rare + 1] - self.begin[rare]
-        if n.sum():
-            at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            np.add.at(out.ravel(), np.repeat(seed, n) * self.n + self.owner[at], self.weight[at])
-        return out
-
-
-def neighbours(tok: DataFrame, n_docs: int, df: np.ndarray, idf: np.ndarray, mean: float, k: int = NEIGHBOURS) -> DataFrame:
-    """``row, near``: the k documents (score, row) of the whole corpus that score best for each document."""
-    column = np.full(VOCABULARY, -1)
-    used = np.argsort(-df, kind="stable")[:DENSE_TERMS]
-    column[used] = np.arange(len(used))
-    shared = tok.sparkSession.sparkContext.broadcast(column)
-    blocks = _blocks(tok, n_docs, idf, mean)
+            s = sketches(b.column(2).to_pylist(), shared.value, mean)
+            short = pa.array([x.tobytes() for x in s.astype(np.float16)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns, short, *[pa.array(p, pa.int64()) for p in model.value.of(s)]],
+                                             names=["doc_id", "n_tokens", "ids", "row", "sketch", "p1", "p2", "p3"])
+
+    return tok.select("doc_id", "n_tokens", "ids", "row").mapInArrow(
+        place, TOKEN_COLUMNS + ", row long, sketch binary, p1 long, p2 long, p3 long")
+
+
+def chain(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, similarity of each to the one before it): every next one is the nearest that is left."""
+    m = len(x)
+    near = x @ x.T
+    order, link = np.zeros(m, dtype=np.int64), np.ones(m, dtype=np.float32)
+    blocked = np.zeros(m, dtype=np.float32)
+    at = 0
+    for i in range(1, m):
+        blocked[at] = -9
+        nxt = int((near[at] + blocked).argmax())
+        order[i], link[i] = nxt, near[at, nxt]
+        at = nxt
+    return order, link
+
+
+def shard_cuts(link: np.ndarray, shard_docs: int) -> list[int]:
+    """Where shards begin: at the weakest link of those a quarter shorter or longer than ``shard_docs``."""
+    cuts, at = [0], 0
+    while len(link) - at > shard_docs * 5 // 4:
+        lo = at + max(1, shard_docs * 3 // 4)
+        at = lo + int(link[lo:at + max(2, shard_docs * 5 // 4)].argmin())
+        cuts.append(at)
+    return [*cuts, len(link)]
+
+
+def shard_scores(docs: list[np.ndarray], idf: np.ndarray, mean: float, dense_docs: int = DENSE_DOCS) -> np.ndarray:
+    """(query, document): BM25 of all pairs of a shard, by its inverted index.
+
+    Postings of an id are the documents that hold it. Long lists are columns of a dense
+    product; short ones are added up list by list. Queries are all terms of a document."""
+    m, found = len(docs), Terms.of(docs)
+    terms, owner, weight = found.terms, found.owner, found.weights(idf, mean)
+    order = np.argsort(terms, kind="stable")
+    terms, owner, weight = terms[order], owner[order], weight[order]
+    begin = np.flatnonzero(np.diff(terms, prepend=-1))
+    size = np.diff(begin, append=len(terms))
+    dense = size > dense_docs
+    column = np.repeat(np.where(dense, np.cumsum(dense) - 1, -1), size)
+    holds = np.zeros((m, int(dense.sum())), dtype=np.float32)
+    weights = np.zeros_like(holds)
+    common = column >= 0
+    holds[owner[common], column[common]] = 1
+    weights[owner[common], column[common]] = weight[common]
+    out = holds @ weights.T
+    # Short lists: every posting meets all postings of its list.
+    rows = np.flatnonzero(~common)
+    lists = np.repeat(np.arange(len(size)), size)[rows]
+    count = size[lists]
+    asking = np.repeat(owner[rows], count)
+    step = np.arange(len(asking)) - np.repeat(np.cumsum(count) - count, count)
+    at = np.repeat(begin[lists], count) + step
+    out += np.bincount(asking * m + owner[at], weights=weight[at], minlength=m * m).reshape(m, m).astype(np.float32)
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, tuple] = {}  # of the blocks of one input partition
-        for b in small(batches, 1):
-            seed_block, doc_block = b.column(0)[0].as_py(), b.column(4)[0].as_py()
-            raw = [b.column(i)[0].as_py() for i in (1, 2, 3, 5, 6, 7, 8)]
-            rows, begin, terms, others, o_begin, o_terms, o_weights = [
-                np.frombuffer(x, t) for x, t in zip(raw, ("<i8", "<i8", "<u2", "<i8", "<i8", "<u2", "<f4"))]
-            index = BlockIndex(o_begin, o_terms, o_weights, shared.value)
-            if seed_block not in best:
-                best[seed_block] = rows, np.full((len(rows), k), -1, dtype=np.float32), np.full((len(rows), k), -1, dtype=np.int64)
-            _, top, who = best[seed_block]
-            for s in range(0, len(rows), BLOCK_SEEDS):
-                e = min(s + BLOCK_SEEDS, len(rows))
-                score = index.scores(begin[s:e + 1], terms)
-                if seed_block == doc_block:
-                    score[np.arange(e - s), np.arange(s, e)] = -1  # not its own neighbour
-                better = score.max(axis=1) > top[s:e, -1]
-                if not better.any():
-                    continue
-                score, mine = score[better], np.arange(s, e)[better]
-                m = min(k, score.shape[1])
-                at = np.argpartition(score, score.shape[1] - m, axis=1)[:, -m:]
-                both = np.concatenate([top[mine], np.take_along_axis(score, at, 1)], axis=1)
-                names = np.concatenate([who[mine], others[at]], axis=1)
-                order = np.argsort(-both, axis=1, kind="stable")[:, :k]
-                top[mine], who[mine] = np.take_along_axis(both, order, 1), np.take_along_axis(names, order, 1)
-        for rows, top, who in best.values():
-            for s in range(0, len(rows), 1000):
-                keep = top[s:s + 1000] > 0
-                near = pa.StructArray.from_arrays([pa.array(top[s:s + 1000][keep]), pa.array(who[s:s + 1000][keep])], names=["score", "to"])
-                ends = np.concatenate(([0], np.cumsum(keep.sum(axis=1)))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(rows[s:s + 1000]), pa.ListArray.from_arrays(ends, near)], names=["row", "near"])
-
-    seeds = blocks.select(F.col("block").alias("_b"), F.col("rows").alias("_r"), F.col("begin").alias("_g"), F.col("terms").alias("_t"))
-    part = seeds.crossJoin(blocks).mapInArrow(run, "row long, near array<struct<score:float,to:long>>")
-    near = F.slice(F.sort_array(F.flatten(F.collect_list("near")), asc=False), 1, k)
-    return stage(part.groupBy("row").agg(near.alias("near")), "pack-neighbours")
-
-
-def neighbour_order(near: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``row, c<rounds> ... c1, last``: sorted by these columns, neighbours lie side by side.
-
-    A group that is the best link of another one is a head, two that are each other's are
-    one; every other group joins the head that it links to best."""
-    links = near.select("row", F.explode("near").alias("e")).select(F.col("row").alias("a"), F.col("e.to").alias("b"), F.col("e.score").alias("score"))
-    keys = stage(near.select("row", F.col("row").alias("g")), "pack-groups")
-    names: list[str] = []
-    for i in range(rounds):
-        best = links.groupBy("a").agg(F.max(F.struct("score", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-        best = stage(best, "pack-best")
-        back = best.select(F.col("a").alias("_x"), F.col("b").alias("_y"))
-        mutual = best.join(back, (F.col("b") == F.col("_x")) & (F.col("a") == F.col("_y"))).filter("a > b").select(F.col("a").alias("_a"), F.col("b").alias("_g"))
-        mutual = stage(mutual, "pack-mutual")
-        named = stage(best.select(F.col("b").alias("_h")).distinct(), "pack-named")
-        rest = best.join(named, F.col("a") == F.col("_h"), "left_anti").join(mutual, F.col("b") == F.col("_a"), "left")
-        head = stage(rest.select(F.col("a").alias("_a"), F.coalesce("_g", "b").alias("_g")).unionByName(mutual), "pack-heads")
-        if not i:  # in a group, those that others name come first
-            keys = stage(keys.join(named, F.col("row") == F.col("_h"), "left").select("row", "g", F.isnull("_h").alias("last")), "pack-groups")
-        keys = keys.join(head, F.col("g") == F.col("_a"), "left").withColumn("g", F.coalesce("_g", "g")).drop("_a", "_g")
-        names.insert(0, f"c{i + 1}")
-        keys = stage(keys.withColumn(names[0], F.col("g")), "pack-groups")
-        if i + 1 < rounds:
-            links = links.join(head, F.col("a") == F.col("_a"), "left").select(F.coalesce("_g", "a").alias("a"), "b", "score")
-            links = links.join(head, F.col("b") == F.col("_a"), "left").select("a", F.coalesce("_g", "b").alias("b"), "score")
-            links = stage(links.filter("a <> b").groupBy("a", "b").agg(F.max("score").alias("score")), "pack-links")
-    return keys.select("row", *names, "last")
-
-
-class ShardIndex:
-    """Inverted index of one shard: postings (document, weight) by token id."""
-
-    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
-        terms, owner, tf = [], [], []
-        self.terms_of = []
-        for i, ids in enumerate(docs):
-            t, c = np.unique(ids, return_counts=True)
-            self.terms_of.append(t)
-            terms.append(t)
-            owner.append(np.full(len(t), i))
-            norm = K1 * (1 - B + B * len(ids) / mean)
-            tf.append(idf[t] * c * (K1 + 1) / (c + norm))
-        terms, owner, weight = np.concatenate(terms), np.concatenate(owner), np.concatenate(tf)
-        order = np.argsort(terms, kind="stable")
-        self.owner, self.weight = owner[order], weight[order]
-        # begin[t]:begin[t + 1] are the postings of token t
-        self.begin = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=VOCABULARY))))
-        self.n = len(docs)
-
-    def scores(self, i: int) -> np.ndarray:
-        """BM25 score of every document of the shard for the terms of document i."""
-        lo, hi = self.begin[self.terms_of[i]], self.begin[self.terms_of[i] + 1]
-        n = hi - lo
-        at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        return np.bincount(self.owner[at], weights=self.weight[at], minlength=self.n)
+
+def in_line(seed: int, score: np.ndarray, named: list[list[int]], unused: np.ndarray) -> Iterator[int]:
+    """Unused documents in the order that a window takes them: the seed, then what its query
+    returns, best first; each brings those that have it as their best neighbour, and theirs."""
+    met = ~unused
+    met[seed] = False
+    others = np.flatnonzero(unused)
+    others = others[others != seed]
+    for top in [[seed], others[np.argsort(-score[others], kind="stable")].tolist()]:
+        for one in top:
+            stack = [one]
+            while stack:
+                j = stack.pop()
+                if not met[j]:
+                    met[j] = True
+                    yield j
+                    stack += reversed(named[j])
 
 
 def pack_shard(items: list[tuple], idf: np.ndarray, mean: float, window: int) -> tuple[list[list[tuple]], list[tuple]]:
     """Full windows and the rest. An item is (doc, start, doc_tokens, ids as uint16 array, ids of the whole document)."""
-    index = ShardIndex([it[4] for it in items], idf, mean)
+    m = len(items)
+    score = shard_scores([it[4] for it in items], idf, mean)
+    np.fill_diagonal(score, -1.0)
+    best, top = score.argmax(axis=1), score.max(axis=1)
+    named = [[] for _ in range(m)]  # those that have the document as their best neighbour, best first
+    for q in np.argsort(-top, kind="stable"):
+        if top[q] > 0:
+            named[best[q]].append(int(q))
+    seeds = iter(np.argsort([-len(x) for x in named], kind="stable").tolist())
     left = list(items)  # an item's unplaced rest
-    unused = np.ones(len(items), dtype=bool)
+    unused = np.ones(m, dtype=bool)
     windows: list[list[tuple]] = []
-    seed = 0
+    at = None
     while True:
-        while seed < len(items) and not unused[seed]:
-            seed += 1
-        if seed == len(items):
+        if at is None:
+            at = next((s for s in seeds if unused[s]), None)
+        if at is None:
             return windows, []
-        at, current, room = seed, [], window
-        while True:
-            score = index.scores(at)
-            score[~unused] = -1.0
-            score[at] = np.inf  # the seed itself comes first
-            for j in np.argsort(-score, kind="stable")[: int(unused.sum())]:
-                doc, start, total, ids, whole = left[j]
-                current.append((doc, start, total, ids[:room], whole))
-                if len(ids) <= room:
-                    unused[j] = False
-                    room -= len(ids)
-                else:
-                    left[j] = (doc, start + room, total, ids[room:], whole)
-                    room = 0
-                if not room:
-                    break
+        current, room = [], window
+        line, at = in_line(at, score[at], named, unused), None
+        for j in line:
+            doc, start, total, ids, whole = left[j]
+            current.append((doc, start, total, ids[:room], whole))
+            if len(ids) <= room:
+                unused[j] = False
+                room -= len(ids)
             else:
-                return windows, current  # no document is left for this window
-            windows.append(current)
-            current, room = [], window
-            if not unused[j]:
+                left[j] = (doc, start + room, total, ids[room:], whole)
+                room, at = 0, j  # the rest of a cut document seeds the next window
+            if not room:
                 break
-            at = j  # the rest of a cut document seeds the next window
+        else:
+            return windows, current  # no document is left for this window
+        windows.append(current)
 
 
 def powers_of_two(pieces: list[tuple]) -> list[list[tuple]]:
@@ -325,17 +346,31 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
                                               names=[x.split(" ")[0] for x in SCHEMA.split(", ")])
 
         waiting: list[tuple] = []
+        pool: list[tuple] = []
+
+        def drain(last: bool):
+            nonlocal waiting, pool
+            order, link = chain(np.stack([np.frombuffer(x, "<f2") for _, x in pool]).astype(np.float32))
+            ends = shard_cuts(link, shard_docs)
+            if not last:
+                ends = ends[:-1]  # the chain's end, what has found no neighbour yet, meets the next documents
+            for lo, hi in zip(ends, ends[1:]):
+                full, waiting = pack_shard([*waiting, *[pool[i][0] for i in order[lo:hi]]], weights, mean, window)
+                yield emit(full)
+            pool = [] if last else [pool[i] for i in order[ends[-1]:]]
+
         for b in small(batches):
-            for doc, n, raw in zip(*[b.column(i).to_pylist() for i in range(3)]):
+            for doc, n, raw, at in zip(*[b.column(i).to_pylist() for i in (0, 1, 2, 4)]):
                 ids = np.frombuffer(raw, "<u2")
                 whole = n // window * window
                 if whole:
                     yield emit([[(doc, s, n, ids[s:s + window])] for s in range(0, whole, window)])
                 if whole < n:
-                    waiting.append((doc, whole, n, ids[whole:], ids))
-                if len(waiting) >= shard_docs:
-                    full, waiting = pack_shard(waiting, weights, mean, window)
-                    yield emit(full)
+                    pool.append(((doc, whole, n, ids[whole:], ids), at))
+                if len(pool) >= POOL_SHARDS * shard_docs:
+                    yield from drain(False)
+        if pool:
+            yield from drain(True)
         while waiting:
             full, rest = pack_shard(waiting, weights, mean, window)
             yield emit(full)
@@ -345,9 +380,7 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
         if waiting:
             yield emit(powers_of_two(waiting))
 
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_docs // (4 * shard_docs) + 1))
-    order = neighbour_order(neighbours(tok, n_docs, df, idf, mean))
-    keys = [c for c in order.columns if c != "row"] + ["row"]
-    placed = tok.join(order.withColumnRenamed("row", "_o"), F.col("row") == F.col("_o"), "left").select("doc_id", "n_tokens", "ids", *keys)
-    ranged = placed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_docs // (PARTITION_SHARDS * shard_docs) + 1))
+    keys = ["p1", "p2", "p3", "row"]
+    ranged = placed(tok, n_docs, idf, mean, shard_docs).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     return ranged.mapInArrow(run, SCHEMA)
