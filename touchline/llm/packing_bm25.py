@@ -380,7 +380,7 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
         if waiting:
             yield emit(powers_of_two(waiting))
 
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_docs // (PARTITION_SHARDS * shard_docs) + 1))
+    parts = n_docs // (PARTITION_SHARDS * shard_docs) + 1  # grows with the corpus, so that a task's share does not
     keys = ["p1", "p2", "p3", "row"]
     ranged = placed(tok, n_docs, idf, mean, shard_docs).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     return ranged.mapInArrow(run, SCHEMA)
