@@ -18,7 +18,7 @@ from touchline.operators import ball, events, frames, ranking, speed, tables
 from touchline.plans import jobs
 from touchline.session import checkpoint_base, configure, shared_dir
 from touchline.sources import adapter, files
-from touchline.streaming import ingest, live, marks, sampling
+from touchline.streaming import ingest, live, marks, sampling, slots
 from touchline.streaming import lines as lines_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -456,10 +456,53 @@ def q_stream_sampled_ball_state(spark, sf_dir):
     return _finished(spark, sampling.sampled_state_stream(rows), "sampled")
 
 
+# A feed that grows: so many slices of the clock, each of so many files, written in turn.
+FEED_SLICES, FILES_PER_SLICE = 4, 4
+
+
+def growing_feed(spark: SparkSession, sf_dir: str, slices: int = FEED_SLICES) -> str:
+    """The feed as it grows: slices in clock order, so that a stream that takes the files
+    of one slice at a time has several micro-batches; the end mark comes last."""
+    path = shared_dir(spark, "growing_feed")
+    lines = adapter.stream_lines(tracking(spark, sf_dir))
+    clock = F.split("value", ":")[0].try_cast("bigint")
+    lo, hi = lines.agg(F.min(clock), F.max(clock)).first()
+    for i in range(slices if lo is not None else 0):
+        start, end = lo + (hi + 1 - lo) * i // slices, lo + (hi + 1 - lo) * (i + 1) // slices
+        lines.where((clock >= start) & (clock < end)).repartition(FILES_PER_SLICE).write.mode("append").text(path)
+    marks.end_mark_lines(spark.read.text(path)).write.mode("append").text(path)
+    return path
+
+
+def _growing_rows(spark: SparkSession, feed: str) -> DataFrame:
+    return lines_mod.split_parsed(lines_mod.parse_ball_lines(ingest.read_lines(spark, "text", feed, FILES_PER_SLICE)))[0]
+
+
 @query("stream_sampled_live_events")
 def q_stream_sampled_live_events(spark, sf_dir):
-    """The poller's events from the windows that the sampling stream committed."""
-    return events.live_events(q_stream_sampled_ball_state(spark, sf_dir))
+    """The poller's loop as one stream: window aggregate, then per-match state, over the
+    micro-batches of a growing feed."""
+    rows = _growing_rows(spark, growing_feed(spark, sf_dir))
+    return _finished(spark, sampling.sampled_event_stream(rows), "sampled_events")
+
+
+@query("stream_live_events_after_history")
+def q_stream_live_events_after_history(spark, sf_dir):
+    """The first half of every match from a batch table, the rest live: the events of both
+    parts are those of the whole."""
+    rows = tracking(spark, sf_dir)
+    past = lines_mod.parse_ball_lines(adapter.stream_lines(rows.where(F.col("period") == 1)))
+    feed = shared_dir(spark, "second_halves")
+    adapter.stream_lines(rows.where(F.col("period") == 2)).write.text(feed)
+    later = _finished(spark, live.live_event_stream(_feed_rows(spark, feed), history=past), "events_after_history")
+    return events.live_events(past).unionByName(later)
+
+
+@query("stream_live_events_by_slot")
+def q_stream_live_events_by_slot(spark, sf_dir):
+    """State by (match, hour), then by match: the events of a growing feed."""
+    rows = _growing_rows(spark, growing_feed(spark, sf_dir))
+    return _finished(spark, slots.slot_event_stream(rows, ORDERED_DELAY, width_ms=3_600_000), "events_by_slot")
 
 
 @query("stream_live_events_by_pitch")

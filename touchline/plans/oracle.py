@@ -379,4 +379,7 @@ SAMPLED_EVENTS = EVENTS.replace("FROM f\n", "FROM s\n", 1)
 ORACLE["sampled_live_events"] = _with(TRACKING, BALL, SAMPLED, SAMPLED_EVENTS) + "SELECT * FROM ev"
 ORACLE["stream_sampled_live_events"] = _with(TRACKING, FEED_ROWS, FLAGS, SAMPLED, SAMPLED_EVENTS) + "SELECT * FROM ev"
 
+ORACLE["stream_live_events_after_history"] = ORACLE["stream_live_events"]
+ORACLE["stream_live_events_by_slot"] = ORACLE["stream_live_events"]
+
 ORACLE["dedup_frames"] = _with(TRACKING, FRAMES) + f"SELECT {UP_COLS} FROM up"

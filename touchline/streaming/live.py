@@ -166,6 +166,20 @@ def step(rows: pd.DataFrame, state: tuple, late_rows: bool = False) -> tuple[pd.
     return events, state_out
 
 
+def _stored_state(history: pd.DataFrame) -> tuple:
+    """One row of :func:`state_after` as the processors' state."""
+    row = history.iloc[0]
+    known = {c: (None if pd.isna(row[c]) else row[c]) for c in ("status", "in_box", "in_field", "last_wall_ms", "last_frame_idx")}
+    return (
+        INITIAL_STATUS if known["status"] is None else str(known["status"]),
+        INITIAL_IN_BOX if known["in_box"] is None else bool(known["in_box"]),
+        INITIAL_IN_FIELD if known["in_field"] is None else bool(known["in_field"]),
+        None if known["last_wall_ms"] is None else int(known["last_wall_ms"]),
+        None if known["last_frame_idx"] is None else int(known["last_frame_idx"]),
+        0,
+    )
+
+
 class LiveEventProcessor(StatefulProcessor):
     """Per-match state: last status / area / field flags and the last row seen."""
 
@@ -175,6 +189,9 @@ class LiveEventProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("ball_state", STATE_SCHEMA)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.state.update(_stored_state(initialState))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         chunks = list(rows)
         if not chunks:
@@ -225,6 +242,9 @@ class OrderedLiveEventProcessor(StatefulProcessor):
         self.state = handle.getValueState("ball_state", STATE_SCHEMA)
         self.pending = handle.getListState("pending", BUFFER_SCHEMA)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.state.update(_stored_state(initialState))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         chunks = [c for c in rows if len(c)]
         if chunks:
@@ -258,8 +278,40 @@ class OrderedLiveEventProcessor(StatefulProcessor):
         pass
 
 
+def state_after(history: DataFrame) -> DataFrame:
+    """``match_id`` and the state after the last row of each match of a batch table: the
+    last known status and flags and the last row's clock and frame. Partial aggregates of
+    one small struct a signal, so a hot match is one row per task in the shuffle."""
+    rows = history.where(F.col("wall_ms").isNotNull()).withColumn("_at", F.struct("wall_ms", F.coalesce("frame_idx", F.lit(NO_FRAME)).alias("f")))
+    last = {"status": "ball_status", "in_box": "in_box", "in_field": "in_field"}
+    found = rows.groupBy("match_id").agg(
+        *[F.max(F.when(F.col(c).isNotNull(), F.struct("_at", F.col(c).alias("v")))).alias(name) for name, c in last.items()],
+        F.max("_at").alias("_last"))
+    return found.select("match_id", *[F.col(f"{name}.v").alias(name) for name in last],
+                        F.col("_last.wall_ms").alias("last_wall_ms"), F.col("_last.f").alias("last_frame_idx"))
+
+
+def _with_state(rows: DataFrame, processor: StatefulProcessor, time_mode: str, history: DataFrame | None) -> DataFrame:
+    before = state_after(history).groupBy("match_id") if history is not None else None
+    return rows.groupBy("match_id").transformWithStateInPandas(
+        statefulProcessor=processor,
+        outputStructType=RAW_EVENT_SCHEMA,
+        outputMode="Append",
+        timeMode=time_mode,
+        initialState=before,
+    )
+
+
+def event_time_events(rows: DataFrame, history: DataFrame | None = None, **dims) -> DataFrame:
+    """Rows with a watermarked ``event_time`` (also those of an upstream stateful operator)
+    → decorated events, in clock order."""
+    raw = _with_state(rows.select(*INPUT_COLUMNS, "event_time"), OrderedLiveEventProcessor(), "EventTime", history)
+    return decorate_events(raw, **dims)
+
+
 def live_event_stream(ball_rows: DataFrame, length=None, width=None, delay: str | None = None,
-                      metadata: DataFrame | None = None, late_rows: bool = False) -> DataFrame:
+                      metadata: DataFrame | None = None, late_rows: bool = False,
+                      history: DataFrame | None = None) -> DataFrame:
     """Streaming ball rows (parsed, flagged) → decorated live events.
 
     Without ``delay`` rows are processed as their micro-batch arrives (the feed
@@ -271,6 +323,11 @@ def live_event_stream(ball_rows: DataFrame, length=None, width=None, delay: str
     ``metadata`` (a static table of match_id, pitch_length, pitch_width) gives each match
     its own pitch for the flags and the restart rule. ``late_rows`` (arrival mode only)
     adds the rows that came too late as records of kind ``LATE_ROW``.
+
+    ``history`` (flagged ball rows of a batch table) is what came before the stream: its
+    matches begin with the state after their last row (:func:`state_after`) instead of the
+    initial one, and stream rows not newer than that row are late. It is read once, by the
+    query's first micro-batch; a restart goes on from the checkpoint.
     """
     if metadata is not None:
         sized = with_pitch(ball_rows, metadata)
@@ -283,12 +340,7 @@ def live_event_stream(ball_rows: DataFrame, length=None, width=None, delay: str
     else:
         rows = without_end_marks(rows.withColumn("event_time", F.timestamp_millis("wall_ms")).withWatermark("event_time", delay))
         processor, time_mode = OrderedLiveEventProcessor(), "EventTime"
-    raw = rows.groupBy("match_id").transformWithStateInPandas(
-        statefulProcessor=processor,
-        outputStructType=RAW_EVENT_SCHEMA,
-        outputMode="Append",
-        timeMode=time_mode,
-    )
+    raw = _with_state(rows, processor, time_mode, history)
     if metadata is not None:
         return decorate_events(with_pitch(raw, metadata), F.col("pitch_length"), F.col("pitch_width"))
     dims = {k: v for k, v in (("length", length), ("width", width)) if v is not None}
