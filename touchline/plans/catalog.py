@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.functions.clock import display_time, match_date
-from touchline.operators import ball, events, frames, ranking, speed, tables
+from touchline.operators import asof, ball, events, frames, ranking, speed, tables, visits
 from touchline.plans import jobs
 from touchline.session import checkpoint_base, configure, shared_dir
 from touchline.sources import adapter, files
@@ -383,6 +383,25 @@ def q_features_as_of(spark, sf_dir):
     return tables.features_as_of(_features_table(spark, path), AS_OF_CUTOFF)
 
 
+@query("features_point_in_time")
+def q_features_point_in_time(spark, sf_dir):
+    """Every tracking row asks for its player's features before its own match day."""
+    path = shared_dir(spark, "player_features")
+    rows = tracking(spark, sf_dir)
+    tables.write_partitioned(speed.player_performance(rows), path)
+    day = lambda c: F.unix_date(F.to_date(c))
+    feats = _features_table(spark, path).withColumnRenamed("match_date", "feature_date")
+    asked = rows.select("frame_idx", "side", "player_id", "match_date", day("match_date").alias("day"))
+    out = asof.as_of_join(asked, feats.withColumn("feature_day", day("feature_date")), ["side", "player_id"], "day", "feature_day",
+                          slot_width=7, inclusive=False, salts=4)
+    return out.drop("day", "feature_day")
+
+
+@query("box_visits")
+def q_box_visits(spark, sf_dir):
+    return visits.visits(flagged_ball(spark, sf_dir))
+
+
 # -- streaming ----------------------------------------------------------------------
 # The feed is written as text lines derived from the events table; the streams
 # run with trigger(availableNow) and checkpoints under the shared folder, and the

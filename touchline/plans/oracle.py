@@ -379,6 +379,18 @@ SAMPLED_EVENTS = EVENTS.replace("FROM f\n", "FROM s\n", 1)
 ORACLE["sampled_live_events"] = _with(TRACKING, BALL, SAMPLED, SAMPLED_EVENTS) + "SELECT * FROM ev"
 ORACLE["stream_sampled_live_events"] = _with(TRACKING, FEED_ROWS, FLAGS, SAMPLED, SAMPLED_EVENTS) + "SELECT * FROM ev"
 
+ORACLE["features_point_in_time"] = _with(TRACKING, SPEED_ROWS, PERFORMANCE) + """SELECT t.frame_idx, t.side, t.player_id, t.match_date,
+       p.match_date AS feature_date, p.player_avg_speed, p.player_max_speed, p.maximum_speed_x
+FROM t ASOF LEFT JOIN perf p ON t.side = p.side AND t.player_id = p.player_id AND t.match_date > p.match_date"""
+
+ORACLE["box_visits"] = _with(TRACKING, BALL) + """SELECT match_id, min(wall_ms) AS start_ms, max(wall_ms) AS end_ms,
+       (max(wall_ms) - min(wall_ms)) / 1000.0::DOUBLE AS seconds, count(*) AS n_rows
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY wall_ms, frame_idx)
+            - row_number() OVER (PARTITION BY match_id, in_box ORDER BY wall_ms, frame_idx) AS island
+  FROM f WHERE in_box IS NOT NULL
+) WHERE in_box GROUP BY match_id, island"""
+
 ORACLE["stream_live_events_after_history"] = ORACLE["stream_live_events"]
 ORACLE["stream_live_events_by_slot"] = ORACLE["stream_live_events"]
 
