@@ -58,10 +58,11 @@ def ball_in_box_stats(ball_df: DataFrame, ends: str = "both", length=PITCH_LENGT
 def ball_in_box_by_pitch(ball_df: DataFrame, metadata: DataFrame, ends: str = "both") -> DataFrame:
     """Same as :func:`ball_in_box_stats`, with each match's own pitch length.
 
-    ``metadata`` has one row per match (``match_id``, ``pitch_length``,
-    ``pitch_width``); it is broadcast when a bounded count proves it small.
+    ``metadata`` has one row per match (``match_id``, ``pitch_length``, ``pitch_width``).
+    Matches without metadata, or without a length in it, have the default pitch.
     """
-    joined = join_lookup(ball_df, metadata.select("match_id", "pitch_length"), ["match_id"])
+    joined = join_lookup(ball_df, metadata.select("match_id", "pitch_length"), ["match_id"], how="left")
+    joined = joined.fillna({"pitch_length": PITCH_LENGTH_M})
     inside = joined.where(in_penalty_area(F.col("x"), F.col("y"), F.col("pitch_length"), ends))
     return box_minutes(inside, ["match_id", "pitch_length"])
 

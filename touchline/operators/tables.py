@@ -78,9 +78,13 @@ def touched_partitions(table: DataFrame, source: DataFrame, partition_by: str =
 
 def merge_insert_only(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
                       partition_by: str = PARTITION, fmt: str = TABLE_FORMAT,
-                      schema: T.StructType | None = None) -> None:
+                      schema: T.StructType | None = None, repeated_keys: bool = False) -> None:
     """Insert the rows of ``source`` whose key is not yet in the table at ``path``;
-    bootstrap the table when it does not exist."""
+    bootstrap the table when it does not exist. Of several rows of one key in ``source``
+    the first by its other columns, in their order, is inserted (:func:`first_per_key`);
+    with ``repeated_keys`` all of them are, for keys that name a group of rows."""
+    if not repeated_keys:
+        source = first_per_key(source, keys)
     if not path_exists(spark, path):
         write_partitioned(source, path, partition_by, fmt)
         return
@@ -88,6 +92,16 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, path: str, keys: S
     write_partitioned(null_safe_join(source, existing, keys, "left_anti"), path, partition_by, fmt, mode="append")
 
 
+def first_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key (null is a value): the least by the other columns in their order,
+    nulls first. The choice does not depend on files, partitions or earlier runs."""
+    others = [c for c in source.columns if c not in keys]
+    if not others:
+        return source.distinct()
+    least = source.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__row"))
+    return least.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in source.columns])
+
+
 def _one_row_per_key(source: DataFrame, keys: Sequence[str]) -> None:
     twice = source.groupBy(*keys).count().where("count > 1").limit(1).collect()
     if twice:
@@ -122,7 +136,7 @@ def new_keys(spark: SparkSession, candidates: DataFrame, path: str, key: str = P
     if not path_exists(spark, path):
         return keys
     stored = read_table(spark, path, schema, fmt).select(key).distinct()
-    return keys.join(stored, on=[key], how="left_anti")
+    return null_safe_join(keys, stored, [key], "left_anti")
 
 
 def incremental_load(spark: SparkSession, rows: DataFrame, path: str,
@@ -138,20 +152,31 @@ def incremental_load(spark: SparkSession, rows: DataFrame, path: str,
     """
     checkpoint_base(spark)
     todo = new_keys(spark, rows, path, key, fmt, schema).checkpoint(eager=True)
-    fresh = build(join_lookup(rows, todo, [key], how="left_semi"))
+    fresh = build(null_safe_join(rows, todo, [key], "left_semi"))
     write_partitioned(fresh, path, key, fmt, mode="append")
     return todo
 
 
 def features_as_of(features: DataFrame, cutoff: str, keys: Sequence[str] = ("side", "player_id"),
-                   time_col: str = PARTITION) -> DataFrame:
-    """Latest feature row per key with ``time_col <= cutoff``; a filter on the
-    partition column prunes partitions at the scan, ``max_by`` is partial."""
+                   time_col: str = PARTITION, days: DataFrame | None = None) -> DataFrame:
+    """Latest feature row per key by ``cutoff`` (a day as text); ``max_by`` is partial.
+
+    Without ``days`` the match ids are days themselves: a filter on the partition column,
+    which prunes partitions at the scan. Other ids say nothing of their day, so a table
+    that holds any needs ``days`` (``match_id``, ``kickoff``, as the match metadata has
+    them): a match's day is then its kick-off's, or its id where that is a day. An id
+    without a day is an error, not a row left out."""
     value_cols = [c for c in features.columns if c not in keys]
-    latest = F.max_by(F.struct(*value_cols), F.col(time_col))
-    return (
-        features.where(F.col(time_col) <= F.lit(cutoff))
-        .groupBy(*keys)
-        .agg(latest.alias("f"))
-        .select(*keys, *[F.col(f"f.{c}").alias(c) for c in value_cols])
-    )
+    named = F.col(time_col)
+    if days is None:
+        rows = features.where((named <= F.lit(cutoff)) | F.try_to_date(named, "yyyy-MM-dd").isNull())
+        day = F.try_to_date(named, "yyyy-MM-dd")
+    else:
+        lookup = days.groupBy(F.col("match_id").alias(time_col)).agg(F.min(F.to_date("kickoff")).alias("__day"))
+        rows = join_lookup(features, lookup, [time_col], how="left")
+        day = F.coalesce(F.col("__day"), F.try_to_date(named, "yyyy-MM-dd"))
+    placed = F.when(day.isNull(), F.raise_error(F.concat(F.lit("match without a day: "), F.coalesce(named, F.lit("null")))).cast("date")).otherwise(day)
+    rows = rows.withColumn("__at", placed).where(F.col("__at") <= F.lit(cutoff).cast("date"))
+    # Two matches of a day: the larger id counts.
+    latest = F.max_by(F.struct(*value_cols), F.struct("__at", named))
+    return rows.groupBy(*keys).agg(latest.alias("f")).select(*keys, *[F.col(f"f.{c}").alias(c) for c in value_cols])

@@ -2,6 +2,7 @@
 
     python -m touchline.plans.jobs ingest   --frames F --metadata M --players P --ball B
     python -m touchline.plans.jobs features --players P --ball B --player-features PF --ball-features BF
+    python -m touchline.plans.jobs refresh  --matches M1,M2 --players P --ball B --player-features PF --ball-features BF
     python -m touchline.plans.jobs stream   --source text --path DIR --sink S --checkpoint C [--quarantine Q]
     python -m touchline.plans.jobs live     --source text --path DIR --sink S --checkpoint C [--delay "10 seconds"]
 
@@ -60,8 +61,9 @@ def ingest(spark: SparkSession, frames_path: str, metadata_path: str | None, pla
                 F.col("ball_inside_box"),
             ),
         ).drop("pitch_length")
-    tables.merge_insert_only(spark, players, players_path, PLAYER_ROW_KEYS)
-    tables.merge_insert_only(spark, ball_rows.withColumnRenamed("match_id", "match_date"), ball_path, BALL_ROW_KEYS)
+    # A frame may list a player twice; both entries are stored, so that counts add up.
+    tables.merge_insert_only(spark, players, players_path, PLAYER_ROW_KEYS, repeated_keys=True)
+    tables.merge_insert_only(spark, ball_rows.withColumnRenamed("match_id", "match_date"), ball_path, BALL_ROW_KEYS, repeated_keys=True)
     per_part = {r["part"]: r["n"] for r in rejects.groupBy("part").agg(F.count("*").alias("n")).collect()}
     sizes = flagged.agg(
         F.count("*").alias("frames"),
@@ -111,6 +113,14 @@ def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return stream_ingest.read_lines(spark, args.source, args.path, args.max_files_per_trigger, **opts)
 
 
+def _match_id(args: argparse.Namespace):
+    """The column that names the match, so that two feeds of a day are two matches."""
+    if args.match_id_from_file:
+        found = F.regexp_extract(F.input_file_name(), args.match_id_from_file, 1)
+        return F.when(found != "", found)
+    return F.lit(args.match_id) if args.match_id else None
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="touchline")
     sub = p.add_subparsers(dest="job", required=True)
@@ -120,11 +130,13 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--players", required=True)
     a.add_argument("--ball", required=True)
     a.add_argument("--quarantine")
-    f = sub.add_parser("features")
-    f.add_argument("--players", required=True)
-    f.add_argument("--ball", required=True)
-    f.add_argument("--player-features", required=True)
-    f.add_argument("--ball-features", required=True)
+    for name in ("features", "refresh"):
+        f = sub.add_parser(name)
+        f.add_argument("--players", required=True)
+        f.add_argument("--ball", required=True)
+        f.add_argument("--player-features", required=True)
+        f.add_argument("--ball-features", required=True)
+    f.add_argument("--matches", required=True, help="ids of the matches to rebuild, with commas between them")
     for name in ("stream", "live"):
         s = sub.add_parser(name)
         s.add_argument("--source", default="text", help="text, socket or kafka")
@@ -135,6 +147,8 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--max-files-per-trigger", type=int, default=64)
         s.add_argument("--sink", required=True)
         s.add_argument("--checkpoint", required=True)
+        s.add_argument("--match-id", help="the feed's match; without it the clock's UTC day")
+        s.add_argument("--match-id-from-file", help="regular expression whose first group names the match in the input file's path")
         s.add_argument("--available-now", action="store_true")
         if name == "stream":
             s.add_argument("--quarantine")
@@ -149,12 +163,16 @@ def main(argv: list[str] | None = None) -> None:
         print(ingest(spark, args.frames, args.metadata, args.players, args.ball, args.quarantine))
     elif args.job == "features":
         features(spark, args.players, args.ball, args.player_features, args.ball_features)
+    elif args.job == "refresh":
+        refresh_features(spark, args.matches.split(","), args.players, args.ball, args.player_features, args.ball_features)
     elif args.job == "stream":
-        for q in stream_ingest.start_ball_stream(_lines(spark, args), args.sink, args.checkpoint,
-                                                 args.quarantine, available_now=args.available_now):
+        # Unusable lines are always kept: without a folder of their own, next to the sink.
+        quarantine = args.quarantine or args.sink.rstrip("/") + "_rejects"
+        for q in stream_ingest.start_ball_stream(_lines(spark, args), args.sink, args.checkpoint, quarantine,
+                                                 available_now=args.available_now, match_id=_match_id(args)):
             q.awaitTermination()
     else:
-        good, _ = split_parsed(parse_ball_lines(_lines(spark, args)))
+        good, _ = split_parsed(parse_ball_lines(_lines(spark, args), match_id=_match_id(args)))
         meta = files.read_match_metadata(spark, args.metadata) if args.metadata else None
         out = live.live_event_stream(good, delay=args.delay, metadata=meta, late_rows=bool(args.late))
         writer = out.writeStream.outputMode("append").option("checkpointLocation", args.checkpoint)

@@ -63,17 +63,19 @@ def write_match_metadata(metadata: DataFrame, path: str) -> None:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = TABLE_FORMAT) -> DataFrame:
-    """A stored table. Without a schema, an inferred ``match_date`` partition
-    (Spark reads ``yyyy-MM-dd`` folder names as dates) is turned back into text."""
+    """A stored table. Without a schema the files' own is used, with ``match_date`` as text.
+
+    Spark infers a partition column's type from the folder names: ``0012`` would come back
+    as 12, and two kick-off times of a day as that day. So the table is read again with the
+    column declared as text, which takes the names as they are."""
     reader = spark.read.format(fmt)
     if schema is not None:
         return reader.schema(schema).load(path)
     df = reader.load(path)
-    kind = dict(df.dtypes).get("match_date", "string")
-    if kind != "string":  # folder names that all look like days, or like numbers
-        text = F.date_format("match_date", "yyyy-MM-dd") if kind in ("date", "timestamp") else F.col("match_date").cast("string")
-        df = df.withColumn("match_date", text)
-    return df
+    if dict(df.dtypes).get("match_date", "string") == "string":
+        return df
+    as_text = [T.StructField(f.name, T.StringType() if f.name == "match_date" else f.dataType) for f in df.schema.fields]
+    return spark.read.format(fmt).schema(T.StructType(as_text)).load(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

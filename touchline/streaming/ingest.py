@@ -67,15 +67,16 @@ def _split_writer(sink_path: str, quarantine_path: str, fmt: str):
 
 def start_ball_stream(lines: DataFrame, sink_path: str, checkpoint: str,
                       quarantine_path: str | None = None, fmt: str = "parquet",
-                      available_now: bool = False) -> list[StreamingQuery]:
+                      available_now: bool = False, match_id=None) -> list[StreamingQuery]:
     """Start the ingest query.
 
     Without a quarantine path: usable rows to a file sink partitioned by
     ``match_id`` (exactly-once through the sink's metadata log). With one: a
     single query whose ``foreachBatch`` writes usable and unusable rows of each
-    micro-batch, so the source is read once (see :func:`_split_writer`).
+    micro-batch, so the source is read once (see :func:`_split_writer`). ``match_id`` as in
+    :func:`touchline.streaming.lines.parse_ball_lines`.
     """
-    parsed = parse_ball_lines(lines)
+    parsed = parse_ball_lines(lines, match_id=match_id)
     if not quarantine_path:
         good, _ = split_parsed(parsed)
         return [_write(good, sink_path, checkpoint, fmt, available_now, partition_by="match_id")]
