@@ -453,6 +453,19 @@ def q_stream_ball_rows(spark, sf_dir):
     return files.read_table(spark, sink, schema).select(*STREAM_COLUMNS)
 
 
+@query("stream_ball_rows_once")
+def q_stream_ball_rows_once(spark, sf_dir):
+    """Every part of the feed is delivered twice, in different micro-batches: each row is
+    stored once."""
+    sink, ckpt = shared_dir(spark, "ball_rows_once"), shared_dir(spark, "ball_rows_once_ckpt")
+    lines = ingest.read_lines(spark, "text", growing_feed(spark, sf_dir, deliveries=2), FILES_PER_SLICE)
+    schema = lines_mod.parse_ball_lines(lines).schema
+    for q in ingest.start_ball_stream(lines, sink, ckpt, available_now=True, repeats_within="8 days"):
+        q.awaitTermination()
+    rows = files.read_table(spark, sink, schema).where(~marks.is_end_mark(F.col("ball_status")))
+    return rows.select(*STREAM_COLUMNS)
+
+
 @query("stream_live_events")
 def q_stream_live_events(spark, sf_dir):
     feed = feed_from_events(spark, sf_dir)
@@ -479,16 +492,18 @@ def q_stream_sampled_ball_state(spark, sf_dir):
 FEED_SLICES, FILES_PER_SLICE = 4, 4
 
 
-def growing_feed(spark: SparkSession, sf_dir: str, slices: int = FEED_SLICES) -> str:
+def growing_feed(spark: SparkSession, sf_dir: str, slices: int = FEED_SLICES, deliveries: int = 1) -> str:
     """The feed as it grows: slices in clock order, so that a stream that takes the files
-    of one slice at a time has several micro-batches; the end mark comes last."""
+    of one slice at a time has several micro-batches; the end mark comes last. With more
+    ``deliveries`` every slice is sent again in later files."""
     path = shared_dir(spark, "growing_feed")
     lines = adapter.stream_lines(tracking(spark, sf_dir))
     clock = F.split("value", ":")[0].try_cast("bigint")
     lo, hi = lines.agg(F.min(clock), F.max(clock)).first()
     for i in range(slices if lo is not None else 0):
         start, end = lo + (hi + 1 - lo) * i // slices, lo + (hi + 1 - lo) * (i + 1) // slices
-        lines.where((clock >= start) & (clock < end)).repartition(FILES_PER_SLICE).write.mode("append").text(path)
+        for _ in range(deliveries):
+            lines.where((clock >= start) & (clock < end)).repartition(FILES_PER_SLICE).write.mode("append").text(path)
     marks.end_mark_lines(spark.read.text(path)).write.mode("append").text(path)
     return path
 

@@ -152,6 +152,7 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--available-now", action="store_true")
         if name == "stream":
             s.add_argument("--quarantine")
+            s.add_argument("--repeats-within", help='store lines that are sent again once, e.g. "10 minutes"')
         else:
             s.add_argument("--delay")
             s.add_argument("--metadata", help="match metadata (XML): each match's own pitch size")
@@ -169,7 +170,8 @@ def main(argv: list[str] | None = None) -> None:
         # Unusable lines are always kept: without a folder of their own, next to the sink.
         quarantine = args.quarantine or args.sink.rstrip("/") + "_rejects"
         for q in stream_ingest.start_ball_stream(_lines(spark, args), args.sink, args.checkpoint, quarantine,
-                                                 available_now=args.available_now, match_id=_match_id(args)):
+                                                 available_now=args.available_now, match_id=_match_id(args),
+                                                 repeats_within=args.repeats_within):
             q.awaitTermination()
     else:
         good, _ = split_parsed(parse_ball_lines(_lines(spark, args), match_id=_match_id(args)))

@@ -391,6 +391,7 @@ FROM (
   FROM f WHERE in_box IS NOT NULL
 ) WHERE in_box GROUP BY match_id, island"""
 
+ORACLE["stream_ball_rows_once"] = ORACLE["stream_ball_rows"]
 ORACLE["stream_live_events_after_history"] = ORACLE["stream_live_events"]
 ORACLE["stream_live_events_by_slot"] = ORACLE["stream_live_events"]
 

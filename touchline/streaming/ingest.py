@@ -11,6 +11,7 @@ quarantine the source is read once per micro-batch (``foreachBatch``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.session import configure
@@ -65,18 +66,44 @@ def _split_writer(sink_path: str, quarantine_path: str, fmt: str):
     return write
 
 
+#: What makes two parsed lines the same delivery: the match, the clock, the frame and the ball's own text.
+DELIVERY_KEY = ["match_id", "wall_ms", "frame_idx", "ball_raw"]
+
+
+def without_repeats(rows: DataFrame, delay: str, key: list[str] | None = None) -> DataFrame:
+    """Usable streaming rows, each delivery once: a feed that is sent again (a reconnect, a
+    replayed file) adds nothing.
+
+    A row's key is kept until the watermark (newest clock less ``delay``) is ``delay`` past
+    its clock, so the state is bounded by the delay times the feed rate. A repeat that comes later
+    is behind the watermark and dropped as late, like any row that old; the query's
+    progress counts those (``numRowsDroppedByWatermark``). Rows need a clock
+    (:func:`touchline.streaming.lines.split_parsed`); end marks go on to later operators."""
+    timed = rows.withColumn("event_time", F.timestamp_millis("wall_ms")).withWatermark("event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(key or DELIVERY_KEY)
+
+
 def start_ball_stream(lines: DataFrame, sink_path: str, checkpoint: str,
                       quarantine_path: str | None = None, fmt: str = "parquet",
-                      available_now: bool = False, match_id=None) -> list[StreamingQuery]:
+                      available_now: bool = False, match_id=None, repeats_within: str | None = None) -> list[StreamingQuery]:
     """Start the ingest query.
 
     Without a quarantine path: usable rows to a file sink partitioned by
     ``match_id`` (exactly-once through the sink's metadata log). With one: a
     single query whose ``foreachBatch`` writes usable and unusable rows of each
     micro-batch, so the source is read once (see :func:`_split_writer`). ``match_id`` as in
-    :func:`touchline.streaming.lines.parse_ball_lines`.
+    :func:`touchline.streaming.lines.parse_ball_lines`. With ``repeats_within`` (a delay)
+    rows that are delivered again are stored once (:func:`without_repeats`); unusable lines
+    then go to the quarantine by a query of their own, since they have no clock.
     """
     parsed = parse_ball_lines(lines, match_id=match_id)
+    if repeats_within:
+        good, bad = split_parsed(parsed)
+        once = without_repeats(good, repeats_within).drop("event_time")
+        started = [_write(once, sink_path, checkpoint, fmt, available_now, partition_by="match_id")]
+        if quarantine_path:
+            started.append(_write(bad, quarantine_path, f"{checkpoint}_rejects", fmt, available_now))
+        return started
     if not quarantine_path:
         good, _ = split_parsed(parsed)
         return [_write(good, sink_path, checkpoint, fmt, available_now, partition_by="match_id")]
