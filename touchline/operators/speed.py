@@ -40,14 +40,9 @@ def _parity_slot(width: float) -> Column:
     return F.col("period").cast("bigint") * F.lit(10**12) + time_slot("game_clock", width)
 
 
-def _bucket_table(rows: DataFrame, seq_keys: list[str], bucket: Column, first_frame: str) -> DataFrame:
-    """Per (sequence, bucket): speed partials and the directional-speed maximum.
-
-    ``edge_speed_x`` is the speed of the bucket's first row against the last row of
-    the bucket before (a window per sequence over this one-row-per-bucket table);
-    with ``first_frame="zero"`` a sequence's very first row is compared with position 0
-    at time 0, as the reference's ``fillna(0.0)`` does.
-    """
+def bucket_partials(rows: DataFrame, seq_keys: list[str], bucket: Column) -> DataFrame:
+    """Per (sequence, bucket): speed sum, count and maximum, the directional-speed maximum
+    inside the bucket, and where its first and last row are."""
     rows = rows.withColumn(_B, bucket)
     w = Window.partitionBy(*seq_keys, _B).orderBy(*ORDER)
     rows = rows.withColumn(
@@ -55,7 +50,7 @@ def _bucket_table(rows: DataFrame, seq_keys: list[str], bucket: Column, first_fr
     )
     order_key = F.struct(*ORDER)
     pos = F.struct("x", "game_clock")
-    per_bucket = rows.groupBy(*seq_keys, _B).agg(
+    return rows.groupBy(*seq_keys, _B).agg(
         F.sum("speed").alias("speed_sum"),
         F.count("speed").alias("speed_n"),
         F.max("speed").alias("speed_max"),
@@ -67,6 +62,18 @@ def _bucket_table(rows: DataFrame, seq_keys: list[str], bucket: Column, first_fr
         F.col("head.x").alias("head_x"), F.col("head.game_clock").alias("head_t"),
         F.col("tail.x").alias("tail_x"), F.col("tail.game_clock").alias("tail_t"),
     )
+
+
+def _bucket_table(rows: DataFrame, seq_keys: list[str], bucket: Column, first_frame: str) -> DataFrame:
+    return with_edges(bucket_partials(rows, seq_keys, bucket), seq_keys, first_frame)
+
+
+def with_edges(per_bucket: DataFrame, seq_keys: list[str], first_frame: str = "skip") -> DataFrame:
+    """``edge_speed_x`` is the speed of the bucket's first row against the last row of
+    the bucket before (a window per sequence over this one-row-per-bucket table);
+    with ``first_frame="zero"`` a sequence's very first row is compared with position 0
+    at time 0, as the reference's ``fillna(0.0)`` does.
+    """
     per_bucket = with_previous(per_bucket, seq_keys, [_B], None, ["tail_x", "tail_t"])
     prev_x, prev_t = F.col("prev_tail_x"), F.col("prev_tail_t")
     if first_frame == "zero":
@@ -87,7 +94,11 @@ def player_features(tracking_df: DataFrame, slot_seconds: float = SLOT_SECONDS)
     buckets = _bucket_table(timed, PLAYER_KEYS + ["period"], time_slot("game_clock", slot_seconds), "skip")
     untimed = rows.where(F.col("game_clock").isNull()).groupBy(*PLAYER_KEYS).agg(
         F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_n"), F.max("speed").alias("speed_max"))
-    buckets = buckets.unionByName(untimed, allowMissingColumns=True)
+    return merge_buckets(buckets.unionByName(untimed, allowMissingColumns=True))
+
+
+def merge_buckets(buckets: DataFrame) -> DataFrame:
+    """The features of each player from buckets with edges (:func:`with_edges`)."""
     return buckets.groupBy(*PLAYER_KEYS).agg(
         F.round(F.try_divide(F.sum("speed_sum"), F.sum("speed_n")), 6).alias("player_avg_speed"),
         F.max("speed_max").alias("player_max_speed"),

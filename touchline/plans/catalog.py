@@ -383,6 +383,20 @@ def q_features_as_of(spark, sf_dir):
     return tables.features_as_of(_features_table(spark, path), AS_OF_CUTOFF)
 
 
+@query("features_after_late_rows")
+def q_features_after_late_rows(spark, sf_dir):
+    """Some rows of every match come after its features are stored: the partials of their
+    slots are worked out again and merged."""
+    players, parts, feats = (shared_dir(spark, n) for n in ("late_players", "partials", "late_features"))
+    rows = tracking(spark, sf_dir)
+    late = F.pmod("frame_idx", F.lit(17)) == 0
+    tables.write_partitioned(rows.where(~late), players)
+    jobs.merge_late_features(spark, rows.where(~late), players, parts, feats)
+    tables.write_partitioned(rows.where(late), players, mode="append")
+    jobs.merge_late_features(spark, rows.where(late), players, parts, feats)
+    return _features_table(spark, feats)
+
+
 @query("features_point_in_time")
 def q_features_point_in_time(spark, sf_dir):
     """Every tracking row asks for its player's features before its own match day."""

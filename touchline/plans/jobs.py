@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.geometry import in_penalty_area
-from touchline.operators import ball, frames, speed, tables
+from touchline import schemas
+from touchline.operators import ball, frames, partials, speed, tables
 from touchline.operators.joins import join_lookup
 from touchline.session import build_session, configure, shared_dir
 from touchline.sources import files
@@ -98,6 +99,28 @@ def refresh_features(spark: SparkSession, matches: list[str], players_path: str,
     tables.write_partitioned(_box_features(files.read_table(spark, ball_path).where(wanted)), ball_features_path)
 
 
+def merge_late_features(spark: SparkSession, late: DataFrame, players_path: str, partials_path: str,
+                        player_features_path: str) -> None:
+    """Bring partials and features up to date after the rows ``late`` were stored in the
+    player table: the slots that they fall in are worked out again, the features of their
+    players are merged from the partials. Also builds both tables, where they do not exist,
+    from the matches of ``late``. A re-run changes nothing."""
+    configure(spark)
+    if not files.path_exists(spark, partials_path):
+        known = files.read_table(spark, players_path).join(late.select("match_date").distinct(), ["match_date"], "left_semi")
+        tables.write_partitioned(partials.slot_partials(known), partials_path)
+        changed = late.select(*FEATURE_KEYS).distinct()
+    else:
+        slots = partials.touched_slots(late)
+        stored = files.read_table(spark, players_path)
+        rows = tables.null_safe_join(partials.with_slot(tables.touched_partitions(stored, late)), slots, partials.SLOT_KEYS, "left_semi")
+        tables.upsert_by_key(spark, partials.slot_partials(rows.drop("slot")), partials_path, partials.SLOT_KEYS, schema=partials.SCHEMA)
+        changed = slots.select(*FEATURE_KEYS).distinct()
+    held = tables.touched_partitions(files.read_table(spark, partials_path, partials.SCHEMA), late)
+    merged = partials.features(tables.null_safe_join(held, changed, FEATURE_KEYS, "left_semi"))
+    tables.upsert_by_key(spark, merged, player_features_path, FEATURE_KEYS, schema=schemas.PLAYER_FEATURES)
+
+
 def _box_features(ball_rows: DataFrame) -> DataFrame:
     return ball.box_minutes(ball_rows.where(F.col("ball_inside_box")), ["match_date"])
 

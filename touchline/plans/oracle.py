@@ -379,6 +379,7 @@ SAMPLED_EVENTS = EVENTS.replace("FROM f\n", "FROM s\n", 1)
 ORACLE["sampled_live_events"] = _with(TRACKING, BALL, SAMPLED, SAMPLED_EVENTS) + "SELECT * FROM ev"
 ORACLE["stream_sampled_live_events"] = _with(TRACKING, FEED_ROWS, FLAGS, SAMPLED, SAMPLED_EVENTS) + "SELECT * FROM ev"
 
+ORACLE["features_after_late_rows"] = ORACLE["player_performance"]
 ORACLE["features_point_in_time"] = _with(TRACKING, SPEED_ROWS, PERFORMANCE) + """SELECT t.frame_idx, t.side, t.player_id, t.match_date,
        p.match_date AS feature_date, p.player_avg_speed, p.player_max_speed, p.maximum_speed_x
 FROM t ASOF LEFT JOIN perf p ON t.side = p.side AND t.player_id = p.player_id AND t.match_date > p.match_date"""
