@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.functions.clock import display_time, match_date
-from touchline.operators import asof, ball, events, frames, ranking, speed, tables, visits
+from touchline.operators import asof, ball, drift, events, frames, ranking, speed, tables, visits
 from touchline.plans import jobs
 from touchline.session import checkpoint_base, configure, shared_dir
 from touchline.sources import adapter, files
@@ -251,6 +251,14 @@ def q_frame_quality_report(spark, sf_dir):
     return frames.frame_quality_report(fr)
 
 
+@query("schema_drift_report")
+def q_schema_drift_report(spark, sf_dir):
+    """What differs from the contract in the frames of a feed that changed."""
+    path = shared_dir(spark, "drifted_frames")
+    adapter.drifted_lines(adapter.nested_frames(tracking(spark, sf_dir))).write.text(path)
+    return drift.drift_report(spark.read.text(path))
+
+
 @query("ingest_accounting")
 def q_ingest_accounting(spark, sf_dir):
     """Two matches a day, extra time and bad rows through the ingest job, run twice: what

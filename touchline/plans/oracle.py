@@ -379,6 +379,16 @@ SAMPLED_EVENTS = EVENTS.replace("FROM f\n", "FROM s\n", 1)
 ORACLE["sampled_live_events"] = _with(TRACKING, BALL, SAMPLED, SAMPLED_EVENTS) + "SELECT * FROM ev"
 ORACLE["stream_sampled_live_events"] = _with(TRACKING, FEED_ROWS, FLAGS, SAMPLED, SAMPLED_EVENTS) + "SELECT * FROM ev"
 
+# Whole lines of the changed feed, and what its rules make differ from the contract.
+ORACLE["schema_drift_report"] = _with(TRACKING, FRAMES) + """, w AS (SELECT * FROM fk WHERE frame_no % 13 <> 0)
+SELECT * FROM (
+  SELECT match_date AS match_id, '$.weather' AS path, 'unknown' AS problem, 'STRING' AS found, count(*) AS n FROM w WHERE frame_no % 5 = 0 GROUP BY match_date
+  UNION ALL SELECT match_date, '$.gameClock', 'retyped', 'STRING', count(*) FROM w WHERE frame_no % 7 = 0 GROUP BY match_date
+  UNION ALL SELECT match_date, '$.lastTouch', 'missing', NULL, count(*) FROM w WHERE frame_no % 3 = 0 GROUP BY match_date
+  UNION ALL SELECT match_date, '$.homePlayers[].speed', 'missing', NULL, sum(n_home)::BIGINT FROM w WHERE frame_no % 4 = 0 GROUP BY match_date
+  UNION ALL SELECT NULL, '$', 'unparsable', NULL, count(*) FROM fk WHERE frame_no % 13 = 0
+) WHERE n > 0"""
+
 ORACLE["features_after_late_rows"] = ORACLE["player_performance"]
 ORACLE["features_point_in_time"] = _with(TRACKING, SPEED_ROWS, PERFORMANCE) + """SELECT t.frame_idx, t.side, t.player_id, t.match_date,
        p.match_date AS feature_date, p.player_avg_speed, p.player_max_speed, p.maximum_speed_x

@@ -182,6 +182,20 @@ def with_faults(nested: DataFrame) -> DataFrame:
     )
 
 
+def drifted_lines(nested: DataFrame) -> DataFrame:
+    """Frames as JSON lines (``value``) of a feed that changed, by frame number: no last touch
+    (every 3rd), home players without a speed (4th), a new field (5th), the game clock as
+    text (7th), a line cut off (13th)."""
+    no = F.col("frameIdx")
+    slow = F.transform("homePlayers", lambda p: p.withField("speed", F.lit(None).cast("double")))
+    record = F.to_json(F.struct(*[
+        F.when(no % 3 != 0, F.col(c)).alias(c) if c == "lastTouch" else F.when(no % 4 == 0, slow).otherwise(F.col(c)).alias(c) if c == "homePlayers" else F.col(c)
+        for c in nested.columns]))
+    record = F.when(no % 5 == 0, F.regexp_replace(record, "^[{]", '{"weather":"rain",')).otherwise(record)
+    record = F.when(no % 7 == 0, F.regexp_replace(record, '"gameClock":([0-9.E+-]+)', '"gameClock":"$1"')).otherwise(record)
+    return nested.select(F.when(no % 13 == 0, F.substring(record, 1, 20)).otherwise(record).alias("value"))
+
+
 def broken_lines(nested: DataFrame) -> DataFrame:
     """Unreadable input lines (every 40th frame sends one): JSON cut in its middle."""
     cut = F.concat(F.lit('{"period": 1, "frameIdx": '), F.col("frameIdx").cast("string"), F.lit(', "gameClock": "oops'))
