@@ -183,6 +183,20 @@ def test_like_documents_have_near_places(spark):
     assert np.mean([a == b for a, b in zip(topic, topic[1:])]) > 0.9
 
 
+def test_partitions_are_even_ranges_of_the_order(spark, monkeypatch):
+    """A third of the documents are one text; bounds from the fitting sample, and from one of their own."""
+    rng = np.random.default_rng(6)
+    ids = [np.full(20, 7, dtype="<u2") if i % 3 == 0 else rng.integers(0, 3000, 60).astype("<u2") for i in range(900)]
+    tok = spark.createDataFrame([(i, len(x), bytearray(x.tobytes()), i) for i, x in enumerate(ids)], "doc_id long, n_tokens long, ids binary, row long")
+    df, n, mean = packing_bm25.document_frequencies(tok)
+    for sample in (16384, 200):
+        monkeypatch.setattr(packing_bm25, "SAMPLE_ROWS", sample)
+        rows = packing_bm25.placed(tok, n, np.log1p((n - df + 0.5) / (df + 0.5)), mean, 8).orderBy("p1", "p2", "p3", "row").collect()
+        parts = [r["part"] for r in rows]
+        assert parts == sorted(parts) and set(parts) == set(range(packing_bm25.n_parts(n, 8)))
+        assert max(np.bincount(parts)) <= 3 * 900 / packing_bm25.n_parts(n, 8)
+
+
 def test_near_copies_share_a_window(spark):
     """One differing rare word does not part two documents, however many lie between them."""
     got = packing_bm25.pack_bm25(frame(spark, neighbour_setup(n=600)), shard_docs=16).collect()

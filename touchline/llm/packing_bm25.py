@@ -25,6 +25,7 @@ of their own. An empty table gives no pieces. Extra columns are not read.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -43,6 +44,8 @@ WINDOW = 2048
 SHARD_DOCS = 1024
 #: Numbers of a sketch, rows that the centroids are fitted on, centroids of a level at most.
 SKETCH, SAMPLE_ROWS, MAX_CENTROIDS = 64, 16384, 64
+#: Sampled rows per partition that its bounds are read from, and in all at most.
+BOUND_ROWS, MAX_BOUND_ROWS = 64, 1_000_000
 #: Clusters of two levels that a shard holds on average.
 CLUSTERS_PER_SHARD = 8
 #: Shards that a task orders at a time, and those of a partition at least, but for the last.
@@ -154,32 +157,63 @@ class Places:
         return first, second, signs
 
 
+def n_parts(n_docs: int, shard_docs: int) -> int:
+    """Grows with the corpus, so that a partition's share does not."""
+    return n_docs // (PARTITION_SHARDS * shard_docs) + 1
+
+
+def bounds(keys: list[tuple], parts: int) -> list[tuple]:
+    """Where partitions 1, 2, ... begin, so that a sample of keys is dealt evenly."""
+    keys = sorted(keys)
+    return [keys[len(keys) * i // parts] for i in range(1, parts)] if keys else []
+
+
 def placed(tok: DataFrame, n_docs: int, idf: np.ndarray, mean: float, shard_docs: int) -> DataFrame:
-    """``tok`` with the columns ``p1, p2, p3``: sorted by them, like documents are near each other."""
+    """``tok`` with the columns ``p1, p2, p3``: sorted by them and ``row``, like documents are
+    near each other. ``part`` numbers ``n_parts`` ranges of that order, of like size by the
+    sample: the ranges are named here, since a range partition would sketch every document
+    a second time only to sample them."""
     spark = tok.sparkSession
     shared = spark.sparkContext.broadcast(idf)  # fixed size: one entry per id
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             s = sketches(b.column(0).to_pylist(), shared.value, mean)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in s], pa.binary())], names=["s"])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in s], pa.binary()), b.column(1)], names=["s", "row"])
+
+    def some(rows: int) -> DataFrame:
+        # By a threshold on a hash: each task keeps its share, and no more than a little over ``rows`` come.
+        share = int(min(1.0, rows / max(n_docs, 1)) * (1 << 30)) + 1
+        return tok.filter(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < share).select("ids", "row")
 
-    # Rows by a threshold on a hash: each task keeps its share, and no more than a little over SAMPLE_ROWS come.
-    share = min(1.0, SAMPLE_ROWS / max(n_docs, 1))
-    taken = tok.filter(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("ids")
-    sample = [np.frombuffer(r["s"], "<f4") for r in taken.mapInArrow(sampled, "s binary").collect()]
-    places = Places(np.stack(sample) if sample else np.zeros((1, SKETCH), "<f4"), CLUSTERS_PER_SHARD * n_docs // shard_docs + 1)
+    taken = some(SAMPLE_ROWS).mapInArrow(sampled, "s binary, row long").collect()
+    sample = np.stack([np.frombuffer(r["s"], "<f4") for r in taken]) if taken else np.zeros((1, SKETCH), "<f4")
+    places = Places(sample, CLUSTERS_PER_SHARD * n_docs // shard_docs + 1)
     model = spark.sparkContext.broadcast(places)  # at most MAX_CENTROIDS squared sketches
+    parts = n_parts(n_docs, shard_docs)
+    if parts * BOUND_ROWS <= SAMPLE_ROWS:
+        known = list(zip(*[p.tolist() for p in places.of(sample)], [r["row"] for r in taken]))
+    else:
+        def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in small(batches):
+                at = model.value.of(sketches(b.column(0).to_pylist(), shared.value, mean))
+                yield pa.RecordBatch.from_arrays([*[pa.array(p, pa.int64()) for p in at], b.column(1)], names=["p1", "p2", "p3", "row"])
+
+        more = some(min(MAX_BOUND_ROWS, parts * BOUND_ROWS)).mapInArrow(located, "p1 long, p2 long, p3 long, row long")
+        known = [tuple(r) for r in more.collect()]
+    begins = spark.sparkContext.broadcast(bounds(known, parts))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             s = sketches(b.column(2).to_pylist(), shared.value, mean)
             short = pa.array([x.tobytes() for x in s.astype(np.float16)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns, short, *[pa.array(p, pa.int64()) for p in model.value.of(s)]],
-                                             names=["doc_id", "n_tokens", "ids", "row", "sketch", "p1", "p2", "p3"])
+            at = model.value.of(s)
+            part = [bisect_right(begins.value, key) for key in zip(*[p.tolist() for p in at], b.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns, short, *[pa.array(p, pa.int64()) for p in at], pa.array(part, pa.int32())],
+                                             names=["doc_id", "n_tokens", "ids", "row", "sketch", "p1", "p2", "p3", "part"])
 
     return tok.select("doc_id", "n_tokens", "ids", "row").mapInArrow(
-        place, TOKEN_COLUMNS + ", row long, sketch binary, p1 long, p2 long, p3 long")
+        place, TOKEN_COLUMNS + ", row long, sketch binary, p1 long, p2 long, p3 long, part int")
 
 
 def chain(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -380,7 +414,5 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
         if waiting:
             yield emit(powers_of_two(waiting))
 
-    parts = n_docs // (PARTITION_SHARDS * shard_docs) + 1  # grows with the corpus, so that a task's share does not
-    keys = ["p1", "p2", "p3", "row"]
-    ranged = placed(tok, n_docs, idf, mean, shard_docs).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    return ranged.mapInArrow(run, SCHEMA)
+    ranged = placed(tok, n_docs, idf, mean, shard_docs).repartitionById(n_parts(n_docs, shard_docs), "part")
+    return ranged.sortWithinPartitions("p1", "p2", "p3", "row").mapInArrow(run, SCHEMA)
