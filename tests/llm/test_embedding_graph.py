@@ -78,14 +78,44 @@ def test_search_against_all_rows():
     x = rng.normal(size=(600, 24))
     x[:200] = x[0] + rng.normal(size=(200, 24)) * 0.1
     x /= np.linalg.norm(x, axis=1)[:, None]
-    near = eg.build_graph(x)
-    width = max(len(a) for a in near)
-    adj = np.array([a.tolist() + [-1] * (width - len(a)) for a in near])
-    hit = eg.range_search(x, adj, int((x @ x.mean(axis=0)).argmax()), x, 0.9)
+    part = eg.Part(x, eg.build_graph(x), 0.9)
+    hit = part.search(x)
     true = x @ x.T >= 0.9
     assert not (hit & ~true).any() and hit.sum() >= 0.99 * true.sum()
 
 
+def test_the_graph_is_walked():
+    """Vectors without near ones: few entry points, a part of the rows compared, each query
+    still reaches its own row from the medoids."""
+    x = np.random.default_rng(3).normal(size=(2000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    part = eg.Part(x, eg.build_graph(x), 0.95)
+    assert len(part.leaders) == 2000 and len(part.start) <= 45 and part.adjacency.shape[1] <= eg.WIDTH
+    hit = np.concatenate([part.search(x[s:s + 250]) for s in range(0, 2000, 250)])
+    assert np.diag(hit).mean() >= 0.99 and hit.sum() <= 2000
+    assert part.met <= 0.4 * 2000 * 2000
+
+
+def test_balls_hold_only_linked_rows():
+    """Rows of a ball all link; a crowd of near copies is one node."""
+    x = crowds(6, 50, spread=0.01)
+    leaders, owner, radius = eg.balls(x, 0.95)
+    for k in range(len(leaders)):
+        rows = np.flatnonzero(owner == k)
+        assert (x[rows] @ x[rows].T >= 0.95 - 1e-12).all()
+        assert np.arccos(np.clip(x[rows] @ x[leaders[k]], -1, 1)).max() <= radius[k] + 1e-9
+    assert (owner >= 0).all() and len(leaders) == 6
+
+
+def test_pairs_at_the_threshold_are_compared():
+    """Angles just inside and outside the range of a ball are decided by the cosine itself."""
+    theta = np.arccos(0.95)
+    turns = np.array([0, theta - 1e-9, theta + 1e-9, theta / 2, theta / 2 + 1e-9, 2 * theta])
+    x = np.stack([np.cos(turns), np.sin(turns)], axis=1)
+    part = eg.Part(x, eg.build_graph(x), 0.95)
+    assert (part.search(x, np.arange(len(x))) == (x @ x.T >= 0.95)).all()
+
+
 def crowds(groups, size, seed=7, dim=32, spread=0.02):
     rng = np.random.default_rng(seed)
     x = np.concatenate([rng.normal(size=dim) / np.sqrt(dim) + rng.normal(size=(size, dim)) * spread for _ in range(groups)])
@@ -94,14 +124,9 @@ def crowds(groups, size, seed=7, dim=32, spread=0.02):
 
 def test_groups_larger_than_pool_and_beam():
     """Many groups that fill the candidate pool and the beam; none may be lost."""
-    for groups, size in ((5, 200), (12, 80)):
+    for groups, size in ((5, 200), (12, 80), (1, 900), (300, 3)):
         x = crowds(groups, size)
-        near = eg.build_graph(x)
-        width = max(len(a) for a in near)
-        adj = np.array([a.tolist() + [-1] * (width - len(a)) for a in near])
-        cover = eg.entry_points(x)
-        assert ((x @ x[cover[0]].T).max(axis=1) >= eg.COVER - 1e-12).all()
-        hit = eg.range_search(x, adj, cover[0], x, 0.95, cover=cover)
+        hit = eg.Part(x, eg.build_graph(x), 0.95).search(x)
         true = x @ x.T >= 0.95
         assert (hit == true).all()
 
@@ -150,5 +175,11 @@ def test_cells_of_a_hot_shard_are_bounded(spark):
     assert len(met) == 400 * 400  # every query meets every member
 
 
+def test_hash_sample_is_near_its_size(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "rep")
+    assert 800 < eg.hash_sample(rows, 1000).count() < 1200
+    assert eg.hash_sample(rows, 20_000).count() == 20_000
+
+
 def test_empty_table(spark):
     assert eg.embedding_links(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -5,13 +5,13 @@
    ``overlap`` nearest ones. A shard beyond ``SHARD_CAP`` members is dealt into parts;
    each part has a graph of its own and answers all of the shard's members, block by block.
 3. A part's graph: nearest candidates, robust-pruned (a candidate is dropped if a chosen
-   neighbour is nearer to it by the factor alpha), with reverse edges. The adjacency
-   lists that a vector gets in its shards are united.
-4. Every vector searches the parts of its shards: a greedy beam search from entry points
-   that cover the part, then range expansion, which follows the neighbours of every vector
-   in range until none is new. What the search has not met is compared unless its entry
-   point's distance rules it out (triangle inequality of angles), so a part's answer is
-   whole. Cosines are computed in double, so no link is below the threshold.
+   neighbour is nearer to it by the factor alpha), some long edges, with reverse edges. The
+   adjacency lists that a vector gets in its shards are united.
+4. Every vector searches the parts of its shards: a greedy beam search from medoids (the
+   square root of the part, farthest-first), then range expansion, which follows the
+   neighbours of everything in range until none is new. Near copies (within half the range
+   of a leader) are one node of the walk; where the leader's angle leaves it open, their
+   cosines are computed in double, so no link is below the threshold.
 5. A pair that meets in several shards counts in the first they share. Links are counted
    and joined into stars inside the part; pairs are never sent anywhere.
 6. Recall is audited: bounded sample queries against all vectors by brute force, in
@@ -46,10 +46,11 @@ MAX_SHARDS = 8192
 SHARD_SIZE, SHARD_CAP = 1024, 4096
 OVERLAP = 2
 DEGREE, CANDIDATES, ALPHA = 24, 48, 1.2
-BEAM = 32
+#: Random long edges of a row, and the longest list of neighbours.
+FAR, WIDTH = 4, 48
+#: Nodes the greedy search keeps, and those it opens at a time.
+BEAM, OPEN = 16, 4
 BLOCK = 256
-#: Cosine within which each row of a part has an entry point of the search.
-COVER = 0.8
 #: Audit queries and the recall below which the index is built anew.
 AUDIT_QUERIES, MIN_RECALL = 4096, 0.98
 #: The widest overlap that is tried before the exact search.
@@ -99,13 +100,49 @@ def fit_centroids(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.n
     return c
 
 
+def robust_prune(x: np.ndarray, rows: np.ndarray, cand: np.ndarray, own: np.ndarray, degree: int, alpha: float) -> list[list[int]]:
+    """Of each row's candidates (nearest first, with their cosines ``own``) at most ``degree``: the
+    nearest that is left is taken, and what is nearer to it by the factor alpha is dropped."""
+    out = [[] for _ in rows]
+    dist = np.sqrt(np.maximum(2 - 2 * own, 0))
+    alive = np.ones(cand.shape, dtype=bool)
+    vecs = x[cand]
+    at = np.arange(len(rows))
+    for _ in range(min(degree, cand.shape[1])):
+        has = alive.any(axis=1)
+        if not has.any():
+            break
+        pick = alive.argmax(axis=1)
+        alive[at, pick] = False
+        chosen = cand[at, pick]
+        for r in np.flatnonzero(has).tolist():
+            out[r].append(int(chosen[r]))
+        between = np.sqrt(np.maximum(2 - 2 * np.matmul(vecs, x[chosen][:, :, None])[:, :, 0], 0))
+        alive &= alpha * between > dist
+    return out
+
+
+def narrow(x: np.ndarray, i: int, cand: np.ndarray, width: int = WIDTH, alpha: float = ALPHA) -> np.ndarray:
+    """A list within ``width``: half of it robust-pruned, half an even choice by distance of the
+    rest, which keeps the long edges."""
+    if len(cand) <= width:
+        return cand
+    sim = x[cand] @ x[i]
+    order = np.argsort(-sim, kind="stable")
+    cand, sim = cand[order], sim[order]
+    kept = robust_prune(x, np.array([i]), cand[None], sim[None], width // 2, alpha)[0]
+    rest = cand[~np.isin(cand, kept)]
+    return np.concatenate([kept, rest[np.linspace(0, len(rest) - 1, width - len(kept)).astype(int)]])
+
+
 def build_graph(x: np.ndarray, degree: int = DEGREE, pool: int = CANDIDATES, alpha: float = ALPHA) -> list[np.ndarray]:
-    """Robust-pruned neighbours of each row, reverse edges included."""
+    """Neighbours of each row: robust-pruned of its nearest, ``FAR`` seeded random rows (long
+    edges, so that no group of near copies is cut off), and the reverse of both."""
     n = len(x)
     if n == 1:
         return [np.empty(0, dtype=np.int64)]
     pool = min(pool, n - 1)
-    out = [[] for _ in range(n)]
+    out = []
     for s in range(0, n, BLOCK):
         rows = np.arange(s, min(s + BLOCK, n))
         sim = x[rows] @ x.T
@@ -113,119 +150,167 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, pool: int = CANDIDATES, alp
         cand = np.argpartition(-sim, pool - 1, axis=1)[:, :pool]
         own = np.take_along_axis(sim, cand, axis=1)
         order = np.argsort(-own, axis=1, kind="stable")
-        cand, own = np.take_along_axis(cand, order, axis=1), np.take_along_axis(own, order, axis=1)
-        dist = np.sqrt(np.maximum(2 - 2 * own, 0))
-        alive = np.ones(cand.shape, dtype=bool)
-        vecs = x[cand]
-        at = np.arange(len(rows))
-        for _ in range(min(degree, pool)):
-            has = alive.any(axis=1)
-            if not has.any():
-                break
-            pick = alive.argmax(axis=1)  # the nearest that is left
-            alive[at, pick] = False
-            chosen = cand[at, pick]
-            for r in np.flatnonzero(has).tolist():
-                out[r + s].append(int(chosen[r]))
-            between = np.sqrt(np.maximum(2 - 2 * np.einsum("bld,bd->bl", vecs, x[chosen]), 0))
-            alive &= alpha * between > dist
+        out += robust_prune(x, rows, np.take_along_axis(cand, order, axis=1), np.take_along_axis(own, order, axis=1), degree, alpha)
+    for i, row in enumerate(np.random.default_rng(11).integers(0, n, (n, FAR)).tolist()):
+        out[i] += [j for j in row if j != i]
     back = [[] for _ in range(n)]
     for i, row in enumerate(out):
         for j in row:
             back[j].append(i)
-    return [np.unique(np.array(a + b, dtype=np.int64)) for a, b in zip(out, back)]
-
-
-def entry_points(x: np.ndarray, cover: float = COVER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows that cover all others (cosine ``cover`` or more to one of them), the place of each
-    row's entry point in them, and the widest angle to a row of each."""
-    first = int((x @ x.mean(axis=0)).argmax())  # the medoid
-    starts, owner, sim = [first], np.zeros(len(x), dtype=np.int64), x @ x[first]
-    sim[first] = np.inf
-    while True:
-        far = int(sim.argmin())
-        if sim[far] >= cover:
-            break
-        new = x @ x[far]
-        new[far] = np.inf
-        nearer = new > sim
-        owner[nearer], sim[nearer] = len(starts), new[nearer]
-        starts.append(far)
-    angle = np.arccos(np.clip(sim, -1, 1))
-    radius = np.zeros(len(starts))
-    np.maximum.at(radius, owner, angle)
-    return np.array(starts), owner, radius
-
-
-def range_search(x: np.ndarray, adjacency: np.ndarray, start, q: np.ndarray, threshold: float, beam: int = BEAM,
-                 cover: tuple | None = None) -> np.ndarray:
-    """Boolean (queries, rows): rows found within range. ``adjacency`` is padded with -1,
-    ``start`` is one row or several; with ``cover`` (see :func:`entry_points`) rows that the
-    search has not met are compared too, unless their entry point's distance rules them out."""
-    n, m = len(x), len(q)
-    seen = np.zeros((m, n + 1), dtype=bool)
-    seen[:, n] = True  # the pad
-    hit = np.zeros((m, n), dtype=bool)
-    adjacency = np.where(adjacency < 0, n, adjacency)
-    ids = np.full((m, beam), n)
-    sims = np.full((m, beam), -np.inf)
-    opened = np.ones((m, beam), dtype=bool)
-    start = np.atleast_1d(start)
-    first = q @ x[start].T
-    seen[:, start] = True
-    hit[:, start] = first >= threshold
-    k = min(beam, len(start))
-    top = np.argpartition(-first, k - 1, axis=1)[:, :k]
-    ids[:, :k], sims[:, :k], opened[:, :k] = start[top], np.take_along_axis(first, top, 1), False
-    padded = np.vstack([x, np.zeros((1, x.shape[1]))])
-    active = np.arange(m)
-    while len(active):
-        waiting = np.where(opened[active], -np.inf, sims[active])
-        best = waiting.argmax(axis=1)
-        go = waiting[np.arange(len(active)), best] > -np.inf
-        active, best = active[go], best[go]
-        if not len(active):
-            break
-        opened[active, best] = True
-        near = adjacency[ids[active, best]]
-        fresh = ~seen[active[:, None], near]
-        seen[active[:, None], near] = True
-        s = np.einsum("bdk,bk->bd", padded[near], q[active])
-        s[~fresh] = -np.inf
-        r, c = np.nonzero(s >= threshold)
-        hit[active[r], near[r, c]] = True
-        all_ids = np.concatenate([ids[active], near], axis=1)
-        all_sims = np.concatenate([sims[active], s], axis=1)
-        all_open = np.concatenate([opened[active], ~fresh], axis=1)
-        top = np.argpartition(-all_sims, beam - 1, axis=1)[:, :beam]
-        ids[active], sims[active] = np.take_along_axis(all_ids, top, 1), np.take_along_axis(all_sims, top, 1)
-        opened[active] = np.take_along_axis(all_open, top, 1) | ~np.isfinite(sims[active])
-    # Range expansion: the neighbours of all that is in range, until nothing is new.
-    done = np.zeros_like(hit)
-    while True:
-        r, c = np.nonzero(hit & ~done)
-        if not len(r):
-            break
-        done[r, c] = True
-        for s in range(0, len(r), 4096):
-            qs = np.repeat(r[s:s + 4096], adjacency.shape[1])
-            ns = adjacency[c[s:s + 4096]].ravel()
-            new = ~seen[qs, ns]
-            pair = np.unique(qs[new] * (n + 1) + ns[new])
-            qs, ns = pair // (n + 1), pair % (n + 1)
-            seen[qs, ns] = True
-            for t in range(0, len(qs), 65536):
-                a, b = qs[t:t + 65536], ns[t:t + 65536]
-                inside = np.einsum("ij,ij->i", q[a], padded[b]) >= threshold
-                hit[a[inside], b[inside]] = True
-    if cover is not None:
-        _, owner, radius = cover
-        reach = np.arccos(np.clip(first, -1, 1)) <= np.arccos(threshold) + radius + 1e-6
-        left = reach[:, owner] & ~seen[:, :n]
-        for t in np.flatnonzero(left.any(axis=1)).tolist():
-            c = np.flatnonzero(left[t])
-            hit[t, c[x[c] @ q[t] >= threshold]] = True
-    return hit
+    return [narrow(x, i, np.unique(np.array(a + b, dtype=np.int64))) for i, (a, b) in enumerate(zip(out, back))]
+
+
+def balls(x: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Leaders such that every row is within half the range of one: (leaders, the place of each
+    row's leader in them, widest angle of each). Rows of one ball all link with each other."""
+    half = np.cos(np.arccos(threshold) / 2)
+    leaders, owner, sim_of = [], np.full(len(x), -1), np.ones(len(x))
+    for s in range(0, len(x), BLOCK):
+        rows = np.arange(s, min(s + BLOCK, len(x)))
+        if leaders:
+            sim = x[rows] @ x[leaders].T
+            best = sim.argmax(axis=1)
+            top = sim[np.arange(len(rows)), best]
+            owner[rows] = np.where(top >= half, best, -1)
+            sim_of[rows] = np.where(top >= half, top, 1)
+        left = rows[owner[rows] < 0]
+        between = x[left] @ x[left].T
+        for k, i in enumerate(left.tolist()):
+            if owner[i] >= 0:
+                continue
+            mine = (between[k] >= half) & (owner[left] < 0)
+            mine[k] = True
+            owner[left[mine]], sim_of[left[mine]] = len(leaders), between[k, mine]
+            sim_of[i] = 1
+            leaders.append(i)
+    radius = np.zeros(len(leaders))
+    np.maximum.at(radius, owner, np.arccos(np.clip(sim_of, -1, 1)))
+    return np.array(leaders), owner, radius
+
+
+def medoids(x: np.ndarray) -> np.ndarray:
+    """Entry points of the search: the medoid and farthest-first rows, the square root of all."""
+    starts = [int((x @ x.mean(axis=0)).argmax())]
+    sim = x @ x[starts[0]]
+    for _ in range(int(np.sqrt(len(x))) - 1):
+        starts.append(int(sim.argmin()))
+        sim = np.maximum(sim, x @ x[starts[-1]])
+    return np.unique(starts)
+
+
+class Part:
+    """The graph of one part, its balls as nodes: near copies are walked once, as one node."""
+
+    def __init__(self, x: np.ndarray, near: list, threshold: float):
+        self.x, self.threshold, self.range = x, threshold, np.arccos(threshold)
+        self.leaders, self.owner, self.radius = balls(x, threshold)
+        self.y = x[self.leaders]
+        n = len(self.leaders)
+        lists = [set() for _ in range(n)]
+        for i, row in enumerate(near):
+            lists[self.owner[i]].update(self.owner[np.asarray(row, dtype=np.int64)].tolist())
+        lists = [narrow(self.y, i, np.array(sorted(a - {i}), dtype=np.int64)) for i, a in enumerate(lists)]
+        self.adjacency = np.full((n, max(1, max(len(a) for a in lists))), n)
+        for i, a in enumerate(lists):
+            self.adjacency[i, :len(a)] = a
+        self.start = medoids(self.y)
+        self.padded = np.vstack([self.y, np.zeros((1, x.shape[1]))]).astype(np.float32)
+        # A ball is in range if one of its rows can be; the margin covers float32.
+        self.bar = np.append(np.cos(np.minimum(self.range + self.radius, np.pi)) - 1e-5, np.inf).astype(np.float32)
+        self.met = 0  # nodes compared with queries so far
+
+    def _meet(self, claim: np.ndarray, rows: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Which of ``near`` (a list per row) are new to their query, each once."""
+        col = np.broadcast_to(np.arange(near.shape[1], dtype=np.int32), near.shape)
+        at = np.broadcast_to(rows[:, None], near.shape)
+        new = claim[at, near] < 0
+        claim[at[new], near[new]] = col[new]
+        return new & (claim[at, near] == col)
+
+    def walk(self, q: np.ndarray, own: np.ndarray | None = None, beam: int = BEAM) -> np.ndarray:
+        """Boolean (queries, balls): balls in range. A greedy beam search from the medoids, then
+        range expansion until none is new. ``own`` is the ball of a query that lies in this
+        part (else -1), which is in range by itself."""
+        n, m = len(self.leaders), len(q)
+        q32 = q.astype(np.float32)
+        claim = np.full((m, n + 1), -1, dtype=np.int32)  # -1: not met yet
+        claim[:, n] = 0
+        claim[:, self.start] = 0
+        first = q32 @ self.padded[self.start].T
+        hit = np.zeros((m, n), dtype=bool)
+        hit[:, self.start] = first >= self.bar[self.start]
+        ids, sims, opened = np.full((m, beam), n), np.full((m, beam), -np.inf, np.float32), np.ones((m, beam), dtype=bool)
+        k = min(beam, len(self.start))
+        top = np.argpartition(-first, k - 1, axis=1)[:, :k]
+        ids[:, :k], sims[:, :k], opened[:, :k] = self.start[top], np.take_along_axis(first, top, 1), False
+        active = np.arange(m)
+        while len(active):
+            waiting = np.where(opened[active], -np.inf, sims[active])
+            best = np.argpartition(-waiting, OPEN - 1, axis=1)[:, :OPEN]
+            go = np.take_along_axis(waiting, best, 1) > -np.inf
+            some = go.any(axis=1)
+            active, best, go = active[some], best[some], go[some]
+            if not len(active):
+                break
+            opened[active[:, None], best] = True
+            near = self.adjacency[np.where(go, ids[active[:, None], best], 0)]
+            near = np.where(go[:, :, None], near, n).reshape(len(active), -1)
+            fresh = self._meet(claim, active, near)
+            s = np.matmul(self.padded[near], q32[active][:, :, None])[:, :, 0]
+            s[~fresh] = -np.inf
+            r, c = np.nonzero(s >= self.bar[near])
+            hit[active[r], near[r, c]] = True
+            all_ids = np.concatenate([ids[active], near], axis=1)
+            all_sims = np.concatenate([sims[active], s], axis=1)
+            all_open = np.concatenate([opened[active], ~fresh], axis=1)
+            top = np.argpartition(-all_sims, beam - 1, axis=1)[:, :beam]
+            ids[active], sims[active] = np.take_along_axis(all_ids, top, 1), np.take_along_axis(all_sims, top, 1)
+            opened[active] = np.take_along_axis(all_open, top, 1)
+        if own is not None:
+            here = np.flatnonzero(own >= 0)
+            hit[here, own[here]] = True
+            claim[here, own[here]] = 0
+        done = np.zeros_like(hit)
+        while True:
+            r, c = np.nonzero(hit & ~done)
+            if not len(r):
+                break
+            done[r, c] = True
+            for s in range(0, len(r), 4096):
+                near = self.adjacency[c[s:s + 4096]]
+                new = claim[r[s:s + 4096, None], near] < 0
+                pair = np.unique(np.repeat(r[s:s + 4096], new.sum(axis=1)) * (n + 1) + near[new])
+                qs, ns = pair // (n + 1), pair % (n + 1)
+                claim[qs, ns] = 0
+                for t in range(0, len(qs), 65536):
+                    a, b = qs[t:t + 65536], ns[t:t + 65536]
+                    inside = np.einsum("ij,ij->i", q32[a], self.padded[b]) >= self.bar[b]
+                    hit[a[inside], b[inside]] = True
+        self.met += int((claim[:, :n] >= 0).sum())
+        return hit
+
+    def rows_in(self, found: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Boolean (queries, rows): rows of the found balls within range, in double. A ball that
+        lies in the range whole needs no comparison (triangle inequality of angles)."""
+        r, b = np.nonzero(found)
+        angle = np.empty(len(r))
+        for t in range(0, len(r), 65536):
+            angle[t:t + 65536] = np.arccos(np.clip(np.einsum("ij,ij->i", q[r[t:t + 65536]], self.y[b[t:t + 65536]]), -1, 1))
+        whole = angle + self.radius[b] <= self.range - 1e-6
+        sure, open_ = np.zeros_like(found), np.zeros_like(found)
+        sure[r[whole], b[whole]] = True
+        open_[r[~whole], b[~whole]] = True
+        hit = sure[:, self.owner]
+        r, c = np.nonzero(open_[:, self.owner])
+        for t in range(0, len(r), 65536):
+            a, d = r[t:t + 65536], c[t:t + 65536]
+            hit[a, d] = np.einsum("ij,ij->i", q[a], self.x[d]) >= self.threshold
+        return hit
+
+    def search(self, q: np.ndarray, own: np.ndarray | None = None, beam: int = BEAM) -> np.ndarray:
+        """Boolean (queries, rows): rows found within range; ``own`` is a query's row here or -1."""
+        ball = None if own is None else np.where(own >= 0, self.owner[own], -1)
+        return self.rows_in(self.walk(q, ball, beam), q)
 
 
 def visited(c: np.ndarray, sim: np.ndarray, gap: np.ndarray, threshold: float) -> tuple[int, np.ndarray]:
@@ -317,17 +402,19 @@ def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int],
         links, low = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
         if len(node):
             place = {int(i): k for k, i in enumerate(ids[node])}
-            near_ids = t.column("near").take(pa.array(node)).to_pylist()
-            near = [[place[j] for j in (a or []) if j in place] for a in near_ids]
-            width = max(1, max(len(a) for a in near))
-            adjacency = np.array([a + [-1] * (width - len(a)) for a in near])
             y = x[node]
-            cover = entry_points(y)
+            graph = None
+            if overlap is not None:
+                near_ids = t.column("near").take(pa.array(node)).to_pylist()
+                graph = Part(y, [[place[j] for j in (a or []) if j in place] for a in near_ids], threshold)
             found = []
             asked = np.flatnonzero(t.column("query").to_numpy(zero_copy_only=False))
             for s in range(0, len(asked), BLOCK):
                 q = asked[s:s + BLOCK]
-                hit = range_search(y, adjacency, cover[0], x[q], threshold, cover=cover)
+                if graph is None:  # the exact search compares all
+                    hit = x[q] @ y.T >= threshold
+                else:
+                    hit = graph.search(x[q], np.array([place.get(int(i), -1) for i in ids[q]]))
                 hit &= ids[q][:, None] != ids[node][None, :]
                 r, c = np.nonzero(hit)
                 earlier = np.zeros(len(r), dtype=bool)  # the pair shares a smaller shard
@@ -354,6 +441,15 @@ def _links(reps: DataFrame, sample: dict[int, np.ndarray], n_of: dict[int, int],
     return stage(joined.groupBy("shard", "part", "block").applyInArrow(lambda t: search(t), "rep long, links long, star long"), "vec-links")
 
 
+def hash_sample(rows: DataFrame, n: int) -> DataFrame:
+    """Some ``n`` rows (all, where there are no more): those whose hash of ``rep`` is below a
+    bound that follows from the count, so no task sorts or gathers the sample."""
+    total = rows.count()
+    if total <= n:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 40)) < int(n / total * (1 << 40)))
+
+
 def audit(reps: DataFrame, links: DataFrame, threshold: float, queries: int = AUDIT_QUERIES) -> float:
     """Least recall over the sizes of neighbourhoods, by brute force in blocks.
 
@@ -364,8 +460,8 @@ def audit(reps: DataFrame, links: DataFrame, threshold: float, queries: int = AU
     spark = reps.sparkSession
     linked = links.groupBy("rep").agg(F.sum("links").alias("links"))
     q = reps.join(linked, "rep", "left").na.fill(0, ["links"])
-    random = q.orderBy(F.xxhash64("rep"), "rep").limit(queries).select("rep", "v", "links")
-    with_links = q.filter("links > 0").orderBy(F.xxhash64("rep"), "rep").limit(queries).select("rep", "v", "links")
+    random = hash_sample(q, queries).select("rep", "v", "links")
+    with_links = hash_sample(q.filter("links > 0"), queries).select("rep", "v", "links")
     rows = {r["rep"]: (bytes(r["v"]), r["links"]) for r in [*random.collect(), *with_links.collect()]}
     if not rows:
         return 1.0
@@ -417,7 +513,7 @@ def embedding_links(vectors: DataFrame, threshold: float = THRESHOLD, overlap: i
     if not total:
         return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"),
                               F.col("vec_id").cast("long").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    picked = reps.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE_VECTORS).select("v").collect()
+    picked = hash_sample(reps, SAMPLE_VECTORS).select("v").collect()
     sample: dict[int, list] = {}
     for r in picked:
         sample.setdefault(len(r["v"]) // 8, []).append(bytes(r["v"]))
