@@ -35,6 +35,11 @@ def brute(rows, k, threshold):
             if a and b and 100 * len(a & b) >= threshold * len(a | b):
                 x, y = find(i), find(j)
                 root[max(x, y)] = min(x, y)
+    first = {}  # the texts of one id are one document
+    for i, (doc, _) in enumerate(keys):
+        if doc is not None and sets[keys[i]]:
+            x, y = find(i), find(first.setdefault(doc, i))
+            root[max(x, y)] = min(x, y)
     groups = {}
     for i, (doc, _) in enumerate(keys):
         groups.setdefault(find(i), []).append(doc)
@@ -90,3 +95,24 @@ def test_empty_table_and_one_per_group(spark):
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert 20 not in ids and 21 not in ids and {0, 1, 30, 31, 32, 33} <= set(ids)
+
+
+A, B, C = "one two three four five six", "seven eight nine ten eleven twelve", "some words that no other text has"
+
+
+def test_texts_of_a_repeated_id_are_one_document(spark):
+    rows = [(1, A, "en", "s", 1), (2, B, "en", "s", 1), (5, A, "en", "s", 1), (5, B, "en", "s", 1), (7, C, "en", "s", 1), (5, "", "en", "s", 0)]
+    got = sorted(tuple(r) for r in ngram_join.ngram_join(frame(spark, rows)).collect())
+    assert got == [(1, 4, 1), (2, 4, 1), (5, 0, 5), (5, 4, 1), (5, 4, 1), (7, 4 + 1, 7)]
+    assert sorted(got, key=repr) == brute(rows, 3, 90)
+    kept = sorted((r["doc_id"], r["text"]) for r in ngram_join.one_per_group(frame(spark, rows)).collect())
+    assert kept == [(1, A), (5, ""), (7, C)]
+
+
+def test_repeated_rows_of_a_kept_id(spark):
+    rows = [(1, A, "en", "s", 1), (1, A, "en", "s", 1), (1, C, "en", "t", 1), (2, B, "en", "s", 1),
+            (None, A, "en", "s", 1), (None, A, "en", "s", 1), (3, None, "en", "s", 0), (3, None, "en", "s", 0)]
+    kept = ngram_join.one_per_group(frame(spark, rows))
+    assert kept.columns == frame(spark, rows).columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, A), (2, B), (3, None), (3, None), (None, A), (None, A)], key=repr)

@@ -38,6 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from touchline.llm.common import bound_batches, small, stage, text_or_empty
 from touchline.llm.graph import components
@@ -406,6 +407,14 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     return _texts(docs).mapInArrow(run, "doc_id long, set binary")
 
 
+def _one_document(sig: DataFrame, reps: DataFrame) -> DataFrame:
+    """Edges that join the texts of a repeated id: the id and the representative of each text."""
+    twice = sig.filter("doc_id IS NOT NULL AND fp IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"))
+    twice = stage(twice.filter("lo <> hi").select(F.col("doc_id").alias("_i")), "ngram-repeated-ids")
+    texts = sig.join(twice, F.col("doc_id") == F.col("_i"), "left_semi").select(F.col("doc_id").alias("a"), F.col("fp").alias("_f"))
+    return texts.join(reps, F.col("_f") == F.col("fp")).filter("a <> rep").select("a", F.col("rep").alias("b"))
+
+
 def ngram_join(docs: DataFrame, k: int = K, threshold: int = THRESHOLD, chunk: int = CHUNK) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
     spark = docs.sparkSession
@@ -441,7 +450,8 @@ def ngram_join(docs: DataFrame, k: int = K, threshold: int = THRESHOLD, chunk: i
     texts = docs.join(wanted, docs["doc_id"] == wanted["rep"], "left_semi").dropDuplicates(["doc_id", "text"])
     sets = stage(shingle_sets(texts, k).filter(F.length("set") > 0), "ngram-sets")
     together = members.join(sets, members["rep"] == sets["doc_id"]).select("gid", "rep", "set")
-    found = components(_group_edges(together.repartition("gid").sortWithinPartitions("gid"), threshold))
+    links = _group_edges(together.repartition("gid").sortWithinPartitions("gid"), threshold)
+    found = components(links.unionByName(_one_document(sig, reps)))
     # A set's component: that of its representative.
     classes = reps.select("fp", "rep", "copies").join(found, F.col("rep") == F.col("node"), "left")
     classes = classes.select(F.col("fp").alias("_fp"), F.coalesce("component", "rep").alias("_c"), "rep", "copies").filter("copies > 1 OR _c <> rep")
@@ -453,9 +463,17 @@ def ngram_join(docs: DataFrame, k: int = K, threshold: int = THRESHOLD, chunk: i
 def one_per_group(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
     """The documents whose doc_id is their component's; columns as they were.
 
-    Rows without words are all kept, and so are rows with a null id; of repeated
-    rows of a kept id one stays.
+    Rows without words are all kept, and so are rows with a null id. Of several rows of a
+    kept id one stays: the first by its text, then by a hash of its columns.
     """
     groups = ngram_join(docs, k, threshold).filter("n_shingles > 0 AND component_id <> doc_id")
-    out = docs.join(groups.select(F.col("doc_id").alias("_gone")).distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
-    return out
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    gone = groups.select(F.col("doc_id").alias("_gone")).distinct()
+    out = docs.join(gone, (F.col("doc_id") == F.col("_gone")) & worded, "left_anti")
+    twice = docs.filter(worded & F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1")
+    twice = stage(twice.select(F.col("doc_id").alias("_twice")), "ngram-repeated-rows")
+    repeated = (F.col("doc_id") == F.col("_twice")) & worded
+    plain = [f.name for f in docs.schema if not isinstance(f.dataType, MapType)]
+    first = F.min_by(F.struct(*docs.columns), F.struct("text", F.xxhash64(*plain)))
+    ones = out.join(twice, repeated, "left_semi").groupBy(F.col("doc_id").alias("_id")).agg(first.alias("_row")).select("_row.*")
+    return out.join(twice, repeated, "left_anti").unionByName(ones)
