@@ -18,7 +18,7 @@ from touchline.operators import asof, ball, drift, events, frames, ranking, spee
 from touchline.plans import jobs
 from touchline.session import checkpoint_base, configure, shared_dir
 from touchline.sources import adapter, files
-from touchline.streaming import ingest, live, marks, sampling, slots
+from touchline.streaming import ingest, late_metadata, live, marks, sampling, slots
 from touchline.streaming import lines as lines_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -514,7 +514,8 @@ def q_stream_sampled_ball_state(spark, sf_dir):
 FEED_SLICES, FILES_PER_SLICE = 4, 4
 
 
-def growing_feed(spark: SparkSession, sf_dir: str, slices: int = FEED_SLICES, deliveries: int = 1) -> str:
+def growing_feed(spark: SparkSession, sf_dir: str, slices: int = FEED_SLICES, deliveries: int = 1,
+                 ahead_ms: int = marks.MARK_AHEAD_MS) -> str:
     """The feed as it grows: slices in clock order, so that a stream that takes the files
     of one slice at a time has several micro-batches; the end mark comes last. With more
     ``deliveries`` every slice is sent again in later files."""
@@ -526,7 +527,7 @@ def growing_feed(spark: SparkSession, sf_dir: str, slices: int = FEED_SLICES, de
         start, end = lo + (hi + 1 - lo) * i // slices, lo + (hi + 1 - lo) * (i + 1) // slices
         for _ in range(deliveries):
             lines.where((clock >= start) & (clock < end)).repartition(FILES_PER_SLICE).write.mode("append").text(path)
-    marks.end_mark_lines(spark.read.text(path)).write.mode("append").text(path)
+    marks.end_mark_lines(spark.read.text(path), ahead_ms).write.mode("append").text(path)
     return path
 
 
@@ -569,6 +570,44 @@ def q_stream_live_events_by_pitch(spark, sf_dir):
     return _finished(spark, live.live_event_stream(rows, metadata=meta), "live_events_pitch")
 
 
+# Metadata as a stream: sent so long after a match's first row, for six days of seven, and
+# waited for as long as the patience. The end marks lie beyond delay and patience.
+KNOWN_AFTER_MS, LATE_DELAY, LATE_BEFORE, LATE_PATIENCE = 12 * 3_600_000, "8 days", "1 day", "1 day"
+LATE_MARK_MS = 12 * 86_400_000
+LATE_META_SCHEMA = "match_id string, pitch_length double, pitch_width double, known_ms long"
+
+
+def growing_metadata(spark: SparkSession, sf_dir: str, slices: int = FEED_SLICES) -> str:
+    """Metadata files in the order in which they are sent, and the mark that ends them."""
+    path = shared_dir(spark, "growing_metadata")
+    rows = tracking(spark, sf_dir)
+    known = rows.groupBy("match_date").agg((F.min("wall_ms") + F.lit(KNOWN_AFTER_MS)).alias("known_ms"))
+    sizes = adapter.match_metadata(rows).where(F.dayofmonth(F.to_date("match_date")) % 7 != 0)
+    sent = sizes.join(known, "match_date").select(
+        F.col("match_date").alias("match_id"), F.col("fPitchXSizeMeters").alias("pitch_length"), F.col("fPitchYSizeMeters").alias("pitch_width"), "known_ms")
+    sent.limit(0).write.json(path)
+    lo, hi = sent.agg(F.min("known_ms"), F.max("known_ms")).first()
+    for i in range(slices if lo is not None else 0):
+        start, end = lo + (hi + 1 - lo) * i // slices, lo + (hi + 1 - lo) * (i + 1) // slices
+        sent.where((F.col("known_ms") >= start) & (F.col("known_ms") < end)).repartition(1).write.mode("append").json(path)
+    last = rows.agg(F.max("wall_ms")).first()[0]
+    if last is not None:
+        mark = late_metadata.metadata_end_mark(last + LATE_MARK_MS)
+        spark.createDataFrame([mark], LATE_META_SCHEMA).write.mode("append").json(path)
+    return path
+
+
+@query("stream_live_events_late_pitch")
+def q_stream_live_events_late_pitch(spark, sf_dir):
+    """Pitch sizes that come half a day after kick-off, or never, joined in the stream; the
+    events of the sized rows it stored."""
+    rows = _growing_rows(spark, growing_feed(spark, sf_dir, ahead_ms=LATE_MARK_MS)).drop("in_box", "in_field")
+    meta = spark.readStream.schema(LATE_META_SCHEMA).option("maxFilesPerTrigger", 1).json(growing_metadata(spark, sf_dir))
+    sized = _finished(spark, late_metadata.sized_rows(rows, meta, LATE_DELAY, LATE_BEFORE, LATE_PATIENCE), "late_sized")
+    length, width = F.col("pitch_length"), F.col("pitch_width")
+    return events.live_events(ball.ball_flags(sized, length, width), length, width)
+
+
 @query("stream_latest_ball_state")
 def q_stream_latest_ball_state(spark, sf_dir):
     """Batch read of the ingest stream's committed output (the reference's

@@ -369,6 +369,15 @@ ORACLE["stream_live_events_by_pitch"] = (
     _with(TRACKING, PITCH, FEED_ROWS, PITCH_FLAGS, events_sql("half_l", "half_w")) + "SELECT * FROM ev"
 )
 
+# Six days of seven are described; the others have the default pitch.
+LATE_PITCH = f"""
+late AS (
+  SELECT d.match_id, coalesce(m.pitch_length, {_d(PITCH_LENGTH_M)}) AS pitch_length, coalesce(m.pitch_width, {_d(PITCH_WIDTH_M)}) AS pitch_width
+  FROM (SELECT DISTINCT match_id FROM b) d LEFT JOIN m ON d.match_id = m.match_id AND day(d.match_id::DATE) % 7 <> 0
+)"""
+ORACLE["stream_live_events_late_pitch"] = _with(
+    TRACKING, PITCH, FEED_ROWS, LATE_PITCH, PITCH_FLAGS.replace("JOIN m ON", "JOIN late m ON"), events_sql("half_l", "half_w")) + "SELECT * FROM ev"
+
 # What a poller sees: events between the newest rows of successive 3 s windows.
 SAMPLED = """
 s AS (

@@ -30,8 +30,8 @@ def without_end_marks(rows: DataFrame) -> DataFrame:
     return rows.where(F.unix_millis("event_time") < bound)
 
 
-def end_mark_lines(feed: DataFrame) -> DataFrame:
-    """One line per feed (``value`` lines) that ends it."""
-    clock = F.max(F.split("value", ":")[0].try_cast("bigint")) + F.lit(MARK_AHEAD_MS)
+def end_mark_lines(feed: DataFrame, ahead_ms: int = MARK_AHEAD_MS) -> DataFrame:
+    """One line per feed (``value`` lines) that ends it, ``ahead_ms`` after its last row."""
+    clock = F.max(F.split("value", ":")[0].try_cast("bigint")) + F.lit(ahead_ms)
     return feed.agg(clock.alias("t")).where("t IS NOT NULL").select(
         F.concat(F.col("t").cast("string"), F.lit(f":F0|end:,,,0,,{END_STATUS};:")).alias("value"))
