@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.functions.clock import display_time, match_date
-from touchline.operators import asof, ball, drift, events, frames, ranking, speed, tables, visits
+from touchline.operators import asof, ball, bucketed, drift, events, frames, ranking, speed, tables, visits
 from touchline.plans import jobs
 from touchline.session import checkpoint_base, configure, shared_dir
 from touchline.sources import adapter, files
@@ -359,6 +359,16 @@ def q_merge_insert_only(spark, sf_dir):
     return _features_table(spark, path)
 
 
+@query("merge_bucketed")
+def q_merge_bucketed(spark, sf_dir):
+    """The merges of ``merge_insert_only`` into a bucketed table, whose rows stay in place."""
+    path = shared_dir(spark, "player_features_bucketed")
+    feats = _features(spark, sf_dir)
+    for load in (_stored_before(feats), feats, feats):
+        name = bucketed.merge_insert_only(spark, load, path, schemas.PLAYER_FEATURES, FEATURE_KEYS, buckets=8)
+    return spark.table(name)
+
+
 @query("upsert_by_key")
 def q_upsert_by_key(spark, sf_dir):
     """Upserted into the same table: the load's keys get its values, keys and matches that

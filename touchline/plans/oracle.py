@@ -338,6 +338,9 @@ FROM (
 ) WHERE rn = 1""",
 })
 
+# The same merges, stored in buckets.
+ORACLE["merge_bucketed"] = ORACLE["merge_insert_only"]
+
 ORACLE.update({
     "stream_ball_rows": _with(TRACKING, FEED_ROWS, FLAGS) + """SELECT match_id, match_time, wall_ms, frame_idx,
        x, y, z, ball_status, ball_speed, ball_team, in_box, in_field FROM f""",
