@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from touchline.operators import events
@@ -132,3 +133,81 @@ def test_event_time_mode_orders_out_of_order_feed(spark):
     batch = [r for r in events.live_events(batch_good).collect() if r.wall_ms <= watermark]
     assert len(streamed) > 0 and any(T0 + 50 * 40 <= r.wall_ms < T0 + 60 * 40 for r in batch)
     assert _event_keys(streamed) == _event_keys(batch)
+
+
+class _MapState(dict):
+    writes = 0
+
+    def updateValue(self, key, value):
+        self.writes += 1
+        self[key] = value
+
+    def getValue(self, key):
+        return self[key]
+
+    def removeKey(self, key):
+        del self[key]
+
+
+class _ValueState:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+class _Handle:
+    """State in this process, without any list state: a row must not be an entry of its own."""
+
+    def __init__(self):
+        self.maps, self.timers = {}, []
+
+    def getValueState(self, name, schema):
+        return _ValueState()
+
+    def getMapState(self, name, key, value):
+        return self.maps.setdefault(name, _MapState())
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_waiting_rows_are_blocks_in_the_state():
+    big = 2**60 + 1  # frame numbers stay exact beside a missing one
+    rows = pd.DataFrame([
+        ("m", i, None, 1.0, None if i % 7 else 2.0, None, "Alive" if i % 3 else "Dead", i % 2 == 0, None)
+        for i in range(1000)], columns=live.INPUT_COLUMNS)
+    rows["frame_idx"] = pd.array([big + i if i % 5 else None for i in range(1000)], dtype="Int64")
+    handle = _Handle()
+    p = live.OrderedLiveEventProcessor()
+    p.init(handle)
+    assert not list(p.handleInputRows(("m",), iter([rows[500:], rows[:0]]), None))
+    assert not list(p.handleInputRows(("m",), iter([rows[:500]]), None))
+    pending = handle.maps["pending"]
+    assert pending.writes == 2 and handle.timers == [500, 0]
+    early = pd.concat(p.handleExpiredTimer(("m",), _Watermark(699), None))
+    assert len(pending) == 1 and handle.timers == [500, 0, 700]  # what stays is written once
+    late = pd.concat(p.handleExpiredTimer(("m",), _Watermark(2000), None))
+    assert not pending and handle.timers == [500, 0, 700]
+    want, _ = live.step(rows, ("Alive", False, True, None, None, 0))
+    key = ["wall_ms", "seq", "kind", "old_value", "new_value"]
+    got = pd.concat([early, late])
+    assert sorted(got[key].itertuples(index=False, name=None)) == sorted(want[key].itertuples(index=False, name=None))
+    assert set(got["frame_idx"].dropna()) <= {big + i for i in range(1000)}

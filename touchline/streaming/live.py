@@ -24,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -210,29 +212,70 @@ class LiveEventProcessor(StatefulProcessor):
         pass
 
 
-BUFFER_SCHEMA = T.StructType([
-    T.StructField("match_id", T.StringType()),
-    T.StructField("wall_ms", T.LongType()),
-    T.StructField("frame_idx", T.LongType()),
-    T.StructField("x", T.DoubleType()),
-    T.StructField("y", T.DoubleType()),
-    T.StructField("ball_team", T.StringType()),
-    T.StructField("ball_status", T.StringType()),
-    T.StructField("in_box", T.BooleanType()),
-    T.StructField("in_field", T.BooleanType()),
+#: The waiting rows inside a block.
+BUFFER_SCHEMA = pa.schema([
+    ("match_id", pa.string()), ("wall_ms", pa.int64()), ("frame_idx", pa.int64()), ("x", pa.float64()), ("y", pa.float64()),
+    ("ball_team", pa.string()), ("ball_status", pa.string()), ("in_box", pa.bool_()), ("in_field", pa.bool_()),
 ])
 
 
-def _as_tuples(pdf: pd.DataFrame) -> list[tuple]:
-    plain = pdf[INPUT_COLUMNS].astype(object)
-    return list(plain.where(pd.notna(plain), None).itertuples(index=False, name=None))
+class PendingRows:
+    """Rows that wait in a key's state for the watermark, as the Arrow blocks they came in.
+
+    Map state with one entry a block, numbered as they came: adding a block is one write,
+    however many rows wait already, and no row is an entry of its own."""
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.blocks = handle.getMapState("pending", "block long", "rows binary")
+        self.count = handle.getValueState("pending_blocks", "n long")
+
+    def add(self, chunks: Iterator[pd.DataFrame]) -> int | None:
+        """Store the rows; their smallest clock, None if there are none."""
+        first = n = self.count.get()[0] if self.count.exists() else 0
+        low = None
+        for chunk in chunks:
+            if len(chunk):
+                self._put(n, pa.RecordBatch.from_pandas(chunk[INPUT_COLUMNS], BUFFER_SCHEMA, preserve_index=False))
+                n, least = n + 1, int(chunk["wall_ms"].min())
+                low = least if low is None else min(low, least)
+        if n > first:
+            self.count.update((n,))
+        return low
+
+    def take(self, until: int | None = None) -> tuple[pd.DataFrame, int | None]:
+        """Remove the rows with clocks up to ``until`` (None: all), in the order in which they
+        came; also the smallest clock of the rows that stay, None if none do."""
+        ready, low = [], None
+        for n in sorted(key[0] for key in self.blocks.keys()):
+            rows = pa.ipc.open_stream(self.blocks.getValue((n,))[0]).read_next_batch()
+            due = pc.less_equal(rows["wall_ms"], until) if until is not None else None
+            rest = rows.filter(pc.invert(due)) if due is not None else rows.slice(0, 0)
+            if rest.num_rows:
+                least = pc.min(rest["wall_ms"]).as_py()
+                low = least if low is None else min(low, least)
+            if rest.num_rows == rows.num_rows:
+                continue
+            ready.append(rows.filter(due) if rest.num_rows else rows)
+            if rest.num_rows:
+                self._put(n, rest)
+            else:
+                self.blocks.removeKey((n,))
+        if low is None:
+            self.count.clear()
+        return pa.Table.from_batches(ready, BUFFER_SCHEMA).to_pandas(integer_object_nulls=True), low
+
+    def _put(self, n: int, rows: pa.RecordBatch) -> None:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, BUFFER_SCHEMA) as out:
+            out.write_batch(rows)
+        self.blocks.updateValue((n,), (sink.getvalue().to_pybytes(),))
 
 
 class OrderedLiveEventProcessor(StatefulProcessor):
     """Event-time variant for feeds that arrive out of order.
 
-    New rows wait in list state until the watermark (largest clock seen minus
-    the delay) has passed them; an event-time timer then processes them in
+    New rows wait in the state (:class:`PendingRows`) until the watermark (largest clock seen
+    minus the delay) has passed them; an event-time timer then processes them in
     clock order. Rows are late only when older than the watermark. Pending
     state per match is bounded by the delay times the feed rate.
     """
@@ -240,29 +283,22 @@ class OrderedLiveEventProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("ball_state", STATE_SCHEMA)
-        self.pending = handle.getListState("pending", BUFFER_SCHEMA)
+        self.pending = PendingRows(handle)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         self.state.update(_stored_state(initialState))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        chunks = [c for c in rows if len(c)]
-        if chunks:
-            batch = pd.concat(chunks, ignore_index=True)
-            self.pending.appendList(_as_tuples(batch))
+        low = self.pending.add(rows)
+        if low is not None:
             # Fires once the watermark passes the oldest new row.
-            self.handle.registerTimer(int(batch["wall_ms"].min()))
+            self.handle.registerTimer(low)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        pending = pd.DataFrame(list(self.pending.get()), columns=INPUT_COLUMNS)
-        ready, rest = pending[pending["wall_ms"] <= watermark], pending[pending["wall_ms"] > watermark]
-        if len(rest):
-            self.pending.put(_as_tuples(rest))
-            self.handle.registerTimer(int(rest["wall_ms"].min()))
-        else:
-            self.pending.clear()
+        ready, low = self.pending.take(timerValues.getCurrentWatermarkInMs())
+        if low is not None:
+            self.handle.registerTimer(low)
         if not len(ready):
             return
         if self.state.exists():

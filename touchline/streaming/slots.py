@@ -4,7 +4,7 @@ The per-match processors of :mod:`touchline.streaming.live` see a match's whole
 micro-batch in one call. A backlog of a long match, or a feed that holds a third of all
 rows, is then one task. Here two stateful operators are chained in one query (append mode):
 
-1. ``groupBy(match_id, slot)``, event time: a slot's rows wait in list state until the
+1. ``groupBy(match_id, slot)``, event time: a slot's rows wait in the state until the
    watermark has passed the slot's end; its timer then emits the events between the
    slot's own rows and, per signal, one edge: where the signal is first known in the slot,
    with its first and its last value. A call sees the rows of one slot, whatever the match
@@ -32,11 +32,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from touchline.operators.events import INITIAL_IN_BOX, INITIAL_IN_FIELD, INITIAL_STATUS, decorate_events
 from touchline.streaming.live import (
-    BUFFER_SCHEMA,
     INPUT_COLUMNS,
     RAW_EVENT_SCHEMA,
     SIGNALS,
-    _as_tuples,
+    PendingRows,
     _text,
     state_after,
     step,
@@ -99,18 +98,15 @@ class SlotProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", BUFFER_SCHEMA)
+        self.pending = PendingRows(handle)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for chunk in rows:
-            if len(chunk):
-                self.pending.appendList(_as_tuples(chunk))
+        self.pending.add(rows)
         self.handle.registerTimer((int(key[1]) + 1) * self.width_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        rows = pd.DataFrame(list(self.pending.get()), columns=INPUT_COLUMNS)
-        self.pending.clear()
+        rows, _ = self.pending.take()
         out = slot_summary(rows, int(key[1])) if len(rows) else rows
         if len(out):
             yield _typed(out, SLOT_SCHEMA.names)
