@@ -103,3 +103,21 @@ def test_empty_streams(spark, folders):
     put(rows, "0", [])
     put(metas, "0", [])
     assert run(spark, rows, metas, sink, ckpt)[0] == []
+
+
+def test_rows_of_a_slot_wait_as_blocks(spark, folders):
+    """The state of the join holds blocks, not rows; rows of a block are sized one by one."""
+    rows, metas, sink, ckpt = folders
+    put(rows, "0", [row("a", i * 1000, i) for i in range(600)] + [row("b", 4 * HOUR + i, i) for i in range(-30, 31)] + [row("a", 0, 0)])
+    put(metas, "0", [meta("x", 0)])
+    _, q = run(spark, rows, metas, sink, ckpt)
+    held = {s["operatorName"]: s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"]}
+    assert 12 <= held["symmetricHashJoin"] < 100  # 662 rows in 12 slots
+    put(metas, "1", [meta("b", HOUR)])  # three hours before some rows of its slots
+    put(rows, "1", [END_ROW])
+    put(metas, "2", [END_META])
+    got, _ = run(spark, rows, metas, sink, ckpt)
+    default = (PITCH_LENGTH_M, PITCH_WIDTH_M)
+    want = [("a", i * 1000, i, *default) for i in [*range(600), 0]]
+    want += [("b", 4 * HOUR + i, i, *((100.0, 64.0) if i <= 0 else default)) for i in range(-30, 31)]
+    assert got == sorted(want)
