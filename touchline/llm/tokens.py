@@ -1,8 +1,8 @@
 """Token ids of whole texts, tokenized chunk by chunk inside Spark tasks.
 
 The tokenizer drops white space and never joins across it, so a text's ids are
-the ids of its white-space-separated chunks in order. A task keeps the ids of
-chunks it has met in a bounded cache; a repeated chunk costs a dictionary lookup.
+the ids of its white-space-separated chunks in order. A task takes the distinct chunks of
+a batch of texts and keeps the ids of words it has met in a bounded cache.
 """
 
 from __future__ import annotations
@@ -15,13 +15,16 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import bound_batches, small, text_or_empty
 
-#: Chunks that a worker keeps; beyond that the newer half goes (results are the same).
+#: Words that a worker keeps; beyond that the newer half goes (results are the same).
 CACHE_CHUNKS = 300_000
+#: Texts whose distinct chunks are looked up together.
+BATCH_TEXTS = 1000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 
@@ -41,7 +44,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _ChunkIds(dict):
-    """Ids of lower-cased chunks (uint16, little-endian), made where they are missing."""
+    """Ids of lower-cased chunks (uint16, little-endian), made where they are missing; words are kept."""
 
     def __init__(self, model):
         super().__init__()
@@ -49,13 +52,11 @@ class _ChunkIds(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         words = _WORD.findall(chunk)
-        if len(words) == 1:
-            mapped = chunk if chunk.isascii() else chunk.encode("utf-8").decode("latin-1").translate(self._letters)
-            ids = [t.id for t in self._model.tokenize(mapped)]
-            made = struct.pack(f"<{len(ids)}H", *ids)
-        else:
-            made = b"".join([self[w] for w in words])
-        self[chunk] = made
+        if len(words) != 1:  # not kept: words are far fewer than what they are written together with
+            return b"".join(map(self.__getitem__, words))
+        mapped = chunk if chunk.isascii() else chunk.encode("utf-8").decode("latin-1").translate(self._letters)
+        ids = [t.id for t in self._model.tokenize(mapped)]
+        self[chunk] = made = struct.pack(f"<{len(ids)}H", *ids)
         return made
 
     def shrink(self) -> None:
@@ -96,6 +97,30 @@ class ChunkTokenizer:
                 out.append(self._plain(c))
         return b"".join(out)
 
+    def batch(self, texts: list[bytes]) -> list[bytes]:
+        """``ids`` of every text; a chunk is looked up once, however often the texts hold it."""
+        out, plain, at = [b""] * len(texts), [], []
+        for i, text in enumerate(texts):
+            whole = text.decode("utf-8")
+            if _ODD.search(whole) or "<|" in whole:
+                out[i] = self.ids(text)
+            else:
+                plain.append(whole.lower())
+                at.append(i)
+        if len(self._chunks) > CACHE_CHUNKS:
+            self._chunks.shrink()
+        chunks = pc.ascii_split_whitespace(pa.array(plain, pa.large_string()))
+        coded = chunks.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        met = pa.array(list(map(self._chunks.__getitem__, distinct)), pa.large_binary())
+        ids = met.take(coded.indices)
+        _, offsets, data = ids.buffers()
+        begin = np.frombuffer(offsets, "<i8", len(ids) + 1)[np.asarray(chunks.offsets)].tolist() if len(ids) else [0] * (len(at) + 1)
+        raw = memoryview(data) if data is not None else memoryview(b"")
+        for i, lo, hi in zip(at, begin, begin[1:]):
+            out[i] = bytes(raw[lo:hi])
+        return out
+
 
 @lru_cache(maxsize=1)
 def _worker_tokenizer(path: str) -> ChunkTokenizer:
@@ -103,6 +128,11 @@ def _worker_tokenizer(path: str) -> ChunkTokenizer:
     return ChunkTokenizer(path)
 
 
+def forget() -> None:
+    """Drop the worker's tokenizer and its chunks, for steps that come after the tokens are stored."""
+    _worker_tokenizer.cache_clear()
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
@@ -122,8 +152,8 @@ def encode(batches: Iterator[pa.RecordBatch], path: str | None = None, end_id: i
     """Batches of (doc_id, text bytes) to ``doc_id, n_tokens, ids`` (uint16 little-endian, ``end_id`` last)."""
     tok = _worker_tokenizer(path or tokenizer_path())
     end = struct.pack("<H", end_id)
-    for batch in small(batches):
-        ids = [tok.ids(t) + end for t in batch.column(1).to_pylist()]
+    for batch in small(batches, BATCH_TEXTS):
+        ids = [x + end for x in tok.batch(batch.column(1).to_pylist())]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
             names=["doc_id", "n_tokens", "ids"])
