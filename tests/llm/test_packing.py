@@ -5,10 +5,12 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from helpers import DOC_SCHEMA, documents, frame
 
-from touchline.llm import packing_bfd, packing_bm25
-from touchline.llm.tokens import ChunkTokenizer, tokenizer_path
+from touchline.llm import packing_bfd, packing_bm25, tokens
+from touchline.llm.tokens import ChunkTokenizer, encode, tokenizer_path
 
 
 def reference_ids(text):
@@ -56,6 +58,41 @@ def test_tokenizer_equals_its_library():
         assert tok.ids(t.encode()) == reference_ids(t)[:-1].astype("<u2").tobytes(), repr(t)
 
 
+def test_batches_of_texts_equal_single_texts():
+    rng, tok = random.Random(4), ChunkTokenizer(tokenizer_path())
+    plain, odd = "aB'stre 12\n\t\x0b\x0c\r.,éÉßÿ×÷_>endoftext'll  ", "日本́ \x1c\x85İςΣ—½<|>"
+    texts = ["".join(rng.choice(plain + odd * (i % 3 == 0)) for _ in range(rng.randint(0, 40))).encode() for i in range(2000)]
+    for some in (texts, [*texts[:5], b"", b" \n "], [b""], []):
+        assert tok.batch(some) == [reference_ids(t.decode())[:-1].astype("<u2").tobytes() for t in some]
+
+
+def test_words_are_kept_without_what_they_are_written_with():
+    tok = ChunkTokenizer(tokenizer_path())
+    tok.batch([b"goal, goal. (goal) goal; goal's"])
+    assert set(tok._chunks) == {"goal", ",", ".", "(", ")", ";", "'s"}
+
+
+def test_tokenizer_is_dropped_after_its_step():
+    """Spark keeps its workers: one that has tokenized must not hold its words beside an index."""
+
+    class Stop(Exception):
+        pass
+
+    class Tokens:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, fn, schema):
+            list(fn(iter([pa.RecordBatch.from_pydict({"ids": [b"\1\0"]})])))
+            raise Stop
+
+    list(encode(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "t": [b"one text"]})])))
+    assert tokens._worker_tokenizer.cache_info().currsize == 1
+    with pytest.raises(Stop):
+        packing_bm25.document_frequencies(Tokens())
+    assert tokens._worker_tokenizer.cache_info().currsize == 0
+
+
 def test_bfd_round_trip(spark):
     rows = documents()
     for clash in (False, True):

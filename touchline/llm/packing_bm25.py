@@ -36,8 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import small, stage
-from touchline.llm.tokens import TOKEN_COLUMNS, encode, texts
+from touchline.llm.common import give_back, small, stage
+from touchline.llm.tokens import TOKEN_COLUMNS, encode, forget, texts
 
 WINDOW = 2048
 #: Documents of one index shard: bounds a task's memory and a query's cost.
@@ -88,6 +88,7 @@ def document_frequencies(tok: DataFrame) -> tuple[np.ndarray, int, float]:
     """(frequency of each id, number of documents, mean length) over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # a worker that has tokenized would hold its chunks through the steps below
         df = np.zeros(VOCABULARY, dtype=np.int64)
         for b in small(batches):
             df += np.bincount(Terms.of(b.column(0).to_pylist()).terms, minlength=VOCABULARY)
@@ -361,6 +362,10 @@ def pack_bm25(docs: DataFrame, window: int = WINDOW, path: str | None = None, sh
     shared = spark.sparkContext.broadcast(idf)  # fixed size: one entry per id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What earlier steps keep in a worker is not needed beside the pools and indexes here.
+        forget()
+        _projection.cache_clear()
+        give_back()
         weights = shared.value
         next_id = TaskContext.get().partitionId() << 32
 
