@@ -59,6 +59,28 @@ def test_learns_and_holds_out(spark, sf_dir):
     assert a.bias == b.bias and (a.w == b.w).all() and (a.v == b.v).all()
 
 
+def test_fits_in_a_task(spark, monkeypatch):
+    """The driver gets the model, never the sample; the model is that of a plain fit on the sampled rows."""
+    rows, fit, seen = data(n=300), toxicity_fm.fit, []
+
+    def on_driver(x, y):
+        seen.append(len(x))
+        return fit(x, y)
+
+    monkeypatch.setattr(toxicity_fm, "fit", on_driver)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = toxicity_fm.train(docs, labels)
+    assert not any(seen)
+    h = toxicity_fm.TermHasher()
+    pairs = sorted((h.ids(t.encode()).tobytes(), y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5)
+    want = fit([np.frombuffer(x, dtype=np.int32) for x, _ in pairs], np.array([y for _, y in pairs]))
+    assert got.bias == want.bias and (got.w == want.w).all() and (got.v == want.v).all()
+    assert got.w.any() and got.v.shape == (toxicity_fm.BUCKETS, toxicity_fm.FACTORS)
+    none = toxicity_fm.train(docs, labels.filter("toxic = 7"))  # no sample
+    assert none.bias == -30.0 and not none.w.any() and not none.v.any()
+
+
 def test_pairs_weigh_in():
     h = toxicity_fm.TermHasher()
     rows = data()

@@ -7,7 +7,8 @@ together with the mention of a group, which additive weights cannot tell apart
 from the two alone.
 
 Training uses a bounded sample (``sample_rows``) of labelled rows outside the
-held-out fold; only hashed feature ids leave the executors. Scoring covers every
+held-out fold. The sample's texts are hashed where they lie; one task takes their
+feature ids and fits, and only the model comes to the driver. Scoring covers every
 document in Arrow batches, one row per document; the model is a table of fixed
 size (``BUCKETS`` x (1 + factors)), broadcast.
 
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import bound_batches, small, text_or_empty
+from touchline.llm.common import bound_batches, give_back, small, text_or_empty
 
 BUCKETS = 1 << 18
 FACTORS = 4
@@ -153,17 +154,31 @@ def _hashed(docs: DataFrame) -> DataFrame:
     return docs.select("y", text_or_empty().cast("binary").alias("t")).mapInArrow(run, "y int, ids binary")
 
 
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model as one row (``bias, w, v``), fitted on all rows (``y, ids``) of the one partition."""
+    got = sorted(pair for b in small(batches) for pair in zip(b.column(1).to_pylist(), b.column(0).to_pylist()))
+    m = fit([np.frombuffer(i, dtype=np.int32) for i, _ in got], np.array([y for _, y in got]))
+    got.clear()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([m.bias], pa.float64()), *[pa.array([x.tobytes()], pa.binary()) for x in (m.w, m.v)]], names=["bias", "w", "v"])
+    give_back()
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most ``sample_rows`` labelled documents outside the held-out fold."""
+    bound_batches(docs.sparkSession)
     lab = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     lab = lab.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("y"))
     # At most sample_rows rows of (id, label): a broadcast with a bound.
     sample = lab.orderBy(F.xxhash64("_id"), "_id", "y").limit(sample_rows)
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("y", "text", "_id")
-    # One row per sampled id, spread over tasks by it: what is collected has the same bound.
-    got = _hashed(joined.dropDuplicates(["_id"])).collect()
-    got = sorted((r["ids"], r["y"]) for r in got)
-    return fit([np.frombuffer(bytes(i), dtype=np.int32) for i, _ in got], np.array([y for _, y in got]))
+    # One row per sampled id, spread over tasks by it: what the fitting task reads has the same bound.
+    rows = _hashed(joined.dropDuplicates(["_id"])).repartition(1)
+    got = rows.mapInArrow(_fitted, "bias double, w binary, v binary").collect()  # one row of fixed size
+    if not got:  # no sample: Spark may leave out the task
+        return fit([], np.empty(0))
+    w, v = (np.frombuffer(bytes(got[0][c]), dtype=np.float32) for c in ("w", "v"))
+    return Model(got[0]["bias"], w, v.reshape(BUCKETS, -1))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
